@@ -36,14 +36,19 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6, special: dict | None = None) -> DataFrame:
-    """Round every double column (``special`` gives per-column digits)."""
+    """Comparable form: round every double column (``special`` gives
+    per-column digits) and present instants as zone-less timestamps (the
+    session zone is UTC, so the wall-clock value is unchanged)."""
     special = special or {}
     cols = []
     for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), special.get(f.name, digits)).alias(f.name))
+            cols.append(F.round(c, special.get(f.name, digits)).alias(f.name))
+        elif isinstance(f.dataType, T.TimestampType):
+            cols.append(c.cast("timestamp_ntz").alias(f.name))
         else:
-            cols.append(F.col(f.name))
+            cols.append(c)
     return df.select(*cols)
 
 
@@ -250,3 +255,7 @@ group by idx_type, s""")
 def q_macro_summary(spark, sf_dir):
     return rounded(macro.macro_summary(tb.series(spark, sf_dir), as_of=SERIES_AS_OF),
                    special={"trend_6m": 12})
+
+
+# Registered in sibling modules (imported last: they use the helpers above).
+from tickforge.plans import source_queries, check_queries  # noqa: E402,F401
