@@ -65,11 +65,12 @@ def apply_checks(df: DataFrame, checks: list[Check], mode: str = "warn",
             cond = cond & c.passed()
         return df.filter(cond)
     if mode == "fail":
+        # Inside a filter predicate, so column pruning cannot skip it.
         out = df
         for c in checks:
-            out = out.withColumn(
-                "__chk", F.when(~c.passed(), F.raise_error(F.lit(f"check failed: {c.name}"))))
-        return out.drop("__chk")
+            out = out.filter(F.when(c.passed(), F.lit(True)).otherwise(
+                F.raise_error(F.lit(f"check failed: {c.name}")).cast("boolean")))
+        return out
     raise ValueError("mode must be 'warn', 'drop' or 'fail'")
 
 
