@@ -92,3 +92,14 @@ def test_trend_window_filter(selic):
     # Only points on or after as_of - 6 months count.
     t = {r.idx_type: r.trend_6m for r in macro.trend_6m(selic, as_of="2024-08-31").collect()}
     assert "selic" in t and t["selic"] == 0.0  # only 2024-03-01 is within (since 2024-02-29)
+
+
+@pytest.mark.parametrize("method", ["one_pass", "two_pass"])
+def test_day_segments_equal_month_segments(bars, method, spark):
+    a = equity.equity_performance(bars, method=method, segment="month")
+    b = equity.equity_performance(bars, method=method, segment="day")
+    ra = {r.symbol: r for r in a.collect()}
+    for r in b.collect():
+        for f in ("avg_return", "volatility", "avg_price", "avg_volume"):
+            x, y = getattr(ra[r.symbol], f), getattr(r, f)
+            assert (x is None and y is None) or x == pytest.approx(y)

@@ -51,16 +51,18 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
         raise ValueError("method must be 'segmented' or 'plain'")
 
     seg = "__seg"
-    rows = df.withColumn(seg, _segment(date, segment))
     w = Window.partitionBy(key, seg).orderBy(date)
-    rows = (rows
+    rows = (df.withColumn(seg, _segment(date, segment))
             .withColumn("__prev_in", F.lag(price).over(w))
             .withColumn("__first", F.row_number().over(w) == 1))
     # One row per (key, segment): its last close, then the previous present
-    # segment's last close. Sized by keys x segments, not by rows.
+    # segment's last close. Sized by keys x segments, not by rows. Built from
+    # a narrow re-read (key, date, close) with a map-side partial aggregate,
+    # so only keys x segments rows are shuffled for it; the wide rows are
+    # shuffled once, for the window, and the join on (key, segment) reuses
+    # that partitioning.
     seg_last = (df.withColumn(seg, _segment(date, segment))
-                .groupBy(key, seg)
-                .agg(F.max_by(price, date).alias("__seg_last")))
+                .groupBy(key, seg).agg(F.max_by(price, date).alias("__seg_last")))
     seg_prev = seg_last.withColumn(
         "__seg_prev", F.lag("__seg_last").over(Window.partitionBy(key).orderBy(seg))
     ).select(key, seg, "__seg_prev")
@@ -74,10 +76,17 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
 def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | None,
                  segment: str = "month") -> DataFrame:
     """One row per (key, month): mean daily return and the partial sums the
-    per-key statistics need. Daily returns are never materialised per key."""
-    m = "ano_mes"
-    rows = df.withColumn(m, month_key(date) if segment == "month" else _segment(date, segment))
-    w = Window.partitionBy(key, m).orderBy(date)
+    per-key statistics need. Daily returns are never materialised per key.
+
+    The lag runs inside (key, segment); ``segment="day"`` suits intraday data
+    (a month of one key is then split into days) and the day rows are rolled
+    up to months, still without a window over a whole key.
+    """
+    if segment not in ("month", "day"):
+        raise ValueError("segment must be 'month' or 'day'")
+    seg = "__seg"
+    rows = df.withColumn(seg, _segment(date, segment))
+    w = Window.partitionBy(key, seg).orderBy(date)
     rows = rows.withColumn("__r", simple_return(price, F.lag(price).over(w)))
     aggs = [
         F.sum("__r").alias("__sum_r"), F.count("__r").alias("__n_r"),
@@ -88,20 +97,27 @@ def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | N
     ]
     if volume:
         aggs += [F.sum(volume).alias("__sum_v"), F.count(volume).alias("__n_v")]
-    monthly = rows.groupBy(key, m).agg(*aggs)
-    # Return of the month's first row against the previous present month's last close.
-    wm = Window.partitionBy(key).orderBy(m)
+    segs = rows.groupBy(key, seg).agg(*aggs)
+    # Return of the segment's first row against the previous present
+    # segment's last close (a window over segments, bounded by the calendar).
+    wm = Window.partitionBy(key).orderBy(seg)
     first_r = simple_return("__first_close", F.lag("__last_close").over(wm))
-    monthly = monthly.withColumn("__first_r", first_r)
-    total = F.coalesce(F.col("__sum_r"), F.lit(0.0)) + F.coalesce(F.col("__first_r"), F.lit(0.0))
-    n = F.col("__n_r") + F.when(F.col("__first_r").isNotNull(), 1).otherwise(0)
-    return monthly.withColumn("monthly_return", F.try_divide(total, n.cast("double")))
+    segs = (segs.withColumn("__first_r", first_r)
+            .withColumn("__tot_r", F.coalesce(F.col("__sum_r"), F.lit(0.0))
+                        + F.coalesce(F.col("__first_r"), F.lit(0.0)))
+            .withColumn("__tot_n", F.col("__n_r") + F.when(F.col("__first_r").isNotNull(), 1).otherwise(0))
+            .withColumn("ano_mes", F.substring(seg, 1, 7)))
+    if segment == "day":
+        sums = ["__tot_r", "__tot_n", "__sum_p", "__n_p"] + (["__sum_v", "__n_v"] if volume else [])
+        segs = segs.groupBy(key, "ano_mes").agg(
+            *[F.sum(c).alias(c) for c in sums], F.max("__max_date").alias("__max_date"))
+    return segs.withColumn("monthly_return", F.try_divide(F.col("__tot_r"), F.col("__tot_n").cast("double")))
 
 
 def monthly_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
-                    price: str = "close_price") -> DataFrame:
+                    price: str = "close_price", segment: str = "month") -> DataFrame:
     """Mean daily return per key and month (``ano_mes`` = 'yyyy-MM')."""
-    return _month_table(df, key, date, price, None).select(key, "ano_mes", "monthly_return")
+    return _month_table(df, key, date, price, None, segment).select(key, "ano_mes", "monthly_return")
 
 
 def price_stats(df: DataFrame, key: str = "symbol", date: str = "trade_date",
@@ -124,20 +140,22 @@ def return_metrics(monthly: DataFrame, key: str = "symbol") -> DataFrame:
 
 def equity_performance(df: DataFrame, key: str = "symbol", date: str = "trade_date",
                        price: str = "close_price", volume: str = "volume",
-                       method: str = "one_pass") -> DataFrame:
+                       method: str = "one_pass", segment: str = "month") -> DataFrame:
     """Per key: avg_return, volatility, avg_price, avg_volume, last_update.
 
     ``one_pass`` (default) scans the input once; ``two_pass`` builds return
     metrics and price statistics separately and joins them on the key.
+    ``segment`` bounds the window groups: ``month`` for daily bars, ``day``
+    for intraday rows.
     """
     if method == "two_pass":
-        metrics = return_metrics(monthly_returns(df, key, date, price), key)
+        metrics = return_metrics(monthly_returns(df, key, date, price, segment), key)
         stats = price_stats(df, key, date, price, volume)
         return metrics.join(stats, key, "inner").select(
             key, "avg_return", "volatility", "avg_price", "avg_volume", "last_update")
     if method != "one_pass":
         raise ValueError("method must be 'one_pass' or 'two_pass'")
-    monthly = _month_table(df, key, date, price, volume)
+    monthly = _month_table(df, key, date, price, volume, segment)
     return monthly.groupBy(key).agg(
         F.avg("monthly_return").alias("avg_return"),
         F.stddev_samp("monthly_return").alias("volatility"),

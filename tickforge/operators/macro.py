@@ -173,20 +173,31 @@ def macro_dashboard(df: DataFrame, as_of=None, key: str = "idx_type", date: str
             F.avg(y6).alias("__my"),
             (F.covar_pop(y6, x6) * F.count(y6)).alias("__cxy"),
             (F.var_pop(x6) * F.count(y6)).alias("__sxx"),
+            F.min(x6).alias("__x_lo"),
+            F.max(x6).alias("__x_hi"),
         ]
         monthly = month_over_month(monthly_rollup(df, key, date, value, moments), key)
+        # Pool the per-month moments per key in one window pass:
+        #   Cxy = sum(C_m + n_m*mx_m*my_m) - SX*SY/N,  Sxx likewise.
         wk = Window.partitionBy(key)
         n = F.col("__n").cast("double")
-        pooled = (monthly
-                  .withColumn("last_update", F.max("ultima_data_mes").over(wk))
-                  .withColumn("__pool_n", F.sum(n).over(wk))
-                  .withColumn("__pool_mx", F.try_divide(F.sum(n * F.coalesce(F.col("__mx"), F.lit(0.0))).over(wk), F.col("__pool_n")))
-                  .withColumn("__pool_my", F.try_divide(F.sum(n * F.coalesce(F.col("__my"), F.lit(0.0))).over(wk), F.col("__pool_n"))))
-        dx = F.coalesce(F.col("__mx") - F.col("__pool_mx"), F.lit(0.0))
-        dy = F.coalesce(F.col("__my") - F.col("__pool_my"), F.lit(0.0))
-        cxy = F.sum(F.coalesce(F.col("__cxy"), F.lit(0.0)) + n * dx * dy).over(wk)
-        sxx = F.sum(F.coalesce(F.col("__sxx"), F.lit(0.0)) + n * dx * dx).over(wk)
-        slope_per_day = F.when(F.col("__pool_n") >= 2, F.try_divide(cxy, sxx))
+        mx, my = F.coalesce(F.col("__mx"), F.lit(0.0)), F.coalesce(F.col("__my"), F.lit(0.0))
+        pooled = monthly.select(
+            "*",
+            F.max("ultima_data_mes").over(wk).alias("last_update"),
+            F.sum(n).over(wk).alias("__pool_n"),
+            F.sum(n * mx).over(wk).alias("__pool_sx"),
+            F.sum(n * my).over(wk).alias("__pool_sy"),
+            F.sum(F.coalesce(F.col("__cxy"), F.lit(0.0)) + n * mx * my).over(wk).alias("__pool_sxy"),
+            F.sum(F.coalesce(F.col("__sxx"), F.lit(0.0)) + n * mx * mx).over(wk).alias("__pool_sxx"),
+            F.min("__x_lo").over(wk).alias("__pool_x_lo"),
+            F.max("__x_hi").over(wk).alias("__pool_x_hi"),
+        )
+        N = F.col("__pool_n")
+        cxy = F.col("__pool_sxy") - F.try_divide(F.col("__pool_sx") * F.col("__pool_sy"), N)
+        sxx = F.col("__pool_sxx") - F.try_divide(F.col("__pool_sx") * F.col("__pool_sx"), N)
+        # A zero spread of x (one day only) means no slope, like regr_slope.
+        slope_per_day = F.when(F.col("__pool_x_lo") < F.col("__pool_x_hi"), F.try_divide(cxy, sxx))
         out = pooled.withColumn(
             "trend_6m", F.coalesce(slope_per_day / F.lit(SECONDS_PER_DAY), F.lit(0.0)))
     else:

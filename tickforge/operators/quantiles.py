@@ -1,21 +1,23 @@
 """Exact quantiles (linear interpolation, as ``quantile_cont`` / pandas)
-without gathering a group into one task.
+without gathering an unbounded group into one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, which does not hold for a hot group at scale. Here each
-target rank is found by histogram refinement:
+aggregation buffer, which does not hold for a hot group at scale. Here:
 
-1. per group: n, min, max; target ranks ``floor/ceil(p * (n - 1))``;
-2. per (group, rank): a value bracket ``[lo, hi]`` and the number of values
-   below it; each round counts the bracket's values in ``buckets``
-   equal-width bins (an aggregate, map-side combined) and keeps the bin
-   holding the rank;
-3. when a bracket holds at most ``final_rows`` values (or one distinct
-   value) the rank is read off a window over that bracket only.
+1. per group: n, min, max (one two-phase aggregate, checkpointed: it has
+   one row per group); target ranks ``floor/ceil(p * (n - 1))``;
+2. groups with at most ``final_rows`` values are ranked by a window over
+   the group (bounded by ``final_rows``);
+3. larger groups are narrowed by histogram refinement: per (group, rank) a
+   value bracket ``[lo, hi]`` and the count of values below it; each round
+   counts the bracket's values in ``buckets`` equal-width bins (an aggregate,
+   map-side combined) and keeps the bin holding the rank, until the bracket
+   holds at most ``final_rows`` values or one distinct value; then the rank
+   is read off a window over that bracket only.
 
-Every step is a DataFrame job; the driver only reads one number per round
-(how many brackets are still open). The bracket table has
-``groups x ranks`` rows; it is broadcast only under ``broadcast_rows``.
+Every step is a DataFrame job; the driver reads one number per round. The
+rank table has ``groups x ranks`` rows; it is broadcast only when that count
+is at most ``broadcast_rows``.
 """
 
 from __future__ import annotations
@@ -26,20 +28,26 @@ from pyspark.sql import functions as F
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
                     buckets: int = 4096, final_rows: int = 100_000, max_rounds: int = 40,
-                    broadcast_rows: int = 100_000) -> DataFrame:
-    """-> DataFrame(*group, p, quantile)."""
+                    broadcast_rows: int = 100_000, extra_aggs=(), with_stats: bool = False):
+    """-> DataFrame(*group, p, quantile); with ``with_stats`` also the
+    per-group stats frame (n, min, max and ``extra_aggs`` over ``value``)."""
     g = list(group or [])
     vals = df.select(*g, F.col(value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v"))
-    if not g:
+    drop_g = not g
+    if drop_g:
         vals = vals.withColumn("__g0", F.lit(0))
         g = ["__g0"]
-        drop_g = True
-    else:
-        drop_g = False
 
     stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                 F.max("__v").alias("__hi"))
+                                 F.max("__v").alias("__hi"), *extra_aggs).checkpoint()
+    agg = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("__n").alias("max_n")).first()
+    n_ranks = (agg["groups"] or 0) * 2 * len(probs)
+    bcast = n_ranks <= broadcast_rows
+
+    def small(state):
+        return F.broadcast(state) if bcast else state
+
     pos = F.col("p") * (F.col("__n") - 1)
     targets = (stats.select(*g, "__n", "__lo", "__hi",
                             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
@@ -50,46 +58,51 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
                             F.explode(F.array_distinct(F.array("__k0", "__k1"))).alias("__rank"))
              .distinct()
              .withColumn("__below", F.lit(0).cast("long")))
-    spark = df.sparkSession
-    n_ranks = ranks.count()
-    bcast = n_ranks <= broadcast_rows
 
-    def _join(state):
-        s = F.broadcast(state) if bcast else state
-        return vals.join(s, g).filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+    if (agg["max_n"] or 0) <= final_rows:
+        # Every group fits one task: rank inside the group.
+        wr = Window.partitionBy(*g).orderBy("__v")
+        ranked = vals.withColumn("__rank", F.row_number().over(wr) - 1)
+        found = ranked.join(small(ranks.select(*g, "__rank")), g + ["__rank"]) \
+                      .select(*g, "__rank", F.col("__v").alias("__val"))
+    else:
+        def in_bracket(state):
+            return vals.join(small(state), g).filter(
+                (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
 
-    state = ranks.withColumn("__open", F.col("__lo") < F.col("__hi")).checkpoint()
-    for _ in range(max_rounds):
-        open_state = state.filter(F.col("__open") & (F.col("__cnt") > final_rows))
-        if open_state.limit(1).count() == 0:
-            break
-        width = F.col("__hi") - F.col("__lo")
-        b = F.least(F.lit(buckets - 1), F.floor((F.col("__v") - F.col("__lo")) / width * buckets).cast("long"))
-        hist = (_join(open_state).withColumn("__b", b)
-                .groupBy(*g, "__rank", "__b")
-                .agg(F.count(F.lit(1)).alias("__bc"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")))
-        w = Window.partitionBy(*g, "__rank").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.join(open_state.select(*g, "__rank", "__below"), g + ["__rank"])
-        hist = hist.withColumn("__cum", F.sum("__bc").over(w))
-        start = F.col("__below") + F.col("__cum") - F.col("__bc")
-        chosen = (hist.filter((start <= F.col("__rank")) & (F.col("__rank") < F.col("__below") + F.col("__cum")))
-                  .select(*g, "__rank", F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"),
-                          start.alias("__below"), F.col("__bc").alias("__cnt"))
-                  .withColumn("__open", F.col("__lo") < F.col("__hi")))
-        closed = state.join(open_state.select(*g, "__rank"), g + ["__rank"], "left_anti")
-        state = closed.unionByName(chosen).checkpoint()
+        state = ranks.withColumn("__open", F.col("__lo") < F.col("__hi")).checkpoint()
+        for _ in range(max_rounds):
+            open_state = state.filter(F.col("__open") & (F.col("__cnt") > final_rows))
+            if open_state.limit(1).count() == 0:
+                break
+            width = F.col("__hi") - F.col("__lo")
+            b = F.least(F.lit(buckets - 1),
+                        F.floor((F.col("__v") - F.col("__lo")) / width * buckets).cast("long"))
+            hist = (in_bracket(open_state).withColumn("__b", b)
+                    .groupBy(*g, "__rank", "__below", "__b")
+                    .agg(F.count(F.lit(1)).alias("__bc"), F.min("__v").alias("__bmin"),
+                         F.max("__v").alias("__bmax")))
+            w = Window.partitionBy(*g, "__rank").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+            hist = hist.withColumn("__cum", F.sum("__bc").over(w))
+            start = F.col("__below") + F.col("__cum") - F.col("__bc")
+            chosen = (hist.filter((start <= F.col("__rank")) & (F.col("__rank") < F.col("__below") + F.col("__cum")))
+                      .select(*g, "__rank", F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"),
+                              F.col("__bc").alias("__cnt"), start.alias("__below"))
+                      .withColumn("__open", F.col("__lo") < F.col("__hi")))
+            kept = state.join(open_state.select(*g, "__rank"), g + ["__rank"], "left_anti")
+            state = kept.unionByName(chosen).checkpoint()
+        done = state.filter(~F.col("__open")).select(*g, "__rank", F.col("__lo").alias("__val"))
+        wr = Window.partitionBy(*g, "__rank").orderBy("__v")
+        picked = (in_bracket(state.filter(F.col("__open")).select(*g, "__rank", "__lo", "__hi", "__below"))
+                  .withColumn("__pos", F.row_number().over(wr) - 1 + F.col("__below"))
+                  .filter(F.col("__pos") == F.col("__rank"))
+                  .select(*g, "__rank", F.col("__v").alias("__val")))
+        found = done.unionByName(picked)
 
-    # Resolve: single-value brackets directly, small brackets by a window.
-    done = state.filter(~F.col("__open")).select(*g, "__rank", F.col("__lo").alias("__val"))
-    small = state.filter(F.col("__open"))
-    wr = Window.partitionBy(*g, "__rank").orderBy("__v")
-    picked = (_join(small.select(*g, "__rank", "__lo", "__hi", "__below"))
-              .withColumn("__rn", F.row_number().over(wr) - 1 + F.col("__below"))
-              .filter(F.col("__rn") == F.col("__rank"))
-              .select(*g, "__rank", F.col("__v").alias("__val")))
-    found = done.unionByName(picked)
     v0 = found.select(*g, F.col("__rank").alias("__k0"), F.col("__val").alias("__v0"))
     v1 = found.select(*g, F.col("__rank").alias("__k1"), F.col("__val").alias("__v1"))
     out = (targets.join(v0, g + ["__k0"], "left").join(v1, g + ["__k1"], "left")
            .select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0"))).alias("quantile")))
-    return out.drop("__g0") if drop_g else out
+    if drop_g:
+        out, stats = out.drop("__g0"), stats.drop("__g0")
+    return (out, stats) if with_stats else out

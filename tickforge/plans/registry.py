@@ -95,7 +95,8 @@ def q_equity_perf_two_pass(spark, sf_dir):
 
 @query("equity_perf_single_month", _equity_sql(EVENT_BARS))
 def q_equity_perf_single_month(spark, sf_dir):
-    return rounded(equity.equity_performance(tb.event_bars(spark, sf_dir)))
+    # Intraday rows: day segments keep each window task to one key-day.
+    return rounded(equity.equity_performance(tb.event_bars(spark, sf_dir), segment="day"))
 
 
 DAILY_RETURN_SQL = _with(BARS) + """
