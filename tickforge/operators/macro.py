@@ -166,7 +166,9 @@ def macro_dashboard(df: DataFrame, as_of=None, key: str = "idx_type", date: str
         in6 = (F.col(date) >= F.add_months(a, -months)) & F.col(value).isNotNull()
         # x in days relative to as_of keeps the moments small and exact-ish.
         x = (_epoch(date) - F.unix_timestamp(a.cast("timestamp"))).cast("double") / SECONDS_PER_DAY
-        x6, y6 = F.when(in6, x), F.when(in6, F.col(value))
+        # Computed once per row, then shared by the moment aggregates.
+        df = df.withColumns({"__x6": F.when(in6, x), "__y6": F.when(in6, F.col(value))})
+        x6, y6 = F.col("__x6"), F.col("__y6")
         moments = [
             F.count(y6).alias("__n"),
             F.avg(x6).alias("__mx"),

@@ -4,7 +4,7 @@ without gathering an unbounded group into one task.
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which does not hold for a hot group at scale. Here:
 
-1. per group: n, min, max (one two-phase aggregate, checkpointed: it has
+1. per group: n, min, max (one two-phase aggregate, kept in memory: it has
    one row per group); target ranks ``floor/ceil(p * (n - 1))``;
 2. groups with at most ``final_rows`` values are ranked by a window over
    the group (bounded by ``final_rows``);
@@ -40,7 +40,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
         g = ["__g0"]
 
     stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                 F.max("__v").alias("__hi"), *extra_aggs).checkpoint()
+                                 F.max("__v").alias("__hi"), *extra_aggs).persist()
     agg = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("__n").alias("max_n")).first()
     n_ranks = (agg["groups"] or 0) * 2 * len(probs)
     bcast = n_ranks <= broadcast_rows
