@@ -25,12 +25,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickforge.session import ensure_checkpoint_dir
+
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
                     buckets: int = 4096, final_rows: int = 100_000, max_rounds: int = 40,
                     broadcast_rows: int = 100_000, extra_aggs=(), with_stats: bool = False):
     """-> DataFrame(*group, p, quantile); with ``with_stats`` also the
     per-group stats frame (n, min, max and ``extra_aggs`` over ``value``)."""
+    ensure_checkpoint_dir(df.sparkSession)
     g = list(group or [])
     vals = df.select(*g, F.col(value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v"))
@@ -60,49 +63,68 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
              .withColumn("__below", F.lit(0).cast("long")))
 
     if (agg["max_n"] or 0) <= final_rows:
-        # Every group fits one task: rank inside the group.
+        # Every group fits one task: rank inside the group and keep the rows
+        # sitting at a target rank (no join against a rank table).
         wr = Window.partitionBy(*g).orderBy("__v")
-        ranked = vals.withColumn("__rank", F.row_number().over(wr) - 1)
-        found = ranked.join(small(ranks.select(*g, "__rank")), g + ["__rank"]) \
-                      .select(*g, "__rank", F.col("__v").alias("__val"))
-    else:
-        def in_bracket(state):
-            return vals.join(small(state), g).filter(
-                (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+        wn = Window.partitionBy(*g)
+        ranked = (vals.withColumn("__r", F.row_number().over(wr) - 1)
+                  .withColumn("__n", F.count(F.lit(1)).over(wn)))
+        ppos = F.col("__p") * (F.col("__n") - 1)
+        hits = (ranked.withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+                .withColumn("__k0", F.floor(ppos).cast("long"))
+                .withColumn("__k1", F.ceil(ppos).cast("long"))
+                .filter((F.col("__r") == F.col("__k0")) | (F.col("__r") == F.col("__k1"))))
+        got = hits.groupBy(*g, F.col("__p").alias("p")).agg(
+            F.max(F.when(F.col("__r") == F.col("__k0"), F.col("__v"))).alias("__v0"),
+            F.max(F.when(F.col("__r") == F.col("__k1"), F.col("__v"))).alias("__v1"),
+            F.max(ppos - F.floor(ppos)).alias("__frac"))
+        out = got.select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0"))).alias("quantile"))
+        if drop_g:
+            out, stats = out.drop("__g0"), stats.drop("__g0")
+        return (out, stats) if with_stats else out
+
+    def in_bracket(state):
+        return vals.join(small(state), g).filter(
+            (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
 
-        state = ranks.withColumn("__open", F.col("__lo") < F.col("__hi")).checkpoint()
-        for _ in range(max_rounds):
-            open_state = state.filter(F.col("__open") & (F.col("__cnt") > final_rows))
-            if open_state.limit(1).count() == 0:
-                break
-            width = F.col("__hi") - F.col("__lo")
-            b = F.least(F.lit(buckets - 1),
-                        F.floor((F.col("__v") - F.col("__lo")) / width * buckets).cast("long"))
-            hist = (in_bracket(open_state).withColumn("__b", b)
-                    .groupBy(*g, "__rank", "__below", "__b")
-                    .agg(F.count(F.lit(1)).alias("__bc"), F.min("__v").alias("__bmin"),
-                         F.max("__v").alias("__bmax")))
-            w = Window.partitionBy(*g, "__rank").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-            hist = hist.withColumn("__cum", F.sum("__bc").over(w))
-            start = F.col("__below") + F.col("__cum") - F.col("__bc")
-            chosen = (hist.filter((start <= F.col("__rank")) & (F.col("__rank") < F.col("__below") + F.col("__cum")))
-                      .select(*g, "__rank", F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"),
-                              F.col("__bc").alias("__cnt"), start.alias("__below"))
-                      .withColumn("__open", F.col("__lo") < F.col("__hi")))
-            kept = state.join(open_state.select(*g, "__rank"), g + ["__rank"], "left_anti")
-            state = kept.unionByName(chosen).checkpoint()
-        done = state.filter(~F.col("__open")).select(*g, "__rank", F.col("__lo").alias("__val"))
-        wr = Window.partitionBy(*g, "__rank").orderBy("__v")
-        picked = (in_bracket(state.filter(F.col("__open")).select(*g, "__rank", "__lo", "__hi", "__below"))
-                  .withColumn("__pos", F.row_number().over(wr) - 1 + F.col("__below"))
-                  .filter(F.col("__pos") == F.col("__rank"))
-                  .select(*g, "__rank", F.col("__v").alias("__val")))
-        found = done.unionByName(picked)
+    state = ranks.withColumn("__open", F.col("__lo") < F.col("__hi")).checkpoint()
+    for _ in range(max_rounds):
+        open_state = state.filter(F.col("__open") & (F.col("__cnt") > final_rows))
+        if open_state.limit(1).count() == 0:
+            break
+        width = F.col("__hi") - F.col("__lo")
+        b = F.least(F.lit(buckets - 1),
+                    F.floor((F.col("__v") - F.col("__lo")) / width * buckets).cast("long"))
+        hist = (in_bracket(open_state).withColumn("__b", b)
+                .groupBy(*g, "__rank", "__below", "__b")
+                .agg(F.count(F.lit(1)).alias("__bc"), F.min("__v").alias("__bmin"),
+                     F.max("__v").alias("__bmax")))
+        w = Window.partitionBy(*g, "__rank").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumn("__cum", F.sum("__bc").over(w))
+        start = F.col("__below") + F.col("__cum") - F.col("__bc")
+        chosen = (hist.filter((start <= F.col("__rank")) & (F.col("__rank") < F.col("__below") + F.col("__cum")))
+                  .select(*g, "__rank", F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"),
+                          F.col("__bc").alias("__cnt"), start.alias("__below"))
+                  .withColumn("__open", F.col("__lo") < F.col("__hi")))
+        kept = state.join(open_state.select(*g, "__rank"), g + ["__rank"], "left_anti")
+        state = kept.unionByName(chosen).checkpoint()
+    done = state.filter(~F.col("__open")).select(*g, "__rank", F.col("__lo").alias("__val"))
+    wr = Window.partitionBy(*g, "__rank").orderBy("__v")
+    picked = (in_bracket(state.filter(F.col("__open")).select(*g, "__rank", "__lo", "__hi", "__below"))
+              .withColumn("__pos", F.row_number().over(wr) - 1 + F.col("__below"))
+              .filter(F.col("__pos") == F.col("__rank"))
+              .select(*g, "__rank", F.col("__v").alias("__val")))
+    found = done.unionByName(picked)
 
-    v0 = found.select(*g, F.col("__rank").alias("__k0"), F.col("__val").alias("__v0"))
-    v1 = found.select(*g, F.col("__rank").alias("__k1"), F.col("__val").alias("__v1"))
-    out = (targets.join(v0, g + ["__k0"], "left").join(v1, g + ["__k1"], "left")
-           .select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0"))).alias("quantile")))
+    # One join: each target asks for its two ranks, then folds them back.
+    asks = targets.select(*g, "p", "__frac",
+                          F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("__k0").alias("__rank")),
+                                            F.struct(F.lit(1).alias("side"), F.col("__k1").alias("__rank"))))
+                          .alias("__ask")).select(*g, "p", "__frac", "__ask.side", "__ask.__rank")
+    got = asks.join(found, g + ["__rank"], "left").groupBy(*g, "p", "__frac").agg(
+        F.max(F.when(F.col("side") == 0, F.col("__val"))).alias("__v0"),
+        F.max(F.when(F.col("side") == 1, F.col("__val"))).alias("__v1"))
+    out = got.select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0"))).alias("quantile"))
     if drop_g:
         out, stats = out.drop("__g0"), stats.drop("__g0")
     return (out, stats) if with_stats else out
