@@ -94,3 +94,14 @@ def test_silver_macro_frequency(spark):
                                "data timestamp, valor string, serie string")
     out = {r.idx_type: r.frequency for r in silver.silver_macro(df, {"ipca": "M"}).collect()}
     assert out == {"ipca": "M", "selic": "D"}
+
+
+def test_ticker_from_file_name(spark, tmp_path):
+    (tmp_path / "vale3.SA.json").write_text(json.dumps({"results": [{"historicalDataPrice": [
+        {"date": 1704153600, "open": 1, "high": 1, "low": 1, "close": 1, "volume": 1}]}]}) + "\n")
+    (tmp_path / "ITUB4.json").write_text(json.dumps({"results": [{"symbol": "ITUB4", "historicalDataPrice": [
+        {"date": 1704153600, "open": 2, "high": 2, "low": 2, "close": 2, "volume": 2}]}]}) + "\n")
+    p = pl.read_quote_payloads(spark, str(tmp_path))
+    label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
+    got = sorted((r.ticker, r.Close) for r in pl.quote_rows(p, label).collect())
+    assert got == [("ITUB4", 2.0), ("VALE3", 1.0)]

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from tickforge.functions.dates import month_key
 from tickforge.functions.numeric import safe_ratio, simple_return
 
-_SEGMENTS = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "year": "yyyy"}
+# Segment keys, coarsest first. Each starts with 'yyyy-MM', so a segment's
+# month is its first 7 characters.
+_SEGMENTS = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH"}
 
 
 def _segment(date: str, segment: str):
@@ -78,12 +80,13 @@ def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | N
     """One row per (key, month): mean daily return and the partial sums the
     per-key statistics need. Daily returns are never materialised per key.
 
-    The lag runs inside (key, segment); ``segment="day"`` suits intraday data
-    (a month of one key is then split into days) and the day rows are rolled
-    up to months, still without a window over a whole key.
+    The lag runs inside (key, segment); ``segment="day"`` (or ``"hour"``)
+    suits intraday data (a month of one key is then split into days or
+    hours) and the segment rows are rolled up to months, still without a
+    window over a whole key.
     """
-    if segment not in ("month", "day"):
-        raise ValueError("segment must be 'month' or 'day'")
+    if segment not in _SEGMENTS:
+        raise ValueError(f"segment must be one of {sorted(_SEGMENTS)}")
     seg = "__seg"
     rows = df.withColumn(seg, _segment(date, segment))
     w = Window.partitionBy(key, seg).orderBy(date)
@@ -107,7 +110,7 @@ def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | N
                         + F.coalesce(F.col("__first_r"), F.lit(0.0)))
             .withColumn("__tot_n", F.col("__n_r") + F.when(F.col("__first_r").isNotNull(), 1).otherwise(0))
             .withColumn("ano_mes", F.substring(seg, 1, 7)))
-    if segment == "day":
+    if segment != "month":
         sums = ["__tot_r", "__tot_n", "__sum_p", "__n_p"] + (["__sum_v", "__n_v"] if volume else [])
         segs = segs.groupBy(key, "ano_mes").agg(
             *[F.sum(c).alias(c) for c in sums], F.max("__max_date").alias("__max_date"))
@@ -146,7 +149,7 @@ def equity_performance(df: DataFrame, key: str = "symbol", date: str = "trade_da
     ``one_pass`` (default) scans the input once; ``two_pass`` builds return
     metrics and price statistics separately and joins them on the key.
     ``segment`` bounds the window groups: ``month`` for daily bars, ``day``
-    for intraday rows.
+    or ``hour`` for intraday rows.
     """
     if method == "two_pass":
         metrics = return_metrics(monthly_returns(df, key, date, price, segment), key)

@@ -24,7 +24,9 @@ def bronze_quotes(spark: SparkSession, landing: str, start: str, end: str,
                   tickers: DataFrame | None = None) -> DataFrame:
     """Landed payload files -> bronze quotes (typed, windowed, stamped)."""
     try:
-        rows = pl.quote_rows(pl.read_quote_payloads(spark, landing))
+        payloads = pl.read_quote_payloads(spark, landing)
+        label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
+        rows = pl.quote_rows(payloads, label)
         if tickers is not None:
             rows = rows.join(tickers.select(F.col("symbol").alias("ticker")), "ticker", "left_semi")
         rows = clean.date_window(rows, start, end, "Date", max_days, BR_DATE)

@@ -49,7 +49,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder there; we only invent one (a fresh
     temporary folder) when the setting is absent, as in local tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext (remote session): use the setting as is
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return path
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -35,7 +35,21 @@ BRONZE_QUOTE_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume", "Divid
 def read_quote_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Landed payload files (JSON lines) with the file name kept for labels."""
     return (spark.read.schema(QUOTE_PAYLOAD).json(path)
-            .withColumn("source_file", F.input_file_name()))
+            .withColumn("source_file", F.col("_metadata.file_path")))
+
+
+def ticker_from_file(path_col: str = "source_file") -> Column:
+    """Ticker from a landed file name such as ``.../PETR4.json`` (NULL when
+    the name carries none)."""
+    name = F.regexp_extract(F.col(path_col), r"([^/]+?)(\.[^./]*)?$", 1)
+    return F.when(F.col(path_col).isNull() | name.startswith("part-") | (name == ""), F.lit(None)) \
+            .otherwise(name)
+
+
+def payload_ticker() -> Column:
+    """The payload's own ``symbol`` field (combine with :func:`ticker_from_file`)."""
+    first = F.get(F.col("results"), 0)
+    return first.getField("symbol")
 
 
 def parse_payload_text(df: DataFrame, text_col: str = "body") -> DataFrame:
