@@ -88,3 +88,28 @@ def test_incremental_takes_only_new_files(spark):
     assert 0 < first < n_bars
     assert out.count() == n_bars
     assert out.select("ticker", "Date").distinct().count() == n_bars
+
+
+def test_quote_window():
+    assert medallion.quote_window(dt.date(2024, 5, 31)) == ("29/02/2024", "31/05/2024")
+    assert medallion.quote_window(dt.date(2024, 1, 15)) == ("15/10/2023", "15/01/2024")
+
+
+def test_refresh_layers(spark, landing):
+    root = tempfile.mkdtemp(prefix="layers-")
+    s = tb.series(spark, SF)
+    code = F.when(F.col("idx_type") == "R", 1178).when(F.col("idx_type") == "A", 433).otherwise(12)
+    landed = s.select(code.alias("code"), F.date_format("ref_date", "dd/MM/yyyy").alias("data"),
+                      F.col("idx_value").cast("string").alias("valor"))
+    got = medallion.refresh_layers(spark, landing, landed, '{"selic": 1178, "ipca": 433}', root,
+                                   "01/01/1990", "01/08/2001", as_of="2001-11-04", max_days=None)
+    n_bars, n_series = tb.bars(spark, SF).count(), s.count()
+    assert got["bronze_quotes"]["rows"] == got["silver_quotes"]["rows"] == n_bars
+    assert got["bronze_series"]["rows"] == got["silver_series"]["rows"] == n_series
+    assert got["silver_quotes_checks"]["valid_close"] == 0
+    assert got["gold_equity"]["rows"] == 5
+    gm = spark.read.parquet(os.path.join(root, "gold_macro"))
+    assert {r.idx_type for r in gm.select("idx_type").distinct().collect()} == {"selic", "ipca", "12"}
+    assert gm.columns == ["idx_type", "ano", "mes", "ano_mes", "media_mensal", "minimo_mensal",
+                          "maximo_mensal", "variacao_mes_anterior", "primeira_data_mes",
+                          "ultima_data_mes", "num_medicoes", "last_update", "trend_6m"]

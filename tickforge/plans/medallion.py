@@ -70,3 +70,54 @@ def gold_equity(silver_quotes_df: DataFrame) -> DataFrame:
 
 def gold_macro(silver_series_df: DataFrame, as_of=None) -> DataFrame:
     return macro.macro_dashboard(silver_series_df, as_of=as_of)
+
+
+def quote_window(as_of: _dt.date | None = None, months: int = 3) -> tuple[str, str]:
+    """Default quote span: the last ``months`` calendar months up to ``as_of``
+    (today when None), as ``dd/MM/yyyy`` text. Scalar config, driver side."""
+    end = as_of or _dt.datetime.now(_dt.timezone.utc).date()
+    y, m = divmod(end.month - 1 - months, 12)
+    start_month = _dt.date(end.year + y, m + 1, 1)
+    # Same day of month, clipped to the month's length (like add_months).
+    nxt = _dt.date(start_month.year + (start_month.month == 12), start_month.month % 12 + 1, 1)
+    start = start_month.replace(day=min(end.day, (nxt - _dt.timedelta(days=1)).day))
+    return start.strftime("%d/%m/%Y"), end.strftime("%d/%m/%Y")
+
+
+def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: DataFrame,
+                   series_json: str, out_root: str, start: str, end: str,
+                   as_of=None, max_days: int | None = 90, check_mode: str = "warn",
+                   run_ts: _dt.datetime | None = None) -> dict:
+    """Build and write the six layer tables under ``out_root`` (parquet).
+
+    Each write is one Spark job whose row count (and, for silver quotes, the
+    check failures) is observed while writing. Silver and gold read the
+    written layer below them, so a lost executor only reruns the last step.
+    Returns ``{table: observed metrics}``.
+    """
+    import os
+
+    from pyspark.sql import Observation
+
+    from tickforge.operators.layout import partition_by_key, write_table
+
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    paths = {k: os.path.join(out_root, k) for k in
+             ("bronze_quotes", "bronze_series", "silver_quotes", "silver_series",
+              "gold_equity", "gold_macro")}
+    obs = {}
+    bq = bronze_quotes(spark, quotes_landing, start, end, max_days, run_ts)
+    obs["bronze_quotes"] = write_table(partition_by_key(bq, "ticker", "Date"), path=paths["bronze_quotes"])
+    bs = bronze_series(spark, series_landed, series_json, run_ts)
+    obs["bronze_series"] = write_table(partition_by_key(bs, "serie", "data"), path=paths["bronze_series"])
+    checks = Observation("silver_quotes_checks")
+    sq = silver_quotes(spark.read.parquet(paths["bronze_quotes"]), check_mode, checks)
+    obs["silver_quotes"] = write_table(sq, path=paths["silver_quotes"])
+    obs["silver_quotes_checks"] = checks
+    ss = silver_series(spark.read.parquet(paths["bronze_series"]))
+    obs["silver_series"] = write_table(ss, path=paths["silver_series"])
+    obs["gold_equity"] = write_table(gold_equity(spark.read.parquet(paths["silver_quotes"])),
+                                     path=paths["gold_equity"])
+    obs["gold_macro"] = write_table(gold_macro(spark.read.parquet(paths["silver_series"]), as_of),
+                                    path=paths["gold_macro"])
+    return {k: v.get for k, v in obs.items()}
