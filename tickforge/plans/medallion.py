@@ -18,14 +18,22 @@ from tickforge.sources import payload as pl
 from tickforge.sources import series as sr
 
 
-def bronze_quotes(spark: SparkSession, landing: str, start: str, end: str,
+def bronze_quotes(spark: SparkSession, landing: str | DataFrame, start: str, end: str,
                   max_days: int | None = 90, run_ts: _dt.datetime | None = None,
                   null_fill: float | None = 0.0, on_error: str = "raise",
                   tickers: DataFrame | None = None) -> DataFrame:
-    """Landed payload files -> bronze quotes (typed, windowed, stamped)."""
+    """Landed payloads -> bronze quotes (typed, windowed, stamped).
+
+    ``landing`` is a folder of payload files, or a DataFrame of parsed
+    payload documents (``results`` column, e.g. from ``parse_payload_text``).
+    """
     try:
-        payloads = pl.read_quote_payloads(spark, landing)
-        label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
+        if isinstance(landing, DataFrame):
+            payloads = landing
+            label = pl.payload_ticker()
+        else:
+            payloads = pl.read_quote_payloads(spark, landing)
+            label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
         rows = pl.quote_rows(payloads, label)
         if tickers is not None:
             rows = rows.join(tickers.select(F.col("symbol").alias("ticker")), "ticker", "left_semi")
