@@ -65,3 +65,30 @@ def test_one_pass_trend_equals_join(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], rel=1e-9, abs=1e-18)
+
+
+def test_equity_reads_only_needed_columns(spark, static_plans):
+    from tickforge.plans.fixtures import bronze_like
+    from tickforge.operators import clean, silver
+    path = os.path.join(tempfile.mkdtemp(prefix="silver-"), "eq")
+    bronze = clean.stamp_ingestion(clean.rename_spaced(bronze_like(tb.bars(spark, SF001))))
+    silver.silver_equity(bronze).write.parquet(path)
+    p = plan(equity.equity_performance(spark.read.parquet(path)))
+    scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
+    schema = scan[scan.index("ReadSchema: struct<") + len("ReadSchema: struct<"):].split(">")[0]
+    assert sorted(f.split(":")[0] for f in schema.split(",")) == [
+        "close_price", "symbol", "trade_date", "volume"]
+
+
+def test_series_map_broadcast_is_size_checked(spark, static_plans):
+    from tickforge.sources import series as sr
+    rows = spark.createDataFrame([(1178, "01/01/2024", "1")], "code int, data string, valor string")
+    small = plan(sr.label_series(rows, sr.series_map(spark, '{"selic": 1178}')))
+    assert "BroadcastHashJoin" in small
+    # Above the bound no hint is given (Spark's own size threshold still applies).
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = plan(sr.label_series(rows, sr.series_map(spark, '{"selic": 1178, "ipca": 433}'), max_broadcast=1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in big

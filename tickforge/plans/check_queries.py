@@ -8,7 +8,7 @@ from tickforge import schemas
 from tickforge.functions.numeric import tolerant_double
 from tickforge.operators import profile, quality
 from tickforge.plans.registry import BARS, SERIES, _with, query, rounded
-from tickforge.plans.source_queries import BROKEN_SQL, _tolerant_sql, broken_bars
+from tickforge.plans.fixtures import BROKEN_SQL, broken_bars, tolerant_sql as _tolerant_sql
 from tickforge.sources import config as cfg
 from tickforge.sources import tables as tb
 

@@ -22,8 +22,7 @@ DEFAULT_SERIES = {
     "selic_meta": 432,
 }
 
-# The map comes from one config string, so its size is bounded by that text:
-# safe to broadcast.
+# Largest series map joined by broadcast (checked by a count before joining).
 MAX_MAP_ENTRIES = 10_000
 
 
@@ -33,10 +32,18 @@ def series_map(spark: SparkSession, json_text: str) -> DataFrame:
     return spark.range(1).select(F.explode(m).alias("serie", "code"))
 
 
-def label_series(rows: DataFrame, mapping: DataFrame, code: str = "code") -> DataFrame:
+def label_series(rows: DataFrame, mapping: DataFrame, code: str = "code",
+                 max_broadcast: int = MAX_MAP_ENTRIES) -> DataFrame:
     """Attach the series name to landed rows by code; an unknown code keeps
-    its code as the name. The mapping is config-sized: broadcast."""
-    m = F.broadcast(mapping.select(F.col("code").alias("__code"), F.col("serie").alias("__name")))
+    its code as the name.
+
+    The mapping normally comes from one config string. It is broadcast only
+    after checking it has at most ``max_broadcast`` entries (a count over the
+    config-sized frame); a larger mapping goes through a shuffle join.
+    """
+    m = mapping.select(F.col("code").alias("__code"), F.col("serie").alias("__name"))
+    if m.limit(max_broadcast + 1).count() <= max_broadcast:
+        m = F.broadcast(m)
     joined = rows.join(m, rows[code] == m["__code"], "left")
     return joined.withColumn("serie", F.coalesce(F.col("__name"), F.col(code).cast("string"))) \
                  .drop("__code", "__name")
