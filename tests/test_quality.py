@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import Observation
-from pyspark.errors import PySparkException
 
 from tickforge import schemas
 from tickforge.operators import quality

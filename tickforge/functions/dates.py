@@ -17,14 +17,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _lit_or_col(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, (_dt.date, _dt.datetime)):
-        return F.lit(v)
-    return F.lit(v)
-
-
 def try_parse_date_text(c, fmt: str = BR_DATE) -> Column:
     """Text -> timestamp at midnight; bad text -> NULL."""
     return F.try_to_timestamp(_c(c), F.lit(fmt))

@@ -62,8 +62,7 @@ def clean_quotes(df: DataFrame, date: str = "Date", numeric=QUOTE_NUMERIC,
     return out
 
 
-def bad_series_row(date: str = "data", value: str = "valor", date_fmt: str | None = None,
-                   dtype=None):
+def bad_series_row(date: str = "data", value: str = "valor", date_fmt: str | None = None):
     """Predicate: the row has no usable date or value."""
     d = try_parse_date_text(date, date_fmt) if date_fmt else F.col(date)
     return d.isNull() | tolerant_double(F.col(value)).isNull()

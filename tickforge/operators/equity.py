@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.functions.dates import month_key
 from tickforge.functions.numeric import safe_ratio, simple_return
 
 # Segment keys, coarsest first. Each starts with 'yyyy-MM', so a segment's

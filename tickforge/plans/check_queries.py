@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickforge import schemas
 from tickforge.functions.numeric import tolerant_double
 from tickforge.operators import profile, quality
 from tickforge.plans.registry import BARS, SERIES, _with, query, rounded
