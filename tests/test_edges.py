@@ -56,7 +56,7 @@ def test_payload_shapes(spark):
     assert len(rows) == 1 and rows[0].ticker == "PETR4" and rows[0].Close is None
     assert rows[0].Date == dt.datetime(2024, 1, 2)
     outcomes = sorted(r.outcome for r in pl.payload_outcome(payloads).collect())
-    assert outcomes == ["no_history", "no_results", "no_results", "ok"]
+    assert outcomes == ["malformed", "no_history", "no_results", "ok"]
 
 
 def test_bad_series_values_counted(spark):

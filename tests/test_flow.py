@@ -113,3 +113,14 @@ def test_refresh_layers(spark, landing):
     assert gm.columns == ["idx_type", "ano", "mes", "ano_mes", "media_mensal", "minimo_mensal",
                           "maximo_mensal", "variacao_mes_anterior", "primeira_data_mes",
                           "ultima_data_mes", "num_medicoes", "last_update", "trend_6m"]
+
+
+def test_latest_per_key_keeps_latest(spark):
+    from tickforge.operators.layout import latest_per_key
+    rows = [("A", 1, 10.0, dt.datetime(2024, 1, 1)), ("A", 1, 11.0, dt.datetime(2024, 1, 2)),
+            ("A", 2, 5.0, dt.datetime(2024, 1, 1)), ("B", 1, None, dt.datetime(2024, 1, 3)),
+            ("B", 1, 7.0, dt.datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "k string, d int, v double, ingestion_timestamp timestamp")
+    got = sorted(tuple(r) for r in latest_per_key(df, ["k", "d"]).collect())
+    assert got == [("A", 1, 11.0, dt.datetime(2024, 1, 2)), ("A", 2, 5.0, dt.datetime(2024, 1, 1)),
+                   ("B", 1, None, dt.datetime(2024, 1, 3))]

@@ -46,3 +46,16 @@ def write_table(df: DataFrame, spec: TableSpec | None = None, path: str | None =
         comment = spec.description.replace("'", "\\'")
         spark.sql(f"ALTER TABLE {spec.full_name} SET TBLPROPERTIES ({props}, 'comment'='{comment}')")
     return obs
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order: str = "ingestion_timestamp") -> DataFrame:
+    """Keep, per key, the row with the greatest ``order`` value ("latest
+    ingestion wins"), e.g. to compact bronze after corrections were landed.
+
+    One two-phase aggregate (``max_by`` of the whole row), so a hot key is
+    reduced map-side before the shuffle; no window over the key.
+    """
+    others = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
+    best = df.groupBy(*keys).agg(F.max_by(row, F.col(order)).alias("__row"))
+    return best.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)

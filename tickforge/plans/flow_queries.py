@@ -88,3 +88,24 @@ def q_layers_equity(spark, sf_dir):
                                      max_days=None, run_ts=RUN_TS)
     gold = medallion.gold_equity(medallion.silver_quotes(bronze, mode="drop"))
     return rounded(gold.withColumn("last_update", F.to_date("last_update")))
+
+
+@query("latest_per_key", _with(BARS) + """
+select symbol as ticker, cast(trade_date as timestamp) as Date,
+       case when day(trade_date) = 15 then close_price * 2 else close_price end as Close,
+       case when day(trade_date) = 15 then timestamp '2001-11-06 00:00:00'
+            else timestamp '2001-11-05 00:00:00' end as ingestion_timestamp
+from bars""")
+def q_latest_per_key(spark, sf_dir):
+    """Bronze landed twice: the full history, then corrections for the 15th
+    of each month (close doubled, exact in binary; later stamp). Compaction
+    keeps the latest."""
+    from tickforge.operators.layout import latest_per_key
+    bars = tb.bars(spark, sf_dir)
+    first = bars.select(F.col("symbol").alias("ticker"), F.col("trade_date").cast("timestamp").alias("Date"),
+                        F.col("close_price").alias("Close"),
+                        F.lit(RUN_TS).cast("timestamp").alias("ingestion_timestamp"))
+    fix = (first.filter(F.dayofmonth("Date") == 15)
+           .withColumn("Close", F.col("Close") * 2)
+           .withColumn("ingestion_timestamp", F.lit(RUN_TS + _dt.timedelta(days=1)).cast("timestamp")))
+    return rounded(latest_per_key(first.unionByName(fix), ["ticker", "Date"]))

@@ -119,10 +119,13 @@ def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: Data
     bs = bronze_series(spark, series_landed, series_json, run_ts)
     obs["bronze_series"] = write_table(partition_by_key(bs, "serie", "data"), path=paths["bronze_series"])
     checks = Observation("silver_quotes_checks")
-    sq = silver_quotes(spark.read.parquet(paths["bronze_quotes"]), check_mode, checks)
+    # Silver is written sorted by date inside each partition, so parquet
+    # row-group min/max lets date filters (trend, month-to-date) skip data.
+    sq = silver_quotes(spark.read.parquet(paths["bronze_quotes"]), check_mode, checks) \
+        .sortWithinPartitions("trade_date")
     obs["silver_quotes"] = write_table(sq, path=paths["silver_quotes"])
     obs["silver_quotes_checks"] = checks
-    ss = silver_series(spark.read.parquet(paths["bronze_series"]))
+    ss = silver_series(spark.read.parquet(paths["bronze_series"])).sortWithinPartitions("ref_date")
     obs["silver_series"] = write_table(ss, path=paths["silver_series"])
     obs["gold_equity"] = write_table(gold_equity(spark.read.parquet(paths["silver_quotes"])),
                                      path=paths["gold_equity"])

@@ -25,6 +25,8 @@ QUOTE_PAYLOAD = T.StructType([
         T.StructField("symbol", T.StringType()),
         T.StructField("historicalDataPrice", T.ArrayType(PRICE_POINT)),
     ]))),
+    # Filled with the raw text when a document is not valid JSON.
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 # Bronze quote columns, in contract order.
@@ -34,7 +36,9 @@ BRONZE_QUOTE_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume", "Divid
 
 def read_quote_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Landed payload files (JSON lines) with the file name kept for labels."""
-    return (spark.read.schema(QUOTE_PAYLOAD).json(path)
+    return (spark.read.schema(QUOTE_PAYLOAD)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+            .json(path)
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
@@ -54,7 +58,9 @@ def payload_ticker() -> Column:
 
 def parse_payload_text(df: DataFrame, text_col: str = "body") -> DataFrame:
     """A column of JSON text -> the payload struct columns."""
-    return df.withColumn("__p", F.from_json(F.col(text_col), QUOTE_PAYLOAD)).select("*", "__p.*").drop("__p")
+    parsed = F.from_json(F.col(text_col), QUOTE_PAYLOAD,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return df.withColumn("__p", parsed).select("*", "__p.*").drop("__p")
 
 
 def quote_rows(payloads: DataFrame, ticker: Column | None = None) -> DataFrame:
@@ -83,11 +89,14 @@ def quote_rows(payloads: DataFrame, ticker: Column | None = None) -> DataFrame:
 
 def payload_outcome(payloads: DataFrame, ticker: Column | None = None) -> DataFrame:
     """Per document: ticker, number of bars and the structural outcome
-    (``no_results`` / ``no_history`` / ``ok``)."""
+    (``malformed`` / ``no_results`` / ``no_history`` / ``ok``)."""
     first = F.get(F.col("results"), 0)
     label = ticker if ticker is not None else first.getField("symbol")
     hist = first.getField("historicalDataPrice")
-    outcome = (F.when(F.col("results").isNull() | (F.size("results") <= 0), "no_results")
+    malformed = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in payloads.columns
+                 else F.lit(False))
+    outcome = (F.when(malformed, "malformed")
+               .when(F.col("results").isNull() | (F.size("results") <= 0), "no_results")
                .when(hist.isNull() | (F.size(hist) <= 0), "no_history")
                .otherwise("ok"))
     return payloads.select(normalise_ticker(label).alias("ticker"), outcome.alias("outcome"),
