@@ -124,3 +124,12 @@ def test_latest_per_key_keeps_latest(spark):
     got = sorted(tuple(r) for r in latest_per_key(df, ["k", "d"]).collect())
     assert got == [("A", 1, 11.0, dt.datetime(2024, 1, 2)), ("A", 2, 5.0, dt.datetime(2024, 1, 1)),
                    ("B", 1, None, dt.datetime(2024, 1, 3))]
+
+
+def test_bronze_series_window(spark):
+    landed = spark.createDataFrame([(1178, "31/12/2019", "1"), (1178, "01/01/2020", "2"),
+                                    (433, "15/03/2024", "3"), (433, "16/03/2024", "4")],
+                                   "code int, data string, valor string")
+    out = medallion.bronze_series(spark, landed, '{"selic": 1178, "ipca": 433}',
+                                  dt.datetime(2024, 1, 1), start="01/01/2020", end="15/03/2024")
+    assert sorted((r.serie, r.valor) for r in out.collect()) == [("ipca", 3.0), ("selic", 2.0)]

@@ -50,11 +50,20 @@ def bronze_quotes(spark: SparkSession, landing: str | DataFrame, start: str, end
 
 def bronze_series(spark: SparkSession, landed: DataFrame, series_json: str,
                   run_ts: _dt.datetime | None = None, date_fmt: str = BR_DATE,
-                  on_error: str = "raise") -> DataFrame:
-    """Landed series rows (code, data text, valor text) -> bronze series."""
+                  on_error: str = "raise", start: str | None = None,
+                  end: str | None = None) -> DataFrame:
+    """Landed series rows (code, data text, valor text) -> bronze series.
+
+    ``start`` / ``end`` (``dd/MM/yyyy``, inclusive) bound the dates kept, as
+    the requested span bounds a fetch; None keeps everything landed.
+    """
     try:
         rows = sr.label_series(landed, sr.series_map(spark, series_json))
         rows = clean.clean_series(rows, date_fmt=date_fmt)
+        if start is not None:
+            rows = rows.filter(F.col("data") >= F.to_timestamp(F.lit(start), date_fmt))
+        if end is not None:
+            rows = rows.filter(F.col("data") <= F.to_timestamp(F.lit(end), date_fmt))
         rows = clean.stamp_ingestion(rows.select("data", "valor", "serie"), run_ts)
         return schemas.conform(rows, schemas.BRONZE_SERIES)
     except Exception:
