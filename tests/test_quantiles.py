@@ -23,3 +23,24 @@ def test_ungrouped(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
     got = {r.p: r.quantile for r in exact_quantiles(df, "v", [0.25, 0.5], final_rows=10, buckets=4).collect()}
     assert got == {0.25: 25.0, 0.5: 50.0}
+
+
+@pytest.mark.parametrize("final_rows,buckets", [(500, 16), (40, 4)])
+def test_refinement_matches_duckdb_on_test_tables(spark, final_rows, buckets):
+    """Force several refinement rounds on real data and compare with DuckDB."""
+    from tests.conftest import SF001
+    from tests.oracle import duck
+    from tickforge.sources import tables as tb
+    bars = tb.bars(spark, SF001)
+    got = {(r.symbol, r.p): r.quantile for r in
+           exact_quantiles(bars, "close_price", [0.1, 0.5, 0.99], ["symbol"],
+                           buckets=buckets, final_rows=final_rows).collect()}
+    con = duck(SF001)
+    from tickforge.sources.tables import BARS_SQL
+    ref = con.execute(f"""with bars as ({BARS_SQL})
+        select symbol, quantile_cont(close_price, 0.1), quantile_cont(close_price, 0.5),
+               quantile_cont(close_price, 0.99) from bars group by symbol""").fetchall()
+    assert len(got) == 3 * len(ref)
+    for sym, a, b, c in ref:
+        for p, v in ((0.1, a), (0.5, b), (0.99, c)):
+            assert got[(sym, p)] == pytest.approx(v, rel=1e-12)

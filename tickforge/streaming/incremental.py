@@ -29,21 +29,16 @@ def incremental_quotes(spark: SparkSession, landing: str, sink: str, checkpoint:
     stream = quote_rows(reader.json(landing))
     deduped = (stream.withWatermark("Date", watermark)
                .dropDuplicatesWithinWatermark(["ticker", "Date"]))
-    # Append-mode dedupe emits rows in the batch that reads them; the extra
-    # no-data batch would only evict expired state, which the next run's
-    # first batch does anyway. Skip it (read once, when the query starts).
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        q = (deduped.writeStream
-             .format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start(sink))
-    finally:
-        spark.conf.set(key, before)
+    # Keep Spark's no-data micro-batch (the default): it is the batch that
+    # records the advanced watermark in the offset log. Without it every
+    # availableNow run restarts from the previous run's watermark, the
+    # watermark never moves and the dedupe state is never evicted.
+    q = (deduped.writeStream
+         .format("parquet")
+         .option("checkpointLocation", checkpoint)
+         .outputMode("append")
+         .trigger(availableNow=True)
+         .start(sink))
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
