@@ -59,3 +59,11 @@ def test_require_columns(spark):
     with pytest.raises(ValueError, match="Close"):
         schemas.require_columns(df, schemas.BRONZE_QUOTES)
     assert schemas.empty_frame(spark, schemas.BRONZE_SERIES).count() == 0
+
+
+def test_cluster_settings():
+    from tickforge.session import cluster_settings
+    s = cluster_settings(100 * 1024 ** 4, cores=4000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 1024 * 8 + 1  # 128 MB partitions
+    assert s["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert int(cluster_settings(10, cores=8)["spark.sql.shuffle.partitions"]) == 16

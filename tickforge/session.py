@@ -21,6 +21,29 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_settings(input_bytes: int, cores: int, scan_split_mb: int = 512,
+                     shuffle_target_mb: int = 128) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    * Scan tasks of ``scan_split_mb`` (100 TB -> ~200k tasks, ~50 waves on
+      4000 cores) keep per-task memory flat.
+    * The initial shuffle width assumes the worst case, that raw rows are
+      shuffled (a window input), at ``shuffle_target_mb`` per partition, at
+      least 2 x cores. AQE coalesces it down after the map-side partial
+      aggregates shrink the data, and splits skewed join partitions.
+    """
+    mb = 1024 * 1024
+    shuffle = max(2 * cores, int(input_bytes // (shuffle_target_mb * mb)) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{scan_split_mb}m",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_target_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * shuffle_target_mb}m",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tickforge", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.
