@@ -85,22 +85,31 @@ GOLD_MACRO = T.StructType([
 LAYER_SCHEMAS = {"bronze": "aafn_ing", "prata": "aafn_tgt", "ouro": "aafn_ddm"}
 LAYER_ALIASES = {"silver": "prata", "gold": "ouro"}
 
-
-def _layer_properties(quality: str) -> dict[str, str]:
-    return {
-        "quality": quality,
+LAYER_PROPERTIES = {
+    "bronze": {
+        "quality": "bronze",
         "pipelines.reset.allowed": "false",
         "pipelines.trigger.interval": "12 hours",
         "delta.autoOptimize.optimizeWrite": "true",
         "delta.autoOptimize.autoCompact": "true",
         "delta.enableChangeDataFeed": "true",
-    }
-
-
-LAYER_PROPERTIES = {
-    "bronze": _layer_properties("bronze"),
-    "prata": _layer_properties("silver"),
-    "ouro": _layer_properties("gold"),
+    },
+    "prata": {
+        "quality": "silver",
+        "pipelines.reset.allowed": "false",
+        "pipelines.trigger.interval": "12 hours",
+        "delta.autoOptimize.optimizeWrite": "true",
+        "delta.autoOptimize.autoCompact": "true",
+        "delta.enableChangeDataFeed": "true",
+    },
+    "ouro": {
+        "quality": "gold",
+        "pipelines.reset.allowed": "false",
+        "pipelines.trigger.interval": "12 hours",
+        "delta.autoOptimize.optimizeWrite": "true",
+        "delta.autoOptimize.autoCompact": "true",
+        "delta.enableChangeDataFeed": "true",
+    },
 }
 
 
