@@ -67,3 +67,11 @@ def test_cluster_settings():
     assert int(s["spark.sql.shuffle.partitions"]) == 100 * 1024 * 8 + 1  # 128 MB partitions
     assert s["spark.sql.files.maxPartitionBytes"] == "512m"
     assert int(cluster_settings(10, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_contract_diff(spark):
+    from tickforge.operators import equity
+    bars = spark.createDataFrame([("a", dt.date(2024, 1, 2), 1.0, 1.0)],
+                                 "symbol string, trade_date date, close_price double, volume double")
+    diff = schemas.contract_diff(equity.equity_performance(bars), schemas.table_spec("ouro", "tb_mkt_eqt_perf"))
+    assert diff == {"missing": ["monthly_return"], "extra": ["avg_return"]}

@@ -226,6 +226,16 @@ def require_columns(df: DataFrame, required, ignore=("ingestion_timestamp",)) ->
     return df
 
 
+def contract_diff(df: DataFrame, spec: TableSpec) -> dict[str, list[str]]:
+    """Compare a frame's columns with the registry's expected columns
+    (metadata only): ``missing`` expected but absent, ``extra`` present but
+    not expected. The registry's gold lists differ from what gold computes;
+    this makes that visible instead of silent."""
+    have, want = list(df.columns), list(spec.expected_columns)
+    return {"missing": [c for c in want if c not in have],
+            "extra": [c for c in have if c not in want]}
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
