@@ -105,3 +105,11 @@ def test_ticker_from_file_name(spark, tmp_path):
     label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
     got = sorted((r.ticker, r.Close) for r in pl.quote_rows(p, label).collect())
     assert got == [("ITUB4", 2.0), ("VALE3", 1.0)]
+
+
+def test_ticker_from_file_patterns(spark):
+    paths = ["s3://b/landing/PETR4.json", "/x/vale3.SA.json", "/x/ITUB4.json.gz", "/x/BBAS3",
+             "/x/part-00000-abc.json", None]
+    df = spark.createDataFrame([(p,) for p in paths], "source_file string")
+    got = [r.t for r in df.select(pl.ticker_from_file("source_file").alias("t")).collect()]
+    assert got == ["PETR4", "vale3.SA", "ITUB4", "BBAS3", None, None]

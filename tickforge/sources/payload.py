@@ -45,7 +45,8 @@ def read_quote_payloads(spark: SparkSession, path: str) -> DataFrame:
 def ticker_from_file(path_col: str = "source_file") -> Column:
     """Ticker from a landed file name such as ``.../PETR4.json`` (NULL when
     the name carries none)."""
-    name = F.regexp_extract(F.col(path_col), r"([^/]+?)(\.[^./]*)?$", 1)
+    name = F.regexp_extract(
+        F.col(path_col), r"([^/]+?)(\.(json|jsonl|ndjson))?(\.(gz|bz2|zst|zstd|lz4|snappy|deflate))?$", 1)
     return F.when(F.col(path_col).isNull() | name.startswith("part-") | (name == ""), F.lit(None)) \
             .otherwise(name)
 
