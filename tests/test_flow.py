@@ -156,3 +156,14 @@ def test_incremental_drops_rows_older_than_watermark(spark):
         f.write(doc("A", 1717200000, 9.0) + "\n")           # repeat of 2024-06-01: dropped
     out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, watermark="7 days")
     assert sorted(r.Close for r in out.collect()) == [1.0, 3.0]
+
+
+def test_refresh_layers_drop_mode_does_not_wait_for_metrics(spark, landing):
+    root = tempfile.mkdtemp(prefix="layers-drop-")
+    landed = spark.createDataFrame([(1178, "02/01/2001", "1.5")], "code int, data string, valor string")
+    got = medallion.refresh_layers(spark, landing, landed, '{"selic": 1178}', root,
+                                   "01/01/2001", "01/08/2001", as_of="2001-08-01",
+                                   check_mode="drop")
+    assert "silver_quotes_checks" not in got
+    assert got["silver_quotes"]["rows"] == got["bronze_quotes"]["rows"]
+    assert got["gold_macro"]["rows"] == 1

@@ -133,7 +133,8 @@ def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: Data
     sq = silver_quotes(spark.read.parquet(paths["bronze_quotes"]), check_mode, checks) \
         .sortWithinPartitions("trade_date")
     obs["silver_quotes"] = write_table(sq, path=paths["silver_quotes"])
-    obs["silver_quotes_checks"] = checks
+    if check_mode == "warn":  # the check metrics are observed only in warn mode
+        obs["silver_quotes_checks"] = checks
     ss = silver_series(spark.read.parquet(paths["bronze_series"])).sortWithinPartitions("ref_date")
     obs["silver_series"] = write_table(ss, path=paths["silver_series"])
     obs["gold_equity"] = write_table(gold_equity(spark.read.parquet(paths["silver_quotes"])),
