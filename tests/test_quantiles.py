@@ -4,7 +4,7 @@ import pytest
 from tickforge.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("final_rows,buckets", [(100_000, 4096), (50, 8), (5, 2)])
+@pytest.mark.parametrize("final_rows,buckets", [(100_000, 4096), (50, 8), (5, 2), (100, 16)])
 def test_exact_quantiles_match_numpy(spark, final_rows, buckets):
     rng = np.random.default_rng(7)
     a = np.concatenate([rng.normal(size=900), np.full(300, 2.5), rng.integers(0, 5, 200).astype(float)])

@@ -15,9 +15,10 @@ aggregation buffer, which does not hold for a hot group at scale. Here:
    holds at most ``final_rows`` values or one distinct value; then the rank
    is read off a window over that bracket only.
 
-Every step is a DataFrame job; the driver reads one number per round. The
-rank table has ``groups x ranks`` rows; it is broadcast only when that count
-is at most ``broadcast_rows``.
+Small and large groups are handled in the same call (a hot group does not
+push the others through refinement). Every step is a DataFrame job; the
+driver reads one number per round. Group and rank tables have ``groups x
+ranks`` rows; they are broadcast only when that is at most ``broadcast_rows``.
 """
 
 from __future__ import annotations
@@ -28,29 +29,33 @@ from pyspark.sql import functions as F
 from tickforge.session import ensure_checkpoint_dir
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
-                    buckets: int = 4096, final_rows: int = 100_000, max_rounds: int = 40,
-                    broadcast_rows: int = 100_000, extra_aggs=(), with_stats: bool = False):
-    """-> DataFrame(*group, p, quantile); with ``with_stats`` also the
-    per-group stats frame (n, min, max and ``extra_aggs`` over ``value``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    g = list(group or [])
-    vals = df.select(*g, F.col(value).cast("double").alias("__v")).filter(
-        F.col("__v").isNotNull() & ~F.isnan("__v"))
-    drop_g = not g
-    if drop_g:
-        vals = vals.withColumn("__g0", F.lit(0))
-        g = ["__g0"]
+def _interpolate(got: DataFrame, g: list[str]) -> DataFrame:
+    return got.select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0")))
+                      .alias("quantile"))
 
-    stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                 F.max("__v").alias("__hi"), *extra_aggs).persist()
-    agg = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("__n").alias("max_n")).first()
-    n_ranks = (agg["groups"] or 0) * 2 * len(probs)
-    bcast = n_ranks <= broadcast_rows
 
-    def small(state):
-        return F.broadcast(state) if bcast else state
+def _rank_in_group(vals: DataFrame, g: list[str], probs: list[float]) -> DataFrame:
+    """Groups known to be small: rank inside the group and keep the rows at a
+    target rank (no join against a rank table)."""
+    wr = Window.partitionBy(*g).orderBy("__v")
+    wn = Window.partitionBy(*g)
+    ranked = (vals.withColumn("__r", F.row_number().over(wr) - 1)
+              .withColumn("__n", F.count(F.lit(1)).over(wn)))
+    ppos = F.col("__p") * (F.col("__n") - 1)
+    hits = (ranked.withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+            .withColumn("__k0", F.floor(ppos).cast("long"))
+            .withColumn("__k1", F.ceil(ppos).cast("long"))
+            .filter((F.col("__r") == F.col("__k0")) | (F.col("__r") == F.col("__k1"))))
+    got = hits.groupBy(*g, F.col("__p").alias("p")).agg(
+        F.max(F.when(F.col("__r") == F.col("__k0"), F.col("__v"))).alias("__v0"),
+        F.max(F.when(F.col("__r") == F.col("__k1"), F.col("__v"))).alias("__v1"),
+        F.max(ppos - F.floor(ppos)).alias("__frac"))
+    return _interpolate(got, g)
 
+
+def _refine(vals: DataFrame, stats: DataFrame, g: list[str], probs: list[float], buckets: int,
+            final_rows: int, max_rounds: int, small) -> DataFrame:
+    """Large groups: histogram refinement of each target rank's bracket."""
     pos = F.col("p") * (F.col("__n") - 1)
     targets = (stats.select(*g, "__n", "__lo", "__hi",
                             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
@@ -62,27 +67,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
              .distinct()
              .withColumn("__below", F.lit(0).cast("long")))
 
-    if (agg["max_n"] or 0) <= final_rows:
-        # Every group fits one task: rank inside the group and keep the rows
-        # sitting at a target rank (no join against a rank table).
-        wr = Window.partitionBy(*g).orderBy("__v")
-        wn = Window.partitionBy(*g)
-        ranked = (vals.withColumn("__r", F.row_number().over(wr) - 1)
-                  .withColumn("__n", F.count(F.lit(1)).over(wn)))
-        ppos = F.col("__p") * (F.col("__n") - 1)
-        hits = (ranked.withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-                .withColumn("__k0", F.floor(ppos).cast("long"))
-                .withColumn("__k1", F.ceil(ppos).cast("long"))
-                .filter((F.col("__r") == F.col("__k0")) | (F.col("__r") == F.col("__k1"))))
-        got = hits.groupBy(*g, F.col("__p").alias("p")).agg(
-            F.max(F.when(F.col("__r") == F.col("__k0"), F.col("__v"))).alias("__v0"),
-            F.max(F.when(F.col("__r") == F.col("__k1"), F.col("__v"))).alias("__v1"),
-            F.max(ppos - F.floor(ppos)).alias("__frac"))
-        out = got.select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0"))).alias("quantile"))
-        if drop_g:
-            out, stats = out.drop("__g0"), stats.drop("__g0")
-        return (out, stats) if with_stats else out
-
     def in_bracket(state):
         return vals.join(small(state), g).filter(
             (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
@@ -107,7 +91,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
                           F.col("__bc").alias("__cnt"), start.alias("__below"))
                   .withColumn("__open", F.col("__lo") < F.col("__hi")))
         kept = state.join(open_state.select(*g, "__rank"), g + ["__rank"], "left_anti")
+        # Reliable checkpoint into the shared folder: the state's lineage
+        # would otherwise grow by one round per iteration.
         state = kept.unionByName(chosen).checkpoint()
+
     done = state.filter(~F.col("__open")).select(*g, "__rank", F.col("__lo").alias("__val"))
     wr = Window.partitionBy(*g, "__rank").orderBy("__v")
     picked = (in_bracket(state.filter(F.col("__open")).select(*g, "__rank", "__lo", "__hi", "__below"))
@@ -115,7 +102,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
               .filter(F.col("__pos") == F.col("__rank"))
               .select(*g, "__rank", F.col("__v").alias("__val")))
     found = done.unionByName(picked)
-
     # One join: each target asks for its two ranks, then folds them back.
     asks = targets.select(*g, "p", "__frac",
                           F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("__k0").alias("__rank")),
@@ -124,7 +110,44 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
     got = asks.join(found, g + ["__rank"], "left").groupBy(*g, "p", "__frac").agg(
         F.max(F.when(F.col("side") == 0, F.col("__val"))).alias("__v0"),
         F.max(F.when(F.col("side") == 1, F.col("__val"))).alias("__v1"))
-    out = got.select(*g, "p", (F.col("__v0") + F.col("__frac") * (F.col("__v1") - F.col("__v0"))).alias("quantile"))
+    return _interpolate(got, g)
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
+                    buckets: int = 4096, final_rows: int = 100_000, max_rounds: int = 40,
+                    broadcast_rows: int = 100_000, extra_aggs=(), with_stats: bool = False):
+    """-> DataFrame(*group, p, quantile); with ``with_stats`` also the
+    per-group stats frame (n, min, max and ``extra_aggs`` over ``value``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    g = list(group or [])
+    vals = df.select(*g, F.col(value).cast("double").alias("__v")).filter(
+        F.col("__v").isNotNull() & ~F.isnan("__v"))
+    drop_g = not g
+    if drop_g:
+        vals = vals.withColumn("__g0", F.lit(0))
+        g = ["__g0"]
+
+    stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
+                                 F.max("__v").alias("__hi"), *extra_aggs).persist()
+    big = F.col("__n") > final_rows
+    agg = stats.agg(F.count(F.lit(1)).alias("groups"), F.count_if(big).alias("big"),
+                    F.count_if(~big).alias("small")).first()
+    bcast = (agg["groups"] or 0) * 2 * len(probs) <= broadcast_rows
+
+    def small(frame):
+        return F.broadcast(frame) if bcast else frame
+
+    parts = []
+    if agg["big"] == 0:
+        parts.append(_rank_in_group(vals, g, probs))
+    elif agg["small"] == 0:
+        parts.append(_refine(vals, stats, g, probs, buckets, final_rows, max_rounds, small))
+    else:
+        small_keys, big_keys = stats.filter(~big).select(*g), stats.filter(big).select(*g)
+        parts.append(_rank_in_group(vals.join(small(small_keys), g, "left_semi"), g, probs))
+        parts.append(_refine(vals.join(small(big_keys), g, "left_semi"), stats.filter(big), g, probs,
+                             buckets, final_rows, max_rounds, small))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if drop_g:
         out, stats = out.drop("__g0"), stats.drop("__g0")
     return (out, stats) if with_stats else out
