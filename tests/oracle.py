@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) if abs(v) > 1e-3 else float(f"{v:.9g}")
+        return v + 0.0  # exact, like the driver's value hash (only -0.0 -> 0.0)
     if hasattr(v, "isoformat"):
         try:
             return pd.Timestamp(v).isoformat()
