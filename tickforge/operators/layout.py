@@ -14,10 +14,16 @@ from tickforge.schemas import TableSpec
 
 
 def partition_by_key(df: DataFrame, key: str, date: str | None = None,
-                     num_partitions: int | None = None, by_month: bool = True) -> DataFrame:
+                     num_partitions: int | None = None, by_month: bool = True,
+                     bucket_fmt: str = "yyyy-MM") -> DataFrame:
+    """Hash-partition by (key, date bucket) and sort by date in each partition.
+
+    ``bucket_fmt`` sets the bucket (month by default; ``yyyy-MM-dd`` for
+    intraday rows), so one hot key is spread over its buckets.
+    """
     cols = [F.col(key)]
     if date and by_month:
-        cols.append(F.date_format(F.col(date), "yyyy-MM"))
+        cols.append(F.date_format(F.col(date), bucket_fmt))
     out = df.repartition(num_partitions, *cols) if num_partitions else df.repartition(*cols)
     return out.sortWithinPartitions(date) if date else out
 
