@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tickforge.operators import equity, profile
 from tickforge.plans import medallion
-from tickforge.plans.registry import BARS, EQUITY_SQL, EVENT_BARS, SERIES, _with, query, rounded
+from tickforge.plans.registry import (BARS, EQUITY_SQL, EVENT_BARS, SERIES, _equity_sql, _with,
+                                     query, rounded)
 from tickforge.sources import payload as pl
 from tickforge.sources import tables as tb
 
@@ -109,3 +110,23 @@ def q_latest_per_key(spark, sf_dir):
            .withColumn("Close", F.col("Close") * 2)
            .withColumn("ingestion_timestamp", F.lit(RUN_TS + _dt.timedelta(days=1)).cast("timestamp")))
     return rounded(latest_per_key(first.unionByName(fix), ["ticker", "Date"]))
+
+
+def gappy_bars(bars):
+    """Bars with a zero close on the 13th and a missing close on the 21st of
+    each month (unparseable prices kept NULL, ``null_fill=None``)."""
+    d = F.dayofmonth("trade_date")
+    close = F.when(d == 13, F.lit(0.0)).when(d == 21, F.lit(None).cast("double")) \
+             .otherwise(F.col("close_price"))
+    return bars.withColumn("close_price", close)
+
+
+@query("equity_perf_gaps", _equity_sql(("bars0", tb.BARS_SQL), ("bars", """
+    select symbol, trade_date,
+           case when day(trade_date) = 13 then 0.0 when day(trade_date) = 21 then null
+                else close_price end as close_price, volume
+    from bars0""")))
+def q_equity_perf_gaps(spark, sf_dir):
+    """Zero closes make the next return x/0 (NULL, not an error) and the
+    zero day's own return -1; missing closes give NULL returns on both sides."""
+    return rounded(equity.equity_performance(gappy_bars(tb.bars(spark, sf_dir))))

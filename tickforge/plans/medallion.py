@@ -58,7 +58,8 @@ def bronze_series(spark: SparkSession, landed: DataFrame, series_json: str,
     the requested span bounds a fetch; None keeps everything landed.
     """
     try:
-        rows = sr.label_series(landed, sr.series_map(spark, series_json))
+        rows = sr.label_series(landed, sr.series_map(spark, series_json),
+                               known_size=sr.map_size(series_json))
         rows = clean.clean_series(rows, date_fmt=date_fmt)
         if start is not None:
             rows = rows.filter(F.col("data") >= F.to_timestamp(F.lit(start), date_fmt))

@@ -63,8 +63,9 @@ EVENT_BARS = ("bars", tb.EVENT_BARS_SQL)
 
 # ---------------------------------------------------------------- equity ---
 
-def _equity_sql(bars_cte) -> str:
-    return _with(bars_cte, ("r", """
+def _equity_sql(*bars_ctes) -> str:
+    """Gold equity in SQL over a ``bars`` CTE (given last in ``bars_ctes``)."""
+    return _with(*bars_ctes, ("r", """
         select symbol, trade_date, close_price, volume,
                close_price / nullif(lag(close_price) over (partition by symbol order by trade_date), 0) - 1 as ret
         from bars"""), ("m", """

@@ -124,7 +124,8 @@ def q_series_map(spark, sf_dir):
     code = F.when(F.col("idx_type") == "R", 1178).when(F.col("idx_type") == "A", 433).otherwise(12)
     landed = s.select(code.alias("code"), F.date_format("ref_date", "dd/MM/yyyy").alias("data"),
                       F.col("idx_value").cast("string").alias("valor"))
-    out = sr.label_series(sr.typed_series(landed), sr.series_map(spark, SERIES_MAP_JSON))
+    out = sr.label_series(sr.typed_series(landed), sr.series_map(spark, SERIES_MAP_JSON),
+                          known_size=sr.map_size(SERIES_MAP_JSON))
     return rounded(out.select("code", "serie", "data", "valor"))
 
 

@@ -26,6 +26,12 @@ DEFAULT_SERIES = {
 MAX_MAP_ENTRIES = 10_000
 
 
+def map_size(json_text: str) -> int:
+    """Entry count of a series-map config text (driver side, config only)."""
+    import json
+    return len(json.loads(json_text))
+
+
 def series_map(spark: SparkSession, json_text: str) -> DataFrame:
     """``{"name": code, ...}`` text -> DataFrame(serie, code)."""
     m = F.from_json(F.lit(json_text), "map<string,int>")
@@ -33,16 +39,18 @@ def series_map(spark: SparkSession, json_text: str) -> DataFrame:
 
 
 def label_series(rows: DataFrame, mapping: DataFrame, code: str = "code",
-                 max_broadcast: int = MAX_MAP_ENTRIES) -> DataFrame:
+                 max_broadcast: int = MAX_MAP_ENTRIES, known_size: int | None = None) -> DataFrame:
     """Attach the series name to landed rows by code; an unknown code keeps
     its code as the name.
 
     The mapping normally comes from one config string. It is broadcast only
-    after checking it has at most ``max_broadcast`` entries (a count over the
-    config-sized frame); a larger mapping goes through a shuffle join.
+    when it has at most ``max_broadcast`` entries: ``known_size`` (e.g. the
+    entry count of the config text) or else a count over the config-sized
+    frame; a larger mapping goes through a shuffle join.
     """
     m = mapping.select(F.col("code").alias("__code"), F.col("serie").alias("__name"))
-    if m.limit(max_broadcast + 1).count() <= max_broadcast:
+    size = known_size if known_size is not None else m.limit(max_broadcast + 1).count()
+    if size <= max_broadcast:
         m = F.broadcast(m)
     joined = rows.join(m, rows[code] == m["__code"], "left")
     return joined.withColumn("serie", F.coalesce(F.col("__name"), F.col(code).cast("string"))) \
