@@ -91,6 +91,9 @@ def test_equity_reads_only_needed_columns(spark, static_plans):
     schema = scan[scan.index("ReadSchema: struct<") + len("ReadSchema: struct<"):].split(">")[0]
     assert sorted(f.split(":")[0] for f in schema.split(",")) == [
         "close_price", "symbol", "trade_date", "volume"]
+    from tickforge.plans.inspect import plan_summary
+    s = plan_summary(equity.equity_performance(spark.read.parquet(path)))
+    assert s["hash_exchanges"] == 2 and s["scans"] == 1
 
 
 def test_series_map_broadcast_is_size_checked(spark, static_plans):
