@@ -167,3 +167,17 @@ def test_refresh_layers_drop_mode_does_not_wait_for_metrics(spark, landing):
     assert "silver_quotes_checks" not in got
     assert got["silver_quotes"]["rows"] == got["bronze_quotes"]["rows"]
     assert got["gold_macro"]["rows"] == 1
+
+
+def test_cli_refresh(spark, landing):
+    from tickforge.__main__ import main
+    root = tempfile.mkdtemp(prefix="cli-")
+    series_csv = os.path.join(root, "series_csv")
+    code = F.when(F.col("idx_type") == "R", 1178).when(F.col("idx_type") == "A", 433).otherwise(12)
+    tb.series(spark, SF).select(code.alias("code"), F.date_format("ref_date", "dd/MM/yyyy").alias("data"),
+                                F.col("idx_value").cast("string").alias("valor")) \
+        .write.option("header", True).csv(series_csv)
+    got = main(["refresh", "--quotes", landing, "--series", series_csv, "--out", os.path.join(root, "out"),
+                "--as-of", "2001-08-01", "--start", "01/01/1990", "--max-days", "100000"])
+    assert got["gold_equity"]["rows"] == 5
+    assert got["bronze_series"]["rows"] == tb.series(spark, SF).count()
