@@ -82,3 +82,39 @@ def test_pooled_trend_equals_regr_slope(spark, rows):
             assert one[k] == pytest.approx(slope, rel=1e-6, abs=1e-15)
         else:
             assert one[k] == 0.0
+
+
+@SETTINGS
+@given(rows=series_rows, as_of_day=st.integers(200, 330))
+def test_summary_equals_separate_operators(spark, rows, as_of_day):
+    base = dt.date(2024, 1, 1)
+    data = [(k, base + dt.timedelta(days=d), v) for k, d, v in rows]
+    df = spark.createDataFrame(data, "idx_type string, ref_date date, idx_value double")
+    as_of = (base + dt.timedelta(days=as_of_day)).isoformat()
+    s = {r.idx_type: r for r in macro.macro_summary(df, as_of=as_of).collect()}
+    cur = {r.idx_type: r.current_value for r in macro.current_value(df, as_of=as_of).collect()}
+    mtd = {r.idx_type: r.mtd_change for r in macro.mtd_change(df, as_of=as_of).collect()}
+    ytd = {r.idx_type: r.ytd_change for r in macro.ytd_change(df, as_of=as_of).collect()}
+    tr = {r.idx_type: r.trend_6m for r in macro.trend_6m(df, as_of=as_of).collect()}
+    for k, r in s.items():
+        assert _same(r.current_value, cur.get(k))
+        assert _same(r.mtd_change, mtd.get(k))
+        assert _same(r.ytd_change, ytd.get(k))
+        assert r.trend_6m == pytest.approx(tr.get(k, 0.0), rel=1e-7, abs=1e-15)
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(st.sampled_from(["g1", "g2"]),
+                                  st.one_of(st.integers(-3, 3).map(float), st.floats(-1e6, 1e6, allow_nan=False))),
+                       min_size=1, max_size=80),
+       probs=st.lists(st.floats(0, 1), min_size=1, max_size=4, unique=True),
+       final_rows=st.sampled_from([1, 3, 1000]), buckets=st.sampled_from([2, 5, 64]))
+def test_exact_quantiles_property(spark, values, probs, final_rows, buckets):
+    from tickforge.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame(values, "k string, v double")
+    got = {(r.k, r.p): r.quantile for r in
+           exact_quantiles(df, "v", probs, ["k"], buckets=buckets, final_rows=final_rows).collect()}
+    for key in {k for k, _ in values}:
+        arr = np.array([v for k, v in values if k == key])
+        for p in probs:
+            assert got[(key, p)] == pytest.approx(np.quantile(arr, p), rel=1e-9, abs=1e-9)

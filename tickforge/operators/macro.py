@@ -163,9 +163,13 @@ def macro_dashboard(df: DataFrame, as_of=None, key: str = "idx_type", date: str
             "trend_6m", F.coalesce(F.col("trend_6m"), F.lit(0.0)))
     elif method == "one_pass":
         a = as_of_col(as_of)
-        in6 = (F.col(date) >= F.add_months(a, -months)) & F.col(value).isNotNull()
-        # x in days relative to as_of keeps the moments small and exact-ish.
-        x = (_epoch(date) - F.unix_timestamp(a.cast("timestamp"))).cast("double") / SECONDS_PER_DAY
+        since = F.add_months(a, -months)
+        in6 = (F.col(date) >= since) & F.col(value).isNotNull()
+        # x in days, centred on the middle of the window (a constant shift
+        # leaves the slope unchanged): the pooled means of x are then near 0,
+        # so pooling the per-month co-moments below cancels almost nothing.
+        centre = F.unix_timestamp(a.cast("timestamp")) - F.datediff(a, since) * (SECONDS_PER_DAY / 2)
+        x = (_epoch(date) - centre).cast("double") / SECONDS_PER_DAY
         # Computed once per row, then shared by the moment aggregates.
         df = df.withColumns({"__x6": F.when(in6, x), "__y6": F.when(in6, F.col(value))})
         x6, y6 = F.col("__x6"), F.col("__y6")
