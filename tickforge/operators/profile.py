@@ -105,3 +105,25 @@ def head_per_key(df: DataFrame, key: str, order: str, n: int = 5) -> DataFrame:
 
 def sorted_rows(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*order)
+
+
+def profile_table(df: DataFrame, key: str, date: str) -> DataFrame:
+    """The exploration profile of a table in one aggregate job: one row per
+    column (position, type, non_null, nulls), each carrying the table-level
+    coverage (rows, distinct keys, first / last date)."""
+    aggs = [F.count(F.lit(1)).alias("__rows"), F.count_distinct(key).alias("__keys"),
+            F.min(date).alias("__first"), F.max(date).alias("__last")]
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        miss = c.isNull()
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            miss = miss | F.isnan(c)
+        aggs.append(F.count_if(~miss).alias(f"__nn{i}"))
+        aggs.append(F.count_if(miss).alias(f"__nu{i}"))
+    wide = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                              F.lit(f.dataType.simpleString()).alias("type"),
+                              F.col(f"__nn{i}").alias("non_null"), F.col(f"__nu{i}").alias("nulls"))
+                     for i, f in enumerate(df.schema.fields)])
+    return wide.select(F.inline(rows), F.col("__rows").alias("rows"), F.col("__keys").alias("n_keys"),
+                       F.col("__first").alias("first_date"), F.col("__last").alias("last_date"))

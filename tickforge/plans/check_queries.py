@@ -157,3 +157,26 @@ def q_head_per_key(spark, sf_dir):
 select * from bars order by trade_date, symbol limit 5""")
 def q_head(spark, sf_dir):
     return rounded(profile.head(tb.bars(spark, sf_dir), ["trade_date", "symbol"], 5))
+
+
+@query("profile_table", _with(BARS, BROKEN_SQL, BROKEN_SILVER_SQL, ("t", """
+    select count(*) as rows, count(distinct symbol) as n_keys, min(trade_date) as first_date,
+           max(trade_date) as last_date,
+           count(trade_date) as nn0, count(*) - count(trade_date) as nu0,
+           count(symbol) as nn1, count(*) - count(symbol) as nu1,
+           count(*) filter (where open_price is not null and not isnan(open_price)) as nn2,
+           count(*) filter (where open_price is null or isnan(open_price)) as nu2,
+           count(*) filter (where close_price is not null and not isnan(close_price)) as nn3,
+           count(*) filter (where close_price is null or isnan(close_price)) as nu3,
+           count(*) filter (where volume is not null and not isnan(volume)) as nn4,
+           count(*) filter (where volume is null or isnan(volume)) as nu4
+    from s""")) + """
+select c.position, c.column_name, c.type,
+       case c.position when 0 then nn0 when 1 then nn1 when 2 then nn2 when 3 then nn3 else nn4 end as non_null,
+       case c.position when 0 then nu0 when 1 then nu1 when 2 then nu2 when 3 then nu3 else nu4 end as nulls,
+       rows, n_keys, first_date, last_date
+from t, (values (0, 'trade_date', 'timestamp'), (1, 'symbol', 'string'), (2, 'open_price', 'double'),
+                (3, 'close_price', 'double'), (4, 'volume', 'double')) c(position, column_name, type)""")
+def q_profile_table(spark, sf_dir):
+    out = profile.profile_table(broken_silver(spark, sf_dir), "symbol", "trade_date")
+    return rounded(out.withColumn("position", F.col("position").cast("int")))
