@@ -103,3 +103,15 @@ def test_day_segments_equal_month_segments(bars, method, spark):
         for f in ("avg_return", "volatility", "avg_price", "avg_volume"):
             x, y = getattr(ra[r.symbol], f), getattr(r, f)
             assert (x is None and y is None) or x == pytest.approx(y)
+
+
+def test_choose_segment(spark):
+    from tests.conftest import SF001
+    from tickforge.sources import tables as tb
+    ev = tb.event_bars(spark, SF001)
+    assert equity.choose_segment(ev) == "month"
+    assert equity.choose_segment(ev, max_rows=200) == "day"
+    assert equity.choose_segment(ev, max_rows=3) == "hour"
+    a = {r.symbol: r.avg_return for r in equity.equity_performance(ev, segment="auto").collect()}
+    b = {r.symbol: r.avg_return for r in equity.equity_performance(ev, segment="hour").collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)

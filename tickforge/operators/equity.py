@@ -28,6 +28,25 @@ from tickforge.functions.numeric import safe_ratio, simple_return
 _SEGMENTS = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH"}
 
 
+def choose_segment(df: DataFrame, key: str = "symbol", date: str = "trade_date",
+                   max_rows: int = 1_000_000) -> str:
+    """The coarsest segment (month, day, hour) whose densest (key, segment)
+    group stays within ``max_rows`` rows, judged from the largest (key, day)
+    count (one two-phase aggregate; the driver reads one number). ``hour`` is
+    the finest segment offered, so it is the answer when a day is too dense."""
+    per_day = df.groupBy(key, F.to_date(F.col(date)).alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
+    day = per_day.agg(F.max("__n")).first()[0] or 0
+    if day * 31 <= max_rows:
+        return "month"
+    if day <= max_rows:
+        return "day"
+    return "hour"
+
+
+def _resolve(df: DataFrame, key: str, date: str, segment: str) -> str:
+    return choose_segment(df, key, date) if segment == "auto" else segment
+
+
 def _segment(date: str, segment: str):
     if segment not in _SEGMENTS:
         raise ValueError(f"segment must be one of {sorted(_SEGMENTS)}")
@@ -50,6 +69,7 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
         return df.withColumn(prev_out, prev).withColumn(out, simple_return(price, prev_out))
     if method != "segmented":
         raise ValueError("method must be 'segmented' or 'plain'")
+    segment = _resolve(df, key, date, segment)
 
     seg = "__seg"
     w = Window.partitionBy(key, seg).orderBy(date)
@@ -84,6 +104,7 @@ def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | N
     hours) and the segment rows are rolled up to months, still without a
     window over a whole key.
     """
+    segment = _resolve(df, key, date, segment)
     if segment not in _SEGMENTS:
         raise ValueError(f"segment must be one of {sorted(_SEGMENTS)}")
     seg = "__seg"
@@ -148,7 +169,8 @@ def equity_performance(df: DataFrame, key: str = "symbol", date: str = "trade_da
     ``one_pass`` (default) scans the input once; ``two_pass`` builds return
     metrics and price statistics separately and joins them on the key.
     ``segment`` bounds the window groups: ``month`` for daily bars, ``day``
-    or ``hour`` for intraday rows.
+    or ``hour`` for intraday rows, ``auto`` to choose from the data
+    (:func:`choose_segment`, one extra aggregate).
     """
     if method == "two_pass":
         metrics = return_metrics(monthly_returns(df, key, date, price, segment), key)
