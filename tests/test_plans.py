@@ -5,6 +5,7 @@ import re
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickforge.operators import equity, macro, profile
 from tickforge.sources import tables as tb
@@ -108,3 +109,16 @@ def test_series_map_broadcast_is_size_checked(spark, static_plans):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in big
+
+
+def test_dashboard_reads_only_needed_columns(spark, static_plans):
+    from tickforge.operators import silver
+    from tickforge.plans.inspect import plan_summary, read_schemas
+    path = os.path.join(tempfile.mkdtemp(prefix="silver-macro-"), "m")
+    s = tb.series(spark, SF001)
+    bronze = s.select(F.col("ref_date").cast("timestamp").alias("data"), F.col("idx_value").alias("valor"),
+                      F.col("idx_type").alias("serie"), F.current_timestamp().alias("ingestion_timestamp"))
+    silver.silver_macro(bronze).write.parquet(path)
+    dash = macro.macro_dashboard(spark.read.parquet(path), as_of="2001-11-04")
+    assert read_schemas(dash) == ["struct<ref_date:timestamp,idx_value:double,idx_type:string>"]
+    assert plan_summary(dash)["hash_exchanges"] == 2  # monthly aggregate, indicator window
