@@ -74,16 +74,17 @@ def test_write_table_path_and_catalog(spark):
     assert spark.table(spec.full_name).count() == 5
 
 
-def test_incremental_takes_only_new_files(spark):
+@pytest.mark.parametrize("state_store", [None, "rocksdb"])
+def test_incremental_takes_only_new_files(spark, state_store):
     root = tempfile.mkdtemp(prefix="inc-")
     landing, sink, ckpt = (os.path.join(root, p) for p in ("landing", "sink", "ckpt"))
     docs = pl.bars_to_payloads(tb.bars(spark, SF), overlap_days=5).drop("segment")
     docs.filter(F.get("results", 0)["historicalDataPrice"][0]["date"] < 946684800) \
         .write.json(os.path.join(landing, "a"))
-    first = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt).count()
+    first = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, state_store=state_store).count()
     docs.filter(F.get("results", 0)["historicalDataPrice"][0]["date"] >= 946684800) \
         .write.json(os.path.join(landing, "b"))
-    out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt)
+    out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, state_store=state_store)
     n_bars = tb.bars(spark, SF).count()
     assert 0 < first < n_bars
     assert out.count() == n_bars

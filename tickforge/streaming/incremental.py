@@ -19,10 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tickforge.sources.payload import QUOTE_PAYLOAD, quote_rows
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def incremental_quotes(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                        watermark: str = "45 days", max_files_per_trigger: int | None = None,
-                       timeout_s: float | None = None) -> DataFrame:
-    """Run one availableNow pass; returns the sink as a batch DataFrame."""
+                       timeout_s: float | None = None, state_store: str | None = None) -> DataFrame:
+    """Run one availableNow pass; returns the sink as a batch DataFrame.
+
+    ``state_store="rocksdb"`` keeps the dedupe state in RocksDB (off-heap,
+    incremental checkpoints), the choice for large state on a cluster. The
+    provider is fixed by the first run of a checkpoint.
+    """
     reader = spark.readStream.schema(QUOTE_PAYLOAD)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -33,12 +41,23 @@ def incremental_quotes(spark: SparkSession, landing: str, sink: str, checkpoint:
     # records the advanced watermark in the offset log. Without it every
     # availableNow run restarts from the previous run's watermark, the
     # watermark never moves and the dedupe state is never evicted.
-    q = (deduped.writeStream
-         .format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start(sink))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    if state_store == "rocksdb":
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        q = (deduped.writeStream
+             .format("parquet")
+             .option("checkpointLocation", checkpoint)
+             .outputMode("append")
+             .trigger(availableNow=True)
+             .start(sink))
+    finally:
+        if state_store == "rocksdb":
+            if before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
