@@ -115,3 +115,10 @@ def test_choose_segment(spark):
     a = {r.symbol: r.avg_return for r in equity.equity_performance(ev, segment="auto").collect()}
     b = {r.symbol: r.avg_return for r in equity.equity_performance(ev, segment="hour").collect()}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+
+
+def test_as_of_formats(selic):
+    a = macro.mtd_change(selic, as_of="15/03/2024").collect()
+    b = macro.mtd_change(selic, as_of="2024-03-15").collect()
+    c = macro.mtd_change(selic, as_of=dt.date(2024, 3, 15)).collect()
+    assert a == b == c

@@ -26,7 +26,9 @@ SECONDS_PER_DAY = 86400.0
 
 
 def as_of_col(as_of) -> Column:
-    """``as_of`` as a DATE column; ``None`` means today (``current_date``)."""
+    """``as_of`` as a DATE column: a date, ISO text (``yyyy-MM-dd``), the
+    sources' ``dd/MM/yyyy`` text, or a Column; ``None`` means today
+    (``current_date``)."""
     if as_of is None:
         return F.current_date()
     if isinstance(as_of, Column):
@@ -35,7 +37,10 @@ def as_of_col(as_of) -> Column:
         return F.lit(as_of.date())
     if isinstance(as_of, _dt.date):
         return F.lit(as_of)
-    return F.to_date(F.lit(str(as_of)))
+    text = str(as_of)
+    if "/" in text:
+        return F.to_date(F.lit(text), "d/M/yyyy")
+    return F.to_date(F.lit(text))
 
 
 def _epoch(date: str) -> Column:
