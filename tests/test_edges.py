@@ -113,3 +113,17 @@ def test_ticker_from_file_patterns(spark):
     df = spark.createDataFrame([(p,) for p in paths], "source_file string")
     got = [r.t for r in df.select(pl.ticker_from_file("source_file").alias("t")).collect()]
     assert got == ["PETR4", "vale3.SA", "ITUB4", "BBAS3", None, None]
+
+
+def test_small_helpers(spark, tmp_path):
+    from tickforge.operators import profile
+    from tickforge.sources import tables as tb
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "n int, s string")
+    out = clean.add_constants(df, {"Dividends": 0.0, "Stock_Splits": 0.0})
+    assert out.columns == ["n", "s", "Dividends", "Stock_Splits"]
+    assert [r.n for r in profile.sorted_rows(df, ["n"]).collect()] == [1, 2]
+    assert [r.s for r in profile.rows_of(df, "n", 2).collect()] == ["b"]
+    df.write.parquet(str(tmp_path / "t"))
+    assert tb.read_layer(spark, "unused", str(tmp_path / "t")).count() == 2
+    df.createOrReplaceTempView("layer_view")
+    assert tb.read_layer(spark, "layer_view").count() == 2

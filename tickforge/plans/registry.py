@@ -21,8 +21,7 @@ from tickforge.sources import tables as tb
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Fixed parameters of the registered queries: the last date of each table.
-BARS_AS_OF = "2001-08-01"
+# Fixed parameter of the registered macro queries: the last date of the series.
 SERIES_AS_OF = "2001-11-04"
 
 
