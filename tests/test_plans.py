@@ -122,3 +122,8 @@ def test_dashboard_reads_only_needed_columns(spark, static_plans):
     dash = macro.macro_dashboard(spark.read.parquet(path), as_of="2001-11-04")
     assert read_schemas(dash) == ["struct<ref_date:timestamp,idx_value:double,idx_type:string>"]
     assert plan_summary(dash)["hash_exchanges"] == 2  # monthly aggregate, indicator window
+
+
+def test_head_is_top_k_not_full_sort(spark, static_plans):
+    p = plan(profile.head(tb.bars(spark, SF001), ["trade_date", "symbol"], 5))
+    assert "TakeOrderedAndProject" in p and "rangepartitioning" not in p
