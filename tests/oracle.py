@@ -52,8 +52,29 @@ def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+# Spark simpleString -> DuckDB type name, for the schema part of the check.
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+}
+
+
+def schema_diff(spark_df, con, sql: str) -> list[str]:
+    duck_types = {r[0]: r[1] for r in con.execute(f"describe ({sql})").fetchall()}
+    out = []
+    for f in spark_df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck_types.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duck {duck_types.get(f.name)}")
+    return out
+
+
 def compare(spark_df, con, sql: str):
     """Return (ok, message)."""
+    types = schema_diff(spark_df, con, sql)
+    if types:
+        return False, "types differ: " + "; ".join(types)
     s = spark_df.toPandas()
     d = con.execute(sql).fetchdf()
     if sorted(s.columns) != sorted(d.columns):

@@ -27,7 +27,7 @@ SERIES_MAP_JSON = '{"selic": 1178, "ipca": 433}'
 
 @query("silver_equity", _with(BARS) + """
 select cast(trade_date as timestamp) as trade_date, open_price, high_price, low_price, close_price,
-       volume, 0.0 as div_cash, 0.0 as split_ratio, symbol
+       volume, cast(0.0 as double) as div_cash, cast(0.0 as double) as split_ratio, symbol
 from bars""")
 def q_silver_equity(spark, sf_dir):
     bronze = clean.stamp_ingestion(clean.rename_spaced(bronze_like(tb.bars(spark, sf_dir))))
@@ -45,8 +45,8 @@ def q_silver_macro(spark, sf_dir):
 
 @query("parse_payload", _with(BARS) + """
 select cast(trade_date as timestamp) as Date, open_price as Open, high_price as High,
-       low_price as Low, close_price as Close, volume as Volume, 0.0 as Dividends,
-       0.0 as Stock_Splits, symbol as ticker
+       low_price as Low, close_price as Close, volume as Volume, cast(0.0 as double) as Dividends,
+       cast(0.0 as double) as Stock_Splits, symbol as ticker
 from bars""")
 def q_parse_payload(spark, sf_dir):
     docs = pl.bars_to_payloads(tb.bars(spark, sf_dir))
@@ -69,7 +69,7 @@ def q_date_window(spark, sf_dir):
 select ticker, Date, Open, High, Low,
        coalesce({_tolerant_sql('Close')}, 0.0) as Close,
        coalesce({_tolerant_sql('Volume')}, 0.0) as Volume,
-       0.0 as Dividends, 0.0 as Stock_Splits
+       cast(0.0 as double) as Dividends, cast(0.0 as double) as Stock_Splits
 from raw where Date is not null""")
 def q_clean_quotes(spark, sf_dir):
     raw = broken_bars(tb.bars(spark, sf_dir)).withColumns(
@@ -161,8 +161,8 @@ def q_partition_layout(spark, sf_dir):
 
 @query("incremental_bars", _with(BARS) + """
 select cast(trade_date as timestamp) as Date, open_price as Open, high_price as High,
-       low_price as Low, close_price as Close, volume as Volume, 0.0 as Dividends,
-       0.0 as Stock_Splits, symbol as ticker
+       low_price as Low, close_price as Close, volume as Volume, cast(0.0 as double) as Dividends,
+       cast(0.0 as double) as Stock_Splits, symbol as ticker
 from bars""")
 def q_incremental_bars(spark, sf_dir):
     """Two refreshes through the streaming path: months up to 1998, then the
