@@ -132,7 +132,7 @@ def q_distinct_keys(spark, sf_dir):
 
 @query("column_info", _with(BARS) + """
 select t.position, t.column_name, t.type, c.non_null
-from (values (0, 'symbol', 'string'), (1, 'trade_date', 'date'), (2, 'open_price', 'double'),
+from (values (0, 'symbol', 'string'), (1, 'trade_date', 'timestamp_ntz'), (2, 'open_price', 'double'),
              (3, 'high_price', 'double'), (4, 'low_price', 'double'), (5, 'close_price', 'double'),
              (6, 'volume', 'double')) t(position, column_name, type)
 join (select unnest(['symbol', 'trade_date', 'open_price', 'high_price', 'low_price', 'close_price', 'volume']) as column_name,

@@ -88,7 +88,7 @@ def q_layers_equity(spark, sf_dir):
     bronze = medallion.bronze_quotes(spark, pl.parse_payload_text(text), "01/01/1990", "01/08/2001",
                                      max_days=None, run_ts=RUN_TS)
     gold = medallion.gold_equity(medallion.silver_quotes(bronze, mode="drop"))
-    return rounded(gold.withColumn("last_update", F.to_date("last_update")))
+    return rounded(gold)
 
 
 @query("latest_per_key", _with(BARS) + """

@@ -19,6 +19,12 @@ def read_layer(spark: SparkSession, name: str, path: str | None = None) -> DataF
     return spark.read.parquet(path) if path else spark.table(name)
 
 
+def _day(c: str):
+    """The day of a zone-less timestamp, kept as a timestamp at midnight (the
+    silver layer types trade / reference dates as timestamps)."""
+    return F.to_date(F.col(c)).cast("timestamp_ntz")
+
+
 def bars_from_orders(orders: DataFrame) -> DataFrame:
     """Daily bars: symbol = order priority, one bar per priority and day.
 
@@ -27,7 +33,7 @@ def bars_from_orders(orders: DataFrame) -> DataFrame:
     """
     return (orders
             .groupBy(F.col("o_orderpriority").alias("symbol"),
-                     F.to_date("o_orderdate").alias("trade_date"))
+                     _day("o_orderdate").alias("trade_date"))
             .agg(F.min_by("o_totalprice", "o_orderkey").alias("open_price"),
                  F.max("o_totalprice").alias("high_price"),
                  F.min("o_totalprice").alias("low_price"),
@@ -39,7 +45,7 @@ def series_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Daily indicator values: idx_type = return flag, value = quantity sum."""
     return (lineitem
             .groupBy(F.col("l_returnflag").alias("idx_type"),
-                     F.to_date("l_shipdate").alias("ref_date"))
+                     _day("l_shipdate").alias("ref_date"))
             .agg(F.sum("l_quantity").alias("idx_value")))
 
 
@@ -67,7 +73,7 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # DuckDB forms of the same mappings, for oracle SQL.
 BARS_SQL = """
-select o_orderpriority as symbol, cast(o_orderdate as date) as trade_date,
+select o_orderpriority as symbol, cast(cast(o_orderdate as date) as timestamp) as trade_date,
        arg_min(o_totalprice, o_orderkey) as open_price,
        max(o_totalprice) as high_price, min(o_totalprice) as low_price,
        arg_max(o_totalprice, o_orderkey) as close_price,
@@ -76,7 +82,7 @@ from orders group by 1, 2
 """
 
 SERIES_SQL = """
-select l_returnflag as idx_type, cast(l_shipdate as date) as ref_date,
+select l_returnflag as idx_type, cast(cast(l_shipdate as date) as timestamp) as ref_date,
        sum(l_quantity) as idx_value
 from lineitem group by 1, 2
 """
