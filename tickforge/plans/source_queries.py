@@ -170,8 +170,10 @@ def q_incremental_bars(spark, sf_dir):
     second run must take only the new files and drop the repeated bars."""
     root = scratch_dir(spark, "incremental")
     landing, sink, ckpt = (os.path.join(root, p) for p in ("landing", "sink", "checkpoint"))
-    docs = pl.bars_to_payloads(tb.bars(spark, sf_dir), overlap_days=5)
+    # Built once for both landings (kept in memory only while landing them).
+    docs = pl.bars_to_payloads(tb.bars(spark, sf_dir), overlap_days=5).persist()
     for i, cond in enumerate([F.col("segment") <= "1998-12", F.col("segment") > "1998-12"]):
         docs.filter(cond).drop("segment").write.mode("overwrite").json(os.path.join(landing, f"run{i}"))
         out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt)
+    docs.unpersist()
     return rounded(out)
