@@ -127,3 +127,13 @@ def test_small_helpers(spark, tmp_path):
     assert tb.read_layer(spark, "unused", str(tmp_path / "t")).count() == 2
     df.createOrReplaceTempView("layer_view")
     assert tb.read_layer(spark, "layer_view").count() == 2
+
+
+def test_payload_outcome_with_ansi_off(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        docs = [json.dumps({"results": []}), json.dumps({"results": [{"symbol": "A"}]})]
+        got = sorted((r.outcome, r.n_bars) for r in pl.payload_outcome(_payload_df(spark, docs)).collect())
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert got == [("no_history", 0), ("no_results", 0)]

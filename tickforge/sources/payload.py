@@ -96,12 +96,15 @@ def payload_outcome(payloads: DataFrame, ticker: Column | None = None) -> DataFr
     hist = first.getField("historicalDataPrice")
     malformed = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in payloads.columns
                  else F.lit(False))
+    # Null-safe sizes: with ANSI off Spark's legacy size(NULL) is -1.
+    n_results = F.when(F.col("results").isNull(), F.lit(0)).otherwise(F.size("results"))
+    n_bars = F.when(hist.isNull(), F.lit(0)).otherwise(F.size(hist))
     outcome = (F.when(malformed, "malformed")
-               .when(F.col("results").isNull() | (F.size("results") <= 0), "no_results")
-               .when(hist.isNull() | (F.size(hist) <= 0), "no_history")
+               .when(n_results == 0, "no_results")
+               .when(n_bars == 0, "no_history")
                .otherwise("ok"))
     return payloads.select(normalise_ticker(label).alias("ticker"), outcome.alias("outcome"),
-                           F.coalesce(F.size(hist), F.lit(0)).alias("n_bars"))
+                           n_bars.alias("n_bars"))
 
 
 def bars_to_payloads(bars: DataFrame, key: str = "symbol", date: str = "trade_date",
