@@ -182,3 +182,10 @@ def test_cli_refresh(spark, landing):
                 "--as-of", "2001-08-01", "--start", "01/01/1990", "--max-days", "100000"])
     assert got["gold_equity"]["rows"] == 5
     assert got["bronze_series"]["rows"] == tb.series(spark, SF).count()
+
+
+def test_cli_plans(spark):
+    from tickforge.__main__ import main
+    got = main(["plans", "--data", SF])
+    assert got["equity_perf"]["scans"] == 1 and "sort_merge_joins" not in got["equity_perf"]
+    assert all("nested_loop_joins" not in v and "python_udfs" not in v for v in got.values())
