@@ -137,3 +137,18 @@ def test_payload_outcome_with_ansi_off(spark):
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
     assert got == [("no_history", 0), ("no_results", 0)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_reformat_raises(spark, ansi):
+    from tickforge.functions.dates import reformat_date_text
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        ok = spark.createDataFrame([("02/01/2024",), (None,)], "d string")
+        assert [r.x for r in ok.select(reformat_date_text("d", strict=True).alias("x")).collect()] == ["2024-01-02", None]
+        bad = spark.createDataFrame([("2024-01-02",)], "d string")
+        with pytest.raises(Exception):
+            bad.select(reformat_date_text("d", strict=True).alias("x")).collect()
+        assert bad.select(reformat_date_text("d").alias("x")).first().x is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -29,8 +29,15 @@ def parse_date_text(c, fmt: str = BR_DATE) -> Column:
 
 def reformat_date_text(c, in_fmt: str = BR_DATE, out_fmt: str = ISO_DATE,
                        strict: bool = False) -> Column:
-    parsed = parse_date_text(c, in_fmt) if strict else try_parse_date_text(c, in_fmt)
-    return F.date_format(parsed, out_fmt)
+    """Re-format date text. ``strict`` fails the query on text that does not
+    parse (whatever the ANSI setting); otherwise such text gives NULL."""
+    parsed = try_parse_date_text(c, in_fmt)
+    out = F.date_format(parsed, out_fmt)
+    if not strict:
+        return out
+    bad = parsed.isNull() & _c(c).isNotNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"date not in format {in_fmt}: "), _c(c)))) \
+            .otherwise(out)
 
 
 def as_date(v, fmt: str = BR_DATE) -> Column:
