@@ -118,3 +118,25 @@ def test_exact_quantiles_property(spark, values, probs, final_rows, buckets):
         arr = np.array([v for k, v in values if k == key])
         for p in probs:
             assert got[(key, p)] == pytest.approx(np.quantile(arr, p), rel=1e-9, abs=1e-9)
+
+
+intraday_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60 * 24 * 45), price),
+    min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1]))
+
+
+@SETTINGS
+@given(rows=intraday_rows, segment=st.sampled_from(["day", "hour"]))
+def test_intraday_segments_equal_plain(spark, rows, segment):
+    base = dt.datetime(2024, 1, 30, 22, 0)
+    data = [(k, base + dt.timedelta(minutes=m), p, 1.0) for k, m, p in rows]
+    df = spark.createDataFrame(data, "symbol string, trade_date timestamp_ntz, close_price double, volume double")
+    seg = {(r.symbol, r.trade_date): r.daily_return for r in equity.daily_returns(df, segment=segment).collect()}
+    plain = {(r.symbol, r.trade_date): r.daily_return
+             for r in equity.daily_returns(df, method="plain").collect()}
+    assert seg.keys() == plain.keys() and all(_same(seg[k], plain[k]) for k in seg)
+    a = {r.symbol: r for r in equity.equity_performance(df, segment=segment).collect()}
+    b = {r.symbol: r for r in equity.equity_performance(df, method="two_pass", segment="month").collect()}
+    for k in a:
+        for f in ("avg_return", "volatility", "avg_price"):
+            assert _same(getattr(a[k], f), getattr(b[k], f)), (k, f)
