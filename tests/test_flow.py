@@ -189,3 +189,21 @@ def test_cli_plans(spark):
     got = main(["plans", "--data", SF])
     assert got["equity_perf"]["scans"] == 1 and "sort_merge_joins" not in got["equity_perf"]
     assert all("nested_loop_joins" not in v and "python_udfs" not in v for v in got.values())
+
+
+def test_bucketed_catalog_write_avoids_shuffle(spark):
+    from tickforge.plans.inspect import plan_summary
+    root = tempfile.mkdtemp(prefix="bucketed-")
+    spec = schemas.table_spec("prata", "tb_mkt_eqt_day")
+    db = spec.full_name.split(".")[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(root, db)}'")
+    bars = tb.bars(spark, SF)
+    layout.write_table(bars, spec=spec, bucket_by=(4, ["symbol"]))
+    t = spark.table(spec.full_name)
+    assert t.count() == bars.count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        agg = t.groupBy("symbol").agg(F.max("trade_date"))
+        assert plan_summary(agg)["hash_exchanges"] == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

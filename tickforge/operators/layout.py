@@ -30,15 +30,26 @@ def partition_by_key(df: DataFrame, key: str, date: str | None = None,
 
 def write_table(df: DataFrame, spec: TableSpec | None = None, path: str | None = None,
                 mode: str = "overwrite", partition_by: list[str] | None = None,
-                fmt: str = "parquet", observation: Observation | None = None) -> Observation:
+                fmt: str = "parquet", observation: Observation | None = None,
+                bucket_by: tuple[int, list[str]] | None = None) -> Observation:
     """Write a layer table: to ``path`` (files) or to the catalog under the
     spec's name with its comment and properties. The row count is observed
-    during the write itself (no extra counting job)."""
+    during the write itself (no extra counting job).
+
+    ``bucket_by=(n, cols)`` (catalog writes only) stores the table bucketed
+    and sorted by ``cols``, so later aggregates and joins on them read it
+    without a shuffle (the persistent form of partitioning by ticker).
+    """
     obs = observation or Observation("write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by and path:
+        raise ValueError("bucket_by needs a catalog table (spec), not a path")
+    if bucket_by:
+        n, cols = bucket_by
+        writer = writer.bucketBy(n, *cols).sortBy(*cols)
     if path:
         writer.save(path)
     else:
