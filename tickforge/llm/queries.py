@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, mixing
+from tickforge.llm import bitplane, bpe, minhash, mixing
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -60,3 +60,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents and what they decode to, as digests."""
     docs = table(spark, sf_dir, "documents")
     return bpe.digest(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents: three-word shingles, similarity of 85 % or more."""
+    docs = table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, width=3, percent=85)
