@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, minhash, mixing
+from tickforge.llm import bitplane, bpe, minhash, mixing, quality_rules
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -67,3 +67,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents: three-word shingles, similarity of 85 % or more."""
     docs = table(spark, sf_dir, "documents")
     return minhash.near_duplicates(docs, width=3, percent=85)
+
+
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over all documents, cutoffs certified on all labels, strata by language."""
+    out = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", F.array_join("reasons", ",").alias("reasons"))
