@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, minhash, mixing, quality_rules
+from tickforge.llm import bitplane, bpe, minhash, mixing, pii, quality_rules
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -75,3 +75,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data and secrets replaced by surrogates."""
+    key = spark.conf.get("spark.tickforge.surrogateKey", "set-your-own-key")
+    out = pii.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    return out.select("doc_id", "text", "n_entities")
