@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, minhash, mixing, pii, quality_rules
+from tickforge.llm import bitplane, bpe, language, minhash, mixing, pii, quality_rules
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -83,3 +83,18 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = spark.conf.get("spark.tickforge.surrogateKey", "set-your-own-key")
     out = pii.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
     return out.select("doc_id", "text", "n_entities")
+
+
+def crc_mod(key: str, n: int):
+    """Remainder of the unsigned CRC-32 of a key written as text."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; documents of remainder 2 (mod 4) are held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = language.fit(docs.filter(~held))
+    out = language.identify(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return out.drop("text")
