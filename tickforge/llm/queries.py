@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, language, minhash, mixing, pii, quality_rules
+from tickforge.llm import bitplane, bpe, language, minhash, mixing, pii, quality_cnn, quality_rules
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -98,3 +98,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.filter(~held))
     out = language.identify(docs.select("doc_id", held.alias("held_out"), "text"), model)
     return out.drop("text")
+
+
+@query
+def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; labels of remainder 1 (mod 3) are held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    model = quality_cnn.fit(docs.filter(~held), table(spark, sf_dir, "labels"))
+    return quality_cnn.classify(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
