@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, language, minhash, mixing, pii, quality_cnn, quality_rules
+from tickforge.llm import bitplane, bpe, html_mrf, language, minhash, mixing, pii, quality_cnn, quality_rules
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -107,3 +107,10 @@ def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
     model = quality_cnn.fit(docs.filter(~held), table(spark, sf_dir, "labels"))
     return quality_cnn.classify(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
+
+
+@query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    out = html_mrf.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
