@@ -36,6 +36,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The key of surrogates: a setting of the job, with a value for tests."""
+    return spark.conf.get("spark.tickforge.surrogateKey", "set-your-own-key")
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted fair queueing of all documents: words taken from each document."""
@@ -80,8 +85,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data and secrets replaced by surrogates."""
-    key = spark.conf.get("spark.tickforge.surrogateKey", "set-your-own-key")
-    out = pii.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.replace_pii(docs, surrogate_key(spark))
     return out.select("doc_id", "text", "n_entities")
 
 
