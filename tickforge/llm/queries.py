@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bitplane, bpe, html_mrf, language, minhash, mixing, pii, quality_cnn, quality_rules
+from tickforge.llm import (bitplane, bpe, embedding_dedup, html_mrf, language, minhash, mixing, pii,
+                           quality_cnn, quality_rules)
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -119,3 +120,9 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     out = html_mrf.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of the whole table, cosine of 0.95 or more."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
