@@ -48,13 +48,18 @@ def test_damage_is_noticed():
         bitplane.Reader(_Memory(b"x" * 64))
 
 
-def test_pieces_equal_whole_texts():
-    enc = bitplane.PieceEncoder(PATH)
-    assert enc.by_piece
+def test_words_equal_whole_texts():
+    enc = bitplane.WordEncoder(PATH)
+    assert enc.by_word
     rng = random.Random(2)
     bits = ["The", " ", "\n", " ", " ", "\x85", "\x1c", "İ", "Σς", "é", "́", "'s", "'ll",
             "12", "!!", "<|endoftext|>", "<|ENDOFTEXT|>", "日本", "😀", "ﬁ", "\t\t"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(rng.choice(["ab", "It's", "DON'T", "'", "x1", " ", "\x00", "\x7f", "--", "_", "`", "\n"])
+                      for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(chr(rng.choice([rng.randint(1, 0x24f), rng.randint(0xa0, 0xff), 0x20, 0x61]))
+                      for _ in range(30)) for _ in range(3000)]
+    texts += [chr(c) + "a" for c in range(1, 0x250)] + ["A" + chr(c) for c in range(1, 0x250)]
     whole = enc._run(texts)
     assert enc.encode_batch(texts) == whole
 
@@ -69,7 +74,7 @@ def test_write_and_read(spark):
     got = sorted(bitplane.read_ids(spark, folder).collect(), key=lambda r: r["start"])
     assert manifest.agg({"n_docs": "sum"}).first()[0] == len(got) == len(rows)
     assert [r["doc_id"] for r in got] == [None, *sorted(r[0] for r in rows if r[0] is not None)]
-    enc = bitplane.PieceEncoder(PATH)
+    enc = bitplane.WordEncoder(PATH)
     at, want = 0, {(r[0], enc._run([r[1] or ""])[0]) for r in rows}
     for r in got:
         assert r["start"] == at

@@ -23,8 +23,10 @@ folder's own file system; the folder must be shared by all executors.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,6 +38,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickforge.llm.bpe import byte_chars, small_batches
+
 MAGIC = b"TFPLANE1"
 BLOCK_IDS = 65_536
 
@@ -92,7 +96,7 @@ class Writer:
         end = len(ids) if all_of_it else len(ids) - len(ids) % self.block_ids
         for i in range(0, end, self.block_ids):
             block = ids[i:min(end, i + self.block_ids)]
-            planes = [self.zip(p) if any(p) else b"" for p in to_planes(block, self.kind)]
+            planes = [self.zip(p) if np.frombuffer(p, np.uint8).any() else b"" for p in to_planes(block, self.kind)]
             self.chunks.append([len(block), self.at, [len(p) for p in planes], zlib.crc32(block.tobytes())])
             for p in planes:
                 self.out.write(p)
@@ -172,51 +176,98 @@ class Reader:
                    b"".join(p.tobytes() for p in parts))
 
 
-class PieceEncoder:
-    """Whole-text encoding with the tokenizers library, one call per distinct piece.
+def _latin(kind: str) -> str:
+    """Regex ranges of the characters below U+0250 in a Unicode category."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+
 
-    Only for tokenizer files that drop white space before their word pattern and
-    normalise character by character (checked): pieces between white space are then
-    encoded on their own with the same ids as inside their text.
+class WordEncoder:
+    """Whole-text encoding with the tokenizers library, one model call per distinct word.
+
+    The library's own steps (normaliser, word pattern, model) are run, but each on what is
+    new: equal words are merged once. This needs a tokenizer file whose normaliser works
+    character by character, whose word pattern never crosses white space and drops it, and
+    which adds nothing afterwards (checked; other files go through ``encode_batch``).
     """
 
     PIECE = re.compile(r"[^\t-\r ]+")
-    REMEMBERED = 600_000
+    #: Texts of ASCII and precomposed Latin letters need no Unicode normaliser: they are
+    #: NFC already, and their lower case is the same everywhere (the dotted I is left out).
+    PLAIN = re.compile("[!-~\t-\r \u00a1-\u012f\u0131-\u017f]*")
+    #: The file's word pattern for such texts in lower case.
+    PLAIN_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_latin('L')}]+|[{_latin('N')}]"
+                            f"|[^\\t-\\r {_latin('L')}{_latin('N')}]+")
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    REMEMBERED = 300_000  # words kept between batches (a memory bound, not a cap on input)
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = spec["normalizer"]["normalizers"] if spec["normalizer"] else []
-        split = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])[0]
-        self.by_piece = (all(s["type"] in ("NFC", "Lowercase", "Replace") for s in steps)
-                         and all(s["pattern"].get("Regex") == r"\s+" and s["content"] == " "
-                                 for s in steps if s["type"] == "Replace")
-                         and split["type"] == "Split" and split["behavior"] == "Removed"
-                         and split["invert"] and r"\s\p{L}" in split["pattern"].get("Regex", "")
-                         and not spec["post_processor"])
+        cuts = spec["pre_tokenizer"].get("pretokenizers", [])
+        self.by_word = (
+            [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+            and steps[1]["pattern"].get("Regex") == r"\s+" and steps[1]["content"] == " "
+            and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"].get("Regex") == self.PATTERN
+            and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+            and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+            and not spec["post_processor"])
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.model, self.added = self.tokenizer.model, [t["content"] for t in spec["added_tokens"]]
+        self.words: dict[str, bytes] = {}
+        self.plain_words: dict[str, bytes] = {}
+        self.show = dict(enumerate(byte_chars()))
+        self.pieces: dict[str, bytes] = {}
 
     def _run(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _join(self, words: list[str], shown: bool) -> bytes:
+        """Ids of words that went through normaliser and pattern; ``shown``: as byte characters."""
+        known = self.words if shown else self.plain_words
+        ids = list(map(known.get, words))
+        for k in [k for k, x in enumerate(ids) if x is None]:
+            w = words[k]
+            if w not in known:
+                as_bytes = w if shown or w.isascii() else w.encode("utf-8").decode("latin-1").translate(self.show)
+                t = self.model.tokenize(as_bytes)
+                known[w] = struct.pack(f"<{len(t)}I", *[x.id for x in t])
+            ids[k] = known[w]
+        return b"".join(ids)
+
+    def _piece(self, piece: str) -> bytes:
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(piece))
+        return self._join([w for w, _ in cut], True)
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
+        if not self.by_word:
             return self._run(texts)
-        if len(self.known) > self.REMEMBERED:
-            self.known.clear()
-        known, parts = self.known, [self.PIECE.findall(t) for t in texts]
-        fresh = list({p for ps in parts for p in ps if p not in known})
-        known.update(zip(fresh, self._run(fresh)))
-        return [b"".join([known[p] for p in ps]) for ps in parts]
-
-
-_ENCODERS: dict[str, PieceEncoder] = {}
+        if len(self.words) + len(self.plain_words) + len(self.pieces) > self.REMEMBERED:
+            for known in (self.words, self.plain_words, self.pieces):
+                known.clear()
+        out = []
+        for t in texts:
+            if any(a in t for a in self.added):
+                out += self._run([t])
+            elif self.PLAIN.fullmatch(t):
+                out.append(self._join(self.PLAIN_WORD.findall(t.lower()), False))
+            else:
+                found = self.PIECE.findall(t)
+                ids = list(map(self.pieces.get, found))
+                for k in [k for k, x in enumerate(ids) if x is None]:
+                    ids[k] = self.pieces[found[k]] = self._piece(found[k])
+                out.append(b"".join(ids))
+        return out
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
 def _filesystem(uri: str):
@@ -244,10 +295,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: st
     def run(batches):
         from pyspark import TaskContext
 
-        from tickforge.llm.bpe import small_batches
-
         if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = PieceEncoder(tokenizer)
+            _ENCODERS[tokenizer] = WordEncoder(tokenizer)
         encoder = _ENCODERS[tokenizer]
         end = np.array([end_id], dtype="<u4").tobytes()
         target, base = _filesystem(folder)
