@@ -59,7 +59,7 @@ def source_targets(sizes: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id",
         keep: list[str] | None = None, seed: int = 20240, repeats: int = MAX_REPEATS,
-        bucket_rows: int = 20_000) -> DataFrame:
+        bucket_rows: int = 5_000) -> DataFrame:
     """Add ``size, source_size, target, copies`` to every document.
 
     ``copies`` (0 to ``repeats``) says how often the mix takes the document and
