@@ -48,7 +48,9 @@ def test_bronze_window_and_tickers(spark, landing):
     b = medallion.bronze_quotes(spark, landing, "01/01/2001", "01/08/2001", tickers=tickers)
     rows = b.select("ticker", "Date").collect()
     assert {r.ticker for r in rows} == {"1-URGENT"}
-    assert min(r.Date for r in rows) >= dt.datetime(2001, 5, 3)
+    assert min(r.Date for r in rows) < dt.datetime(2001, 5, 3)  # the whole span by default
+    cut = medallion.bronze_quotes(spark, landing, "01/01/2001", "01/08/2001", max_days=90)
+    assert cut.agg(F.min("Date")).first()[0] >= dt.datetime(2001, 5, 3)
 
 
 def test_bronze_on_error_empty(spark):
@@ -66,25 +68,24 @@ def test_write_table_path_and_catalog(spark):
                              path=os.path.join(root, "bars"))
     assert obs.get["rows"] == bars.count()
     spec = schemas.table_spec("ouro", "tb_mkt_eqt_perf")
-    db = spec.full_name.split(".")[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(root, db)}'")
-    layout.write_table(equity.equity_performance(bars), spec=spec)
-    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {spec.full_name}").collect()}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS marts LOCATION '{os.path.join(root, 'marts')}'")
+    layout.write_table(equity.equity_performance(bars), spec=spec, database="marts")
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {spec.name_in('marts')}").collect()}
     assert props["quality"] == "gold"
-    assert spark.table(spec.full_name).count() == 5
+    assert spark.table(spec.name_in("marts")).count() == 5
 
 
-@pytest.mark.parametrize("state_store", [None, "rocksdb"])
-def test_incremental_takes_only_new_files(spark, state_store):
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_incremental_takes_only_new_files(spark, max_files):
     root = tempfile.mkdtemp(prefix="inc-")
     landing, sink, ckpt = (os.path.join(root, p) for p in ("landing", "sink", "ckpt"))
     docs = pl.bars_to_payloads(tb.bars(spark, SF), overlap_days=5).drop("segment")
-    docs.filter(F.get("results", 0)["historicalDataPrice"][0]["date"] < 946684800) \
+    docs.filter(F.get("results", 0)["historicalDataPrice"][0]["date"].cast("long") < 946684800) \
         .write.json(os.path.join(landing, "a"))
-    first = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, state_store=state_store).count()
-    docs.filter(F.get("results", 0)["historicalDataPrice"][0]["date"] >= 946684800) \
+    first = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=max_files).count()
+    docs.filter(F.get("results", 0)["historicalDataPrice"][0]["date"].cast("long") >= 946684800) \
         .write.json(os.path.join(landing, "b"))
-    out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, state_store=state_store)
+    out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=max_files)
     n_bars = tb.bars(spark, SF).count()
     assert 0 < first < n_bars
     assert out.count() == n_bars
@@ -106,11 +107,18 @@ def test_refresh_layers(spark, landing):
                                    "01/01/1990", "01/08/2001", as_of="2001-11-04", max_days=None)
     n_bars, n_series = tb.bars(spark, SF).count(), s.count()
     assert got["bronze_quotes"]["rows"] == got["silver_quotes"]["rows"] == n_bars
-    assert got["bronze_series"]["rows"] == got["silver_series"]["rows"] == n_series
+    named = s.filter("idx_type in ('R', 'A')").count()  # code 12 is not in the map: nobody asked for it
+    assert 0 < named < n_series
+    assert got["bronze_series"]["rows"] == got["silver_series"]["rows"] == named
+    assert got["quote_documents"] == {"ok": pl.bars_to_payloads(tb.bars(spark, SF)).count()}
+    assert got["series_dropped"]["12"][1] == 0 and set(got["series_dropped"]) == {"12", "433", "1178"}
+    assert not any(got["bronze_nulls"]["bronze_quotes"].values())
+    sq = spark.read.parquet(os.path.join(root, "silver_quotes"))
+    assert "PartitionFilters: [isnotnull(ref_month" in sq.filter("ref_month >= '2001-01'")._jdf.queryExecution().toString()
     assert got["silver_quotes_checks"]["valid_close"] == 0
     assert got["gold_equity"]["rows"] == 5
     gm = spark.read.parquet(os.path.join(root, "gold_macro"))
-    assert {r.idx_type for r in gm.select("idx_type").distinct().collect()} == {"selic", "ipca", "12"}
+    assert {r.idx_type for r in gm.select("idx_type").distinct().collect()} == {"selic", "ipca"}
     assert gm.columns == ["idx_type", "ano", "mes", "ano_mes", "media_mensal", "minimo_mensal",
                           "maximo_mensal", "variacao_mes_anterior", "primeira_data_mes",
                           "ultima_data_mes", "num_medicoes", "last_update", "trend_6m"]
@@ -125,6 +133,12 @@ def test_latest_per_key_keeps_latest(spark):
     got = sorted(tuple(r) for r in latest_per_key(df, ["k", "d"]).collect())
     assert got == [("A", 1, 11.0, dt.datetime(2024, 1, 2)), ("A", 2, 5.0, dt.datetime(2024, 1, 1)),
                    ("B", 1, None, dt.datetime(2024, 1, 3))]
+    # A row without a stamp is kept if it is the only one, and loses to any other; ties are settled.
+    rows = [("A", 1, 1.0, None), ("B", 1, 2.0, None), ("B", 1, 3.0, dt.datetime(2024, 1, 1)),
+            ("C", None, 5.0, None), ("C", None, 6.0, None)]
+    df = spark.createDataFrame(rows, df.schema).repartition(3)
+    got = sorted((tuple(r)[:3] for r in latest_per_key(df, ["k", "d"]).collect()), key=str)
+    assert got == [("A", 1, 1.0), ("B", 1, 3.0), ("C", None, 6.0)]
 
 
 def test_bronze_series_window(spark):
@@ -136,27 +150,94 @@ def test_bronze_series_window(spark):
     assert sorted((r.serie, r.valor) for r in out.collect()) == [("ipca", 3.0), ("selic", 2.0)]
 
 
-def test_incremental_drops_rows_older_than_watermark(spark):
-    """Documented limit: a bar landing after the watermark passed its date is
-    late and dropped (backfills go through the batch path)."""
+def _document(sym, bars, extra=""):
     import json
+    doc = {"results": [{"historicalDataPrice": [
+        {"date": e, "open": c, "high": c, "low": c, "close": c, "volume": 1} for e, c in bars]}]}
+    if sym:
+        doc["results"][0]["symbol"] = sym
+    return json.dumps(doc) + extra + "\n"
+
+
+def _land(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_incremental_loses_no_late_bar(spark, max_files):
     root = tempfile.mkdtemp(prefix="late-")
     landing, sink, ckpt = (os.path.join(root, p) for p in ("landing", "sink", "ckpt"))
-
-    def doc(sym, epoch, close):
-        return json.dumps({"results": [{"symbol": sym, "historicalDataPrice": [
-            {"date": epoch, "open": close, "high": close, "low": close, "close": close, "volume": 1}]}]})
-    os.makedirs(os.path.join(landing, "a"))
-    with open(os.path.join(landing, "a", "x.json"), "w") as f:
-        f.write(doc("A", 1717200000, 1.0) + "\n")           # 2024-06-01
-    incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, watermark="7 days")
-    os.makedirs(os.path.join(landing, "b"))
-    with open(os.path.join(landing, "b", "y.json"), "w") as f:
-        f.write(doc("A", 1714521600, 2.0) + "\n")           # 2024-05-01: older than watermark
-        f.write(doc("A", 1717286400, 3.0) + "\n")           # 2024-06-02: new
-        f.write(doc("A", 1717200000, 9.0) + "\n")           # repeat of 2024-06-01: dropped
-    out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, watermark="7 days")
-    assert sorted(r.Close for r in out.collect()) == [1.0, 3.0]
+    day = 86400
+    def run(k):
+        return incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=max_files,
+                                  run_ts=dt.datetime(2024, 7, 1 + k))
+    _land(os.path.join(landing, "a"), "x.json", _document("A", [(1717200000 + k * day, 1.0) for k in range(90)]))
+    assert run(0).count() == 90
+    # A new ticker with old bars, files without a symbol (named by their file), a correction, a missing date.
+    _land(os.path.join(landing, "b"), "y.json", _document("B", [(1680000000 + k * day, 2.0) for k in range(90)]))
+    _land(os.path.join(landing, "b"), "PETR4.json", _document(None, [(1717200000 + k * day, 3.0) for k in range(3)]))
+    _land(os.path.join(landing, "b"), "VALE3.SA.json", _document(None, [(1717200000 + k * day, 4.0) for k in range(3)]))
+    _land(os.path.join(landing, "b"), "z.json", _document("A", [(1717200000, 9.0), (None, 8.0)]))
+    out = run(1)
+    got = {(r.ticker, r.n) for r in out.groupBy("ticker").agg(F.count("*").alias("n")).collect()}
+    assert got == {("A", 90), ("B", 90), ("PETR4", 3), ("VALE3", 3)}
+    assert out.schema.fieldNames() == schemas.BRONZE_QUOTES.fieldNames()
+    first = out.filter("ticker = 'A'").orderBy("Date").first()
+    assert first.Close == 9.0 and first.ingestion_timestamp == dt.datetime(2024, 7, 2)
+    from tickforge.streaming.incremental import compact_increments
+    whole = sorted(map(tuple, out.collect()))
+    folded = compact_increments(spark, sink, os.path.join(root, "sink2"))
+    assert sorted(map(tuple, folded.collect())) == whole
+
+
+def test_incremental_with_nothing_landed(spark):
+    root = tempfile.mkdtemp(prefix="none-")
+    os.makedirs(os.path.join(root, "landing", "a"))
+    out = incremental_quotes(spark, os.path.join(root, "landing", "*"), os.path.join(root, "s"), os.path.join(root, "c"))
+    assert out.count() == 0
+
+
+def test_overlaps_count_once_and_old_spans_are_kept(spark):
+    bars = tb.bars(spark, SF)
+    docs = pl.bars_to_payloads(bars, overlap_days=5)
+    bronze = medallion.bronze_quotes(spark, docs, "01/01/1990", "01/08/2001")
+    assert bronze.count() == bars.count()  # neither doubled nor cut to the last days
+
+
+def test_multi_line_and_broken_documents(spark):
+    root = tempfile.mkdtemp(prefix="multi-")
+    _land(root, "PETR4.json", _document(None, [(1717200000, 3.0)]).replace(",", ",\n  "))
+    _land(root, "VALE3.json", "{\n \"results\": [")
+    rows = medallion.bronze_quotes(spark, root, "01/01/2024", "31/12/2024", multi_line=True)
+    assert [(r.ticker, r.Close) for r in rows.collect()] == [("PETR4", 3.0)]
+    per_doc = pl.payload_outcome(pl.read_quote_payloads(spark, root, True),
+                                 F.coalesce(pl.payload_ticker(), pl.ticker_from_file()))
+    assert {(r.ticker, r.outcome) for r in per_doc.collect()} == {("PETR4", "ok"), ("VALE3", "malformed")}
+
+
+def test_refresh_reports_requested_tickers_and_uses_the_catalog(spark):
+    root = tempfile.mkdtemp(prefix="cat-")
+    landing = os.path.join(root, "landing")
+    _land(landing, "PETR4.json", _document(None, [(1717200000, 3.0), (1717286400, 4.0)]))
+    _land(landing, "VALE3.json", "{broken")
+    _land(landing, "XXXX9.json", _document("XXXX9", [(1717200000, 3.0)]))
+    for db in ("raw", "curated", "marts2"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(root, db)}'")
+    landed = spark.createDataFrame([(1178, "02/01/2019", "1"), (1178, "02/01/2024", "x"), (1178, "03/01/2024", "2"),
+                                    (77, "03/01/2024", "2")], "code int, data string, valor string")
+    dbs = {"bronze": "raw", "prata": "curated", "ouro": "marts2"}
+    got = medallion.refresh_layers(spark, landing, landed, '{"selic": 1178}', None, "01/01/2024", "31/12/2024",
+                                   as_of="2024-12-31", tickers=["petr4.SA", "VALE3", "NONE1"], series_start="01/01/2020",
+                                   null_fill=None, databases=dbs)
+    assert got["quote_sources"] == {"PETR4": "ok", "VALE3": "malformed", "NONE1": "no_data"}
+    assert got["quote_documents"] == {"ok": 2, "malformed": 1}
+    assert got["bronze_quotes"]["rows"] == 2 and got["bronze_series"]["rows"] == 1
+    assert got["series_dropped"] == {"1178": [3, 1], "77": [1, 0]}
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES curated.tb_mkt_eqt_day").collect()}
+    assert props["quality"] == "silver"
+    assert spark.table("marts2.tb_mkt_eqt_perf").count() == 1
 
 
 def test_refresh_layers_drop_mode_does_not_wait_for_metrics(spark, landing):
@@ -179,9 +260,9 @@ def test_cli_refresh(spark, landing):
                                 F.col("idx_value").cast("string").alias("valor")) \
         .write.option("header", True).csv(series_csv)
     got = main(["refresh", "--quotes", landing, "--series", series_csv, "--out", os.path.join(root, "out"),
-                "--as-of", "2001-08-01", "--start", "01/01/1990", "--max-days", "100000"])
+                "--as-of", "2001-08-01", "--start", "01/01/1990", "--series-start", "01/01/1990"])
     assert got["gold_equity"]["rows"] == 5
-    assert got["bronze_series"]["rows"] == tb.series(spark, SF).count()
+    assert got["bronze_series"]["rows"] == tb.series(spark, SF).count()  # all codes are in the default map
 
 
 def test_cli_plans(spark):
@@ -195,11 +276,10 @@ def test_bucketed_catalog_write_avoids_shuffle(spark):
     from tickforge.plans.inspect import plan_summary
     root = tempfile.mkdtemp(prefix="bucketed-")
     spec = schemas.table_spec("prata", "tb_mkt_eqt_day")
-    db = spec.full_name.split(".")[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(root, db)}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bucketed LOCATION '{os.path.join(root, 'bucketed')}'")
     bars = tb.bars(spark, SF)
-    layout.write_table(bars, spec=spec, bucket_by=(4, ["symbol"]))
-    t = spark.table(spec.full_name)
+    layout.write_table(bars, spec=spec, bucket_by=(4, ["symbol"]), database="bucketed")
+    t = spark.table(spec.name_in("bucketed"))
     assert t.count() == bars.count()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

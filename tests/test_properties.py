@@ -140,3 +140,16 @@ def test_intraday_segments_equal_plain(spark, rows, segment):
     for k in a:
         for f in ("avg_return", "volatility", "avg_price"):
             assert _same(getattr(a[k], f), getattr(b[k], f)), (k, f)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 200)),
+                          st.integers(1, 9)), min_size=1, max_size=40))
+def test_segmented_equals_plain_with_nulls(spark, rows):
+    """NULL symbols and NULL dates keep their previous close; ties are settled by price."""
+    import datetime as dt
+    data = [(k, None if d is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=d), float(p)) for k, d, p in rows]
+    df = spark.createDataFrame(data, "symbol string, trade_date timestamp, close_price double")
+    a = equity.daily_returns(df, method="plain").select("symbol", "trade_date", "close_price", "prev_close")
+    b = equity.daily_returns(df).select("symbol", "trade_date", "close_price", "prev_close")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)

@@ -45,9 +45,10 @@ def test_source_status(spark):
 
 
 def test_registry():
-    assert schemas.table_name("prata", "tb_mkt_eqt_day") == "aafn_tgt.tb_mkt_eqt_day"
+    assert schemas.table_name("prata", "tb_mkt_eqt_day") == "silver.tb_mkt_eqt_day"
+    assert schemas.table_name("prata", "tb_mkt_eqt_day", database="curated") == "curated.tb_mkt_eqt_day"
     assert schemas.table_name("silver", "tb_mkt_eqt_day", with_schema=False) == "tb_mkt_eqt_day"
-    assert schemas.table_metadata("ouro", "tb_mkt_idx_dash")["alias"] == "Dashboard Macro"
+    assert schemas.table_spec("ouro", "tb_mkt_idx_dash").alias == "Dashboard Macro"
     with pytest.raises(ValueError):
         schemas.table_name("platinum", "x")
     with pytest.raises(ValueError):
@@ -64,9 +65,19 @@ def test_require_columns(spark):
 def test_cluster_settings():
     from tickforge.session import cluster_settings
     s = cluster_settings(100 * 1024 ** 4, cores=4000)
-    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 1024 * 8 + 1  # 128 MB partitions
+    assert int(s["spark.sql.shuffle.partitions"]) == 40_000  # bounded, whatever the input
     assert s["spark.sql.files.maxPartitionBytes"] == "512m"
     assert int(cluster_settings(10, cores=8)["spark.sql.shuffle.partitions"]) == 16
+    assert int(cluster_settings(1024 ** 4, cores=8)["spark.sql.shuffle.partitions"]) == 410
+
+
+def test_checkpoint_folder_is_needed_off_local():
+    from types import SimpleNamespace
+    from tickforge.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
 
 
 def test_contract_diff(spark):

@@ -51,8 +51,9 @@ def as_date(v, fmt: str = BR_DATE) -> Column:
     return F.to_date(v)
 
 
-def clamp_start(start, end, max_days: int | None = 90, fmt: str = BR_DATE) -> Column:
-    """Cut a requested span to the last ``max_days`` days before ``end``."""
+def clamp_start(start, end, max_days: int | None = None, fmt: str = BR_DATE) -> Column:
+    """Start of a requested span; ``max_days`` cuts it to the last days before
+    ``end`` (the limit of a data service's plan, only on request)."""
     s, e = as_date(start, fmt), as_date(end, fmt)
     if max_days is None:
         return s

@@ -91,10 +91,10 @@ def dropped_per_series(df: DataFrame, date: str = "data", value: str = "valor",
     )
 
 
-def date_window(df: DataFrame, start, end, date: str = "Date", max_days: int | None = 90,
+def date_window(df: DataFrame, start, end, date: str = "Date", max_days: int | None = None,
                 fmt: str = "d/M/yyyy") -> DataFrame:
-    """Keep ``start' <= date <= end 00:00`` where ``start'`` is ``start`` cut to
-    the last ``max_days`` days before ``end``. With literal dates Catalyst
+    """Keep ``start' <= date <= end 00:00`` where ``start'`` is ``start``, cut to
+    the last ``max_days`` days before ``end`` if that is given. With literal dates Catalyst
     folds both bounds to constants and pushes them to the scan."""
     lo = clamp_start(start, end, max_days, fmt).cast("timestamp")
     hi = end_of_day_bound(end, fmt)

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.numeric import safe_ratio, simple_return
 
-# Segment keys, coarsest first. Each starts with 'yyyy-MM', so a segment's
-# month is its first 7 characters.
-_SEGMENTS = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH"}
+# Segments (units of ``date_trunc``), coarsest first.
+_SEGMENTS = ("month", "day", "hour")
 
 
 def choose_segment(df: DataFrame, key: str = "symbol", date: str = "trade_date",
@@ -50,7 +49,7 @@ def _resolve(df: DataFrame, key: str, date: str, segment: str) -> str:
 def _segment(date: str, segment: str):
     if segment not in _SEGMENTS:
         raise ValueError(f"segment must be one of {sorted(_SEGMENTS)}")
-    return F.date_format(F.col(date), _SEGMENTS[segment])
+    return F.date_trunc(segment, F.col(date))
 
 
 def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
@@ -64,7 +63,7 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
     holding a whole key in one task.
     """
     if method == "plain":
-        w = Window.partitionBy(key).orderBy(date)
+        w = Window.partitionBy(key).orderBy(date, price)
         prev = F.lag(price).over(w)
         return df.withColumn(prev_out, prev).withColumn(out, simple_return(price, prev_out))
     if method != "segmented":
@@ -72,7 +71,9 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
     segment = _resolve(df, key, date, segment)
 
     seg = "__seg"
-    w = Window.partitionBy(key, seg).orderBy(date)
+    # Rows of one date are ordered by price, so reruns agree. NULL dates are a
+    # segment of their own that comes first, and NULL keys a key.
+    w = Window.partitionBy(key, seg).orderBy(date, price)
     rows = (df.withColumn(seg, _segment(date, segment))
             .withColumn("__prev_in", F.lag(price).over(w))
             .withColumn("__first", F.row_number().over(w) == 1))
@@ -83,15 +84,16 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
     # shuffled once, for the window, and the join on (key, segment) reuses
     # that partitioning.
     seg_last = (df.withColumn(seg, _segment(date, segment))
-                .groupBy(key, seg).agg(F.max_by(price, date).alias("__seg_last")))
+                .groupBy(key, seg).agg(F.max(F.struct(date, price)).alias("__last"))
+                .select(key, seg, F.col("__last")[price].alias("__seg_last")))
     seg_prev = seg_last.withColumn(
         "__seg_prev", F.lag("__seg_last").over(Window.partitionBy(key).orderBy(seg))
-    ).select(key, seg, "__seg_prev")
-    out_df = (rows.join(seg_prev, [key, seg], "left")
+    ).select(F.col(key).alias("__pk"), F.col(seg).alias("__pseg"), "__seg_prev")
+    out_df = (rows.join(seg_prev, F.col(key).eqNullSafe(F.col("__pk")) & F.col(seg).eqNullSafe(F.col("__pseg")), "left")
               .withColumn(prev_out, F.when(F.col("__first"), F.col("__seg_prev"))
                           .otherwise(F.col("__prev_in")))
               .withColumn(out, simple_return(price, prev_out)))
-    return out_df.drop(seg, "__prev_in", "__first", "__seg_prev")
+    return out_df.drop(seg, "__prev_in", "__first", "__seg_prev", "__pk", "__pseg")
 
 
 def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | None,
@@ -109,12 +111,12 @@ def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | N
         raise ValueError(f"segment must be one of {sorted(_SEGMENTS)}")
     seg = "__seg"
     rows = df.withColumn(seg, _segment(date, segment))
-    w = Window.partitionBy(key, seg).orderBy(date)
+    w = Window.partitionBy(key, seg).orderBy(date, price)
     rows = rows.withColumn("__r", simple_return(price, F.lag(price).over(w)))
     aggs = [
         F.sum("__r").alias("__sum_r"), F.count("__r").alias("__n_r"),
-        F.min_by(price, date).alias("__first_close"),
-        F.max_by(price, date).alias("__last_close"),
+        F.min(F.struct(date, price))[price].alias("__first_close"),
+        F.max(F.struct(date, price))[price].alias("__last_close"),
         F.sum(price).alias("__sum_p"), F.count(price).alias("__n_p"),
         F.max(date).alias("__max_date"),
     ]
@@ -129,7 +131,7 @@ def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | N
             .withColumn("__tot_r", F.coalesce(F.col("__sum_r"), F.lit(0.0))
                         + F.coalesce(F.col("__first_r"), F.lit(0.0)))
             .withColumn("__tot_n", F.col("__n_r") + F.when(F.col("__first_r").isNotNull(), 1).otherwise(0))
-            .withColumn("ano_mes", F.substring(seg, 1, 7)))
+            .withColumn("ano_mes", F.date_format(seg, "yyyy-MM")))
     if segment != "month":
         sums = ["__tot_r", "__tot_n", "__sum_p", "__n_p"] + (["__sum_v", "__n_v"] if volume else [])
         segs = segs.groupBy(key, "ano_mes").agg(

@@ -43,6 +43,12 @@ def as_of_col(as_of) -> Column:
     return F.to_date(F.lit(text))
 
 
+def until(df: DataFrame, as_of, date: str = "ref_date") -> DataFrame:
+    """Rows known on ``as_of``: with an explicit day nothing after that day is
+    read, so a past result repeats. "Now" (None) has no upper bound."""
+    return df if as_of is None else df.filter(F.col(date) < F.date_add(as_of_col(as_of), 1))
+
+
 def _epoch(date: str) -> Column:
     return F.unix_timestamp(F.col(date).cast("timestamp"))
 
@@ -50,12 +56,10 @@ def _epoch(date: str) -> Column:
 def monthly_rollup(df: DataFrame, key: str = "idx_type", date: str = "ref_date",
                    value: str = "idx_value", extra_aggs=()) -> DataFrame:
     """Per key and calendar month: mean, min, max, first / last date, row count."""
-    return df.groupBy(
-        key,
-        F.year(date).alias("ano"),
-        F.month(date).alias("mes"),
-        F.date_format(date, "yyyy-MM").alias("ano_mes"),
-    ).agg(
+    # Grouped by the month's first instant; year, month and text follow from it
+    # after the aggregate, so no text is made or shuffled per row.
+    month = F.date_trunc("month", F.col(date))
+    monthly = df.groupBy(key, month.alias("__month")).agg(
         F.avg(value).alias("media_mensal"),
         F.min(value).alias("minimo_mensal"),
         F.max(value).alias("maximo_mensal"),
@@ -64,6 +68,10 @@ def monthly_rollup(df: DataFrame, key: str = "idx_type", date: str = "ref_date",
         F.count(F.lit(1)).alias("num_medicoes"),
         *extra_aggs,
     )
+    rest = [c for c in monthly.columns if c not in (key, "__month")]
+    return monthly.select(
+        key, F.year("__month").alias("ano"), F.month("__month").alias("mes"),
+        F.date_format("__month", "yyyy-MM").alias("ano_mes"), *rest)
 
 
 def month_over_month(monthly: DataFrame, key: str = "idx_type") -> DataFrame:
@@ -86,7 +94,7 @@ def trend_6m(df: DataFrame, as_of=None, key: str = "idx_type", date: str = "ref_
     """Least-squares slope of value on epoch seconds over the trailing months."""
     since = F.add_months(as_of_col(as_of), -months)
     slope = F.regr_slope(F.col(value), _epoch(date).cast("double"))
-    out = df.filter(F.col(date) >= since).groupBy(key).agg(slope.alias("trend_6m"))
+    out = until(df, as_of, date).filter(F.col(date) >= since).groupBy(key).agg(slope.alias("trend_6m"))
     if fill_zero:
         out = out.withColumn("trend_6m", F.coalesce(F.col("trend_6m"), F.lit(0.0)))
     return out
@@ -105,13 +113,13 @@ def _window_change(df: DataFrame, since: Column, key: str, date: str, value: str
 def mtd_change(df: DataFrame, as_of=None, key: str = "idx_type", date: str = "ref_date",
                value: str = "idx_value") -> DataFrame:
     """Month-to-date change: earliest vs latest value since the month start."""
-    return _window_change(df, F.trunc(as_of_col(as_of), "MM"), key, date, value, "mtd")
+    return _window_change(until(df, as_of, date), F.trunc(as_of_col(as_of), "MM"), key, date, value, "mtd")
 
 
 def ytd_change(df: DataFrame, as_of=None, key: str = "idx_type", date: str = "ref_date",
                value: str = "idx_value") -> DataFrame:
     """Year-to-date change: earliest vs latest value since January 1st."""
-    return _window_change(df, F.trunc(as_of_col(as_of), "YEAR"), key, date, value, "ytd")
+    return _window_change(until(df, as_of, date), F.trunc(as_of_col(as_of), "YEAR"), key, date, value, "ytd")
 
 
 def current_value(df: DataFrame, as_of=None, key: str = "idx_type", date: str = "ref_date",
@@ -128,6 +136,7 @@ def macro_summary(df: DataFrame, as_of=None, key: str = "idx_type", date: str =
                   value: str = "idx_value", months: int = 6) -> DataFrame:
     """One row per key with the registry's dashboard columns: current_value,
     mtd_change, ytd_change, trend_6m, last_update — one aggregate, one scan."""
+    df = until(df, as_of, date)
     a = as_of_col(as_of)
     d = F.col(date)
 
@@ -160,7 +169,12 @@ DASHBOARD_COLUMNS = [
 def macro_dashboard(df: DataFrame, as_of=None, key: str = "idx_type", date: str = "ref_date",
                     value: str = "idx_value", months: int = 6, method: str = "one_pass",
                     sort: bool = True) -> DataFrame:
-    """Monthly dashboard per indicator (13 columns, see ``DASHBOARD_COLUMNS``)."""
+    """Monthly dashboard per indicator (13 columns, see ``DASHBOARD_COLUMNS``).
+
+    With an explicit ``as_of`` the dashboard is the one of that day: later rows
+    count in none of its columns.
+    """
+    df = until(df, as_of, date)
     if method == "join":
         monthly = with_last_update(month_over_month(monthly_rollup(df, key, date, value), key), key)
         trend = trend_6m(df, as_of, key, date, value, months, fill_zero=False)

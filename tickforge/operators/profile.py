@@ -44,16 +44,20 @@ def describe(df: DataFrame, columns: list[str] | None = None, by: str | None = N
         ids, columns, "column_name", "value")
     long = long.withColumn("value", F.nanvl(F.col("value"), F.lit(None).cast("double")))
     keys = ids + ["column_name"]
-    # Moments ride along in the quantiles' per-group aggregate: one scan.
-    moments = [F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("std")]
-    q, stats = exact_quantiles(long, "value", DESCRIBE_PROBS, group=keys,
-                               extra_aggs=moments, with_stats=True)
-    qw = q.groupBy(*keys).agg(*[
+    # NULL values stay in the moments' aggregate, so a column (or key) without
+    # any value is reported with count 0; the quantiles skip them.
+    moments = long.groupBy(*keys).agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    q = exact_quantiles(long, "value", DESCRIBE_PROBS, group=keys)
+    qw = q.groupBy(*[F.col(k).alias(f"__q_{k}") for k in keys]).agg(*[
         F.max(F.when(F.col("p") == F.lit(p), F.col("quantile"))).alias(name)
         for p, name in zip(DESCRIBE_PROBS, ["q25", "q50", "q75"])])
-    stats = stats.select(*keys, F.col("__n").alias("count"), "mean", "std",
-                         F.col("__lo").alias("min"), F.col("__hi").alias("max"))
-    out = stats.join(qw, keys, "left")
+    same = [F.col(k).eqNullSafe(F.col(f"__q_{k}")) for k in keys]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    out = moments.join(qw, cond, "left")
     return out.select(*keys, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

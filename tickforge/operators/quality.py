@@ -76,6 +76,7 @@ def apply_checks(df: DataFrame, checks: list[Check], mode: str = "warn",
 
 # Status labels of the per-key source outcome.
 STATUS_NO_DATA = "no_data"
+STATUS_MALFORMED = "malformed"
 STATUS_NO_HISTORY = "no_history"
 STATUS_NONE_IN_PERIOD = "none_in_period"
 STATUS_ALL_INVALID = "all_invalid"
@@ -84,7 +85,7 @@ STATUS_OK = "ok"
 
 def source_status(requested: DataFrame, rows: DataFrame, start, end, key: str = "symbol",
                   date: str = "trade_date", value: str = "close_price",
-                  max_days: int | None = 90, fmt: str = "d/M/yyyy") -> DataFrame:
+                  max_days: int | None = None, fmt: str = "d/M/yyyy") -> DataFrame:
     """Per requested key: (key, status, rows_total, rows_in_period, rows_valid).
 
     ``rows`` are the fetched bars (NULL value = unparseable). Per-key counts
@@ -109,3 +110,43 @@ def source_status(requested: DataFrame, rows: DataFrame, start, end, key: str =
               .when(F.col("rows_valid") == 0, STATUS_ALL_INVALID)
               .otherwise(STATUS_OK))
     return out.withColumn("status", status)
+
+
+def source_outcome(requested: DataFrame, documents: DataFrame, bars: DataFrame, start=None, end=None,
+                   key: str = "symbol", bar_key: str = "ticker", date: str = "Date", value: str = "Close",
+                   fmt: str = "d/M/yyyy") -> DataFrame:
+    """One status per requested key over the whole ladder: no document landed
+    (or none with results), only malformed documents, no history, no bar in the
+    period, no valid value, ok.
+
+    ``documents`` is :func:`tickforge.sources.payload.payload_outcome`. Both
+    sides are counted per key before they meet the requested list, so one
+    short row a key is joined.
+    """
+    from tickforge.functions.dates import as_date, end_of_day_bound
+
+    docs = documents.groupBy(F.col("ticker").alias("__dk")).agg(
+        F.count(F.lit(1)).alias("documents"),
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in ("malformed", "no_results", "no_history")])
+    d = F.col(date).cast("timestamp")
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (d >= as_date(start, fmt).cast("timestamp"))
+    if end is not None:
+        inside = inside & (d <= end_of_day_bound(end, fmt))
+    rows = bars.groupBy(F.col(bar_key).alias("__bk")).agg(
+        F.count(F.lit(1)).alias("rows_total"), F.count_if(inside).alias("rows_in_period"),
+        F.count_if(inside & F.col(value).isNotNull() & ~F.isnan(F.col(value))).alias("rows_valid"))
+    counts = ["documents", "malformed", "no_results", "no_history", "rows_total", "rows_in_period", "rows_valid"]
+    out = (requested.select(key).distinct()
+           .join(docs, F.col(key) == F.col("__dk"), "left").join(rows, F.col(key) == F.col("__bk"), "left")
+           .na.fill(0, subset=counts))
+    n = F.col
+    status = (F.when(n("rows_valid") > 0, STATUS_OK)
+              .when(n("rows_in_period") > 0, STATUS_ALL_INVALID)
+              .when(n("rows_total") > 0, STATUS_NONE_IN_PERIOD)
+              .when((n("documents") > 0) & (n("malformed") == n("documents")), STATUS_MALFORMED)
+              .when(n("no_history") > 0, STATUS_NO_HISTORY)
+              .when(n("documents") > n("malformed") + n("no_results"), STATUS_NONE_IN_PERIOD)
+              .otherwise(STATUS_NO_DATA))
+    return out.select(key, *counts, status.alias("status"))

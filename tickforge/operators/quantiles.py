@@ -4,7 +4,7 @@ without gathering an unbounded group into one task.
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which does not hold for a hot group at scale. Here:
 
-1. per group: n, min, max (one two-phase aggregate, kept in memory: it has
+1. per group: n, min, max (one two-phase aggregate, checkpointed: it has
    one row per group); target ranks ``floor/ceil(p * (n - 1))``;
 2. groups with at most ``final_rows`` values are ranked by a window over
    the group (bounded by ``final_rows``);
@@ -54,7 +54,7 @@ def _rank_in_group(vals: DataFrame, g: list[str], probs: list[float]) -> DataFra
 
 
 def _refine(vals: DataFrame, stats: DataFrame, g: list[str], probs: list[float], buckets: int,
-            final_rows: int, max_rounds: int, small) -> DataFrame:
+            final_rows: int, small) -> DataFrame:
     """Large groups: histogram refinement of each target rank's bracket."""
     pos = F.col("p") * (F.col("__n") - 1)
     targets = (stats.select(*g, "__n", "__lo", "__hi",
@@ -72,7 +72,9 @@ def _refine(vals: DataFrame, stats: DataFrame, g: list[str], probs: list[float],
             (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
 
     state = ranks.withColumn("__open", F.col("__lo") < F.col("__hi")).checkpoint()
-    for _ in range(max_rounds):
+    # Every round cuts a bracket's width by ``buckets``. Finite doubles span a
+    # ratio of about 2**2098, so this ends after 175 rounds at the very worst.
+    while True:
         open_state = state.filter(F.col("__open") & (F.col("__cnt") > final_rows))
         if open_state.limit(1).count() == 0:
             break
@@ -114,12 +116,15 @@ def _refine(vals: DataFrame, stats: DataFrame, g: list[str], probs: list[float],
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
-                    buckets: int = 4096, final_rows: int = 100_000, max_rounds: int = 40,
+                    buckets: int = 4096, final_rows: int = 100_000,
                     broadcast_rows: int = 100_000, extra_aggs=(), with_stats: bool = False):
     """-> DataFrame(*group, p, quantile); with ``with_stats`` also the
     per-group stats frame (n, min, max and ``extra_aggs`` over ``value``)."""
     ensure_checkpoint_dir(df.sparkSession)
-    g = list(group or [])
+    # Group columns travel in structs: a NULL in a struct equals itself in joins.
+    names = list(group or [])
+    g = [f"__key{i}" for i in range(len(names))]
+    df = df.select(*[F.struct(F.col(n).alias("k")).alias(k) for n, k in zip(names, g)], F.col(value).alias(value))
     vals = df.select(*g, F.col(value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v"))
     drop_g = not g
@@ -128,7 +133,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
         g = ["__g0"]
 
     stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                 F.max("__v").alias("__hi"), *extra_aggs).persist()
+                                 F.max("__v").alias("__hi"), *extra_aggs).checkpoint()
     big = F.col("__n") > final_rows
     agg = stats.agg(F.count(F.lit(1)).alias("groups"), F.count_if(big).alias("big"),
                     F.count_if(~big).alias("small")).first()
@@ -141,13 +146,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
     if agg["big"] == 0:
         parts.append(_rank_in_group(vals, g, probs))
     elif agg["small"] == 0:
-        parts.append(_refine(vals, stats, g, probs, buckets, final_rows, max_rounds, small))
+        parts.append(_refine(vals, stats, g, probs, buckets, final_rows, small))
     else:
         small_keys, big_keys = stats.filter(~big).select(*g), stats.filter(big).select(*g)
         parts.append(_rank_in_group(vals.join(small(small_keys), g, "left_semi"), g, probs))
         parts.append(_refine(vals.join(small(big_keys), g, "left_semi"), stats.filter(big), g, probs,
-                             buckets, final_rows, max_rounds, small))
+                             buckets, final_rows, small))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if drop_g:
         out, stats = out.drop("__g0"), stats.drop("__g0")
+    for k, n in zip(g, names):
+        out, stats = (f.withColumn(k, F.col(k)["k"]).withColumnRenamed(k, n) for f in (out, stats))
     return (out, stats) if with_stats else out

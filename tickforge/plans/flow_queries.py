@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from tickforge.operators import equity, profile
+from tickforge.operators import equity, macro, profile, quality
 from tickforge.plans import medallion
 from tickforge.plans.registry import (BARS, EQUITY_SQL, EVENT_BARS, SERIES, _equity_sql, _with,
                                      query, rounded)
@@ -130,3 +130,126 @@ def q_equity_perf_gaps(spark, sf_dir):
     """Zero closes make the next return x/0 (NULL, not an error) and the
     zero day's own return -1; missing closes give NULL returns on both sides."""
     return rounded(equity.equity_performance(gappy_bars(tb.bars(spark, sf_dir))))
+
+
+@query("layers_equity_overlap", EQUITY_SQL)
+def q_layers_equity_overlap(spark, sf_dir):
+    """The chain on landings that overlap: every document repeats the last 5 days of the month
+    before, so bars land twice and must count once."""
+    docs = pl.bars_to_payloads(tb.bars(spark, sf_dir), overlap_days=5)
+    text = docs.select(F.to_json(F.struct("results")).alias("body"))
+    bronze = medallion.bronze_quotes(spark, pl.parse_payload_text(text), "01/01/1990", "01/08/2001", run_ts=RUN_TS)
+    return rounded(medallion.gold_equity(medallion.silver_quotes(bronze, mode="drop")))
+
+
+# Codes of the landed series: two are named by the map, one is not and must not become a series.
+_CODES = {"R": 1178, "A": 433, "N": 99}
+SPAN = ("01/01/1995", "31/12/2000")
+
+
+@query("layers_macro", _with(SERIES, ("kept", """
+    select case idx_type when 'R' then 'selic' else 'ipca' end as idx_type, ref_date, idx_value from series
+    where idx_type in ('R', 'A') and ref_date between date '1995-01-01' and date '2000-12-31'
+      and day(ref_date) <> 9""")) + """
+select idx_type, cast(year(ref_date) as integer) as ano, cast(month(ref_date) as integer) as mes,
+       strftime(ref_date, '%Y-%m') as ano_mes, round(avg(idx_value), 6) as media_mensal,
+       round(min(idx_value), 6) as minimo_mensal, round(max(idx_value), 6) as maximo_mensal,
+       count(*) as num_medicoes, cast(max(ref_date) as timestamp) as ultima_data_mes
+from kept group by 1, 2, 3, 4""")
+def q_layers_macro(spark, sf_dir):
+    """Landed text rows -> bronze (requested codes and span, bad values of day 9 dropped) -> silver -> gold."""
+    s = tb.series(spark, sf_dir)
+    code = F.create_map(*[x for k, v in _CODES.items() for x in (F.lit(k), F.lit(v))])[F.col("idx_type")]
+    landed = s.select(code.alias("code"), F.date_format("ref_date", "dd/MM/yyyy").alias("data"),
+                      F.when(F.dayofmonth("ref_date") == 9, "n/d").otherwise(F.col("idx_value").cast("string")).alias("valor"))
+    bronze = medallion.bronze_series(spark, landed, '{"selic": 1178, "ipca": 433}', RUN_TS, start=SPAN[0], end=SPAN[1],
+                                     known_only=True)
+    gold = medallion.gold_macro(medallion.silver_series(bronze), as_of="2001-11-04", sort=False)
+    return rounded(gold.select("idx_type", "ano", "mes", "ano_mes", "media_mensal", "minimo_mensal", "maximo_mensal",
+                               "num_medicoes", "ultima_data_mes"))
+
+
+PAST = "1998-06-15"
+
+
+@query("macro_summary_past", _with(SERIES, ("known", f"select * from series where ref_date <= date '{PAST}'")) + f"""
+select idx_type, round(arg_max(idx_value, ref_date), 6) as current_value,
+       round((arg_max(idx_value, ref_date) filter (where ref_date >= date '1998-06-01')
+              / arg_min(idx_value, ref_date) filter (where ref_date >= date '1998-06-01') - 1) * 100, 6) as mtd_change,
+       round((arg_max(idx_value, ref_date) filter (where ref_date >= date '1998-01-01')
+              / arg_min(idx_value, ref_date) filter (where ref_date >= date '1998-01-01') - 1) * 100, 6) as ytd_change,
+       cast(max(ref_date) as timestamp) as last_update
+from known group by idx_type""")
+def q_macro_summary_past(spark, sf_dir):
+    """The summary of a day in the middle of the data reads nothing after that day."""
+    out = macro.macro_summary(tb.series(spark, sf_dir), as_of=PAST)
+    return rounded(out.withColumn("last_update", F.col("last_update").cast("timestamp")).drop("trend_6m"))
+
+
+@query("macro_dashboard_past", _with(SERIES, ("known", f"select * from series where ref_date <= date '{PAST}'")) + f"""
+select idx_type, strftime(ref_date, '%Y-%m') as ano_mes, round(avg(idx_value), 6) as media_mensal,
+       count(*) as num_medicoes, cast(max(max(ref_date)) over (partition by idx_type) as timestamp) as last_update,
+       round(max(slope) , 12) as trend_6m
+from known join (select idx_type as k, regr_slope(idx_value, epoch(cast(ref_date as timestamp))) as slope from known
+                 where ref_date >= date '1997-12-15' group by 1) on k = idx_type
+group by 1, 2""")
+def q_macro_dashboard_past(spark, sf_dir):
+    out = macro.macro_dashboard(tb.series(spark, sf_dir), as_of=PAST, sort=False)
+    out = out.withColumn("last_update", F.col("last_update").cast("timestamp"))
+    return rounded(out.select("idx_type", "ano_mes", "media_mensal", "num_medicoes", "last_update", "trend_6m"),
+                   special={"trend_6m": 12})
+
+
+@query("source_outcome", _with(BARS, ("docs", """
+    select symbol, strftime(trade_date, '%Y-%m') as segment, min(month(trade_date)) as m, count(*) as n
+    from bars group by 1, 2"""), ("req", """
+    select distinct symbol from bars union all select distinct n_name from nation""")) + """
+select symbol, documents, malformed, no_results, no_history, rows_total,
+       case when rows_total > 0 then 'ok' when documents = 0 then 'no_data' when malformed = documents then 'malformed'
+            when no_history > 0 then 'no_history' else 'no_data' end as status
+from (select r.symbol, count(d.segment) as documents,
+             count(*) filter (where k = 'malformed') as malformed, count(*) filter (where k = 'no_results') as no_results,
+             count(*) filter (where k = 'no_history') as no_history,
+             cast(coalesce(sum(case when k = 'ok' then n end), 0) as bigint) as rows_total
+      from req r left join (select *, case when symbol = '2-HIGH' then 'malformed'
+                                           when symbol = '3-MEDIUM' then case when m % 2 = 0 then 'no_results' else 'no_history' end
+                                           when m = 11 then 'malformed' when m = 2 then 'no_history'
+                                           else 'ok' end as k from docs) d on d.symbol = r.symbol
+      group by 1)""")
+def q_source_outcome(spark, sf_dir):
+    """One status a requested key: symbols whose documents are all broken, or empty in two ways,
+    symbols with some good documents, and requested names for which nothing landed."""
+    bars = tb.bars(spark, sf_dir)
+    docs = pl.bars_to_payloads(bars).withColumn("key", F.get("results", 0)["symbol"])
+    m = F.substring("segment", 6, 2).cast("int")
+    kind = (F.when(F.col("key") == "2-HIGH", "malformed")
+            .when(F.col("key") == "3-MEDIUM", F.when(m % 2 == 0, "no_results").otherwise("no_history"))
+            .when(m == 11, "malformed").when(m == 2, "no_history").otherwise("ok"))
+    body = (F.when(kind == "malformed", F.lit('{"results": [{"symbol'))
+            .when(kind == "no_results", F.lit('{"results": []}'))
+            .when(kind == "no_history", F.lit('{"results": [{"historicalDataPrice": []}]}'))
+            .otherwise(F.to_json(F.struct("results"))))
+    payloads = pl.parse_payload_text(docs.select("key", body.alias("body")))
+    label = F.coalesce(pl.payload_ticker(), F.col("key"))  # as a landed file's name would say
+    nation = tb.read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("symbol"))
+    requested = bars.select("symbol").distinct().union(nation)
+    out = quality.source_outcome(requested, pl.payload_outcome(payloads, label), pl.quote_rows(payloads, label))
+    return out.select("symbol", "documents", "malformed", "no_results", "no_history", "rows_total", "status")
+
+
+_NULLS_SQL = """select case when day(trade_date) = 13 then null else symbol end as k, close_price as close_price,
+       cast(null as double) as nothing, case when symbol = '5-LOW' then null else volume end as volume from bars"""
+
+
+@query("describe_nulls", _with(BARS, ("t", _NULLS_SQL)) + " union all ".join(f"""
+select k, '{c}' as column_name, count({c}) as count, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
+       round(min({c}), 6) as min, round(quantile_cont({c}, 0.25), 6) as q25, round(quantile_cont({c}, 0.5), 6) as q50,
+       round(quantile_cont({c}, 0.75), 6) as q75, round(max({c}), 6) as max from t group by k"""
+       for c in ("close_price", "nothing", "volume")))
+def q_describe_nulls(spark, sf_dir):
+    """A column without values, a key without values in one column, and a NULL key are all reported."""
+    b = tb.bars(spark, sf_dir)
+    t = b.select(F.when(F.dayofmonth("trade_date") != 13, F.col("symbol")).alias("k"), "close_price",
+                 F.lit(None).cast("double").alias("nothing"),
+                 F.when(F.col("symbol") != "5-LOW", F.col("volume")).alias("volume"))
+    return rounded(profile.describe(t, by="k"))

@@ -25,10 +25,16 @@ _PATTERNS = {
 
 
 def plan_text(df: DataFrame, mode: str = "simple") -> str:
-    """The text ``df.explain(mode)`` prints."""
+    """The text ``df.explain(mode)`` prints, with scan details in full."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxMetadataStringLength"
+    before = conf.get(key)
+    conf.set(key, "10000")
     buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
+    try:
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode)
+    finally:
+        conf.set(key, before)
     return buf.getvalue()
 
 

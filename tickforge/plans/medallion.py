@@ -7,59 +7,99 @@ Each table function takes and returns a DataFrame, so they chain with
 from __future__ import annotations
 
 import datetime as _dt
+import logging
+import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge import schemas
 from tickforge.functions.dates import BR_DATE
-from tickforge.operators import clean, equity, macro, quality, silver
+from tickforge.functions.text import normalise_ticker
+from tickforge.operators import clean, equity, layout, macro, quality, silver
 from tickforge.sources import payload as pl
 from tickforge.sources import series as sr
 
+log = logging.getLogger(__name__)
+
+
+# Document columns that tell which landing of a bar is the later one.
+SOURCE_COLUMNS = ("source_time", "source_file")
+
+
+def quote_bars(payloads: DataFrame, null_fill: float | None = 0.0, run_ts: _dt.datetime | None = None,
+               start: str | None = None, end: str | None = None, max_days: int | None = None,
+               tickers: DataFrame | None = None) -> DataFrame:
+    """Payload documents -> labelled, cleaned, stamped bars; the one path that
+    batch and incremental ingestion share. Keeps :data:`SOURCE_COLUMNS` where
+    the documents have them. Overlapping landings are not compacted here.
+    """
+    label = pl.payload_ticker()
+    if "source_file" in payloads.columns:
+        label = F.coalesce(label, pl.ticker_from_file("source_file"))
+    rows = pl.quote_rows(payloads, label, SOURCE_COLUMNS)
+    if tickers is not None:
+        rows = rows.join(tickers.select(F.col("symbol").alias("ticker")), "ticker", "left_semi")
+    if start is not None or end is not None:
+        rows = clean.date_window(rows, start, end, "Date", max_days, BR_DATE)
+    rows = clean.clean_quotes(rows, null_fill=null_fill)
+    return clean.stamp_ingestion(rows, run_ts)
+
+
+def compact_quotes(bars: DataFrame) -> DataFrame:
+    """One row per (ticker, Date): the latest ingestion, then the later landed
+    file. Fetches overlap by design, so every bar lands several times."""
+    order = ["ingestion_timestamp", *[c for c in SOURCE_COLUMNS if c in bars.columns]]
+    return schemas.conform(layout.latest_per_key(bars, ["ticker", "Date"], order), schemas.BRONZE_QUOTES)
+
+
+def _or_empty(spark, schema, on_error, what, build):
+    """``on_error="empty"`` turns a failure into an empty table, and says so."""
+    try:
+        return build()
+    except Exception:
+        if on_error != "empty":
+            raise
+        log.exception("%s could not be built; going on with an empty table", what)
+        return schemas.empty_frame(spark, schema)
+
 
 def bronze_quotes(spark: SparkSession, landing: str | DataFrame, start: str, end: str,
-                  max_days: int | None = 90, run_ts: _dt.datetime | None = None,
+                  max_days: int | None = None, run_ts: _dt.datetime | None = None,
                   null_fill: float | None = 0.0, on_error: str = "raise",
-                  tickers: DataFrame | None = None) -> DataFrame:
-    """Landed payloads -> bronze quotes (typed, windowed, stamped).
+                  tickers: DataFrame | None = None, multi_line: bool = False) -> DataFrame:
+    """Landed payloads -> bronze quotes (typed, windowed, stamped, one row a bar).
 
     ``landing`` is a folder of payload files, or a DataFrame of parsed
     payload documents (``results`` column, e.g. from ``parse_payload_text``).
+    ``max_days`` (default: none) cuts the span to its last days.
     """
-    try:
-        if isinstance(landing, DataFrame):
-            payloads = landing
-            label = pl.payload_ticker()
-        else:
-            payloads = pl.read_quote_payloads(spark, landing)
-            label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
-        rows = pl.quote_rows(payloads, label)
-        if tickers is not None:
-            rows = rows.join(tickers.select(F.col("symbol").alias("ticker")), "ticker", "left_semi")
-        rows = clean.date_window(rows, start, end, "Date", max_days, BR_DATE)
-        rows = clean.clean_quotes(rows, null_fill=null_fill)
-        rows = clean.stamp_ingestion(rows, run_ts)
+    def build():
+        payloads = landing if isinstance(landing, DataFrame) else \
+            pl.read_quote_payloads(spark, landing, multi_line)
+        rows = quote_bars(payloads, null_fill, run_ts, start, end, max_days, tickers)
         schemas.require_columns(rows, schemas.BRONZE_QUOTES)
-        return schemas.conform(rows, schemas.BRONZE_QUOTES)
-    except Exception:
-        if on_error == "empty":
-            return schemas.empty_frame(spark, schemas.BRONZE_QUOTES)
-        raise
+        return compact_quotes(rows)
+    return _or_empty(spark, schemas.BRONZE_QUOTES, on_error, "bronze quotes", build)
 
 
 def bronze_series(spark: SparkSession, landed: DataFrame, series_json: str,
                   run_ts: _dt.datetime | None = None, date_fmt: str = BR_DATE,
                   on_error: str = "raise", start: str | None = None,
-                  end: str | None = None) -> DataFrame:
+                  end: str | None = None, known_only: bool = False) -> DataFrame:
     """Landed series rows (code, data text, valor text) -> bronze series.
 
     ``start`` / ``end`` (``dd/MM/yyyy``, inclusive) bound the dates kept, as
     the requested span bounds a fetch; None keeps everything landed.
+    ``known_only`` drops codes that the map does not name (a request never
+    asks for them).
     """
-    try:
-        rows = sr.label_series(landed, sr.series_map(spark, series_json),
-                               known_size=sr.map_size(series_json))
+    def build():
+        named = sr.series_map(spark, series_json)
+        rows = landed
+        if known_only:
+            rows = rows.join(named.select("code"), "code", "left_semi")
+        rows = sr.label_series(rows, named, known_size=sr.map_size(series_json))
         rows = clean.clean_series(rows, date_fmt=date_fmt)
         if start is not None:
             rows = rows.filter(F.col("data") >= F.to_timestamp(F.lit(start), date_fmt))
@@ -67,10 +107,7 @@ def bronze_series(spark: SparkSession, landed: DataFrame, series_json: str,
             rows = rows.filter(F.col("data") <= F.to_timestamp(F.lit(end), date_fmt))
         rows = clean.stamp_ingestion(rows.select("data", "valor", "serie"), run_ts)
         return schemas.conform(rows, schemas.BRONZE_SERIES)
-    except Exception:
-        if on_error == "empty":
-            return schemas.empty_frame(spark, schemas.BRONZE_SERIES)
-        raise
+    return _or_empty(spark, schemas.BRONZE_SERIES, on_error, "bronze series", build)
 
 
 def silver_quotes(bronze: DataFrame, mode: str = "warn", observation=None) -> DataFrame:
@@ -86,8 +123,8 @@ def gold_equity(silver_quotes_df: DataFrame) -> DataFrame:
     return equity.equity_performance(silver_quotes_df)
 
 
-def gold_macro(silver_series_df: DataFrame, as_of=None) -> DataFrame:
-    return macro.macro_dashboard(silver_series_df, as_of=as_of)
+def gold_macro(silver_series_df: DataFrame, as_of=None, sort: bool = True) -> DataFrame:
+    return macro.macro_dashboard(silver_series_df, as_of=as_of, sort=sort)
 
 
 def quote_window(as_of: _dt.date | None = None, months: int = 3) -> tuple[str, str]:
@@ -103,43 +140,78 @@ def quote_window(as_of: _dt.date | None = None, months: int = 3) -> tuple[str, s
 
 
 def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: DataFrame,
-                   series_json: str, out_root: str, start: str, end: str,
-                   as_of=None, max_days: int | None = 90, check_mode: str = "warn",
-                   run_ts: _dt.datetime | None = None) -> dict:
-    """Build and write the six layer tables under ``out_root`` (parquet).
+                   series_json: str, out_root: str | None, start: str, end: str,
+                   as_of=None, max_days: int | None = None, check_mode: str = "warn",
+                   run_ts: _dt.datetime | None = None, tickers: list[str] | None = None,
+                   series_start: str | None = None, series_end: str | None = None,
+                   null_fill: float | None = 0.0, multi_line: bool = False,
+                   databases: dict[str, str] | None = None) -> dict:
+    """Build and write the six layer tables: parquet folders under ``out_root``,
+    or catalog tables (with comments and properties) when that is None.
 
     Each write is one Spark job whose row count (and, for silver quotes, the
     check failures) is observed while writing. Silver and gold read the
     written layer below them, so a lost executor only reruns the last step.
-    Returns ``{table: observed metrics}``.
+    Silver is partitioned by month, so month-to-date, year-to-date and trend
+    read only their months. Returns ``{table: observed metrics}``; what the
+    sources lost is in ``quote_documents`` (documents per outcome),
+    ``quote_sources`` (one status a requested ticker), ``series_dropped``
+    (rows in, rows dropped a series) and ``bronze_nulls`` (non-null contract).
     """
-    import os
-
-    from pyspark.sql import Observation
-
-    from tickforge.operators.layout import partition_by_key, write_table
-
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    paths = {k: os.path.join(out_root, k) for k in
-             ("bronze_quotes", "bronze_series", "silver_quotes", "silver_series",
-              "gold_equity", "gold_macro")}
-    obs = {}
-    bq = bronze_quotes(spark, quotes_landing, start, end, max_days, run_ts)
-    obs["bronze_quotes"] = write_table(partition_by_key(bq, "ticker", "Date"), path=paths["bronze_quotes"])
-    bs = bronze_series(spark, series_landed, series_json, run_ts)
-    obs["bronze_series"] = write_table(partition_by_key(bs, "serie", "data"), path=paths["bronze_series"])
+    specs = {"bronze_quotes": ("bronze", "cotacoes_b3"), "bronze_series": ("bronze", "series_bacen"),
+             "silver_quotes": ("prata", "tb_mkt_eqt_day"), "silver_series": ("prata", "tb_mkt_idx_eco"),
+             "gold_equity": ("ouro", "tb_mkt_eqt_perf"), "gold_macro": ("ouro", "tb_mkt_idx_dash")}
+    obs: dict[str, Observation] = {}
+
+    def write(name: str, df: DataFrame, by: list[str] | None = None) -> None:
+        spec = schemas.table_spec(*specs[name])
+        path = None if out_root is None else os.path.join(out_root, name)
+        obs[name] = layout.write_table(df, None if path else spec, path, partition_by=by,
+                                       database=(databases or {}).get(spec.layer))
+
+    def read(name: str) -> DataFrame:
+        if out_root is not None:
+            return spark.read.parquet(os.path.join(out_root, name))
+        spec = schemas.table_spec(*specs[name])
+        return spark.table(spec.name_in((databases or {}).get(spec.layer)))
+
+    wanted = None
+    if tickers is not None:
+        wanted = spark.createDataFrame([(t,) for t in tickers], "symbol string").select(
+            normalise_ticker("symbol").alias("symbol")).distinct()
+    bq = bronze_quotes(spark, quotes_landing, start, end, max_days, run_ts, null_fill,
+                       tickers=wanted, multi_line=multi_line)
+    write("bronze_quotes", layout.partition_by_key(bq, "ticker", "Date"))
+    bs = bronze_series(spark, series_landed, series_json, run_ts, start=series_start, end=series_end,
+                       known_only=True)
+    write("bronze_series", layout.partition_by_key(bs, "serie", "data"))
+
     checks = Observation("silver_quotes_checks")
-    # Silver is written sorted by date inside each partition, so parquet
-    # row-group min/max lets date filters (trend, month-to-date) skip data.
-    sq = silver_quotes(spark.read.parquet(paths["bronze_quotes"]), check_mode, checks) \
-        .sortWithinPartitions("trade_date")
-    obs["silver_quotes"] = write_table(sq, path=paths["silver_quotes"])
+    month = lambda c: F.date_format(F.date_trunc("month", F.col(c)), "yyyy-MM")
+    sq = silver_quotes(read("bronze_quotes"), check_mode, checks).withColumn("ref_month", month("trade_date"))
+    write("silver_quotes", layout.partition_by_key(sq, "ref_month", "trade_date"), ["ref_month"])
     if check_mode == "warn":  # the check metrics are observed only in warn mode
         obs["silver_quotes_checks"] = checks
-    ss = silver_series(spark.read.parquet(paths["bronze_series"])).sortWithinPartitions("ref_date")
-    obs["silver_series"] = write_table(ss, path=paths["silver_series"])
-    obs["gold_equity"] = write_table(gold_equity(spark.read.parquet(paths["silver_quotes"])),
-                                     path=paths["gold_equity"])
-    obs["gold_macro"] = write_table(gold_macro(spark.read.parquet(paths["silver_series"]), as_of),
-                                    path=paths["gold_macro"])
-    return {k: v.get for k, v in obs.items()}
+    ss = silver_series(read("bronze_series")).withColumn("ref_month", month("ref_date"))
+    write("silver_series", layout.partition_by_key(ss, "ref_month", "ref_date"), ["ref_month"])
+    write("gold_equity", gold_equity(read("silver_quotes").drop("ref_month")))
+    write("gold_macro", gold_macro(read("silver_series").drop("ref_month"), as_of, sort=False))
+
+    out = {k: v.get for k, v in obs.items()}
+    payloads = pl.read_quote_payloads(spark, quotes_landing, multi_line)
+    label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
+    per_doc = pl.payload_outcome(payloads, label)
+    # Reports of one short row an outcome, a requested ticker or a series.
+    out["quote_documents"] = {r["outcome"]: r["n"] for r in
+                              per_doc.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+    if wanted is not None:
+        status = quality.source_outcome(wanted, per_doc, read("bronze_quotes"))
+        out["quote_sources"] = {r["symbol"]: r["status"] for r in status.collect()}
+    dropped = clean.dropped_per_series(series_landed, serie="code", date_fmt=BR_DATE)
+    out["series_dropped"] = {str(r["code"]): [r["rows_in"], r["rows_dropped"]] for r in dropped.collect()}
+    out["bronze_nulls"] = {
+        name: {r["check"]: r["failed"] for r in
+               quality.check_report(read(name), quality.not_null_checks(schema)).collect()}
+        for name, schema in (("bronze_quotes", schemas.BRONZE_QUOTES), ("bronze_series", schemas.BRONZE_SERIES))}
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from tickforge.plans.fixtures import (  # noqa: F401
     tolerant_sql as _tolerant_sql)
 
 # Fixed parameters of the registered queries.
+RUN_TS = _dt.datetime(2001, 11, 5)
 WINDOW_START, WINDOW_END = "01/01/2001", "01/08/2001"
 SERIES_MAP_JSON = '{"selic": 1178, "ipca": 433}'
 
@@ -147,11 +149,14 @@ def q_series_wide(spark, sf_dir):
     return rounded(sr.series_wide(tb.series(spark, sf_dir), ["A", "N", "R"]))
 
 
-@query("series_stack", _with(SERIES) + "select idx_type, ref_date, idx_value from series")
+@query("series_stack", _with(SERIES) + """select idx_type, ref_date, idx_value from series
+union all select idx_type || '_x2', ref_date, round(idx_value * 2, 6) from series""")
 def q_series_stack(spark, sf_dir):
-    li = tb.read_table(spark, sf_dir, "lineitem")
-    frames = [tb.series_from_lineitem(li.filter(F.col("l_returnflag") == f)) for f in ["A", "N", "R"]]
-    return rounded(sr.stack(frames))
+    """Two frames, the series and their doubles, stacked by name whatever their column order."""
+    s = tb.series(spark, sf_dir)
+    twice = s.select((F.col("idx_value") * 2).alias("idx_value"), "ref_date",
+                     F.concat("idx_type", F.lit("_x2")).alias("idx_type"))
+    return rounded(sr.stack([s, twice]))
 
 
 @query("partition_layout", _with(BARS) + "select * from bars")
@@ -159,21 +164,68 @@ def q_partition_layout(spark, sf_dir):
     return rounded(layout.partition_by_key(tb.bars(spark, sf_dir), "symbol", "trade_date"))
 
 
-@query("incremental_bars", _with(BARS) + """
+def _tolerant_docs(bars):
+    """Payload text per (symbol, month) as careless services write it: prices quoted, epochs with a
+    decimal point, closes of day 7 'x', of day 13 'NaN' and of day 21 missing."""
+    d = F.dayofmonth("trade_date")
+    close = F.when(d == 7, "x").when(d == 13, "NaN").when(d != 21, F.col("close_price").cast("string"))
+    point = F.struct(F.unix_timestamp(F.col("trade_date").cast("timestamp")).cast("double").alias("date"),
+                     F.col("open_price").cast("string").alias("open"), F.col("high_price").alias("high"),
+                     F.col("low_price").cast("string").alias("low"), close.alias("close"),
+                     F.col("volume").cast("string").alias("volume"))
+    docs = bars.groupBy("symbol", F.date_trunc("month", "trade_date").alias("m")).agg(
+        F.collect_list(point).alias("historicalDataPrice"))
+    return docs.select(F.to_json(F.struct(F.array(F.struct("symbol", "historicalDataPrice")).alias("results"))).alias("body"))
+
+
+@query("parse_payload_tolerant", _with(BARS) + """
+select cast(trade_date as timestamp) as Date, open_price as Open, high_price as High,
+       low_price as Low, case when day(trade_date) in (7, 13, 21) then null else close_price end as Close,
+       volume as Volume, cast(0.0 as double) as Dividends, cast(0.0 as double) as Stock_Splits, symbol as ticker
+from bars""")
+def q_parse_payload_tolerant(spark, sf_dir):
+    return rounded(pl.quote_rows(pl.parse_payload_text(_tolerant_docs(tb.bars(spark, sf_dir)))))
+
+
+INCREMENTAL_SQL = _with(BARS) + """
 select cast(trade_date as timestamp) as Date, open_price as Open, high_price as High,
        low_price as Low, close_price as Close, volume as Volume, cast(0.0 as double) as Dividends,
        cast(0.0 as double) as Stock_Splits, symbol as ticker
-from bars""")
+from bars"""
+
+
+def _landed(docs, folder, name):
+    docs.select("results").write.mode("overwrite").json(os.path.join(folder, name))
+
+
+@query("incremental_bars", INCREMENTAL_SQL)
 def q_incremental_bars(spark, sf_dir):
     """Two refreshes through the streaming path: months up to 1998, then the
     rest, each document repeating the previous month's last 5 days. The
-    second run must take only the new files and drop the repeated bars."""
+    second run must take only the new files and keep one of the repeated bars."""
     root = scratch_dir(spark, "incremental")
     landing, sink, ckpt = (os.path.join(root, p) for p in ("landing", "sink", "checkpoint"))
-    # Built once for both landings (kept in memory only while landing them).
-    docs = pl.bars_to_payloads(tb.bars(spark, sf_dir), overlap_days=5).persist()
+    docs = pl.bars_to_payloads(tb.bars(spark, sf_dir), overlap_days=5)
     for i, cond in enumerate([F.col("segment") <= "1998-12", F.col("segment") > "1998-12"]):
-        docs.filter(cond).drop("segment").write.mode("overwrite").json(os.path.join(landing, f"run{i}"))
+        _landed(docs.filter(cond), landing, f"run{i}")
         out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt)
-    docs.unpersist()
-    return rounded(out)
+    return rounded(out.drop("ingestion_timestamp"))
+
+
+@query("incremental_late", INCREMENTAL_SQL)
+def q_incremental_late(spark, sf_dir):
+    """Run 1 lands all symbols but one, with wrong closes (doubled) in the last month of every
+    year. Run 2 lands a symbol that is new, with its whole history, and corrections of all
+    those months, long after newer bars. Nothing may be lost, and the later landing wins."""
+    root = scratch_dir(spark, "incremental")
+    landing, sink, ckpt = (os.path.join(root, p) for p in ("landing", "sink", "checkpoint"))
+    bars = tb.bars(spark, sf_dir)
+    december = F.month("trade_date") == 12
+    wrong = bars.withColumn("close_price", F.when(december, F.col("close_price") * 2).otherwise(F.col("close_price")))
+    new = F.col("symbol") == "1-URGENT"
+    runs = [pl.bars_to_payloads(wrong.filter(~new)), pl.bars_to_payloads(bars.filter(new | december))]
+    for i, docs in enumerate(runs):
+        _landed(docs, landing, f"run{i}")
+        out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=2,
+                                 run_ts=RUN_TS + _dt.timedelta(days=i))
+    return rounded(out.drop("ingestion_timestamp"))

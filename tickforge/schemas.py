@@ -1,6 +1,6 @@
 """Table contracts: schemas, layer registry and schema checks.
 
-Covers the registry and naming helpers (table name / metadata lookup), the
+Covers the registry and naming helpers (:func:`table_spec` is the metadata of a table), the
 required-columns check, empty frames with a schema and table properties.
 """
 
@@ -81,69 +81,33 @@ GOLD_MACRO = T.StructType([
     T.StructField("trend_6m", T.DoubleType(), False),
 ])
 
-# Schema (database) per layer and the per-layer table properties.
-LAYER_SCHEMAS = {"bronze": "aafn_ing", "prata": "aafn_tgt", "ouro": "aafn_ddm"}
+# Database of each layer where the caller names none.
+DATABASES = {"bronze": "bronze", "prata": "silver", "ouro": "gold"}
+# Other names of layers, and the quality label of each.
 LAYER_ALIASES = {"silver": "prata", "gold": "ouro"}
-
-LAYER_PROPERTIES = {
-    "bronze": {
-        "quality": "bronze",
-        "pipelines.reset.allowed": "false",
-        "pipelines.trigger.interval": "12 hours",
-        "delta.autoOptimize.optimizeWrite": "true",
-        "delta.autoOptimize.autoCompact": "true",
-        "delta.enableChangeDataFeed": "true",
-    },
-    "prata": {
-        "quality": "silver",
-        "pipelines.reset.allowed": "false",
-        "pipelines.trigger.interval": "12 hours",
-        "delta.autoOptimize.optimizeWrite": "true",
-        "delta.autoOptimize.autoCompact": "true",
-        "delta.enableChangeDataFeed": "true",
-    },
-    "ouro": {
-        "quality": "gold",
-        "pipelines.reset.allowed": "false",
-        "pipelines.trigger.interval": "12 hours",
-        "delta.autoOptimize.optimizeWrite": "true",
-        "delta.autoOptimize.autoCompact": "true",
-        "delta.enableChangeDataFeed": "true",
-    },
-}
+LAYER_PROPERTIES = {"bronze": {"quality": "bronze"}, "prata": {"quality": "silver"}, "ouro": {"quality": "gold"}}
 
 
 @dataclass(frozen=True)
 class TableSpec:
+    """What is known of a layer table without reading it."""
+
     layer: str
     key: str
     description: str
     alias: str
-    physical_name: str
     expected_columns: tuple[str, ...]
     schema: T.StructType | None = None
     source: str | None = None
     properties: dict = field(default_factory=dict, hash=False, compare=False)
 
-    @property
-    def full_name(self) -> str:
-        return f"{LAYER_SCHEMAS[self.layer]}.{self.key}"
-
-    def metadata(self) -> dict:
-        out = {
-            "descricao": self.description,
-            "alias": self.alias,
-            "nome_fisico": self.physical_name,
-            "colunas_esperadas": list(self.expected_columns),
-        }
-        if self.source:
-            out["fonte"] = self.source
-        return out
+    def name_in(self, database: str | None = None) -> str:
+        """Catalog name, in ``database`` or the layer's default one."""
+        return f"{database or DATABASES[self.layer]}.{self.key}"
 
 
 def _spec(layer, key, description, alias, columns, schema=None, source=None):
-    return TableSpec(layer, key, description, alias, key, tuple(columns), schema, source,
-                     LAYER_PROPERTIES[layer])
+    return TableSpec(layer, key, description, alias, tuple(columns), schema, source, LAYER_PROPERTIES[layer])
 
 
 # Table registry (keys, descriptions, aliases, expected columns).
@@ -180,35 +144,18 @@ TABLES: dict[str, dict[str, TableSpec]] = {
 }
 
 
-def _layer(layer: str) -> str:
-    layer = LAYER_ALIASES.get(layer, layer)
-    if layer not in LAYER_SCHEMAS:
-        raise ValueError(f"unknown layer {layer!r}; use bronze, prata or ouro")
-    return layer
-
-
 def table_spec(layer: str, name: str) -> TableSpec:
-    """Find a table by registry key or by physical name."""
-    layer = _layer(layer)
-    tables = TABLES[layer]
-    if name in tables:
-        return tables[name]
-    for spec in tables.values():
-        if spec.physical_name == name:
-            return spec
-    raise ValueError(f"table {name!r} not found in layer {layer}; available: {list(tables)}")
-
-
-def table_name(layer: str, name: str, with_schema: bool = True) -> str:
-    spec = table_spec(layer, name)
-    return spec.full_name if with_schema else spec.key
+    """The entry of a table; unknown layers and tables raise."""
+    tables = TABLES.get(LAYER_ALIASES.get(layer, layer))
+    if tables is None or name not in tables:
+        known = ", ".join(f"{a}.{t}" for a, ts in TABLES.items() for t in ts)
+        raise ValueError(f"no table {layer}.{name}; known: {known}")
+    return tables[name]
 
 
-def table_metadata(layer: str, name: str) -> dict:
-    layer = _layer(layer)
-    if name not in TABLES[layer]:
-        raise ValueError(f"table {name!r} not found in layer {layer}")
-    return TABLES[layer][name].metadata()
+def table_name(layer: str, name: str, with_schema: bool = True, database: str | None = None) -> str:
+    spec = table_spec(layer, name)
+    return spec.name_in(database) if with_schema else spec.key
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:

@@ -22,18 +22,22 @@ DEFAULT_CONF = {
 
 
 def cluster_settings(input_bytes: int, cores: int, scan_split_mb: int = 512,
-                     shuffle_target_mb: int = 128) -> dict[str, str]:
-    """Settings for a large cluster, sized from the input volume.
+                     shuffle_target_mb: int = 256, shuffled_share: float = 0.1,
+                     max_partitions: int = 40_000) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes that are shuffled.
 
-    * Scan tasks of ``scan_split_mb`` (100 TB -> ~200k tasks, ~50 waves on
-      4000 cores) keep per-task memory flat.
-    * The initial shuffle width assumes the worst case, that raw rows are
-      shuffled (a window input), at ``shuffle_target_mb`` per partition, at
-      least 2 x cores. AQE coalesces it down after the map-side partial
-      aggregates shrink the data, and splits skewed join partitions.
+    * Scan tasks of ``scan_split_mb`` (100 TB -> ~200k tasks) keep per-task
+      memory flat.
+    * ``shuffled_share`` is the part of the input that reaches an exchange:
+      aggregates combine before it and scans are pruned to a few columns. Give
+      1.0 for a job that windows raw rows. The width is at least 2 x cores, and
+      bounded: map tasks x partitions is the number of shuffle blocks that the
+      driver tracks, and partitions larger than the target spill, which is the
+      lesser evil. Adaptive execution joins small partitions.
     """
     mb = 1024 * 1024
-    shuffle = max(2 * cores, int(input_bytes // (shuffle_target_mb * mb)) + 1)
+    shuffled = input_bytes * shuffled_share
+    shuffle = min(max_partitions, max(2 * cores, int(shuffled // (shuffle_target_mb * mb)) + 1))
     return {
         "spark.sql.files.maxPartitionBytes": f"{scan_split_mb}m",
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -69,8 +73,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only invent one (a fresh
-    temporary folder) when the setting is absent, as in local tests.
+    A cluster names a shared folder there. Where it is unset a local session
+    (tests) gets a fresh temporary folder; on a cluster that is an error, as a
+    folder of one machine would lose what the others write.
     """
     try:
         sc = spark.sparkContext
@@ -84,6 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tickforge-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickforge.functions.numeric import tolerant_double
 from tickforge.functions.text import normalise_ticker
 
 BAR_FIELDS = ["open", "high", "low", "close", "volume"]
 
+# Numbers are read as text: a service may quote them, or write an epoch as
+# 1704153600.0, and a typed read would turn those into NULL.
 PRICE_POINT = T.StructType([
-    T.StructField("date", T.LongType()),
-    *[T.StructField(f, T.DoubleType()) for f in BAR_FIELDS],
+    T.StructField("date", T.StringType()),
+    *[T.StructField(f, T.StringType()) for f in BAR_FIELDS],
 ])
 
 QUOTE_PAYLOAD = T.StructType([
@@ -34,12 +37,18 @@ BRONZE_QUOTE_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume", "Divid
                         "Stock_Splits", "ticker"]
 
 
-def read_quote_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payload files (JSON lines) with the file name kept for labels."""
-    return (spark.read.schema(QUOTE_PAYLOAD)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-            .json(path)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+def with_source(payloads: DataFrame) -> DataFrame:
+    """Keep the landed file's name (for labels) and time (the later file wins)."""
+    return (payloads.withColumn("source_file", F.col("_metadata.file_path"))
+            .withColumn("source_time", F.col("_metadata.file_modification_time")))
+
+
+def read_quote_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed payload files with their names: JSON lines, or (``multi_line``) one
+    document a file over any number of lines."""
+    return with_source(
+        spark.read.schema(QUOTE_PAYLOAD).option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 
 
 def ticker_from_file(path_col: str = "source_file") -> Column:
@@ -64,27 +73,28 @@ def parse_payload_text(df: DataFrame, text_col: str = "body") -> DataFrame:
     return df.withColumn("__p", parsed).select("*", "__p.*").drop("__p")
 
 
-def quote_rows(payloads: DataFrame, ticker: Column | None = None) -> DataFrame:
-    """Payload documents -> one row per bar (bronze column contract).
+def quote_rows(payloads: DataFrame, ticker: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Payload documents -> one row per bar (bronze column contract, then the
+    document columns named in ``keep``).
 
     The ticker is the requested one when ``ticker`` is given, else the
     payload's ``symbol`` field, normalised (suffix dropped, upper case).
     """
     first = F.get(F.col("results"), 0)
     label = ticker if ticker is not None else first.getField("symbol")
+    kept = [c for c in keep if c in payloads.columns]
     docs = payloads.select(normalise_ticker(label).alias("ticker"),
-                           first.getField("historicalDataPrice").alias("__hist"))
-    bars = docs.select("ticker", F.explode("__hist").alias("__b"))
+                           first.getField("historicalDataPrice").alias("__hist"), *kept)
+    bars = docs.select("ticker", F.explode("__hist").alias("__b"), *kept)
+    epoch = tolerant_double(F.col("__b.date"))
+    # Outside the range of timestamps it is no date (and the cast would fail).
+    epoch = F.when(F.abs(epoch) < 1e11, epoch.cast("bigint"))
     return bars.select(
-        F.timestamp_seconds(F.col("__b.date")).alias("Date"),
-        F.col("__b.open").alias("Open"),
-        F.col("__b.high").alias("High"),
-        F.col("__b.low").alias("Low"),
-        F.col("__b.close").alias("Close"),
-        F.col("__b.volume").alias("Volume"),
+        F.timestamp_seconds(epoch).alias("Date"),
+        *[tolerant_double(F.col(f"__b.{f}")).alias(f.capitalize()) for f in BAR_FIELDS],
         F.lit(0.0).alias("Dividends"),
         F.lit(0.0).alias("Stock_Splits"),
-        "ticker",
+        "ticker", *kept,
     )
 
 

@@ -1,67 +1,85 @@
 """Incremental landing -> bronze quotes on Structured Streaming.
 
-Each run takes only payload files not seen before (the file source keeps
-its log in the checkpoint), parses them, drops bars already seen for the
-same (ticker, Date) within the watermark, and appends to a parquet sink.
-``trigger(availableNow=True)`` processes what is there and stops, so a
-scheduled job gets exactly-once increments and survives executor loss
-(the checkpoint lives in the shared checkpoint folder).
-
-The watermark must exceed the overlap between refresh windows; bars older
-than the watermark are treated as late and dropped, so backfills go
-through the batch path (:func:`tickforge.plans.medallion.bronze_quotes`).
+Each run takes only payload files not seen before (the file source keeps its
+log in the checkpoint). A micro-batch goes through the same labelling, cleaning
+and stamping as the batch path (:func:`tickforge.plans.medallion.quote_bars`)
+and is written as one increment of the sink, in a folder named by its batch
+number: a batch that runs again after a failure replaces its own increment, so
+nothing is lost or doubled. Nothing is dropped for being late, and no state
+is kept: fetches overlap, so the bars of all increments are compacted when they are
+read (one row per ticker and date, the latest ingestion, then the later file). The
+result therefore does not depend on how files were dealt to micro-batches.
+``compact_increments`` folds what has piled up into one increment.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickforge.plans import medallion
+from tickforge.sources.payload import QUOTE_PAYLOAD, with_source
+
+_COLUMN = "increment"
 
-from tickforge.sources.payload import QUOTE_PAYLOAD, quote_rows
 
+def _increments(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.option("basePath", sink).parquet(sink)
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+def read_quotes(spark: SparkSession, sink: str) -> DataFrame:
+    """The bronze table: all increments, one row per (ticker, Date)."""
+    return medallion.compact_quotes(_increments(spark, sink).drop(_COLUMN))
 
 
 def incremental_quotes(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                       watermark: str = "45 days", max_files_per_trigger: int | None = None,
-                       timeout_s: float | None = None, state_store: str | None = None) -> DataFrame:
-    """Run one availableNow pass; returns the sink as a batch DataFrame.
+                       max_files_per_trigger: int | None = None, timeout_s: float | None = None,
+                       run_ts: _dt.datetime | None = None, null_fill: float | None = 0.0,
+                       multi_line: bool = False) -> DataFrame:
+    """Run one availableNow pass; returns the bronze table (:func:`read_quotes`).
 
-    ``state_store="rocksdb"`` keeps the dedupe state in RocksDB (off-heap,
-    incremental checkpoints), the choice for large state on a cluster. The
-    provider is fixed by the first run of a checkpoint.
+    ``max_files_per_trigger`` bounds a micro-batch and changes no result. A sink
+    without any increment (nothing landed yet) is an empty table.
     """
-    reader = spark.readStream.schema(QUOTE_PAYLOAD)
+    reader = spark.readStream.schema(QUOTE_PAYLOAD).option("multiLine", multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = quote_rows(reader.json(landing))
-    deduped = (stream.withWatermark("Date", watermark)
-               .dropDuplicatesWithinWatermark(["ticker", "Date"]))
-    # Keep Spark's no-data micro-batch (the default): it is the batch that
-    # records the advanced watermark in the offset log. Without it every
-    # availableNow run restarts from the previous run's watermark, the
-    # watermark never moves and the dedupe state is never evicted.
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    if state_store == "rocksdb":
-        spark.conf.set(key, ROCKSDB_PROVIDER)
-    try:
-        q = (deduped.writeStream
-             .format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start(sink))
-    finally:
-        if state_store == "rocksdb":
-            if before is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, before)
+    stamp = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+    def append(batch: DataFrame, number: int) -> None:
+        bars = medallion.quote_bars(batch, null_fill, stamp)
+        # Rebalanced: as few files as the volume needs.
+        bars.hint("rebalance").write.mode("overwrite").parquet(os.path.join(sink, f"{_COLUMN}={number}"))
+
+    q = (with_source(reader.json(landing)).writeStream.foreachBatch(append)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError("incremental run did not finish")
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(sink)
+    path = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        from tickforge import schemas
+        return schemas.empty_frame(spark, schemas.BRONZE_QUOTES)
+    return read_quotes(spark, sink)
+
+
+def compact_increments(spark: SparkSession, sink: str, target: str) -> DataFrame:
+    """Write the compacted table to ``target`` as a sink of one increment.
+
+    The old sink stays until the caller switches over, so readers and a running
+    stream are never cut off; go on with the same checkpoint and the new sink.
+    Increments of later batches have higher numbers than any before.
+    """
+    rows = _increments(spark, sink)
+    last = rows.agg(F.max(_COLUMN)).first()[0]
+    kept = medallion.layout.latest_per_key(
+        rows.drop(_COLUMN), ["ticker", "Date"], ["ingestion_timestamp", *medallion.SOURCE_COLUMNS])
+    medallion.layout.partition_by_key(kept, "ticker", "Date").write.mode("overwrite").parquet(
+        os.path.join(target, f"{_COLUMN}={last}"))
+    return read_quotes(spark, target)
