@@ -79,8 +79,8 @@ def test_edges(spark, model):
     assert sorted((r["lang_pred"], r["score"] > 0.5) for r in got) == [
         ("und", False)] * 3 + [("xx", True)] * 2
     assert lg.identify(spark.createDataFrame([], schema), model).count() == 0
-    with pytest.raises(ValueError):
-        lg.identify(out, model)
+    again = lg.identify(out.withColumn("score", F.lit("mine")), model)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
     nothing = lg.fit(spark.createDataFrame([], schema))
     assert {r["lang_pred"] for r in lg.identify(spark.createDataFrame(rows, schema), nothing).collect()} == {"und"}
 

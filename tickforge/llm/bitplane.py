@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.llm.bpe import byte_chars, small_batches
+from tickforge.llm.common import python_map
 
 MAGIC = b"TFPLANE1"
 BLOCK_IDS = 65_536
@@ -319,7 +320,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: st
                 {"file": [name], "n_docs": [len(writer.keys)], "n_ids": [sum(writer.lengths)]},
                 schema=pa.schema([("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    manifest = src.mapInArrow(run, "file string, n_docs long, n_ids long")
+    manifest = python_map(src, run, "file string, n_docs long, n_ids long")
     # A table of one short row a file; written by the same job that writes the files.
     path = f"{folder}/manifest"
     manifest.write.mode("overwrite").parquet(path)
@@ -365,4 +366,4 @@ def read_ids(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame
                 if rows[0]:
                     yield flush()
 
-    return files.mapInArrow(run, schema)
+    return python_map(files, run, schema)

@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tickforge.llm.common import python_map
+
 #: Fixed by the file format: where GPT-2 style byte-level vocabularies keep each byte.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -330,13 +332,12 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
     """Add the packed token ids of every whole text (a null text counts as empty).
 
     The ids are one binary value a row, little-endian unsigned 32-bit integers. All
-    columns pass through; ``ids`` must not be one of them. Nothing is shuffled, repeated
+    columns pass through; a column that is called ``ids`` already is replaced. Nothing is shuffled, repeated
     rows give repeated results, an empty table an empty one.
     """
     from pyspark.sql import types as T
 
-    if ids in docs.columns:
-        raise ValueError(f"there is a column {ids} already")
+    docs = docs.drop(ids)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
     at = docs.columns.index(text)
 
@@ -347,7 +348,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())],
                                              names=[*b.schema.names, ids])
 
-    return docs.mapInArrow(run, schema)
+    return python_map(docs, run, schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text",
@@ -367,7 +368,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "te
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())],
                                              names=[*b.schema.names, text])
 
-    return src.mapInArrow(run, schema)
+    return python_map(src, run, schema)
 
 
 def digest(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
@@ -390,4 +391,4 @@ def digest(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
                 pa.array([hashlib.sha256(bpe.decode(x).encode("utf-8")).hexdigest() for x in ids])],
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return src.mapInArrow(run, schema)
+    return python_map(src, run, schema)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import site
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +45,37 @@ def unpacked(df: DataFrame, names: list[str], *extra: str) -> DataFrame:
     return df.select(*cols, *[F.col(e) for e in extra])
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, where nothing else does.
+
+    Functions of this package are sent to the workers by name. Under ``--py-files``, an installed
+    package or a shared ``PYTHONPATH`` the workers find it; if the driver only has it on its own
+    path, a zip of the package is handed to Spark, which distributes it.
+    """
+    import tickforge
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tickforge.__file__)))
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    sc = spark.sparkContext
+    if getattr(sc, "_tickforge_shipped", False) or not os.path.isdir(root) or \
+            any(os.path.realpath(p) == os.path.realpath(root) for p in found if p):
+        return
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tickforge-zip-")), "tickforge_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "tickforge")):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    sc.addPyFile(target)
+    sc._tickforge_shipped = True
+
+
+def python_map(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` whose function may use this package on every worker."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back.
 

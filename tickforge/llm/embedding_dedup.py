@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import stored
+from tickforge.llm.common import python_map, stored
 from tickforge.llm.components import connected_components
 
 BITS = 62
@@ -66,7 +66,7 @@ def _prepared(vectors: DataFrame, key: str, vector: str) -> DataFrame:
                 [b.column(0), pa.array(dim, pa.int32()), pa.array(raw, pa.binary()),
                  pa.array(d1, pa.int64()), pa.array(d2, pa.int64())], names=["key", "dim", "raw", "d1", "d2"])
 
-    return src.mapInArrow(run, "key long, dim int, raw binary, d1 long, d2 long")
+    return python_map(src, run, "key long, dim int, raw binary, d1 long, d2 long")
 
 
 _PASS_ROWS = "u long, v long, border int, side int, dim int, pass int, node long, raw binary"
@@ -101,7 +101,7 @@ def _sorted_passes(nodes: DataFrame, rows: int, passes: int, window: int, thresh
                          pa.array(keys[:, p], pa.int64()), pa.array([names[i] for i in at], pa.int64()),
                          pa.array([raws[i] for i in at], pa.binary())], names=["dim", "pass", "hash", "node", "raw"])
 
-    keyed = nodes.mapInArrow(hashed, "dim int, pass int, hash long, node long, raw binary")
+    keyed = python_map(nodes, hashed, "dim int, pass int, hash long, node long, raw binary")
     order = ["dim", "pass", "hash", "node"]
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(parts, rows * passes // (16 * window)))
@@ -155,7 +155,7 @@ def _sorted_passes(nodes: DataFrame, rows: int, passes: int, window: int, thresh
             none = [None] * len(ends)
             yield _row_batch(none, none, *zip(*ends))
 
-    found = stored(keyed.mapInArrow(compare, _PASS_ROWS), "vec-passes")
+    found = stored(python_map(keyed, compare, _PASS_ROWS), "vec-passes")
 
     def across(batches):
         border, held = None, []
@@ -181,7 +181,7 @@ def _sorted_passes(nodes: DataFrame, rows: int, passes: int, window: int, thresh
 
     borders = (found.filter("border is not null").select("border", "side", "dim", "pass", "node", "raw")
                .repartition("border").sortWithinPartitions("border"))
-    return found.filter("u is not null").select("u", "v").union(borders.mapInArrow(across, "u long, v long"))
+    return found.filter("u is not null").select("u", "v").union(python_map(borders, across, "u long, v long"))
 
 
 def _row_batch(*columns) -> pa.RecordBatch:
@@ -230,7 +230,7 @@ def _counts(nodes: DataFrame, comp: DataFrame, threshold: float, block: int) ->
         if len(held) > 1:
             yield flush()
 
-    return units.mapInArrow(compare, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    return python_map(units, compare, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95,

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tickforge.llm.bpe import small_batches
+from tickforge.llm.common import python_map
 from tickforge.llm.training import Adam
 
 #: Fixed values of HTML: elements without end tag, inline elements, elements that hold no text.
@@ -430,13 +431,12 @@ def default_model() -> TreeModel:
 
 def main_text(pages: DataFrame, model: TreeModel | None = None, html: str = "html", out: str = "text",
               max_bytes: int = 4_000_000) -> DataFrame:
-    """Add the main text (``out``) of every whole page; all columns pass through, ``out`` must be free.
+    """Add the main text (``out``) of every whole page; all columns pass through, one that is called ``out`` already is replaced.
 
     A null or empty page, and a page without content, give an empty text. Broken markup is read as far as
     HTML's rules of implied ends go; nothing is shuffled.
     """
-    if out in pages.columns:
-        raise ValueError(f"there is a column {out} already")
+    pages = pages.drop(out)
     model = model or default_model()
     at = pages.columns.index(html)
     schema = T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())])
@@ -446,4 +446,4 @@ def main_text(pages: DataFrame, model: TreeModel | None = None, html: str = "htm
             texts = [model.extract(h) for h in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
 
-    return pages.mapInArrow(run, schema)
+    return python_map(pages, run, schema)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.llm.bpe import small_batches
+from tickforge.llm.common import python_map
 from tickforge.llm.training import Adam, sample_rows
 
 RUN = re.compile(r"[^\W\d_]+")
@@ -226,10 +227,9 @@ def identify(docs: DataFrame, model: BiGru, text: str = "text", pred: str = "lan
     """Add ``lang_pred`` and ``score`` (0 to 1) to every row, from its whole text.
 
     ``und`` with score 0 where the text is null, empty or has no letter. All columns pass through;
-    the added names must be free. Nothing is shuffled; equal texts get equal results.
+    columns that have the added names already are replaced. Nothing is shuffled; equal texts get equal results.
     """
-    if {pred, score} & set(docs.columns):
-        raise ValueError("a column of that name exists already")
+    docs = docs.drop(pred, score)
     params, labels, at = model.p, model.labels, docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()),
                            T.StructField(score, T.DoubleType())])
@@ -242,4 +242,4 @@ def identify(docs: DataFrame, model: BiGru, text: str = "text", pred: str = "lan
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*b.schema.names, pred, score])
 
-    return docs.mapInArrow(run, schema)
+    return python_map(docs, run, schema)

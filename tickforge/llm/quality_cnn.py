@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.llm.bpe import small_batches
+from tickforge.llm.common import python_map
 from tickforge.llm.training import Adam, sample_rows
 
 WIDTH, STRIDE, CHUNK = 8, 2, 256
@@ -183,10 +184,9 @@ def classify(docs: DataFrame, model: ByteCnn, text: str = "text", score: str = "
     """Add ``score`` (0 to 1, higher: good) and ``predicted`` (1 if score >= 0.5) to every row.
 
     Whole texts are scored; null counts as empty, and an empty text is one chunk of padding. All columns pass
-    through, the added names must be free; nothing is shuffled.
+    through, columns that have the added names already are replaced; nothing is shuffled.
     """
-    if {score, predicted} & set(docs.columns):
-        raise ValueError("a column of that name exists already")
+    docs = docs.drop(score, predicted)
     params, at = model.p, docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType()),
                            T.StructField(predicted, T.IntegerType())])
@@ -199,4 +199,4 @@ def classify(docs: DataFrame, model: ByteCnn, text: str = "text", score: str = "
                                               pa.array((s >= 0.5).astype(np.int32))],
                                              names=[*b.schema.names, score, predicted])
 
-    return docs.mapInArrow(run, schema)
+    return python_map(docs, run, schema)
