@@ -43,7 +43,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = minhash.near_duplicates(docs, width=5, percent=80)
     drop = found.filter("not kept").select(F.col("doc_id").alias("__drop"))
-    return docs.join(drop, F.col("doc_id") == F.col("__drop"), "left_anti").select(*docs.columns)
+    # Joined by shuffling at every size: the dropped keys grow with the corpus.
+    return docs.join(drop.hint("merge"), F.col("doc_id") == F.col("__drop"), "left_anti").select(*docs.columns)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
