@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tickforge.llm.bpe import small_batches
 from tickforge.llm.common import python_map
-from tickforge.llm.training import Adam, sample_rows
+from tickforge.llm.training import Adam, sample_rows, smallest_hashes
 
 WIDTH, STRIDE, CHUNK = 8, 2, 256
 HALF = CHUNK // 2          # bytes between starts of chunks
@@ -170,13 +170,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         per_label: int = 1500, max_chars: int = 1500, seed: int = 3) -> ByteCnn:
     """Train on at most ``per_label`` documents of either label (rows without label are left out).
 
-    Of a longer text one stretch of ``max_chars`` is learned from. Contradicting labels are left out.
+    The documents are chosen from ``labels`` by key, so that only their texts are moved. Of a longer
+    text one stretch of ``max_chars`` is learned from. Contradicting labels are left out.
     """
-    known = (labels.select(F.col(key).alias("lk"), F.col(label).cast("int").alias("q")).filter("q in (0, 1)")
-             .groupBy("lk").agg(F.min("q").alias("q"), F.max("q").alias("q2")).filter("q = q2"))
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(known, F.col("k") == F.col("lk"))
-    return train(sample_rows(rows.select("k", "text", F.col("q").cast("string").alias("label")),
-                             per_label, max_chars, seed))
+    known = (labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("q")).filter("q in (0, 1)")
+             .groupBy("k").agg(F.min("q").alias("q"), F.max("q").alias("q2")).filter("q = q2"))
+    chosen = smallest_hashes(known.select("k", F.col("q").cast("string").alias("label")), per_label, seed)
+    chosen = chosen.select(F.col("k").alias("lk"), "label")
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(
+        F.broadcast(chosen), F.col("k") == F.col("lk"))  # at most two times per_label rows
+    return train(sample_rows(rows.select("k", "text", "label"), per_label, max_chars, seed))
 
 
 def classify(docs: DataFrame, model: ByteCnn, text: str = "text", score: str = "score",

@@ -111,7 +111,7 @@ def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text; labels of remainder 1 (mod 3) are held out of training."""
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
-    model = quality_cnn.fit(docs.filter(~held), table(spark, sf_dir, "labels"))
+    model = quality_cnn.fit(docs.filter(~held), table(spark, sf_dir, "labels").filter(~held))
     return quality_cnn.classify(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
 
 
