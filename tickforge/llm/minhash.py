@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.bpe import small_batches
-from tickforge.llm.common import stored
+from tickforge.llm.common import python_map, stored
 from tickforge.llm.components import connected_components
 
 BANDS, ROWS, BLOCK = 25, 5, 128
@@ -97,7 +97,7 @@ def sketch(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: i
                 [b.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["key", "n", "d1", "d2", "keys"])
 
-    return src.mapInArrow(run, "key long, n long, d1 long, d2 long, keys array<long>")
+    return python_map(src, run, "key long, n long, d1 long, d2 long, keys array<long>")
 
 
 def forest(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -151,7 +151,8 @@ def verified_links(docs: DataFrame, groups: DataFrame, key: str, text: str, widt
               .select("node", "g", F.ceil(F.col("members") / block).cast("int").alias("nb"))
               .withColumn("b", F.pmod(F.xxhash64("node", F.lit(99)), F.col("nb")).cast("int")))
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    src = (src.join(member, F.col("key") == F.col("node")).drop("node")
+    # Texts are joined by shuffling at every size: the groups are too many to be sent to all tasks.
+    src = (src.join(member.hint("merge"), F.col("key") == F.col("node")).drop("node")
            .select("key", "g", "nb", "b", "text"))
 
     def sets(batches):
@@ -160,7 +161,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, key: str, text: str, widt
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(found, pa.binary())],
                                              names=["key", "g", "nb", "b", "hashes"])
 
-    have = src.mapInArrow(sets, "key long, g long, nb int, b int, hashes binary")
+    have = python_map(src, sets, "key long, g long, nb int, b int, hashes binary")
     # Block i meets block j in task (i, j), i <= j; a group of one block is one unit.
     other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o")
     units = (have.select("key", "g", "b", "hashes", other)
@@ -194,7 +195,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, key: str, text: str, widt
         if held["unit"] is not None and (out := links()):
             yield _links(out)
 
-    return units.mapInArrow(compare, "u long, v long")
+    return python_map(units, compare, "u long, v long")
 
 
 def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
