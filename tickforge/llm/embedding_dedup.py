@@ -161,12 +161,22 @@ def _sorted_passes(nodes: DataFrame, rows: int, passes: int, window: int, thresh
         border, held = None, []
 
         def links():
-            out = []
+            out, root = [], {}
+
+            def find(x):
+                while root.setdefault(x, x) != x:
+                    x = root[x]
+                return x
+
             for run in sorted({r[1:3] for r in held}):
                 a, b = ([r for r in held if r[1:3] == run and r[0] == side] for side in (0, 1))
                 if a and b:
                     near = _unit([r[4] for r in a]) @ _unit([r[4] for r in b]).T >= threshold
-                    out += [(a[x][3], b[y][3]) for x, y in np.argwhere(near).tolist()]
+                    for x, y in np.argwhere(near).tolist():
+                        u, v = find(a[x][3]), find(b[y][3])
+                        if u != v:  # only what joins something new
+                            root[max(u, v)] = min(u, v)
+                            out.append((a[x][3], b[y][3]))
             return out
 
         for b in batches:
