@@ -61,6 +61,24 @@ def test_recall_and_exact_counts(spark):
     assert same >= 0.99 * len(vectors)
 
 
+def test_pairs_inside_a_dense_region_below_the_threshold(spark):
+    """A third of all vectors at a cosine of about 0.87 to one another, where nearly all signs agree."""
+    rng = np.random.default_rng(4)
+    dim, n = 64, 900
+    out = [rng.normal(size=dim) for _ in range(2 * n)]
+    axis = np.eye(dim)[0] * 2.6
+    side = rng.normal(size=(n, dim)) / np.sqrt(dim)
+    planted = [axis + 0.8 * r + 0.6 * rng.normal(size=dim) / np.sqrt(dim) for r in side[:60]]
+    out += [axis + r for r in side] + planted
+    rows = {i: [float(np.float32(c)) for c in v] for i, v in enumerate(out)}
+    links, n_links, comp = _brute(rows)
+    assert 40 <= len(links) < 200
+    df = spark.createDataFrame([(i, v, 0, "x") for i, v in rows.items()], SCHEMA).repartition(4)
+    got = {r["vec_id"]: r for r in ed.near_duplicates(df, window=8, block=64).collect()}
+    assert sum(r["n_links"] for r in got.values()) >= 0.98 * 2 * len(links)
+    assert sum(got[i]["component_id"] == comp[i] for i in rows) >= len(rows) - 0.02 * len(links)
+
+
 def test_passes_follow_the_number_of_vectors():
     assert ed.n_passes(1000, 128, 0.95, 0.01) < ed.n_passes(10**6, 128, 0.95, 0.01) < ed.n_passes(10**10, 128, 0.95, 0.01)
     assert ed.n_passes(10**10, 128, 0.95, 0.01) < 200

@@ -7,13 +7,15 @@
    own, go through one range-sorted exchange.
 3. Links found by any pass are united by connected components. Tasks return only links that join what
    they have not joined yet.
-4. Windows are bounded, so in a dense group they do not see every pair. The links of a node are therefore
-   counted inside its component: all pairs there are compared in blocks of two times ``block`` nodes a task, which
-   return one count a node, never pairs.
-
-The number of passes follows the number of vectors: two vectors at the threshold's angle fall into one window when
-they agree in about log2(vectors / window) signs, and passes are added until the chance of missing that in all
-of them is below ``miss``.
+4. Windows are bounded, so in a dense region they do not see every pair, also where the region as a whole is below
+   the threshold. Nodes that agree in the first :func:`n_signs` signs of a pass are a bucket; a bucket of more than
+   ``window`` nodes that are not one component yet is compared in full, in blocks, and the components are united again.
+5. The links of a node are counted inside its component: all pairs there are compared in blocks of two times
+   ``block`` nodes a task, which return one count a node, never pairs.
+
+The number of passes follows the number of vectors: passes are added until the chance that two vectors at the
+threshold's angle share a bucket in none of them is below ``miss``. All pairs of a bucket are compared, by the
+window or in full, so that chance does not depend on how the vectors are spread.
 """
 
 from __future__ import annotations
@@ -31,10 +33,15 @@ from tickforge.llm.components import connected_components
 BITS = 62
 
 
+def n_signs(rows: int, window: int) -> int:
+    """Signs that make a bucket: of evenly spread vectors it holds at most half a window."""
+    return min(BITS, max(1, math.ceil(math.log2(max(2, rows) / window) + 1)))
+
+
 def n_passes(rows: int, window: int, threshold: float, miss: float) -> int:
-    """Passes until a pair at the threshold is missed with a chance below ``miss``."""
+    """Passes until a pair at the threshold shares no bucket with a chance below ``miss``."""
     agree = 1 - math.acos(threshold) / math.pi  # chance that one sign agrees
-    together = agree ** min(BITS, max(1.0, math.log2(max(2, rows) / window) + 1))
+    together = agree ** n_signs(rows, window)
     return max(2, math.ceil(math.log(miss) / math.log1p(-together)))
 
 
@@ -69,6 +76,11 @@ def _prepared(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return python_map(src, run, "key long, dim int, raw binary, d1 long, d2 long")
 
 
+def _planes(dim: int, passes: int, seed: int) -> np.ndarray:
+    """The random projections (dim, passes, BITS) of vectors of one size."""
+    return np.random.default_rng([seed, dim]).normal(size=(dim, passes * BITS)).reshape(dim, passes, BITS)
+
+
 _PASS_ROWS = "u long, v long, border int, side int, dim int, pass int, node long, raw binary"
 
 
@@ -91,7 +103,7 @@ def _sorted_passes(nodes: DataFrame, rows: int, passes: int, window: int, thresh
             names, dims, raws = (b.column(k).to_pylist() for k in range(3))
             for dim in sorted(set(dims)):
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng([seed, dim]).normal(size=(dim, passes * BITS))
+                    planes[dim] = _planes(dim, passes, seed).reshape(dim, -1)
                 at = [i for i, d in enumerate(dims) if d == dim]
                 signs = (_unit([raws[i] for i in at]) @ planes[dim] > 0).reshape(len(at), passes, BITS)
                 keys = signs @ power
@@ -200,17 +212,109 @@ def _row_batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
+def _buckets(nodes: DataFrame, passes: int, signs: int, seed: int) -> DataFrame:
+    """``dim, pass, bucket, node, c`` of every node and pass; ``nodes``: node, dim, raw, c."""
+
+    def hashed(batches):
+        planes: dict[int, np.ndarray] = {}
+        power = 1 << np.arange(signs - 1, -1, -1, dtype=np.int64)
+        for b in batches:
+            names, dims, raws, comps = (b.column(k).to_pylist() for k in range(4))
+            for dim in sorted(set(dims)):
+                if dim not in planes:
+                    planes[dim] = np.ascontiguousarray(_planes(dim, passes, seed)[:, :, :signs]).reshape(dim, -1)
+                at = [i for i, d in enumerate(dims) if d == dim]
+                bucket = (_unit([raws[i] for i in at]) @ planes[dim] > 0).reshape(len(at), passes, signs) @ power
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(bucket.size, dim), pa.int32()), pa.array(np.tile(np.arange(passes), len(at)), pa.int32()),
+                     pa.array(bucket.reshape(-1), pa.int64()),
+                     pa.array(np.repeat(np.array([names[i] for i in at], dtype=np.int64), passes)),
+                     pa.array(np.repeat(np.array([comps[i] for i in at], dtype=np.int64), passes))],
+                    names=["dim", "pass", "bucket", "node", "c"])
+
+    return python_map(nodes, hashed, "dim int, pass int, bucket long, node long, c long")
+
+
+def _dense_links(nodes: DataFrame, comp: DataFrame, passes: int, signs: int, window: int, threshold: float,
+                 block: int, seed: int) -> DataFrame | None:
+    """Links (u, v) between components that meet in a bucket wider than the window; none: no such bucket.
+
+    The buckets are compared one by one, or all their nodes with one another if that makes fewer pairs (as the
+    buckets of a very dense region are about the same in all passes).
+    """
+    own = nodes.join(comp, nodes["node"] == comp["node"], "left").select(
+        nodes["node"], "dim", "raw", F.coalesce("component", nodes["node"]).alias("c"))
+    dealt = _buckets(own, passes, signs, seed)
+    wide = (dealt.groupBy("dim", "pass", "bucket").agg(F.count("*").alias("n"), F.min("c").alias("a"), F.max("c").alias("z"))
+            .filter(f"n > {int(window)} and a < z"))
+    wide = stored(wide.select(F.col("dim").alias("wd"), F.col("pass").alias("wp"), F.col("bucket").alias("wb"), "n"), "vec-wide")
+    apart = wide.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
+    if apart is None:
+        return None
+    inside = stored(dealt.join(wide, (F.col("dim") == F.col("wd")) & (F.col("pass") == F.col("wp"))
+                               & (F.col("bucket") == F.col("wb"))).select("dim", "pass", "bucket", "node"), "vec-dense")
+    nodes_of = inside.select("dim", "node").distinct()
+    whole = nodes_of.groupBy("dim").count().agg(F.sum(F.col("count").cast("double") * F.col("count"))).first()[0]
+    if whole <= apart:
+        member = nodes_of.select(F.col("node").alias("m"), F.col("dim").cast("string").alias("g"))
+    else:
+        member = inside.select(F.col("node").alias("m"), F.concat_ws(":", "dim", "pass", "bucket").alias("g"))
+    units = _units(own.select("node", F.col("c").alias("extra"), "raw"), member, block)
+
+    def joined(held):
+        """A spanning forest of the links of a unit, without what joins one component to itself."""
+        names, comps, raws, _ = zip(*held)
+        x, c = _unit(list(raws)), np.array(comps)
+        near = x @ x.T >= threshold
+        left, out = np.ones(len(x), dtype=bool), []
+        for start in range(len(x)):
+            if not left[start]:
+                continue
+            left[start] = False
+            todo = [start]
+            while todo:
+                k = todo.pop()
+                new = np.flatnonzero(near[k] & left)
+                left[new] = False
+                todo += new.tolist()
+                out += [(names[k], names[i]) for i in new[c[new] != c[k]].tolist()]
+        return out
+
+    def compare(batches):
+        unit, held = None, []
+        for b in batches:
+            for name, extra, raw, side, *at in zip(*(b.column(k).to_pylist() for k in range(7))):
+                if at != unit:
+                    if len(held) > 1 and (out := joined(held)):
+                        yield _links(out)
+                    unit, held = at, []
+                held.append((name, extra, raw, side))
+        if len(held) > 1 and (out := joined(held)):
+            yield _links(out)
+
+    return python_map(units, compare, "u long, v long")
+
+
+def _units(nodes: DataFrame, member: DataFrame, block: int) -> DataFrame:
+    """``node, extra, raw, b, g, i, j``: the nodes of every two blocks (i, j) of a group, side by side.
+
+    ``nodes``: node, extra, raw; ``member``: m (a node), g (its group; a node may be in many).
+    """
+    size = member.groupBy(F.col("g").alias("sg")).agg(F.count("*").alias("members"))
+    dealt = (member.join(size, F.col("g") == F.col("sg"))
+             .withColumn("nb", F.ceil(F.col("members") / block).cast("int"))
+             .withColumn("b", F.pmod(F.xxhash64("m", F.lit(17)), F.col("nb")).cast("int"))
+             .select("m", "g", "nb", "b"))
+    rows = nodes.join(dealt.hint("merge"), F.col("node") == F.col("m"))
+    rows = rows.select("node", "extra", "raw", "g", "b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    units = rows.select("node", "extra", "raw", "b", "g", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
+    return units.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "node")
+
+
 def _counts(nodes: DataFrame, comp: DataFrame, threshold: float, block: int) -> DataFrame:
     """``node, links``: weights of all nodes of the same component at or above the threshold, without itself."""
-    size = comp.groupBy(F.col("component").alias("g")).agg(F.count("*").alias("members"))
-    member = (comp.withColumnRenamed("node", "m").join(size, F.col("component") == F.col("g"))
-              .withColumn("nb", F.ceil(F.col("members") / block).cast("int"))
-              .withColumn("b", F.pmod(F.xxhash64("m", F.lit(17)), F.col("nb")).cast("int"))
-              .select("m", "g", "nb", "b"))
-    rows = nodes.join(member.hint("merge"), F.col("node") == F.col("m"))
-    rows = rows.select("node", "weight", "raw", "g", "b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
-    units = rows.select("node", "weight", "raw", "b", "g", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
-    units = units.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "node")
+    units = _units(nodes.select("node", F.col("weight").alias("extra"), "raw"),
+                   comp.select(F.col("node").alias("m"), F.col("component").alias("g")), block)
 
     def compare(batches):
         unit, held = None, []
@@ -261,6 +365,11 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     passes = n_passes(rows, window, threshold, miss)
     links = _sorted_passes(nodes.select("node", "dim", "raw"), rows, passes, window, threshold, seed)
     comp = stored(connected_components(links), "vec-components")
+    dense = _dense_links(nodes.select("node", "dim", "raw"), comp, passes, n_signs(rows, window), window, threshold,
+                         4 * block, seed)
+    if dense is not None:
+        known = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        comp = stored(connected_components(known.union(dense)), "vec-components")
     counts = _counts(nodes.select("node", "weight", "raw"), comp, threshold, block)
     of_node = (nodes.select("d1", "d2", "node", "weight")
                .join(comp.withColumnRenamed("node", "cn"), F.col("node") == F.col("cn"), "left")
