@@ -83,6 +83,27 @@ def test_blocks_and_references(model):
         "Second one with a link inside, it goes on — for long.", "Item one is here.", "Item two is here."])
 
 
+def test_omitted_end_tags_of_silent_elements(model):
+    first = "The first paragraph is here, and it goes on for a while."
+    second = "The second paragraph is here, with more of the same text."
+    body = f"<article><h1>A title of some length</h1><p>{first}<p>{second}</article>"
+    want = "\n\n".join(["A title of some length", first, second])
+    for start in ("<head><title>x</title><body>", "<html><head><meta charset=utf-8><title>x</title><style>p{}</style>",
+                  "<body><datalist><option>a<option>b</datalist>", "<body><select><optgroup><option>a<option>b</select>",
+                  "<body><div><button>Menu</div>", "<body><button>Menu", "<body><div><video src=x></div>",
+                  "<body><object data=x>", "<body><svg><path d=x>", "<body><div><svg><g></div><svg></svg>",
+                  "<body><svg><title>Icon</title><path/></svg>", "<body><video>", "<body><p><option>a<option>b</p>"):
+        assert model.extract(start + body) == want, start
+    # What is closed stays silent, whatever it holds.
+    for silent in ("<video><p>Your browser is too old for this film.</p></video>", "<noscript><p>Switch on the scripts.</p></noscript>",
+                   "<template><div><article><p>A pattern of a page.</p></article></div></template>",
+                   "<button><div>Press this button now.</div></button>", "<textarea><p>Write here.</p></textarea>"):
+        assert model.extract("<body>" + silent + body) == want, silent
+    formula = "<math><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>tex</annotation></math>"
+    got = model.extract(f"<article><h1>A title of some length</h1><p>{first} It says {formula} of all bodies.<p>{second}</article>")
+    assert f"{first} It says E=m of all bodies." in got
+
+
 def test_broken_and_deep_pages(model):
     for page in (None, "", "   ", "<", "<p", "</div></div>", "<!--", "<script>x", "&amp;&bogus;&#0;", "<a></b><i>",
                  "<div>" * 3000 + "x" + "</div>" * 10, "<p><b>" * 500 + "t", "plain text only " * 200):

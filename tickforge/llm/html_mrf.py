@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,12 +33,23 @@ from tickforge.llm.training import Adam
 #: Fixed values of HTML: elements without end tag, inline elements, elements that hold no text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-             "strong sub sup time tt u var br wbr img".split())
-SILENT = set("script style noscript template svg math iframe object canvas audio video select option textarea "
-             "button title head".split())
+             "strong sub sup time tt u var br wbr img math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded "
+             "mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd maction "
+             "semantics".split())
+SILENT = set("script style noscript template svg annotation annotation-xml iframe object canvas audio video select "
+             "datalist optgroup option textarea button title".split())
+#: Silent elements whose content is plain text up to their own end tag.
+RAW = set("script style textarea title iframe".split())
+SECTIONS = set("article main section nav header footer aside h1 h2 h3 h4 h5 h6 body".split())
+BLOCKS = SECTIONS | set("address blockquote center dd details dialog dir div dl dt fieldset figcaption figure form hgroup "
+                        "li menu ol p pre summary table tbody td tfoot th thead tr ul".split())
+#: Start tags that a silent element cannot hold: they show that its end tag was left out.
+BREAKS = {"svg": BLOCKS, **dict.fromkeys("select datalist optgroup option button".split(), BLOCKS - {"div"}),
+          **dict.fromkeys("object canvas audio video".split(), SECTIONS)}
+_END = re.compile(rf"</({'|'.join(sorted(SILENT, key=len, reverse=True))})(?=[\s/>])", re.I)
 #: Start tags that end an open element of the given kinds (only inside the nearest container).
 ENDS = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
-        "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
+        "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 CONTAINERS = set("ul ol dl table tbody thead tfoot div section article main aside body html".split())
 TAGS = ("article main section div nav header footer aside form ul ol li dl table tr td p blockquote pre figure "
         "h1 h2 h3 h4 body html").split()
@@ -56,13 +68,19 @@ SORTS = 3  # of a child: element of known meaning, plain element, text block
 
 
 class Tree(HTMLParser):
-    """Nodes in page order, parents before children: parent, tag, attributes, text blocks."""
+    """Nodes in page order, parents before children: parent, tag, attributes, text blocks.
 
-    def __init__(self):
+    A silent element without an end tag ends with its parent, or at a start tag that it cannot hold (at any
+    block if no end tag of its kind is left in the page). Tags of ``head`` say nothing: all that may stand
+    in a head is silent or void.
+    """
+
+    def __init__(self, ends: Counter | None = None):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.attrs, self.text, self.linked = [], [], [], [], []
         self.open: list[tuple[str, int]] = []  # element name, its node (inline elements: -1)
-        self.silent: list[str] = []
+        self.silent: list[str] = []  # the outermost open silent element and what is open inside it
+        self.ends = Counter() if ends is None else ends  # end tags of silent elements that are still to come
         self.block = -1  # text block that is being filled
         self.in_link = 0
         self._node(-1, "html", {})
@@ -83,10 +101,18 @@ class Tree(HTMLParser):
         return 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in SILENT:
-            self.silent.append(tag)
-            return
         if self.silent:
+            if self.silent[-1] in RAW:
+                return
+            if tag in ("option", "optgroup") and self.silent[-1] == "option":
+                self.silent.pop()
+            if self._breaks(tag):
+                self.silent.clear()
+        if self.silent or tag in SILENT:
+            if tag not in VOID:
+                self.silent.append(tag)
+            return
+        if tag == "head":
             return
         if tag in INLINE or tag in VOID:
             if tag in ("br", "hr") and self.block >= 0:
@@ -110,6 +136,13 @@ class Tree(HTMLParser):
         self.block = -1
         self.open.append((tag, self._node(self._top(), tag, attrs)))
 
+    def _breaks(self, tag: str) -> bool:
+        """Does the start tag end the open silent element?"""
+        if not self.silent or {"foreignobject", "template"} & set(self.silent):
+            return False
+        outer = self.silent[0]
+        return tag in (BREAKS.get(outer, ()) if self.ends[outer] > 0 else BLOCKS)
+
     def _close_to(self, k: int) -> None:
         """Close the open elements from place ``k`` on; open inline elements end with their block."""
         for name, node in self.open[k:]:
@@ -119,16 +152,23 @@ class Tree(HTMLParser):
         del self.open[k:]
 
     def handle_endtag(self, tag):
+        if tag in SILENT:
+            self.ends[tag] -= 1
         if self.silent:
+            if self.silent[-1] in RAW and tag != self.silent[-1]:
+                return
             if tag in self.silent:
                 while self.silent.pop() != tag:
                     pass
-            return
-        if tag in ("html", "body"):
+                return
+            if "template" in self.silent:
+                return
+        if tag in ("html", "body", "head"):
             return
         for k in range(len(self.open) - 1, 0, -1):
             name, node = self.open[k]
             if name == tag:
+                self.silent.clear()  # ends with its parent
                 self._close_to(k)
                 return
             if tag in INLINE and node >= 0:
@@ -154,7 +194,7 @@ class Tree(HTMLParser):
 
 def parse(html: str) -> tuple[list[int], list[str], list[dict], list[str], list[float]]:
     """Parents, tags, attributes, texts (white space as single spaces) and shares of link text."""
-    t = Tree()
+    t = Tree(Counter(x.lower() for x in _END.findall(html)))
     t.feed(html)
     t.close()
     texts = [" ".join("".join(x).split()) for x in t.text]
