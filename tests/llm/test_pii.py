@@ -53,6 +53,19 @@ def test_clean_texts_stay(spark):
     assert pii.replace_pii(spark.createDataFrame([], DOCS), SECRET).count() == 0
 
 
+def test_masked_and_non_latin_secrets(spark):
+    hidden = ["********", "••••••••", "<******>", "неверный", "пароль12", "——————", "Ab-cd_99"]
+    texts = [f"a password: {h} b" for h in hidden] + [f"pwd = {h}" for h in hidden]
+    got = _run(spark, texts)
+    new = []
+    for i, h in enumerate(hidden):
+        s = got[i][0].removeprefix("a password: ").removesuffix(" b")
+        assert got[i][1] == 1 and len(s) >= len(h) and got[i + len(hidden)][0] == f"pwd = {s}"
+        assert s not in hidden and not re.search(r"[\s\'\",;]", s) and s.isascii()
+        new.append(s)
+    assert len(set(new)) == len(hidden)
+
+
 def test_collisions_are_drawn_again(spark):
     """More entities than a small format easily holds: all surrogates differ, none is real."""
     rows = [("ip", f"192.168.{a}.{b}") for a in range(100) for b in range(1, 255, 2)]

@@ -8,7 +8,9 @@ distinct entity of the corpus gets one surrogate of its own type, drawn from a k
 * phone, card, SSN: digits change, the number's own punctuation, country code and card network
   stay, and a card that passes the check-digit test still does;
 * IPv4: another public (or private, as before) address;
-* keys and secrets: every character is replaced inside its class, the label stays;
+* keys: letters become letters and digits digits;
+* secrets: every character is replaced, digits and ASCII letters inside their class, other letters by ASCII
+  letters and all else by symbols; the label stays;
 * persons: first name of the same gender and script, family name of the same script and
   about the same length; the title stays.
 
@@ -139,13 +141,22 @@ def _draw(kind: Column, canon: Column, secret: str, attempt: Column) -> Column:
         hexa = F.substring(F.sha2(F.concat_ws("\x1f", seed, salt.cast("string")), 256), 1, 12)
         return F.pmod(F.conv(hexa, 16, 10).cast("long"), F.lit(below))
 
-    def spread(text: Column) -> Column:
-        """Every letter and digit replaced inside its class, the rest kept."""
+    def more(text: Column, every: int, chars: str = "abcdefghijklmnopqrstuvwxyz0123456789") -> Column:
+        """``text`` and one more character after each ``every`` draws: there are always enough values."""
+        pick = lambda i: F.substring(F.lit(chars), (number(F.concat(F.lit("m"), i.cast("string")), len(chars)) + 1).cast("int"), F.lit(1))  # noqa: E731,E501
+        places = F.slice(F.array(*map(F.lit, range(1, 17))), F.lit(1), F.floor(attempt / every).cast("int"))
+        return F.concat(text, F.array_join(F.transform(places, pick), ""))
+
+    def spread(text: Column, rest: bool = False) -> Column:
+        """Every letter and digit replaced inside its class, the rest kept (or replaced too)."""
         def one(c: Column, i: Column) -> Column:
             pick = lambda chars: F.substring(F.lit(chars), (number(i, len(chars)) + 1).cast("int"), F.lit(1))
             return (F.when(c.rlike("[0-9]"), pick("0123456789"))
                     .when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
-                    .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c))
+                    .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+                    .when(F.lit(rest) & c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+                    .when(F.lit(rest) & c.rlike(r"\p{L}"), pick("abcdefghijklmnopqrstuvwxyz"))
+                    .when(F.lit(rest), pick("-_.~!*+")).otherwise(c))
         return F.array_join(F.transform(F.split(text, ""), one), "")
 
     def hexes(text: Column) -> Column:
@@ -192,7 +203,8 @@ def _draw(kind: Column, canon: Column, secret: str, attempt: Column) -> Column:
     return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ssn", ssn)
             .when(kind == "card", card).when(kind == "ip", ip).when(kind == "key", key)
             .when(kind == "person", person)
-            .otherwise(F.when(canon.rlike(r"\A[0-9a-f]+\z"), hexes(canon)).otherwise(spread(canon))))
+            .otherwise(F.when(canon.rlike(r"\A[0-9a-f]+\z"), more(hexes(canon), 4, "0123456789abcdef"))
+                       .otherwise(more(spread(canon, rest=True), 4))))
 
 
 def _luhn(digits: Column) -> Column:
