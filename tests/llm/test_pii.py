@@ -66,6 +66,30 @@ def test_masked_and_non_latin_secrets(spark):
     assert len(set(new)) == len(hidden)
 
 
+def test_short_signed_numbers_are_no_phones(spark):
+    texts = ["+100, +250 and +2024", "up +3.14 or +12 345", "call +44 20 7946 0958 or +49 (30) 1234567 now"]
+    got = _run(spark, texts)
+    assert [got[i] for i in range(2)] == [(t, 0) for t in texts[:2]]
+    assert got[2][1] == 2 and re.fullmatch(r"call \+44 \d\d \d{4} \d{4} or \+49 \(\d\d\) \d{7} now", got[2][0])
+
+
+def test_draws_of_small_formats_widen(spark):
+    """After the first draws a format's values are no longer bounded by its length or private range."""
+    rows = [("ip", "192.168.3.4"), ("ip", "172.16.3.4"), ("email", "a@b.co"), ("phone", "1012345"), ("secret", "123456")]
+    df = spark.createDataFrame(rows, "kind string, canon string").crossJoin(spark.range(0, 25, 8))
+    drawn = df.withColumn("s", pii._draw(F.col("kind"), F.col("canon"), SECRET, F.col("id").cast("int"))).collect()
+    got = {(r["canon"], r["id"]): r["s"] for r in drawn}
+    assert [len(got["a@b.co", k]) for k in (0, 8, 24)] == [6, 8, 12] and got["a@b.co", 24].endswith(".co")
+    assert [len(got["1012345", k]) for k in (0, 8, 24)] == [7, 9, 13] and got["1012345", 8].startswith("10")
+    assert [len(got["123456", k]) for k in (0, 8, 24)] == [6, 8, 12]
+    assert got["192.168.3.4", 0].startswith("192.168.") and got["172.16.3.4", 0].startswith("172.16.")
+    assert got["192.168.3.4", 8].startswith("10.") and got["172.16.3.4", 16].startswith("10.")
+    assert not re.match(r"10\.|127\.|192\.168\.|172\.", got["192.168.3.4", 24])
+    wide = spark.createDataFrame([("phone", "+44 1234 (567)", "", "+44 1234 (567)", "441234567", "44987654321")],
+                                 "kind string, v string, prefix string, body string, canon string, surrogate string")
+    assert wide.select(pii._rendered(wide)).first()[0] == "+44 9876 (543)21"
+
+
 def test_collisions_are_drawn_again(spark):
     """More entities than a small format easily holds: all surrogates differ, none is real."""
     rows = [("ip", f"192.168.{a}.{b}") for a in range(100) for b in range(1, 255, 2)]

@@ -60,6 +60,8 @@ _FIRST_ALL = "|".join(n for names in FIRST.values() for n in names.split())
 _TITLE_ALL = "|".join(t.replace(".", r"\.") for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
 #: First characters of names and titles: Latin, Greek and Cyrillic capitals, two small title letters.
 _INITIALS = r"A-Z\u0386-\u03AB\u0401-\u042F\u0433\u03BA"
+#: Seven digits of a number, written out as look-behinds take no repeated groups.
+_SEVEN = r"[0-9][ .()-]{0,3}" * 7
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: Patterns, in the order in which they are tried at a place. Each begins with a test of one
@@ -73,7 +75,7 @@ PATTERNS = {
     "card": r"[3-6](?<![0-9.+-].)(?:[0-9]{3}(?:[ -]?[0-9]{4}){3}|(?<=3)[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9-])",
     "ssn": r"[0-9](?<![0-9-].)[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?=[0-9+(])(?<![0-9+])(?:(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-             r"|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9]))",
+             rf"|\+[1-9][0-9]{{0,2}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{2,5}}(?![0-9])(?<={_SEVEN}))",
     "ip": rf"(?=[0-9])(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "person": rf"(?=[{_INITIALS}])(?<![\p{{L}}])"
               rf"(?:(?:{_TITLE_ALL})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST_ALL}) {_NAME})(?![\p{{L}}])",
@@ -164,7 +166,7 @@ def _draw(kind: Column, canon: Column, secret: str, attempt: Column) -> Column:
         return F.array_join(F.transform(F.split(text, ""), one), "")
 
     cut = F.length(canon) - F.length(F.substring_index(canon, ".", -1))
-    email = F.concat(spread(canon.substr(F.lit(1), cut)), F.substring_index(canon, ".", -1))
+    email = F.concat(more(F.lit(""), 4), spread(canon.substr(F.lit(1), cut)), F.substring_index(canon, ".", -1))
 
     def tail(start: int) -> Column:
         return spread(canon.substr(F.lit(start), F.length(canon)))
@@ -172,14 +174,16 @@ def _draw(kind: Column, canon: Column, secret: str, attempt: Column) -> Column:
     # North American numbers start their two first groups with 2 to 9.
     ten = F.concat((number(F.lit("a"), 8) + 2).cast("string"), tail(2).substr(1, 2),
                    (number(F.lit("b"), 8) + 2).cast("string"), tail(5))
-    phone = F.when(F.length(canon) == 10, ten).otherwise(F.concat(canon.substr(1, 2), tail(3)))
+    phone = F.when(F.length(canon) == 10, ten).otherwise(more(F.concat(canon.substr(1, 2), tail(3)), 4, "0123456789"))
     ssn = F.concat(F.lpad((number(F.lit("a"), 664) + 1).cast("string"), 3, "0"),
                    F.lpad((number(F.lit("b"), 99) + 1).cast("string"), 2, "0"),
                    F.lpad((number(F.lit("c"), 9999) + 1).cast("string"), 4, "0"))
     body = F.concat(canon.substr(1, 1), spread(canon.substr(F.lit(2), F.length(canon) - 2)))
     card = F.when(_luhn(canon) == 0, F.concat(body, F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
                   ).otherwise(F.concat(canon.substr(1, 1), tail(2)))
+    # A small private range that runs full goes over to 10.0.0.0/8, and that to public addresses.
     private = F.regexp_extract(canon, r"\A(?:10|127|192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))(?=\.)", 0)
+    private = F.when((private == "") | (attempt < 8), private).when(attempt < 24, "10").otherwise("")
     octet = lambda s, lo, n: (number(F.lit(s), n) + lo).cast("string")
     public = F.when(number(F.lit("o"), 2) == 0, octet("p", 11, 116)).otherwise(octet("p", 128, 41))
     ip = F.when(private == "", F.concat_ws(".", public, octet("q", 0, 256), octet("r", 0, 256), octet("s", 1, 254))
@@ -219,8 +223,10 @@ def surrogates(entities: DataFrame, secret: str, max_draws: int = 60) -> DataFra
     """``kind, canon`` (distinct) to ``kind, canon, surrogate``: distinct, and no real entity.
 
     Draws until no two entities of a kind share a surrogate and no surrogate is an entity of
-    the corpus. A format with fewer values than the corpus has entities of it cannot have
-    distinct surrogates; that ends in an error after ``max_draws``.
+    the corpus. Formats with few values are widened as the draws rise: longer secrets, e-mails and
+    international numbers, other private ranges, longer names. Numbers of fixed length (card, SSN, ten-digit phone,
+    key) and public addresses are not; more of them than half of their values (330 million SSNs, 1.3 billion
+    addresses, 3.2 billion phones) end in an error after ``max_draws``.
     """
     now = stored(entities.withColumn("attempt", F.lit(0)), "pii-entities")
     done = None
@@ -249,12 +255,13 @@ def _rendered(m: DataFrame) -> Column:
     body, s = F.col("body"), F.col("surrogate")
     chars = F.split(body, "")
     n_digits = F.length(F.regexp_replace(body, "[^0-9]", ""))
-    # Digits are dealt from the right: a country code that the canonical form lacks stays.
-    lead = n_digits - F.length(s)
+    # Digits are dealt from the right: a country code that the canonical form lacks stays. What a longer
+    # number has more stands at its end.
+    lead = F.greatest(n_digits - F.length(s), F.lit(0))
     def digit(c: Column, i: Column) -> Column:
         before = F.length(F.regexp_replace(body.substr(F.lit(1), i + 1), "[^0-9]", ""))
         return F.when(c.rlike("[0-9]") & (before > lead), s.substr(before - lead, F.lit(1))).otherwise(c)
-    digits = F.array_join(F.transform(chars, digit), "")
+    digits = F.concat(F.array_join(F.transform(chars, digit), ""), s.substr(n_digits + 1, F.length(s)))
     parts = F.split(s, r"\|")
     name = F.concat_ws(" ", F.when(parts[2] != "", parts[2]), parts[3])
     return F.concat("prefix", F.when(F.col("kind").isin(_DIGIT_TYPES), digits)
