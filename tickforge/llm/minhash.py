@@ -5,7 +5,8 @@
 2. Documents of equal digest are one node, so exact copies never meet pairwise.
 3. Nodes that share a band key are candidates: every node of a bucket is linked to the
    bucket's smallest node, and the components of these links are *candidate groups*.
-   Two similar sets share a key but for a chance of about 4 in 10 million at the threshold.
+   Two similar sets share a key but for a chance of about 4 in 10 million at a similarity of 0.85, and of
+   about 5 in 100,000 at 0.80 (25 bands of 5).
 4. *Verify*: inside a candidate group all pairs are compared on the full sets. A group is
    cut into blocks of about ``block`` nodes; a task holds two blocks at a time and returns
    only links that join what is not joined yet, at most one a node.
