@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import (bitplane, bpe, embedding_dedup, html_mrf, language, minhash, mixing, pii,
+from tickforge.llm import (bitplane, bpe, embedding_dedup, html_mrf, language, merkle, minhash, mixing, pii,
                            quality_cnn, quality_rules)
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
@@ -126,3 +126,71 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of the whole table, cosine of 0.95 or more."""
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by language, and a version for each that is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    # Wider than a long, so that one more always fits.
+    more = F.when(crc_mod("doc_id", 7) == 0, F.col("n_chars").cast("decimal(20,0)") + 1)
+    out = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], keep=["doc_id"],
+                          changes={"n_chars": more.cast("string")})
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.concat_ws("", "siblings"), 256).alias("proof_sha256"),
+                      F.col("version_root").alias("folded_root"), (F.col("version_root") == F.col("root")).alias("verified"))
+
+
+# The tree level by level: a node is the hash of two neighbours, and every document follows its ancestors.
+ORACLES["op11_manifest"] = """
+with recursive bits as (
+  select doc_id, list_reduce(
+      list_prepend(4294967295::bigint, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+          lambda ch: [ascii(ch)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, b: xor(xor(c, b) >> 1, 3988292384::bigint * (xor(c, b) & 1))) as reg
+  from (select distinct doc_id from documents where doc_id is not null)),
+crc as (select doc_id, xor(reg, 4294967295::bigint) % 7 = 0 as hit from bits),
+base as (
+  select d.doc_id, d.lang, d.n_chars, coalesce(c.hit, false) and d.n_chars is not null as hit,
+         coalesce(strlen(cast(d.doc_id as varchar)) || ':' || cast(d.doc_id as varchar), '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as head,
+         coalesce(strlen(text) || ':' || text, '-') as tail
+  from documents d left join crc c on d.doc_id = c.doc_id),
+leaves as (
+  select doc_id, lang, sha256(head || coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-') || tail) as leaf,
+         case when hit then sha256(head || strlen(cast(n_chars + 1 as varchar)) || ':' || cast(n_chars + 1 as varchar) || tail) end as bad
+  from base),
+placed as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+                  count(*) over (partition by lang) as n from leaves),
+nodes as (
+  select lang, 0 as lvl, pos as idx, n, leaf as digest from placed
+  union all
+  select lang, any_value(lvl) + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' order by idx))
+  from nodes where n > 1 group by lang, idx // 2),
+subroots as (select lang, digest as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n
+             from nodes where n = 1),
+upper_nodes as (
+  select 0 as lvl, pos as idx, n, subroot as digest from subroots
+  union all
+  select any_value(lvl) + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' order by idx))
+  from upper_nodes where n > 1 group by idx // 2),
+walk as (
+  select lang, pos, 0 as lvl, pos as idx, n, '' as proof, coalesce(bad, leaf) as digest from placed
+  union all
+  select w.lang, w.pos, w.lvl + 1, w.idx // 2, (w.n + 1) // 2, w.proof || coalesce(s.digest, ''),
+         sha256(case when w.idx % 2 = 1 then coalesce(s.digest, '') || w.digest else w.digest || coalesce(s.digest, '') end)
+  from walk w left join nodes s on s.lang is not distinct from w.lang and s.lvl = w.lvl and s.idx = xor(w.idx, 1)
+  where w.n > 1),
+upper_walk as (
+  select w.lang, w.pos, 0 as lvl, s.pos as idx, s.n, w.proof, w.digest
+  from walk w join subroots s on s.lang is not distinct from w.lang where w.n = 1
+  union all
+  select w.lang, w.pos, w.lvl + 1, w.idx // 2, (w.n + 1) // 2, w.proof || coalesce(s.digest, ''),
+         sha256(case when w.idx % 2 = 1 then coalesce(s.digest, '') || w.digest else w.digest || coalesce(s.digest, '') end)
+  from upper_walk w left join upper_nodes s on s.lvl = w.lvl and s.idx = xor(w.idx, 1)
+  where w.n > 1)
+select p.doc_id, p.leaf, s.subroot, (select digest from upper_nodes where n = 1) as root,
+       sha256(w.proof) as proof_sha256, w.digest as folded_root,
+       w.digest = (select digest from upper_nodes where n = 1) as verified
+from placed p
+join subroots s on s.lang is not distinct from p.lang
+join upper_walk w on w.lang is not distinct from p.lang and w.pos = p.pos and w.n = 1"""
