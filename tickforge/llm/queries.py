@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import (bitplane, bpe, embedding_dedup, html_mrf, language, merkle, minhash, mixing, pii,
-                           quality_cnn, quality_rules)
+from tickforge.llm import (bitplane, bpe, embedding_dedup, fingerprint, hard_negatives, html_mrf, language, merkle,
+                           minhash, mixing, pii, quality_cnn, quality_rules)
 from tickforge.llm.common import table
 from tickforge.session import scratch_dir
 
@@ -194,3 +194,39 @@ select p.doc_id, p.leaf, s.subroot, (select digest from upper_nodes where n = 1)
 from placed p
 join subroots s on s.lang is not distinct from p.lang
 join upper_walk w on w.lang is not distinct from p.lang and w.pos = p.pos and w.n = 1"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors; every seventh has a shifted label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), lambda key: key % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+with q as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+         cast(list_dot_product(a.v, b.v) as bigint) as score
+  from q a join q b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+ranked as (
+  select p.anchor_id, p.positive_id, n.other_id as negative_id, p.positive_score, n.score as negative_score,
+         cast(row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id) as integer) as rank
+  from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+       and 80 * p.positive_score <= 100 * n.score and 100 * n.score <= 100 * p.positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5"""
+
+
+@query
+def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    return fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
