@@ -11,7 +11,8 @@ their generalised Jaccard similarity, the sum over words of the smaller count by
 of equal samples so estimates it with a standard deviation of at most 0.5 / sqrt(samples).
 
 Words are counted by one hash aggregate and samples are minima of one long each (the rounded ln a above 32 bits that
-name the sample), so both run in generated code and combine before any exchange.
+name the sample), so both run in generated code and combine before any exchange. What a word draws with some
+weight is the same in all texts, so the draws of the most frequent words and weights are looked up in a table of bounded size.
 """
 
 from __future__ import annotations
@@ -36,11 +37,14 @@ def _uniform_pair(h: Column) -> Column:
     return low * high * F.lit(2.0 ** -64)
 
 
-def _sample(word: Column, log_weight: Column, j: int) -> Column:
-    """Sample ``j`` of a word as one long: ln a, rounded to 2**-23, above the 32 bits of (word, t)."""
-    h1 = F.xxhash64(word, F.lit(3 * j))
-    h2 = F.xxhash64(word, F.lit(3 * j + 1))
-    h3 = F.xxhash64(word, F.lit(3 * j + 2))
+def _sample(word: Column, log_weight: Column, seed: Column) -> Column:
+    """A sample of a word as one long: ln a, rounded to 2**-23, above the 32 bits of (word, t).
+
+    ``seed`` is three times the number of the sample: each takes three hashes.
+    """
+    h1 = F.xxhash64(word, seed)
+    h2 = F.xxhash64(word, seed + 1)
+    h3 = F.xxhash64(word, seed + 2)
     r = -F.ln(_uniform_pair(h1))
     log_c = F.ln(-F.ln(_uniform_pair(h2)))
     b = F.shiftrightunsigned(h3, 11).cast("double") * F.lit(2.0 ** -53)
@@ -48,26 +52,66 @@ def _sample(word: Column, log_weight: Column, j: int) -> Column:
     log_a = log_c - r * (t.cast("double") - b + 1.0)
     # ln a lies between -100 and 5, whatever the hashes.
     place = F.floor((log_a + 128.0) * F.lit(float(2 ** 23)))
-    name = (h3.bitwiseXOR(t * F.lit(2654435761))).bitwiseAND(F.lit(_LOW))
+    name = h3.bitwiseXOR(t.bitwiseAND(F.lit(0x7FFFFFFF)) * F.lit(2654435761)).bitwiseAND(F.lit(_LOW))
     return F.shiftleft(place, 32).bitwiseOR(name)
 
 
-def signatures(texts: DataFrame, by: list[str], text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def _counted(texts: DataFrame, by: list[str], text: str) -> DataFrame:
+    """``by``, the hash of a word and its count; a null hash where pieces are empty or there is no word."""
+    words = texts.select(*by, F.explode_outer(F.split(F.coalesce(F.col(text), F.lit("")), BLANK)).alias("__w"))
+    hashed = F.when(F.col("__w") != "", F.xxhash64("__w"))
+    return words.select(*by, hashed.alias("__h")).groupBy(*by, "__h").agg(F.count("*").alias("__n"))
+
+
+def _weight() -> Column:
+    return F.ln(F.col("__n").cast("double"))
+
+
+#: Samples of one row of the sampling stage.
+_STEP = 8
+
+
+def common_samples(texts: DataFrame, samples: int = SAMPLES, text: str = "text", rows: int = 2000, words: int = 16384) -> DataFrame:
+    """``ch, cn, known``: all samples of the most frequent pairs of a word (its hash) and its count in a text.
+
+    A sample depends on the word, its count and the sample's number alone, so frequent words need not draw theirs anew in
+    every text. The pairs are the ``words`` most frequent ones in about ``rows`` different texts, chosen by hash: they decide what
+    is drawn anew, never what is drawn. The table holds at most ``words * (samples + 2)`` longs, so it may be broadcast.
+    """
+    named = texts.select(F.xxhash64(text, F.lit(23)).alias("t"), F.col(text).alias("text"))
+    share = max(1, named.count() // rows)
+    some = named.filter(F.pmod("t", F.lit(share)) == 0).dropDuplicates(["t"])
+    often = (_counted(some, ["t"], "text").filter("__h is not null").groupBy("__h", "__n").agg(F.count("*").alias("f"))
+             .orderBy(F.desc("f"), "__h", "__n").limit(words).select("__h", "__n"))
+    drawn = often.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    drawn = drawn.select("__h", "__n", "j", _sample(F.col("__h"), _weight(), F.col("j") * 3).alias("v"))
+    known = F.transform(F.array_sort(F.collect_list(F.struct("j", "v"))), lambda x: x["v"])
+    return drawn.groupBy(F.col("__h").alias("ch"), F.col("__n").alias("cn")).agg(known.alias("known"))
+
+
+def signatures(texts: DataFrame, by: list[str], text: str = "text", samples: int = SAMPLES, common: DataFrame | None = None) -> DataFrame:
     """``by`` and ``signature`` (array of ``samples`` ints, empty for a text without words) of every text.
 
     The columns ``by`` name one text each. Where the rows are already partitioned by some of them, nothing is shuffled.
+    ``samples`` is a multiple of 8; ``common`` (:func:`common_samples`) saves drawing the samples of frequent words again.
     """
-    words = texts.select(*by, F.explode_outer(F.split(F.coalesce(F.col(text), F.lit("")), BLANK)).alias("__w"))
-    # Empty pieces stay as a null word, so that a text without words keeps its row.
-    hashed = F.when(F.col("__w") != "", F.xxhash64("__w"))
-    counted = words.select(*by, hashed.alias("__h")).groupBy(*by, "__h").agg(F.count("*").alias("__n"))
-    log_weight = F.ln(F.col("__n").cast("double"))
-    least = [F.min(F.when(F.col("__h").isNotNull(), _sample(F.col("__h"), log_weight, j))).alias(f"__m{j}") for j in range(samples)]
-    mins = F.array(*[F.col(f"__m{j}") for j in range(samples)])
+    if samples % _STEP:
+        raise ValueError(f"samples must be a multiple of {_STEP}")
+    counted = _counted(texts, by, text)
+    if common is None:
+        counted = counted.withColumn("known", F.lit(None).cast("array<long>"))
+    else:
+        counted = counted.join(F.broadcast(common), (F.col("__h") == F.col("ch")) & (F.col("__n") == F.col("cn")), "left")
+    each = counted.select(*by, "__h", _weight().alias("__l"), "known",
+                          F.explode(F.array(*[F.lit(k) for k in range(0, samples, _STEP)])).alias("__j"))
+    drawn = [F.coalesce(F.get("known", F.col("__j") + i), _sample(F.col("__h"), F.col("__l"), F.col("__j") * 3 + 3 * i))
+             for i in range(_STEP)]
+    least = each.groupBy(*by, "__j").agg(*[F.min(F.when(F.col("__h").isNotNull(), d)).alias(f"__m{i}") for i, d in enumerate(drawn)])
     # The low half of a long as a signed int.
-    codes = F.transform(mins, lambda m: F.shiftright(F.shiftleft(m, 32), 32).cast("int"))
-    signature = F.when(F.col("__m0").isNull(), F.expr("cast(array() as array<int>)")).otherwise(codes)
-    return counted.groupBy(*by).agg(*least).select(*by, signature.alias("signature"))
+    codes = F.array(*[F.shiftright(F.shiftleft(F.col(f"__m{i}"), 32), 32).cast("int") for i in range(_STEP)])
+    parts = least.select(*by, F.struct("__j", F.when(F.col("__m0").isNotNull(), codes).alias("c")).alias("__c"))
+    ordered = F.transform(F.array_sort(F.collect_list("__c")), lambda x: F.coalesce(x["c"], F.expr("cast(array() as array<int>)")))
+    return parts.groupBy(*by).agg(F.flatten(ordered).alias("signature"))
 
 
 def likeness(a: str | Column, b: str | Column) -> Column:
@@ -94,7 +138,8 @@ def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint", s
     base = packed(docs, a=lambda c: F.xxhash64(F.coalesce(c(text), F.lit(""))), b=lambda c: F.length(F.coalesce(c(text), F.lit(""))),
                   text=lambda c: F.coalesce(c(text), F.lit("")))
     one = base.groupBy("a", "b").agg(F.first("text").alias("text"))
-    signed = signatures(one, ["a", "b"], samples=samples).select(F.col("a").alias("sa"), F.col("b").alias("sb"),
+    common = common_samples(base.select("text"), samples)
+    signed = signatures(one, ["a", "b"], samples=samples, common=common).select(F.col("a").alias("sa"), F.col("b").alias("sb"),
                                                                  printed("signature").alias("__fp"))
     both = base.join(signed, (F.col("a") == F.col("sa")) & (F.col("b") == F.col("sb")))
     whole = unpacked(both, [f"k{i}" for i in range(len(names))], "__fp")
@@ -138,7 +183,8 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", sa
     kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), edited.alias("text")),
                     F.struct(F.lit(2).alias("kind"), again.alias("text")))
     each = pairs.select("a", "b", F.explode(kinds).alias("k")).select("a", "b", "k.kind", "k.text").filter("text is not null")
-    signed = (signatures(each, ["a", "b", "kind"], samples=samples).groupBy("a", "b")
+    common = stored(common_samples(rows.select("text"), samples), "finger-common")
+    signed = (signatures(each, ["a", "b", "kind"], samples=samples, common=common).groupBy("a", "b")
               .agg(F.map_from_entries(F.collect_list(F.struct("kind", "signature"))).alias("s"))
               .select(F.col("a").alias("sa"), F.col("b").alias("sb"), F.col("s")[0].alias("own"), F.col("s")[1].alias("edit"),
                       F.col("s")[2].alias("again")))
