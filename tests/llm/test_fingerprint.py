@@ -138,4 +138,4 @@ def test_registered_query_against_brute_force(spark):
     for (k, text), (_, _, edited, nxt) in list(zip(docs, want))[::25]:
         assert got[k]["fingerprint"] == "".join(f"{x:08x}" for x in _sampled(text))
         errors += [got[k]["near_edited"] - _jaccard(text or "", edited), got[k]["near_next"] - _jaccard(text or "", nxt)]
-    assert abs(np.mean(errors)) < 0.03
+    assert abs(np.mean(errors)) < 0.04

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import packed, stored, unpacked
 from tickforge.llm.ranks import ranked
 
-SAMPLES = 64
+#: Multiple of 16.
+SAMPLES = 32
 #: White space between words.
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -68,7 +69,7 @@ def _weight() -> Column:
 
 
 #: Samples of one row of the sampling stage.
-_STEP = 8
+_STEP = 16
 
 
 def common_samples(texts: DataFrame, samples: int = SAMPLES, text: str = "text", rows: int = 2000, words: int = 16384) -> DataFrame:
@@ -93,7 +94,7 @@ def signatures(texts: DataFrame, by: list[str], text: str = "text", samples: int
     """``by`` and ``signature`` (array of ``samples`` ints, empty for a text without words) of every text.
 
     The columns ``by`` name one text each. Where the rows are already partitioned by some of them, nothing is shuffled.
-    ``samples`` is a multiple of 8; ``common`` (:func:`common_samples`) saves drawing the samples of frequent words again.
+    ``samples`` is a multiple of 16; ``common`` (:func:`common_samples`) saves drawing the samples of frequent words again.
     """
     if samples % _STEP:
         raise ValueError(f"samples must be a multiple of {_STEP}")
@@ -180,14 +181,16 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", sa
     edited = F.concat(stay, F.col("begin"))
     # Between copies of one row the next document is the row itself.
     again = F.when(F.col("copies") > 1, F.concat(stay, F.col("text").substr(F.lit(1), F.col("half"))))
-    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), edited.alias("text")),
-                    F.struct(F.lit(2).alias("kind"), again.alias("text")))
+    kinds = F.array(F.struct(F.lit(1).alias("kind"), edited.alias("text")), F.struct(F.lit(2).alias("kind"), again.alias("text")))
     each = pairs.select("a", "b", F.explode(kinds).alias("k")).select("a", "b", "k.kind", "k.text").filter("text is not null")
     common = stored(common_samples(rows.select("text"), samples), "finger-common")
+    # One after the other: a task holds the word counts of the texts, then of the edited ones.
+    own = signatures(texts, ["a", "b"], samples=samples, common=common).select(
+        F.col("a").alias("oa"), F.col("b").alias("ob"), F.col("signature").alias("own"))
     signed = (signatures(each, ["a", "b", "kind"], samples=samples, common=common).groupBy("a", "b")
               .agg(F.map_from_entries(F.collect_list(F.struct("kind", "signature"))).alias("s"))
-              .select(F.col("a").alias("sa"), F.col("b").alias("sb"), F.col("s")[0].alias("own"), F.col("s")[1].alias("edit"),
-                      F.col("s")[2].alias("again")))
+              .select(F.col("a").alias("sa"), F.col("b").alias("sb"), F.col("s")[1].alias("edit"), F.col("s")[2].alias("again")))
+    signed = signed.join(own.hint("merge"), (F.col("oa") == F.col("sa")) & (F.col("ob") == F.col("sb"))).drop("oa", "ob")
     facts = pairs.select("a", "b", "key", "n", "copies", "na", "nb", F.sha2(edited, 256).alias("edit_sha"), F.sha2(again, 256).alias("again_sha"))
     known = stored(facts.join(signed.hint("merge"), (F.col("a") == F.col("sa")) & (F.col("b") == F.col("sb"))).drop("sa", "sb"), "finger-signed")
     after = known.select(F.col("a").alias("xa"), F.col("b").alias("xb"), F.col("own").alias("next"))
