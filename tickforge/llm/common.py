@@ -70,10 +70,36 @@ def ship_package(spark: SparkSession) -> None:
     sc._tickforge_shipped = True
 
 
+def give_back_memory() -> None:
+    """Return what a finished task has freed to the machine.
+
+    A Python worker outlives its task and waits for the next, perhaps of another stage. What the allocators of C and of Arrow keep
+    for later would be held by all idle workers of an executor, beside the stage that runs now.
+    """
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it has no such call
+        pass
+
+
 def python_map(df: DataFrame, fn, schema) -> DataFrame:
-    """``mapInArrow`` whose function may use this package on every worker."""
+    """``mapInArrow`` whose function may use this package on every worker; a worker's memory is given back after each task."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
