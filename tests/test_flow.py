@@ -188,7 +188,7 @@ def test_incremental_loses_no_late_bar(spark, max_files):
     assert first.Close == 9.0 and first.ingestion_timestamp == dt.datetime(2024, 7, 2)
     from tickforge.streaming.incremental import compact_increments
     whole = sorted(map(tuple, out.collect()))
-    folded = compact_increments(spark, sink, os.path.join(root, "sink2"))
+    folded = compact_increments(spark, sink)
     assert sorted(map(tuple, folded.collect())) == whole
 
 

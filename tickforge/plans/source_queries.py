@@ -16,7 +16,8 @@ from tickforge.sources import config as cfg
 from tickforge.sources import payload as pl
 from tickforge.sources import series as sr
 from tickforge.sources import tables as tb
-from tickforge.streaming.incremental import incremental_quotes
+from tickforge.streaming.commits import CommitLog
+from tickforge.streaming.incremental import compact_increments, incremental_quotes, ingestion_report
 from tickforge.plans.fixtures import (  # noqa: F401
     BROKEN_SERIES_SQL, BROKEN_SQL, broken_bars, broken_series_rows, bronze_like,
     tolerant_sql as _tolerant_sql)
@@ -229,3 +230,59 @@ def q_incremental_late(spark, sf_dir):
         out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=2,
                                  run_ts=RUN_TS + _dt.timedelta(days=i))
     return rounded(out.drop("ingestion_timestamp"))
+
+
+def forget_last_commit(spark, checkpoint):
+    """Leave a stream's checkpoint as a crash between a batch's write and its end leaves it: the batch runs again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(checkpoint, "commits"))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName().isdigit()]
+    fs.delete(max(done, key=lambda p: int(p.getName())), False)
+
+
+def _two_landings(spark, sf_dir):
+    """Landings up to 1998 and after, each month repeating the last 5 days of the one before."""
+    root = scratch_dir(spark, "incremental")
+    docs = pl.bars_to_payloads(tb.bars(spark, sf_dir), overlap_days=5)
+    parts = [docs.filter(F.col("segment") <= "1998-12"), docs.filter(F.col("segment") > "1998-12")]
+    return [os.path.join(root, p) for p in ("landing", "sink", "checkpoint")] + [parts]
+
+
+@query("incremental_compacted", INCREMENTAL_SQL)
+def q_incremental_compacted(spark, sf_dir):
+    """Land, ingest, lose the end of the last batch, compact, land more, ingest (the last batch runs again), compact,
+    remove what was replaced, lose and repeat the last batch once more: every bar is there, once."""
+    landing, sink, ckpt, (early, late) = _two_landings(spark, sf_dir)
+    _landed(early, landing, "run0")
+    incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=3)
+    forget_last_commit(spark, ckpt)
+    compact_increments(spark, sink)
+    _landed(late, landing, "run1")
+    incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt)
+    compact_increments(spark, sink)
+    CommitLog(spark, sink).remove_replaced()
+    forget_last_commit(spark, ckpt)
+    out = incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt)
+    return rounded(out.drop("ingestion_timestamp"))
+
+
+@query("incremental_report", _with(BARS, ("months", """
+select symbol, strftime(trade_date, '%Y-%m') as m, count(*) as n from bars group by 1, 2"""), ("tails", """
+select symbol, strftime(date_trunc('month', trade_date) + interval 1 month, '%Y-%m') as m, count(*) as n from bars
+where cast(trade_date as date) + 5 >= date_trunc('month', trade_date) + interval 1 month group by 1, 2"""), ("docs", """
+select m, sum(n) as n from (select * from months union all select * from tails) group by symbol, m""")) + """
+select cast(m > '1998-12' as int) as run, count(*) as documents, count(*) as ok, cast(sum(n) as bigint) as bars,
+       cast(0 as bigint) as malformed from docs group by 1""")
+def q_incremental_report(spark, sf_dir):
+    """What every run took in, as counted while it was written: documents, their outcomes and bars."""
+    landing, sink, ckpt, parts = _two_landings(spark, sf_dir)
+    runs, known = [], spark.createDataFrame([], "commit string")
+    for i, docs in enumerate(parts):
+        _landed(docs, landing, f"run{i}")
+        incremental_quotes(spark, os.path.join(landing, "*"), sink, ckpt, max_files_per_trigger=4)
+        report = ingestion_report(spark, sink)
+        runs.append(report.join(known, "commit", "left_anti").withColumn("run", F.lit(i)))
+        known = report.select("commit").distinct()
+    both = runs[0].unionByName(runs[1])
+    return both.groupBy("run").agg(*[F.sum(F.when(F.col("metric") == m, F.col("value"))).alias(m)
+                                     for m in ("documents", "ok", "bars", "malformed")])

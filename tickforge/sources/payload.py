@@ -73,6 +73,16 @@ def parse_payload_text(df: DataFrame, text_col: str = "body") -> DataFrame:
     return df.withColumn("__p", parsed).select("*", "__p.*").drop("__p")
 
 
+def _bar_columns() -> list[Column]:
+    """The bar ``__b`` as the columns of a bronze row."""
+    epoch = tolerant_double(F.col("__b.date"))
+    # Outside the range of timestamps it is no date (and the cast would fail).
+    epoch = F.when(F.abs(epoch) < 1e11, epoch.cast("bigint"))
+    return [F.timestamp_seconds(epoch).alias("Date"),
+            *[tolerant_double(F.col(f"__b.{f}")).alias(f.capitalize()) for f in BAR_FIELDS],
+            F.lit(0.0).alias("Dividends"), F.lit(0.0).alias("Stock_Splits")]
+
+
 def quote_rows(payloads: DataFrame, ticker: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Payload documents -> one row per bar (bronze column contract, then the
     document columns named in ``keep``).
@@ -80,40 +90,50 @@ def quote_rows(payloads: DataFrame, ticker: Column | None = None, keep: tuple[st
     The ticker is the requested one when ``ticker`` is given, else the
     payload's ``symbol`` field, normalised (suffix dropped, upper case).
     """
-    first = F.get(F.col("results"), 0)
-    label = ticker if ticker is not None else first.getField("symbol")
+    label = ticker if ticker is not None else payload_ticker()
     kept = [c for c in keep if c in payloads.columns]
-    docs = payloads.select(normalise_ticker(label).alias("ticker"),
-                           first.getField("historicalDataPrice").alias("__hist"), *kept)
+    docs = payloads.select(normalise_ticker(label).alias("ticker"), _history().alias("__hist"), *kept)
     bars = docs.select("ticker", F.explode("__hist").alias("__b"), *kept)
-    epoch = tolerant_double(F.col("__b.date"))
-    # Outside the range of timestamps it is no date (and the cast would fail).
-    epoch = F.when(F.abs(epoch) < 1e11, epoch.cast("bigint"))
-    return bars.select(
-        F.timestamp_seconds(epoch).alias("Date"),
-        *[tolerant_double(F.col(f"__b.{f}")).alias(f.capitalize()) for f in BAR_FIELDS],
-        F.lit(0.0).alias("Dividends"),
-        F.lit(0.0).alias("Stock_Splits"),
-        "ticker", *kept,
-    )
+    return bars.select(*_bar_columns(), "ticker", *kept)
 
 
-def payload_outcome(payloads: DataFrame, ticker: Column | None = None) -> DataFrame:
-    """Per document: ticker, number of bars and the structural outcome
-    (``malformed`` / ``no_results`` / ``no_history`` / ``ok``)."""
-    first = F.get(F.col("results"), 0)
-    label = ticker if ticker is not None else first.getField("symbol")
-    hist = first.getField("historicalDataPrice")
-    malformed = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in payloads.columns
-                 else F.lit(False))
+def landed_rows(payloads: DataFrame, ticker: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """All that a landing holds, in one pass: the rows of :func:`quote_rows`, one row for each document without bars,
+    and the document's ``outcome`` and ``bar`` (the bar's place in its document, NULL for a document without bars).
+
+    So bars (``bar`` is not null) and documents (``bar`` is null or 0) can both be read from one written table.
+    """
+    label = ticker if ticker is not None else payload_ticker()
+    kept = [c for c in keep if c in payloads.columns]
+    docs = payloads.select(normalise_ticker(label).alias("ticker"), outcome_of(payloads).alias("outcome"),
+                           _history().alias("__hist"), *kept)
+    rows = docs.select("ticker", "outcome", F.posexplode_outer("__hist").alias("bar", "__b"), *kept)
+    return rows.select(*_bar_columns(), "ticker", "outcome", "bar", *kept)
+
+
+# The structural outcomes of a document.
+OUTCOMES = ("malformed", "no_results", "no_history", "ok")
+
+
+def _history() -> Column:
+    return F.get(F.col("results"), 0).getField("historicalDataPrice")
+
+
+def outcome_of(payloads: DataFrame) -> Column:
+    """The structural outcome of a document, one of :data:`OUTCOMES`."""
+    malformed = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in payloads.columns else F.lit(False)
     # Null-safe sizes: with ANSI off Spark's legacy size(NULL) is -1.
     n_results = F.when(F.col("results").isNull(), F.lit(0)).otherwise(F.size("results"))
-    n_bars = F.when(hist.isNull(), F.lit(0)).otherwise(F.size(hist))
-    outcome = (F.when(malformed, "malformed")
-               .when(n_results == 0, "no_results")
-               .when(n_bars == 0, "no_history")
-               .otherwise("ok"))
-    return payloads.select(normalise_ticker(label).alias("ticker"), outcome.alias("outcome"),
+    n_bars = F.when(_history().isNull(), F.lit(0)).otherwise(F.size(_history()))
+    return (F.when(malformed, OUTCOMES[0]).when(n_results == 0, OUTCOMES[1]).when(n_bars == 0, OUTCOMES[2])
+            .otherwise(OUTCOMES[3]))
+
+
+def payload_outcome(payloads: DataFrame, ticker: Column | None = None) -> DataFrame:
+    """Per document: ticker, number of bars and the structural outcome (:func:`outcome_of`)."""
+    label = ticker if ticker is not None else payload_ticker()
+    n_bars = F.when(_history().isNull(), F.lit(0)).otherwise(F.size(_history()))
+    return payloads.select(normalise_ticker(label).alias("ticker"), outcome_of(payloads).alias("outcome"),
                            n_bars.alias("n_bars"))
 
 
