@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.numeric import safe_ratio, simple_return
+from tickforge.session import written
 
 # Segments (units of ``date_trunc``), coarsest first.
 _SEGMENTS = ("month", "day", "hour")
@@ -60,14 +61,17 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
 
     ``method="plain"`` is the textbook window over the whole key;
     ``method="segmented"`` (default) gives the same rows without ever
-    holding a whole key in one task.
+    holding a whole key in one task, as long as no segment is too dense for one;
+    ``method="ranged"`` (:func:`_ranged_returns`) holds for any density.
     """
+    if method == "ranged":
+        return _ranged_returns(df, key, date, price, out, prev_out)
     if method == "plain":
         w = Window.partitionBy(key).orderBy(date, price)
         prev = F.lag(price).over(w)
         return df.withColumn(prev_out, prev).withColumn(out, simple_return(price, prev_out))
     if method != "segmented":
-        raise ValueError("method must be 'segmented' or 'plain'")
+        raise ValueError("method must be 'segmented', 'ranged' or 'plain'")
     segment = _resolve(df, key, date, segment)
 
     seg = "__seg"
@@ -96,53 +100,101 @@ def daily_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
     return out_df.drop(seg, "__prev_in", "__first", "__seg_prev", "__pk", "__pseg")
 
 
-def _month_table(df: DataFrame, key: str, date: str, price: str, volume: str | None,
-                 segment: str = "month") -> DataFrame:
-    """One row per (key, month): mean daily return and the partial sums the
-    per-key statistics need. Daily returns are never materialised per key.
+def _ranged_returns(df: DataFrame, key: str, date: str, price: str, out: str, prev_out: str) -> DataFrame:
+    """The lag over ranges of rows instead of keys or spans of time.
 
-    The lag runs inside (key, segment); ``segment="day"`` (or ``"hour"``)
-    suits intraday data (a month of one key is then split into days or
-    hours) and the segment rows are rolled up to months, still without a
-    window over a whole key.
+    The rows are dealt to ranges of (key, date, price) of about equal numbers of rows, so a key, a day or an
+    instant of any density is spread over as many tasks as its rows need (rows equal in all three are dealt by
+    their place in the input). The lag runs inside a range; the first row of a range takes the last row of the range
+    before, from a table of one row a range. Rows are written once in between: what a range holds must not change
+    between the two steps.
+    """
+    order = [F.col(key).asc_nulls_first(), F.col(date).asc_nulls_first(), F.col(price).asc_nulls_first(), F.col("__tie").asc()]
+    dealt = (df.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(*order)
+             .withColumn("__range", F.spark_partition_id()))
+    w = Window.partitionBy("__range").orderBy(*order)
+    before = F.lag(F.struct(F.col(key).alias("k"), F.col(price).alias("p"))).over(w)
+    rows = written(dealt.withColumn("__before", before), "ranged-returns")
+    last = rows.groupBy("__range").agg(
+        F.max_by(F.struct(F.col(key).alias("k"), F.col(price).alias("p")),
+                 F.struct(F.col(key), F.col(date), F.col(price), F.col("__tie"))).alias("__end"))
+    # One row a range: at most the number of shuffle partitions, whatever the table's size.
+    ends = last.select((F.col("__range")).alias("__r"), F.lag("__end").over(Window.orderBy("__range")).alias("__end_before"))
+    met = rows.join(F.broadcast(ends), F.col("__range") == F.col("__r"), "left")
+    prev = F.when(F.col("__before").isNotNull(), F.col("__before")).otherwise(F.col("__end_before"))
+    met = met.withColumn(prev_out, F.when(prev["k"].eqNullSafe(F.col(key)), prev["p"]))
+    return met.withColumn(out, simple_return(price, prev_out)).drop("__tie", "__range", "__before", "__r", "__end_before")
+
+
+def month_states(df: DataFrame, key: str = "symbol", date: str = "trade_date", price: str = "close_price",
+                 volume: str | None = "volume", segment: str = "month") -> DataFrame:
+    """What the metrics need of a month: one row per (key, ``ref_month``).
+
+    Sum and number of the daily returns inside the month, its first and last close, the sums and counts of price and
+    volume, the last date. No state needs another month's rows, so states can be stored, and only those of months that
+    changed made again; :func:`performance_of_states` joins them.
+
+    The lag runs inside (key, segment); ``segment="day"`` (or ``"hour"``) suits intraday rows: the segments of a
+    month are then joined like the months, still without a window over a whole key. ``segment="ref_month"`` takes the
+    months from a column of that name: on a table bucketed by (key, ref_month) no row is exchanged.
     """
     segment = _resolve(df, key, date, segment)
-    if segment not in _SEGMENTS:
-        raise ValueError(f"segment must be one of {sorted(_SEGMENTS)}")
-    seg = "__seg"
-    rows = df.withColumn(seg, _segment(date, segment))
-    w = Window.partitionBy(key, seg).orderBy(date, price)
+    if segment not in (*_SEGMENTS, "ref_month"):
+        raise ValueError(f"segment must be 'ref_month' or one of {sorted(_SEGMENTS)}")
+    span = "ref_month" if segment in ("month", "ref_month") else "__seg"
+    rows = df if segment == "ref_month" else df.withColumn(span, _segment(date, segment))
+    w = Window.partitionBy(key, span).orderBy(date, price)
     rows = rows.withColumn("__r", simple_return(price, F.lag(price).over(w)))
-    aggs = [
-        F.sum("__r").alias("__sum_r"), F.count("__r").alias("__n_r"),
-        F.min(F.struct(date, price))[price].alias("__first_close"),
-        F.max(F.struct(date, price))[price].alias("__last_close"),
-        F.sum(price).alias("__sum_p"), F.count(price).alias("__n_p"),
-        F.max(date).alias("__max_date"),
-    ]
+    first, last = F.min(F.struct(date, price))[price], F.max(F.struct(date, price))[price]
+    aggs = [F.sum("__r").alias("sum_return"), F.count("__r").alias("n_return"),
+            first.alias("first_close"), last.alias("last_close"),
+            F.sum(price).alias("sum_price"), F.count(price).alias("n_price"), F.max(date).alias("last_date")]
     if volume:
-        aggs += [F.sum(volume).alias("__sum_v"), F.count(volume).alias("__n_v")]
-    segs = rows.groupBy(key, seg).agg(*aggs)
-    # Return of the segment's first row against the previous present
-    # segment's last close (a window over segments, bounded by the calendar).
-    wm = Window.partitionBy(key).orderBy(seg)
-    first_r = simple_return("__first_close", F.lag("__last_close").over(wm))
-    segs = (segs.withColumn("__first_r", first_r)
-            .withColumn("__tot_r", F.coalesce(F.col("__sum_r"), F.lit(0.0))
-                        + F.coalesce(F.col("__first_r"), F.lit(0.0)))
-            .withColumn("__tot_n", F.col("__n_r") + F.when(F.col("__first_r").isNotNull(), 1).otherwise(0))
-            .withColumn("ano_mes", F.date_format(seg, "yyyy-MM")))
-    if segment != "month":
-        sums = ["__tot_r", "__tot_n", "__sum_p", "__n_p"] + (["__sum_v", "__n_v"] if volume else [])
-        segs = segs.groupBy(key, "ano_mes").agg(
-            *[F.sum(c).alias(c) for c in sums], F.max("__max_date").alias("__max_date"))
-    return segs.withColumn("monthly_return", F.try_divide(F.col("__tot_r"), F.col("__tot_n").cast("double")))
+        aggs += [F.sum(volume).alias("sum_volume"), F.count(volume).alias("n_volume")]
+    states = rows.groupBy(key, span).agg(*aggs)
+    if span == "ref_month":
+        return states
+    month = F.date_trunc("month", F.col(span))
+    across = simple_return("first_close", F.lag("last_close").over(Window.partitionBy(key, month).orderBy(span)))
+    states = states.withColumn("__across", across).withColumn("ref_month", month)
+    added = F.coalesce(F.col("sum_return"), F.lit(0.0)) + F.coalesce(F.col("__across"), F.lit(0.0))
+    n = F.sum(F.col("n_return") + F.when(F.col("__across").isNotNull(), 1).otherwise(0))
+    sums = ["sum_price", "n_price"] + (["sum_volume", "n_volume"] if volume else [])
+    order = F.struct(F.col(span))
+    return states.groupBy(key, "ref_month").agg(
+        F.when(n > 0, F.sum(added)).alias("sum_return"), n.alias("n_return"),
+        F.min(F.struct(order.alias("s"), F.col("first_close").alias("c")))["c"].alias("first_close"),
+        F.max(F.struct(order.alias("s"), F.col("last_close").alias("c")))["c"].alias("last_close"),
+        F.max("last_date").alias("last_date"), *[F.sum(c).alias(c) for c in sums])
+
+
+def _month_table(states: DataFrame, key: str) -> DataFrame:
+    """Stored or fresh states with the month's mean daily return: the first return of a month is taken
+    against the last close of the previous present month (a window over months, bounded by the calendar)."""
+    first = simple_return("first_close", F.lag("last_close").over(Window.partitionBy(key).orderBy("ref_month")))
+    states = states.withColumn("__first_r", first)
+    total = F.coalesce(F.col("sum_return"), F.lit(0.0)) + F.coalesce(F.col("__first_r"), F.lit(0.0))
+    n = F.col("n_return") + F.when(F.col("__first_r").isNotNull(), 1).otherwise(0)
+    return states.withColumn("monthly_return", F.try_divide(total, n.cast("double"))).withColumn(
+        "ano_mes", F.date_format("ref_month", "yyyy-MM"))
+
+
+def performance_of_states(states: DataFrame, key: str = "symbol") -> DataFrame:
+    """avg_return, volatility, avg_price, avg_volume and last_update per key, from :func:`month_states` alone."""
+    return _month_table(states, key).groupBy(key).agg(
+        F.avg("monthly_return").alias("avg_return"),
+        F.stddev_samp("monthly_return").alias("volatility"),
+        safe_ratio(F.sum("sum_price"), F.sum("n_price").cast("double")).alias("avg_price"),
+        safe_ratio(F.sum("sum_volume"), F.sum("n_volume").cast("double")).alias("avg_volume"),
+        F.max("last_date").alias("last_update"),
+    )
 
 
 def monthly_returns(df: DataFrame, key: str = "symbol", date: str = "trade_date",
                     price: str = "close_price", segment: str = "month") -> DataFrame:
     """Mean daily return per key and month (``ano_mes`` = 'yyyy-MM')."""
-    return _month_table(df, key, date, price, None, segment).select(key, "ano_mes", "monthly_return")
+    states = month_states(df, key, date, price, None, segment)
+    return _month_table(states, key).select(key, "ano_mes", "monthly_return")
 
 
 def price_stats(df: DataFrame, key: str = "symbol", date: str = "trade_date",
@@ -181,11 +233,4 @@ def equity_performance(df: DataFrame, key: str = "symbol", date: str = "trade_da
             key, "avg_return", "volatility", "avg_price", "avg_volume", "last_update")
     if method != "one_pass":
         raise ValueError("method must be 'one_pass' or 'two_pass'")
-    monthly = _month_table(df, key, date, price, volume, segment)
-    return monthly.groupBy(key).agg(
-        F.avg("monthly_return").alias("avg_return"),
-        F.stddev_samp("monthly_return").alias("volatility"),
-        safe_ratio(F.sum("__sum_p"), F.sum("__n_p").cast("double")).alias("avg_price"),
-        safe_ratio(F.sum("__sum_v"), F.sum("__n_v").cast("double")).alias("avg_volume"),
-        F.max("__max_date").alias("last_update"),
-    )
+    return performance_of_states(month_states(df, key, date, price, volume, segment), key)

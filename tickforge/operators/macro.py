@@ -187,45 +187,98 @@ def macro_dashboard(df: DataFrame, as_of=None, key: str = "idx_type", date: str
         # x in days, centred on the middle of the window (a constant shift
         # leaves the slope unchanged): the pooled means of x are then near 0,
         # so pooling the per-month co-moments below cancels almost nothing.
-        centre = F.unix_timestamp(a.cast("timestamp")) - F.datediff(a, since) * (SECONDS_PER_DAY / 2)
+        centre = _centre(a, since)
         x = (_epoch(date) - centre).cast("double") / SECONDS_PER_DAY
         # Computed once per row, then shared by the moment aggregates.
-        df = df.withColumns({"__x6": F.when(in6, x), "__y6": F.when(in6, F.col(value))})
-        x6, y6 = F.col("__x6"), F.col("__y6")
-        moments = [
-            F.count(y6).alias("__n"),
-            F.avg(x6).alias("__mx"),
-            F.avg(y6).alias("__my"),
-            (F.covar_pop(y6, x6) * F.count(y6)).alias("__cxy"),
-            (F.var_pop(x6) * F.count(y6)).alias("__sxx"),
-            F.min(x6).alias("__x_lo"),
-            F.max(x6).alias("__x_hi"),
-        ]
-        monthly = month_over_month(monthly_rollup(df, key, date, value, moments), key)
-        # Pool the per-month moments per key in one window pass:
-        #   Cxy = sum(C_m + n_m*mx_m*my_m) - SX*SY/N,  Sxx likewise.
+        df = df.withColumns({"__x": F.when(in6, x), "__y": F.when(in6, F.col(value))})
+        monthly = month_over_month(monthly_rollup(df, key, date, value, _moments()), key)
+        # Pool the per-month moments per key in the same window pass.
         wk = Window.partitionBy(key)
-        n = F.col("__n").cast("double")
-        mx, my = F.coalesce(F.col("__mx"), F.lit(0.0)), F.coalesce(F.col("__my"), F.lit(0.0))
-        pooled = monthly.select(
-            "*",
-            F.max("ultima_data_mes").over(wk).alias("last_update"),
-            F.sum(n).over(wk).alias("__pool_n"),
-            F.sum(n * mx).over(wk).alias("__pool_sx"),
-            F.sum(n * my).over(wk).alias("__pool_sy"),
-            F.sum(F.coalesce(F.col("__cxy"), F.lit(0.0)) + n * mx * my).over(wk).alias("__pool_sxy"),
-            F.sum(F.coalesce(F.col("__sxx"), F.lit(0.0)) + n * mx * mx).over(wk).alias("__pool_sxx"),
-            F.min("__x_lo").over(wk).alias("__pool_x_lo"),
-            F.max("__x_hi").over(wk).alias("__pool_x_hi"),
-        )
-        N = F.col("__pool_n")
-        cxy = F.col("__pool_sxy") - F.try_divide(F.col("__pool_sx") * F.col("__pool_sy"), N)
-        sxx = F.col("__pool_sxx") - F.try_divide(F.col("__pool_sx") * F.col("__pool_sx"), N)
-        # A zero spread of x (one day only) means no slope, like regr_slope.
-        slope_per_day = F.when(F.col("__pool_x_lo") < F.col("__pool_x_hi"), F.try_divide(cxy, sxx))
-        out = pooled.withColumn(
-            "trend_6m", F.coalesce(slope_per_day / F.lit(SECONDS_PER_DAY), F.lit(0.0)))
+        pooled = monthly.select("*", F.max("ultima_data_mes").over(wk).alias("last_update"),
+                                *[f.over(wk).alias(n) for n, f in _pooled().items()])
+        out = pooled.withColumn("trend_6m", F.coalesce(_slope() / F.lit(SECONDS_PER_DAY), F.lit(0.0)))
     else:
         raise ValueError("method must be 'one_pass' or 'join'")
     out = out.select(*DASHBOARD_COLUMNS)
     return out.orderBy(key, "ano", "mes") if sort else out
+
+
+def _centre(a: Column, since: Column) -> Column:
+    """Epoch second in the middle of the trend's window."""
+    return F.unix_timestamp(a.cast("timestamp")) - F.datediff(a, since) * (SECONDS_PER_DAY / 2)
+
+
+def _moments() -> list[Column]:
+    """Regression moments of ``__y`` on ``__x`` (both NULL where a row does not count)."""
+    x, y = F.col("__x"), F.col("__y")
+    return [F.count(y).alias("__n"), F.avg(x).alias("__mx"), F.avg(y).alias("__my"),
+            (F.covar_pop(y, x) * F.count(y)).alias("__cxy"), (F.var_pop(x) * F.count(y)).alias("__sxx"),
+            F.min(x).alias("__x_lo"), F.max(x).alias("__x_hi")]
+
+
+def _pooled() -> dict[str, Column]:
+    """Sums that pool moments: Cxy = sum(C_m + n_m*mx_m*my_m) - SX*SY/N, Sxx likewise."""
+    n = F.col("__n").cast("double")
+    mx, my = F.coalesce(F.col("__mx"), F.lit(0.0)), F.coalesce(F.col("__my"), F.lit(0.0))
+    return {"__pool_n": F.sum(n), "__pool_sx": F.sum(n * mx), "__pool_sy": F.sum(n * my),
+            "__pool_sxy": F.sum(F.coalesce(F.col("__cxy"), F.lit(0.0)) + n * mx * my),
+            "__pool_sxx": F.sum(F.coalesce(F.col("__sxx"), F.lit(0.0)) + n * mx * mx),
+            "__pool_x_lo": F.min("__x_lo"), "__pool_x_hi": F.max("__x_hi")}
+
+
+def _slope() -> Column:
+    """Slope per day of pooled moments."""
+    n = F.col("__pool_n")
+    cxy = F.col("__pool_sxy") - F.try_divide(F.col("__pool_sx") * F.col("__pool_sy"), n)
+    sxx = F.col("__pool_sxx") - F.try_divide(F.col("__pool_sx") * F.col("__pool_sx"), n)
+    # A zero spread of x (one day only) means no slope, like regr_slope.
+    return F.when(F.col("__pool_x_lo") < F.col("__pool_x_hi"), F.try_divide(cxy, sxx))
+
+
+# Columns of a stored month state: the roll-up, and moments with x in days since the month's first instant.
+_STATE_MOMENTS = {"__n": "n_values", "__mx": "mean_day", "__my": "mean_value", "__cxy": "co_moment", "__sxx": "day_moment",
+                  "__x_lo": "first_day", "__x_hi": "last_day"}
+
+
+def month_states(df: DataFrame, key: str = "idx_type", date: str = "ref_date", value: str = "idx_value") -> DataFrame:
+    """One row per (key, ``ref_month``) with all that the dashboard needs of a month; no state needs another month's rows."""
+    start = F.date_trunc("month", F.col(date))
+    x = (_epoch(date) - F.unix_timestamp(start.cast("timestamp"))).cast("double") / SECONDS_PER_DAY
+    counts = F.col(value).isNotNull()
+    rows = df.withColumns({"__x": F.when(counts, x), "__y": F.when(counts, F.col(value))})
+    monthly = monthly_rollup(rows, key, date, value, [*_moments(), F.min(start).alias("ref_month")])
+    return monthly.withColumnsRenamed(_STATE_MOMENTS)
+
+
+def edge_months(as_of: _dt.date, months: int = 6) -> list[str]:
+    """The months of which the dashboard of a day needs single rows: that of the day, and the one in which the trend begins."""
+    y, m = divmod(as_of.year * 12 + as_of.month - 1 - months, 12)
+    return sorted({f"{y:04d}-{m + 1:02d}", f"{as_of.year:04d}-{as_of.month:02d}"})
+
+
+def dashboard_of_states(states: DataFrame, edges: DataFrame, as_of: _dt.date, key: str = "idx_type", date: str = "ref_date",
+                        value: str = "idx_value", months: int = 6, sort: bool = True) -> DataFrame:
+    """The dashboard of a day from stored states (:func:`month_states`) and the single rows of the :func:`edge_months` alone.
+
+    The states give all whole months; the month of ``as_of`` is rolled up from its rows up to that day, and
+    of the month in which the trend begins the rows from that day on count.
+    """
+    a = as_of_col(as_of)
+    since = F.add_months(a, -months)
+    start = F.col("ref_month").cast("date")
+    edges = until(edges, as_of, date)
+    this_month = month_states(edges.filter(F.col(date) >= F.trunc(a, "MM")), key, date, value)
+    whole = states.filter(start < F.trunc(a, "MM")).unionByName(this_month)
+    monthly = with_last_update(month_over_month(whole, key), key)
+    # Whole months inside the window, and what of its first month counts.
+    begun = month_states(edges.filter((F.col(date) >= since) & (F.col(date) < F.add_months(F.trunc(since, "MM"), 1))), key, date, value)
+    inside = whole.filter(start > F.trunc(since, "MM")).unionByName(begun)
+    shift = (F.unix_timestamp(F.col("ref_month").cast("timestamp")) - _centre(a, since)) / SECONDS_PER_DAY
+    inside = inside.withColumnsRenamed({v: k for k, v in _STATE_MOMENTS.items()}).withColumns(
+        {c: F.col(c) + shift for c in ("__mx", "__x_lo", "__x_hi")})
+    trend = inside.groupBy(key).agg(*[f.alias(n) for n, f in _pooled().items()]).select(
+        F.col(key).alias("__tk"), (_slope() / F.lit(SECONDS_PER_DAY)).alias("trend_6m"))
+    out = monthly.join(trend, F.col(key).eqNullSafe(F.col("__tk")), "left").withColumn(
+        "trend_6m", F.coalesce(F.col("trend_6m"), F.lit(0.0)))
+    out = out.select(*DASHBOARD_COLUMNS)
+    return out.orderBy(key, "ano", "mes") if sort else out

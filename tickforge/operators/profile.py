@@ -34,10 +34,12 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 DESCRIBE_PROBS = [0.25, 0.5, 0.75]
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: list[str] | None = None, by: str | None = None,
+             final_rows: int = 100_000) -> DataFrame:
     """Per column (and per ``by`` key): count, mean, std (sample), min,
     q25, q50, q75 (exact, linear interpolation), max. NaN is treated as
-    missing. Long format: one row per column (and key)."""
+    missing. Long format: one row per column (and key). ``final_rows`` is the largest
+    group that is ranked in one task."""
     columns = columns or numeric_columns(df, exclude=[by] if by else [])
     ids = [by] if by else []
     long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
@@ -49,7 +51,7 @@ def describe(df: DataFrame, columns: list[str] | None = None, by: str | None = N
     moments = long.groupBy(*keys).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", DESCRIBE_PROBS, group=keys)
+    q = exact_quantiles(long, "value", DESCRIBE_PROBS, group=keys, final_rows=final_rows)
     qw = q.groupBy(*[F.col(k).alias(f"__q_{k}") for k in keys]).agg(*[
         F.max(F.when(F.col("p") == F.lit(p), F.col("quantile"))).alias(name)
         for p, name in zip(DESCRIBE_PROBS, ["q25", "q50", "q75"])])

@@ -74,6 +74,37 @@ def apply_checks(df: DataFrame, checks: list[Check], mode: str = "warn",
     raise ValueError("mode must be 'warn', 'drop' or 'fail'")
 
 
+#: Parts of a table written by :func:`write_split`.
+GOOD, QUARANTINE = "good", "quarantine"
+
+
+def with_failures(df: DataFrame, checks: list[Check], out: str = "failed_checks") -> DataFrame:
+    """``df`` with the names of the checks that a row fails (in the order of ``checks``; empty: none)."""
+    return df.withColumn(out, F.array_compact(F.array(*[F.when(~c.passed(), F.lit(c.name)) for c in checks])))
+
+
+def write_split(df: DataFrame, checks: list[Check], path: str, out: str = "failed_checks") -> dict[str, int]:
+    """Write the rows that pass all checks and those that fail to two parts of one folder, in one pass over ``df``.
+
+    Failing rows keep all their columns and carry the names of the failed checks in ``out``. Returns
+    the numbers of rows, of failing rows and of failures of each check, counted in the same pass.
+    """
+    flagged = with_failures(df, checks, out)
+    bad = F.size(out) > 0
+    seen = Observation()
+    counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias(QUARANTINE),
+                              *[F.count_if(F.array_contains(out, c.name)).alias(f"failed {c.name}") for c in checks])
+    counted.withColumn("__part", F.when(bad, QUARANTINE).otherwise(GOOD)).write.partitionBy("__part").parquet(path)
+    return dict(seen.get)
+
+
+def read_split(df_schema: T.StructType, spark, path: str, part: str, out: str = "failed_checks") -> DataFrame:
+    """One part of a folder of :func:`write_split` (also if no row went there); only its files are opened."""
+    fields = [f for f in df_schema.fields if f.name != out] + [T.StructField(out, T.ArrayType(T.StringType()))]
+    schema = T.StructType([*fields, T.StructField("__part", T.StringType())])
+    return spark.read.schema(schema).parquet(path).filter(F.col("__part") == part).drop("__part")
+
+
 # Status labels of the per-key source outcome.
 STATUS_NO_DATA = "no_data"
 STATUS_MALFORMED = "malformed"

@@ -19,9 +19,13 @@ from tickforge.functions.text import normalise_ticker
 from tickforge.operators import clean, equity, layout, macro, quality, silver
 from tickforge.sources import payload as pl
 from tickforge.sources import series as sr
+from tickforge.session import remove, written
 
 log = logging.getLogger(__name__)
 
+# Rows of a report that a refresh returns; the whole report is a table.
+REPORT_ROWS = 1000
+
 
 # Document columns that tell which landing of a bar is the later one.
 SOURCE_COLUMNS = ("source_time", "source_file")
@@ -34,10 +38,20 @@ def quote_bars(payloads: DataFrame, null_fill: float | None = 0.0, run_ts: _dt.d
     batch and incremental ingestion share. Keeps :data:`SOURCE_COLUMNS` where
     the documents have them. Overlapping landings are not compacted here.
     """
-    label = pl.payload_ticker()
-    if "source_file" in payloads.columns:
-        label = F.coalesce(label, pl.ticker_from_file("source_file"))
-    rows = pl.quote_rows(payloads, label, SOURCE_COLUMNS)
+    return clean_bars(pl.quote_rows(payloads, _label(payloads), SOURCE_COLUMNS), null_fill, run_ts, start, end, max_days, tickers)
+
+
+def _label(payloads: DataFrame):
+    """The payload's symbol, else the name of its file."""
+    if "source_file" not in payloads.columns:
+        return pl.payload_ticker()
+    return F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
+
+
+def clean_bars(rows: DataFrame, null_fill: float | None = 0.0, run_ts: _dt.datetime | None = None,
+               start: str | None = None, end: str | None = None, max_days: int | None = None,
+               tickers: DataFrame | None = None) -> DataFrame:
+    """Raw bars -> bars of the wanted tickers and span, cleaned and stamped."""
     if tickers is not None:
         rows = rows.join(tickers.select(F.col("symbol").alias("ticker")), "ticker", "left_semi")
     if start is not None or end is not None:
@@ -149,14 +163,17 @@ def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: Data
     """Build and write the six layer tables: parquet folders under ``out_root``,
     or catalog tables (with comments and properties) when that is None.
 
-    Each write is one Spark job whose row count (and, for silver quotes, the
-    check failures) is observed while writing. Silver and gold read the
+    The landings are read once: what they hold (bars, and the outcome of every document;
+    series rows as they came) is written to the shared scratch folder, and bronze as well as the reports
+    are made from that. Each write is one Spark job whose row count (for bronze also the non-null
+    contract, for silver quotes the check failures) is observed while writing. Silver and gold read the
     written layer below them, so a lost executor only reruns the last step.
     Silver is partitioned by month, so month-to-date, year-to-date and trend
     read only their months. Returns ``{table: observed metrics}``; what the
     sources lost is in ``quote_documents`` (documents per outcome),
     ``quote_sources`` (one status a requested ticker), ``series_dropped``
-    (rows in, rows dropped a series) and ``bronze_nulls`` (non-null contract).
+    (rows in, rows dropped a landed code; written whole as the table ``report_series``, of
+    which the first :data:`REPORT_ROWS` codes are returned) and ``bronze_nulls`` (non-null contract).
     """
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     specs = {"bronze_quotes": ("bronze", "cotacoes_b3"), "bronze_series": ("bronze", "series_bacen"),
@@ -180,11 +197,23 @@ def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: Data
     if tickers is not None:
         wanted = spark.createDataFrame([(t,) for t in tickers], "symbol string").select(
             normalise_ticker("symbol").alias("symbol")).distinct()
-    bq = bronze_quotes(spark, quotes_landing, start, end, max_days, run_ts, null_fill,
-                       tickers=wanted, multi_line=multi_line)
+    payloads = pl.read_quote_payloads(spark, quotes_landing, multi_line)
+    landed_quotes = written(pl.landed_rows(payloads, _label(payloads), SOURCE_COLUMNS), "landed-quotes")
+    bars = landed_quotes.filter("bar is not null").drop("outcome", "bar")
+    bars = clean_bars(bars, null_fill, run_ts, start, end, max_days, wanted)
+    schemas.require_columns(bars, schemas.BRONZE_QUOTES)
+    nulls = {}
+
+    def keyed(name: str, df: DataFrame, schema) -> DataFrame:
+        nulls[name] = Observation(f"{name}_nulls")
+        return quality.apply_checks(df, quality.not_null_checks(schema), "warn", nulls[name])
+
+    bq = keyed("bronze_quotes", compact_quotes(bars), schemas.BRONZE_QUOTES)
     write("bronze_quotes", layout.partition_by_key(bq, "ticker", "Date"))
-    bs = bronze_series(spark, series_landed, series_json, run_ts, start=series_start, end=series_end,
+    landed_series = written(series_landed.select("code", "data", "valor"), "landed-series")
+    bs = bronze_series(spark, landed_series, series_json, run_ts, start=series_start, end=series_end,
                        known_only=True)
+    bs = keyed("bronze_series", bs, schemas.BRONZE_SERIES)
     write("bronze_series", layout.partition_by_key(bs, "serie", "data"))
 
     checks = Observation("silver_quotes_checks")
@@ -199,19 +228,24 @@ def refresh_layers(spark: SparkSession, quotes_landing: str, series_landed: Data
     write("gold_macro", gold_macro(read("silver_series").drop("ref_month"), as_of, sort=False))
 
     out = {k: v.get for k, v in obs.items()}
-    payloads = pl.read_quote_payloads(spark, quotes_landing, multi_line)
-    label = F.coalesce(pl.payload_ticker(), pl.ticker_from_file("source_file"))
-    per_doc = pl.payload_outcome(payloads, label)
-    # Reports of one short row an outcome, a requested ticker or a series.
+    per_doc = landed_quotes.filter("bar is null or bar = 0").select("ticker", "outcome")
+    # At most one row an outcome, and one a requested ticker.
     out["quote_documents"] = {r["outcome"]: r["n"] for r in
                               per_doc.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
     if wanted is not None:
         status = quality.source_outcome(wanted, per_doc, read("bronze_quotes"))
         out["quote_sources"] = {r["symbol"]: r["status"] for r in status.collect()}
-    dropped = clean.dropped_per_series(series_landed, serie="code", date_fmt=BR_DATE)
-    out["series_dropped"] = {str(r["code"]): [r["rows_in"], r["rows_dropped"]] for r in dropped.collect()}
-    out["bronze_nulls"] = {
-        name: {r["check"]: r["failed"] for r in
-               quality.check_report(read(name), quality.not_null_checks(schema)).collect()}
-        for name, schema in (("bronze_quotes", schemas.BRONZE_QUOTES), ("bronze_series", schemas.BRONZE_SERIES))}
+    dropped = clean.dropped_per_series(landed_series, serie="code", date_fmt=BR_DATE)
+    if out_root is None:
+        bronze_db = schemas.table_spec("bronze", "series_bacen").name_in((databases or {}).get("bronze")).split(".")[0]
+        dropped.write.mode("overwrite").saveAsTable(f"{bronze_db}.report_series")
+        report = spark.table(f"{bronze_db}.report_series")
+    else:
+        dropped.write.mode("overwrite").parquet(os.path.join(out_root, "report_series"))
+        report = spark.read.parquet(os.path.join(out_root, "report_series"))
+    out["series_dropped"] = {str(r["code"]): [r["rows_in"], r["rows_dropped"]]
+                             for r in report.orderBy("code").limit(REPORT_ROWS).collect()}
+    out["bronze_nulls"] = {name: {k: v for k, v in seen.get.items() if k != "rows"} for name, seen in nulls.items()}
+    remove(landed_quotes)
+    remove(landed_series)
     return out

@@ -259,4 +259,5 @@ def q_macro_summary(spark, sf_dir):
 
 
 # Registered in sibling modules (imported last: they use the helpers above).
-from tickforge.plans import source_queries, check_queries, flow_queries  # noqa: E402,F401
+from tickforge.plans import (source_queries, check_queries, flow_queries, state_queries,  # noqa: E402,F401
+                             layer_queries)

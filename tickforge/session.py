@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators assume. Time zone is pinned because month keys,
 # `trunc` and the midnight end-date rule all follow the session zone.
@@ -100,3 +100,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder under the shared checkpoint folder and read it back: cuts the lineage with a
+    table that survives lost executors, and settles rows whose place depends on how they were dealt."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the table of :func:`written` once nothing reads it any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
