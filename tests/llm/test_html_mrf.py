@@ -139,3 +139,25 @@ def test_frame_edges(spark, model):
     assert hm.main_text(spark.createDataFrame([], schema), model).count() == 0
     clash = hm.main_text(spark.createDataFrame(rows, schema), model, out="url")
     assert clash.columns == ["page_id", "html", "url"] and clash.count() == 4
+
+
+def test_short_pages_keep_their_text(model):
+    for page, want in [("<body><p>Hello world, this is a short page.</p></body>", "Hello world, this is a short page."),
+                       ("<p>One line</p>", "One line"),
+                       ("<html><head><title>x</title></head><body><h1>Title</h1><p>And a line of text.</p></body></html>",
+                        "Title\n\nAnd a line of text.")]:
+        assert model.extract(page) == want, page
+
+
+def test_names_of_article_parts_are_read_word_by_word(model):
+    first, second = "We follow the usual design and report all results of the trial here.", "Others have found the same, with more patients."
+    start = f"<body><nav><a href=/a>Home</a> <a href=/b>News</a></nav><article><h1>A trial</h1><p>{first} {second}</p>"
+    for mark in ('class="related-work"', 'id="discussion"', 'class="side-effects"', 'id="social-history"', 'class="legal-history"'):
+        got = model.extract(f"{start}<section {mark}><h2>A heading</h2><p>{second}</p><p>{first}</p></section></article><footer>© A site</footer></body>")
+        assert got == "\n\n".join(["A trial", f"{first} {second}", "A heading", second, first]), mark
+    for mark in ('class="related-posts"', 'class="comments"', 'id="siteFooter"', 'class="discussion"'):
+        inner = f'<div class="comment"><span>Ann</span><p>{second}</p></div>' * 2 if "r" not in mark or "disc" in mark or "comm" in mark \
+            else "<ul><li><a href=/c>Other page</a></li><li><a href=/d>Third page</a></li></ul>"
+        got = model.extract(f"{start}</article><section {mark}>{inner}</section></body>")
+        assert got == f"A trial\n\n{first} {second}", mark
+    assert hm.marks_of({"class": "relatedPosts x"})[1] and not hm.marks_of({"class": "related-work headline"})[1]

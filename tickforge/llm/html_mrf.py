@@ -55,15 +55,38 @@ TAGS = ("article main section div nav header footer aside form ul ol li dl table
         "h1 h2 h3 h4 body html").split()
 TAG_AT = {t: i for i, t in enumerate(TAGS)}
 
-#: Words in class and id attributes.
-GOOD = re.compile(r"article|content|main|post|entry|story|body|text|prose|page", re.I)
-BAD = re.compile(r"nav|menu|side|foot|head|\bads?\b|advert|promo|banner|sponsor|cookie|notice|consent|alert|share|"
-                 r"social|related|recommend|subscri|newsletter|form|login|crumb|copyright|legal|popup|modal|widget|toolbar",
-                 re.I)
-TALK = re.compile(r"comment|discuss|repl(?:y|ies)|respond|disqus|reader", re.I)
+#: Words of class and id names, in the singular. A name of several words (``related-posts``) says something
+#: bad only if all its words are known, so ``related-work`` and ``side-effects`` say nothing.
+GOOD = set("article content main post entry story body text prose page".split())
+BAD = set("nav navbar navigation topnav menu side sidebar foot footer head header masthead ad advert advertisement advertising promo "
+          "promotion banner sponsor sponsored cookie notice consent alert share sharing social related recommend recommended "
+          "recommendation subscribe subscription newsletter form login signup crumb breadcrumb copyright legal popup modal widget "
+          "toolbar".split())
+TALK = set("comment commenter reply replies disqus".split())
+#: Of comments only if something inside is marked as one.
+MAYBE_TALK = set("discussion response respond reader".split())
+NEUTRAL = GOOD | set("site top bottom left right box list item link wrap wrapper container section block area bar panel col column "
+                     "row inner outer primary secondary global user sign up more also you may like read button btn icon title "
+                     "heading search new group region".split())
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_]+")
+
+
+def marks_of(attrs: dict) -> tuple[bool, bool, bool, bool]:
+    """What the class, id and role names of an element say: good, bad, of comments, perhaps of comments."""
+    good = bad = talk = maybe = False
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''} {attrs.get('role') or ''}".split():
+        words = [w[:-1] if len(w) > 3 and w.endswith("s") and w[:-1] in BAD | TALK | MAYBE_TALK | NEUTRAL or w == "ads" else w
+                 for w in map(str.lower, _WORDS.findall(name))]
+        known = all(w in BAD or w in TALK or w in MAYBE_TALK or w in NEUTRAL or len(w) < 3 for w in words)
+        good |= any(w in GOOD for w in words)
+        bad |= known and any(w in BAD for w in words)
+        talk |= known and any(w in TALK for w in words)
+        maybe |= known and any(w in MAYBE_TALK for w in words)
+    return good, bad, talk, maybe
+
 
 _N_TAG = len(TAGS) + 1
-N_FEATURES = _N_TAG + 14
+N_FEATURES = _N_TAG + 15
 SORTS = 3  # of a child: element of known meaning, plain element, text block
 
 
@@ -210,9 +233,13 @@ def features(parent, tag, attrs, texts, share) -> tuple[np.ndarray, np.ndarray,
     leaf = [t == "#text" for t in tag]
     total = sum(map(len, texts)) or 1
     size, linked, kids = [0] * n, [0.0] * n, [0] * n
+    marks = [(False,) * 4 if leaf[v] else marks_of(attrs[v]) for v in range(n)]
+    talk = [m[2] for m in marks]  # of comments, or around them
     for v in range(n - 1, -1, -1):
         if leaf[v]:
             size[v], linked[v] = len(texts[v]), share[v] * len(texts[v])
+        if parent[v] >= 0:
+            talk[parent[v]] |= talk[v]
         if parent[v] >= 0:
             size[parent[v]] += size[v]
             linked[parent[v]] += linked[v]
@@ -220,7 +247,7 @@ def features(parent, tag, attrs, texts, share) -> tuple[np.ndarray, np.ndarray,
     before = 0
     for v in range(n):
         x = f[v]
-        marks = f"{attrs[v].get('class') or ''} {attrs[v].get('id') or ''} {attrs[v].get('role') or ''}"
+        good, bad, comments, maybe = marks[v]
         if leaf[v]:
             sort[v] = 2
             s = texts[v]
@@ -232,15 +259,16 @@ def features(parent, tag, attrs, texts, share) -> tuple[np.ndarray, np.ndarray,
             x[_N_TAG + 4] = s[-1:] in ".!?:;\"'”»…"
             x[_N_TAG + 5] = min(1.0, 10 * (s.count(",") + s.count(".")) / words)
             x[_N_TAG + 6] = "©" in s or "copyright" in s.lower()
+            x[_N_TAG + 14] = len(s) / total
             before += len(s)
         else:
             at = TAG_AT.get(tag[v], _N_TAG - 1)
             sort[v] = 0 if tag[v] in ("article", "main", "nav", "header", "footer", "aside", "form") else 1
             x[at] = 1
             x[_N_TAG + 3] = linked[v] / max(1, size[v])
-            x[_N_TAG + 7] = bool(marks.strip() and GOOD.search(marks))
-            x[_N_TAG + 8] = bool(marks.strip() and BAD.search(marks))
-            x[_N_TAG + 9] = bool(marks.strip() and TALK.search(marks))
+            x[_N_TAG + 7] = good
+            x[_N_TAG + 8] = bad
+            x[_N_TAG + 9] = comments or maybe and talk[v]
             x[_N_TAG + 10] = size[v] / total
             x[_N_TAG + 11] = size[v] < 40
             if x[_N_TAG + 8] or x[_N_TAG + 9]:
@@ -433,6 +461,11 @@ def labelled_pages(n: int = 180, seed: int = 2) -> list[str]:
                 else f"<blockquote><p>{prose(1, 3)}</p></blockquote>" if r < 0.93
                 else f"<table><tr><td>{words(1, 3)}</td><td>{words(1, 4)}</td></tr></table>" if r < 0.96
                 else f"<div>{prose()}</div>")
+        if rng.random() < 0.2:  # parts of the article whose names sound like something else
+            name = rng.choice(["related-work", "discussion", "side-effects", "sharing-economy", "social-history", "legal-history",
+                               "reader-response", "header-files", "notice-periods", "comment-on-method", "response"])
+            article.append(f'<section {rng.choice(["class", "id"])}="{name}"><h2>{words(1, 4)}</h2>'
+                           + "".join(f"<p>{prose(1, 4)}</p>" for _ in range(rng.randint(1, 4))) + "</section>")
         for kind in ("ad", "share", "form", "notice", "side"):
             if rng.random() < 0.12:
                 article.insert(rng.randint(1, len(article)), part(kind))
@@ -456,6 +489,14 @@ def labelled_pages(n: int = 180, seed: int = 2) -> list[str]:
         rng.shuffle(front)
         pages.append(f"<!DOCTYPE html><html><head><title>{words(1, 5)}</title></head><body>"
                      + "".join(front) + body + "".join(rear) + "</body></html>")
+    for _ in range(n // 6):  # nothing but a short text
+        bare = [f"<h1 data-content=1>{words(1, 5)}</h1>"] if rng.random() < 0.3 else []
+        tag = rng.choice(["p", "p", "p", "div", "blockquote"])
+        bare += [f"<{tag} data-content=1>{rng.choice([sentence(), sentence(), words(1, 4), prose(1, 2)])}</{tag}>" for _ in range(rng.choice([1, 1, 1, 2, 3]))]
+        whole = "".join(bare)
+        if rng.random() < 0.3:
+            whole = f"<div data-content=1>{whole}</div>"
+        pages.append(rng.choice([f"<body>{whole}</body>", f"<html><head><title>{words(1, 3)}</title></head><body>{whole}</body></html>", whole]))
     return pages
 
 
