@@ -86,7 +86,8 @@ def test_draws_of_small_formats_widen(spark):
     assert got["192.168.3.4", 8].startswith("10.") and got["172.16.3.4", 16].startswith("10.")
     assert not re.match(r"10\.|127\.|192\.168\.|172\.", got["192.168.3.4", 24])
     wide = spark.createDataFrame([("phone", "+44 1234 (567)", "", "+44 1234 (567)", "441234567", "44987654321")],
-                                 "kind string, v string, prefix string, body string, canon string, surrogate string")
+                                 "kind string, v string, prefix string, body string, canon string, surrogate string").withColumn(
+                                     "first_surrogate", F.lit(None).cast("string"))
     assert wide.select(pii._rendered(wide)).first()[0] == "+44 9876 (543)21"
 
 
@@ -106,3 +107,47 @@ def test_repeated_rows_and_clashing_names(spark):
     docs = spark.createDataFrame([(1, "mail a.b@c.org", "t", "1")] * 3 + [(None, "mail a.b@c.org", None, None)], DOCS)
     out = pii.replace_pii(docs.withColumn("pos", F.lit(5)).withColumn("v", F.lit("z")), SECRET).collect()
     assert len(out) == 4 and len({r["text"] for r in out}) == 1 and out[0]["pos"] == 5
+
+
+def test_persons_agree_over_all_their_spellings(spark):
+    texts = ["Peter Miller came. Mr. Miller spoke; Miller's wife, Mrs. Miller, and Mary Miller did not. Millers and Miller-Jones stayed.",
+             "Then Peter Smith met Herr Miller. Smith left, and a miller too.", "Miller alone is a word here.",
+             "Иван Петров и Анна Петрова; Петрова и Петров.", "Paul Adams, Mary Adams, Mr. Adams and Peter Adams"]
+    got = {k: t for k, (t, _) in _run(spark, texts).items()}
+    m = re.fullmatch(r"(\S+) (\w+) came\. Mr\. (\w+) spoke; (\w+)'s wife, Mrs\. (\w+), and (\S+) (\w+) did not\. "
+                     r"Millers and Miller-Jones stayed\.", got[0])
+    peter, miller, mary = m[1], m[2], m[6]
+    assert {m[k] for k in (3, 4, 5, 7)} == {miller} and miller != "Miller" and peter != "Peter" and mary != "Mary"
+    m = re.fullmatch(r"Then (\S+) (\w+) met Herr (\w+)\. (\w+) left, and a miller too\.", got[1])
+    assert (m[1], m[3]) == (peter, miller) and m[2] == m[4] not in ("Smith", miller)
+    assert got[2] == texts[2]  # nobody of that name in this document
+    m = re.fullmatch(r"(\S+) (\w+ов) и (\S+) (\w+); (\w+) и (\w+)\.", got[3])
+    assert m[4] == m[2] + "а" == m[5] and m[6] == m[2] != "Петров"
+    m = re.fullmatch(r"(\S+) (\w+), (\S+) (\w+), Mr\. (\w+) and (\S+) (\w+)", got[4])
+    assert len({m[k] for k in (2, 4, 5, 7)}) == 1 and m[6] == peter and m[3] == mary and m[1] not in (peter, "Paul")
+
+
+def test_persons_stay_distinct(spark):
+    """Brute force over all pairs of first and family names: the map of persons is one to one and hits no real family name."""
+    firsts = pii.FIRST["latin_m"].split() + pii.FIRST["latin_f"].split()
+    families = ["Ash", "Baker", "Cole", "Dunn", "Evans", "Fox", "Grey"]
+    texts = [f"{a} {b}" for a in firsts for b in families]
+    got = _run(spark, texts)
+    new = [tuple(got[i][0].split(" ")) for i in range(len(texts))]
+    assert len(set(new)) == len(texts) and not {b for _, b in new} & set(families)
+    by_first, by_family = {}, {}
+    for t, (a, b) in zip(texts, new):
+        x, y = t.split(" ")
+        assert by_first.setdefault(x, a) == a != x and by_family.setdefault(y, b) == b
+        known = [f for g in "mf" for f in pii.FIRST[f"latin_{g}"].split()]
+        men = set(pii.FIRST["latin_m"].split())
+        assert all(part in known and (part in men) == (x in men) for part in a.split("-"))
+    assert len(set(by_first.values())) == len(firsts) and len(set(by_family.values())) == len(families)
+
+
+def test_prose_behind_a_label_stays(spark):
+    texts = ["The token: expired tokens are secret: nothing more.", "An api key: please, and the access_key: missing",
+             "token: 0641917ea4e9 and secret='abcdefgh', api_key=abcdefgh; password: opensesame"]
+    got = _run(spark, texts)
+    assert [got[i] for i in range(2)] == [(t, 0) for t in texts[:2]]
+    assert got[2][1] == 4 and not re.search("0641917|abcdefgh|opensesame", got[2][0])

@@ -16,9 +16,13 @@ distinct entity of the corpus gets one surrogate of its own type, drawn from a k
 
 *Coreference*: spellings of one entity (``(339) 555-8607``, ``339-555-8607``; letter case of
 e-mails) share a canonical form, and the surrogate belongs to that form, so all mentions
-in all documents agree. *Distinctness*: after each draw, surrogates that two entities share, and
+in all documents agree. Of a person the family name (by script; Slavic feminine endings go with the masculine form) and
+the first name (by gender) have surrogates of their own, so ``Peter Miller``, ``Mr. Miller`` and ``Paula Miller`` share a family, and
+a family name that stands alone is replaced too in a document that names it with a title or first name.
+*Distinctness*: after each draw, surrogates that two entities share, and
 surrogates that are a real entity of the corpus, are found by grouping, and all but one
-holder draw again until none is left.
+holder draw again until none is left. (A first name alone names nobody: its surrogate may be another's real first name, but
+no two first names share one.)
 
 Only built-in column functions are used. Texts without entities are never shuffled; entities travel
 without their texts.
@@ -47,13 +51,18 @@ SYLLABLES = {
     "cyrillic": "бар вол гор дан жар зим кал лен мор нов пол рат сел тур хол чер".split(),
     "greek": "βαρ γαλ δημ ζαχ καλ λαμ μαρ νικ παπ ραφ σταυ τσακ φιλ χαλ".split(),
 }
-FAMILY_END = {"latin": "s", "cyrillic_m": "ов", "cyrillic_f": "ова", "greek": "ης"}
+FAMILY_END = {"latin": "s", "cyrillic": "ов", "greek": "ης"}
 #: Titles that show a person's gender.
 TITLES = {
     "m": ["Mr", "Herr", "Monsieur", "Señor", "г-н", "κ."],
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "г-жа", "κα"],
 }
 LABELS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key"
+_STRICT = "token|secret|api[_-]?key|access[_-]?key"
+#: A label and what assigns. ``token: word`` may be prose: behind a colon, without quotes, a value of letters alone is only taken
+#: for a secret after a word for passwords.
+_LABELLED = (r"(?:(?:password|passwd|pwd)['\"]?\s{0,3}[=:]\s{0,3}['\"]?"
+             rf"|(?:{_STRICT})['\"]?\s{{0,3}}(?:=\s{{0,3}}['\"]?|:\s{{0,3}}['\"]|:\s{{0,3}}(?!\p{{L}}++(?![^\s'\",;]))))")
 
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 _FIRST_ALL = "|".join(n for names in FIRST.values() for n in names.split())
@@ -69,7 +78,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: (``x(?<![ab].)``: an x that no a or b precedes). Possessive quantifiers keep the search linear
 #: on long runs of one kind of character.
 PATTERNS = {
-    "secret": rf"(?=[AaPpSsTt])(?i:(?<![a-z0-9])(?:{LABELS})['\"]?\s{{0,3}}[=:]\s{{0,3}}['\"]?)[^\s'\",;]{{6,}}",
+    "secret": rf"(?=[AaPpSsTt])(?i:(?<![a-z0-9]){_LABELLED})[^\s'\",;]{{6,}}",
     "email": r"[A-Za-z0-9._%+-](?<![A-Za-z0-9._%+-].)[A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "key": r"A(?<![A-Za-z0-9].)[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "card": r"[3-6](?<![0-9.+-].)(?:[0-9]{3}(?:[ -]?[0-9]{4}){3}|(?<=3)[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9-])",
@@ -113,12 +122,19 @@ def _gender(title: Column, name: Column) -> Column:
             .when(bare.isin([t.rstrip(".") for t in TITLES["m"]]) | F.array_contains(m, first), "m").otherwise("f"))
 
 
+#: The ending of a feminine Slavic family name, and what stays in the masculine form.
+_FEMININE = r"((?:ов|ев|ёв|ин|ын))а\z"
+
+
 def _script(v: Column) -> Column:
     return F.when(v.rlike(r"\p{IsCyrillic}"), "cyrillic").when(v.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
 def _mentions(matches: DataFrame) -> DataFrame:
-    """``id, pos, v`` to ``id, pos, v, kind, prefix, body, canon``; canon is shared by spellings."""
+    """``id, pos, v`` to ``id, pos, v, kind, prefix, body, canon, first``; canon is shared by spellings.
+
+    Of a person ``canon`` is the family name, and ``first`` the first name (null: none, or no person).
+    """
     m = matches.withColumn("kind", _kind(F.col("v")))
     m = m.withColumn("prefix", _prefix(F.col("kind"), F.col("v")))
     m = m.withColumn("body", F.expr("substr(v, length(prefix) + 1)"))
@@ -126,12 +142,13 @@ def _mentions(matches: DataFrame) -> DataFrame:
     phone = F.when((F.length(digits) == 11) & digits.startswith("1"), F.expr("substr(regexp_replace(body, '[^0-9]', ''), 2)")
                    ).otherwise(digits)
     family = F.element_at(F.split("body", " "), -1)
-    person = F.concat_ws("|", _script(F.col("body")), _gender(F.col("prefix"), F.col("body")),
-                         F.when(F.instr("body", " ") > 0, F.substring_index("body", " ", 1)).otherwise(""), family)
+    person = F.concat_ws("|", _script(F.col("body")), F.regexp_replace(family, _FEMININE, "$1"))
+    first = F.when((F.col("kind") == "person") & (F.instr("body", " ") > 0), F.concat_ws(
+        "|", _script(F.col("body")), _gender(F.col("prefix"), F.col("body")), F.substring_index("body", " ", 1)))
     canon = (F.when(F.col("kind") == "email", F.lower("body")).when(F.col("kind") == "phone", phone)
              .when(F.col("kind").isin("card", "ssn"), digits).when(F.col("kind") == "person", person)
              .otherwise(F.col("body")))
-    return m.withColumn("canon", canon)
+    return m.withColumn("canon", canon).withColumn("first", first)
 
 
 def _draw(kind: Column, canon: Column, secret: str, attempt: Column) -> Column:
@@ -191,22 +208,24 @@ def _draw(kind: Column, canon: Column, secret: str, attempt: Column) -> Column:
                        ).otherwise(F.concat_ws(".", private, octet("q", 0, 256), octet("r", 0, 256), octet("s", 1, 254)))
     key = F.concat(canon.substr(1, 4), tail(5))
     parts = F.split(canon, r"\|")
-    person = F.lit(None).cast("string")
+    person, first = F.lit(None).cast("string"), F.lit(None).cast("string")
     for script, syllables in SYLLABLES.items():
+        syl = lambda i: F.get(F.array(*map(F.lit, syllables)), number(i, len(syllables)).cast("int"))  # noqa: E731,B023
+        n = F.greatest(F.lit(2), F.round(F.length(parts[1]) / 3).cast("int"))
+        # Draws after the first few may use longer names: there are always enough.
+        n = n + F.floor(attempt / 4).cast("int")
+        family = F.concat(F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), n), syl), "")), F.lit(FAMILY_END[script]))
+        person = F.when(parts[0] == script, F.concat_ws("|", F.lit(script), family)).otherwise(person)
         for g in "mf":
-            firsts = FIRST[f"{script}_{g}"].split()
-            first = F.get(F.array(*map(F.lit, firsts)), number(F.lit("f"), len(firsts)).cast("int"))
-            syl = lambda i: F.get(F.array(*map(F.lit, syllables)), number(i, len(syllables)).cast("int"))
-            n = F.greatest(F.lit(2), F.round(F.length(parts[3]) / 3).cast("int"))
-            # Draws after the first few may use longer names: there are always enough.
-            n = n + F.floor(attempt / 4).cast("int")
-            family = F.concat(F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), n), syl), "")),
-                              F.lit(FAMILY_END.get(script, FAMILY_END.get(f"{script}_{g}"))))
-            drawn = F.concat_ws("|", F.lit(script), F.lit(g), F.when(parts[2] == "", "").otherwise(first), family)
-            person = F.when((parts[0] == script) & (parts[1] == g), drawn).otherwise(person)
+            names = FIRST[f"{script}_{g}"].split()
+            pick = lambda i: F.get(F.array(*map(F.lit, names)), number(F.concat(F.lit("f"), i.cast("string")), len(names)).cast("int"))  # noqa: E731,E501,B023
+            # Then double names, and longer ones.
+            several = F.slice(F.array(*map(F.lit, range(16))), F.lit(1), F.floor(attempt / 6).cast("int") + 1)
+            drawn = F.concat_ws("|", F.lit(script), F.lit(g), F.array_join(F.transform(several, pick), "-"))
+            first = F.when((parts[0] == script) & (parts[1] == g), drawn).otherwise(first)
     return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ssn", ssn)
             .when(kind == "card", card).when(kind == "ip", ip).when(kind == "key", key)
-            .when(kind == "person", person)
+            .when(kind == "person", person).when(kind == "first", first)
             .otherwise(F.when(canon.rlike(r"\A[0-9a-f]+\z"), more(hexes(canon), 4, "0123456789abcdef"))
                        .otherwise(more(spread(canon, rest=True), 4))))
 
@@ -223,7 +242,7 @@ def surrogates(entities: DataFrame, secret: str, max_draws: int = 60) -> DataFra
     """``kind, canon`` (distinct) to ``kind, canon, surrogate``: distinct, and no real entity.
 
     Draws until no two entities of a kind share a surrogate and no surrogate is an entity of
-    the corpus. Formats with few values are widened as the draws rise: longer secrets, e-mails and
+    the corpus (of first names: none is its own). Formats with few values are widened as the draws rise: longer secrets, e-mails and
     international numbers, other private ranges, longer names. Numbers of fixed length (card, SSN, ten-digit phone,
     key) and public addresses are not; more of them than half of their values (330 million SSNs, 1.3 billion
     addresses, 3.2 billion phones) end in an error after ``max_draws``.
@@ -234,13 +253,14 @@ def surrogates(entities: DataFrame, secret: str, max_draws: int = 60) -> DataFra
         drawn = now.withColumn("surrogate", _draw(F.col("kind"), F.col("canon"), secret, F.col("attempt")))
         # Real entities hold their own value, earlier surrogates theirs; of new holders the first wins.
         claims = drawn.select("kind", F.col("surrogate").alias("value"), F.lit(1).alias("level"), "canon")
-        claims = claims.union(entities.select("kind", F.col("canon").alias("value"), F.lit(0), "canon"))
+        claims = claims.union(entities.filter("kind != 'first'").select("kind", F.col("canon").alias("value"), F.lit(0), "canon"))
         if done is not None:
             claims = claims.union(done.select("kind", F.col("surrogate").alias("value"), F.lit(0), "canon"))
         owner = claims.groupBy(F.col("kind").alias("ok"), "value").agg(
             F.min(F.struct("level", "canon")).alias("own"))
         judged = stored(drawn.join(owner, (F.col("kind") == F.col("ok")) & (F.col("surrogate") == F.col("value")))
-                        .withColumn("wins", (F.col("own.level") == 1) & (F.col("own.canon") == F.col("canon")))
+                        .withColumn("wins", (F.col("own.level") == 1) & (F.col("own.canon") == F.col("canon"))
+                                    & (F.col("surrogate") != F.col("canon")))
                         .select("kind", "canon", "attempt", "surrogate", "wins"), "pii-draw")
         won = judged.filter("wins").select("kind", "canon", "surrogate")
         done = won if done is None else done.union(won)
@@ -262,8 +282,9 @@ def _rendered(m: DataFrame) -> Column:
         before = F.length(F.regexp_replace(body.substr(F.lit(1), i + 1), "[^0-9]", ""))
         return F.when(c.rlike("[0-9]") & (before > lead), s.substr(before - lead, F.lit(1))).otherwise(c)
     digits = F.concat(F.array_join(F.transform(chars, digit), ""), s.substr(n_digits + 1, F.length(s)))
-    parts = F.split(s, r"\|")
-    name = F.concat_ws(" ", F.when(parts[2] != "", parts[2]), parts[3])
+    feminine = F.when(body.rlike(_FEMININE) & s.rlike(r"ов\z"), "а").otherwise("")
+    family = F.concat(F.substring_index(s, "|", -1), feminine)
+    name = F.concat_ws(" ", F.substring_index("first_surrogate", "|", -1), family)
     return F.concat("prefix", F.when(F.col("kind").isin(_DIGIT_TYPES), digits)
                     .when(F.col("kind") == "person", name)
                     .when((F.col("kind") == "email") & (body == F.upper(body)) & (body != F.lower(body)), F.upper(s))
@@ -287,14 +308,27 @@ def replace_pii(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     hit = stored(rows.filter(has).withColumn("found", F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0)))
                  .withColumn("id", F.monotonically_increasing_id()), "pii-hits")
     mentions = stored(_mentions(hit.select("id", F.posexplode("found").alias("pos", "v"))), "pii-mentions")
-    table = surrogates(mentions.select("kind", "canon").distinct(), secret)
-    table = table.select(F.col("kind").alias("tk"), F.col("canon").alias("tc"), "surrogate")
+    entities = mentions.select("kind", "canon").union(
+        mentions.filter("first is not null").select(F.lit("first"), F.col("first"))).distinct()
+    table = surrogates(entities, secret).select(F.col("kind").alias("tk"), F.col("canon").alias("tc"), "surrogate")
+    firsts = table.filter("tk = 'first'").select(F.col("tc").alias("fc"), F.col("surrogate").alias("first_surrogate"))
     named = mentions.join(table, (F.col("kind") == F.col("tk")) & (F.col("canon") == F.col("tc")))
-    new = (named.select(F.col("id").alias("nid"), F.struct("pos", _rendered(named).alias("s")).alias("x"))
-           .groupBy("nid").agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["s"]).alias("new")))
+    named = named.join(firsts, F.col("first") == F.col("fc"), "left").withColumn("s", _rendered(named))
+    # Family names of the document, as written, and what stands for them.
+    alone = F.when(F.col("kind") == "person", F.struct(F.element_at(F.split("body", " "), -1).alias("real"),
+                                                       F.element_at(F.split("s", " "), -1).alias("drawn")))
+    new = (named.select(F.col("id").alias("nid"), F.struct("pos", "s").alias("x"), alone.alias("y"))
+           .groupBy("nid").agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["s"]).alias("new"),
+                               F.sort_array(F.collect_set("y")).alias("families")))
     done = hit.join(new, F.col("id") == F.col("nid"))
-    # The text between matches, with the surrogates between its pieces.
+
+    def bare(piece: Column, name: Column) -> Column:
+        return F.regexp_replace(piece, F.concat(F.lit(r"(?<![\p{L}-])"), name["real"], F.lit(r"(?![\p{L}-])")), name["drawn"])
+
+    # The text between matches, with the surrogates between its pieces; a family name that stands alone is replaced as well.
     pieces = F.split("t", PATTERN, -1)
+    pieces = F.when(F.size("families") == 0, pieces).otherwise(
+        F.transform(pieces, lambda p: F.aggregate("families", p, bare)))
     text2 = F.array_join(F.transform(F.arrays_zip(pieces.alias("a"), F.col("new").alias("b")),
                                      lambda z: F.concat(z["a"], F.coalesce(z["b"], F.lit("")))), "")
     done = done.select(ROW, text2.alias("t"), F.size("new").cast("long").alias("n_entities"))
