@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -15,9 +16,10 @@ def test_gradients_equal_differences():
     net = lg.BiGru.fresh(["a", "b", "c"], 4, 3, 1)
     for k, v in net.p.items():
         net.p[k] = v.astype(np.float64)
-    x, size = lg._matrix([b"ab", b"abc\xc3\xa9", b"z"])
+    x, size = lg._matrix([lg.letters(t) for t in ("ab", "abcé de", "z")])
     target = np.array([0, 2, 1])
-    _, g = net.gradients(x, size, target)
+    counts = lg.counting(x, np.array([0, 3, 0]), size)
+    _, g = net.gradients(x, size, target, counts)
     rng = np.random.default_rng(0)
     for k, v in net.p.items():
         for _ in range(6):
@@ -26,9 +28,9 @@ def test_gradients_equal_differences():
                 at = (rng.choice([97, 98, 256, 257]), at[1])
             keep, eps = v[at], 1e-3
             v[at] = keep + eps
-            up, _ = net.gradients(x, size, target)
+            up, _ = net.gradients(x, size, target, counts)
             v[at] = keep - eps
-            down, _ = net.gradients(x, size, target)
+            down, _ = net.gradients(x, size, target, counts)
             v[at] = keep
             assert abs((up - down) / (2 * eps) - g[k][at]) < 2e-4, k
 
@@ -55,19 +57,82 @@ def test_learns_and_reruns_agree(model):
     assert all((again.p[k] == v).all() for k, v in model.p.items())
 
 
-def test_pooling_is_over_all_positions(model):
-    """Brute force: every position of every run, one by one."""
-    text = "kra limi " + "ölö" * 40 + " rkak 12 ##"
-    total, n = np.zeros(2), 0
-    for r in lg.runs(text):
-        for p in lg._pieces(r):
-            x, size = lg._matrix([p])
+def _step(p, d, state, symbol):
+    """One step of one direction, in plain double arithmetic."""
+    h = len(state)
+    a = p["e"][symbol].astype(float) @ p[f"w{d}"].astype(float) + p[f"b{d}"]
+    zr = 1 / (1 + np.exp(-(a[:2 * h] + state @ p[f"u{d}"].astype(float))))
+    z, r = zr[:h], zr[h:]
+    return state + z * (np.tanh(a[2 * h:] + (r * state) @ p[f"c{d}"].astype(float)) - state)
+
+
+def _log_probs(net, symbols):
+    """Of every position, with the state carried over all symbols, byte by byte."""
+    states = {}
+    for d, order in (("f", range(len(symbols))), ("b", range(len(symbols) - 1, -1, -1))):
+        state = np.zeros(net.h)
+        for i in order:
+            state = states[d, i] = _step(net.p, d, state, symbols[i])
+    y = np.array([np.concatenate([states["f", i], states["b", i]]) for i in range(len(symbols))]) @ net.p["o"] + net.p["ob"]
+    return y - np.log(np.exp(y).sum(1, keepdims=True))
+
+
+def _symbols(text):
+    """Bytes of letters and marks, single spaces between runs, by Unicode category."""
+    runs, held = [], ""
+    for c in text.lower() + " ":
+        if unicodedata.category(c)[0] in "LM":
+            held += c
+        else:
+            if any(unicodedata.category(x)[0] == "L" for x in held):
+                runs.append(held)
+            held = ""
+    return [256, *" ".join(runs).encode(), 257] if runs else []
+
+
+TEXT = "Kra limi, " + "ölö" * 170 + " rkak 12 ## e\u0301te\u0301 " + "limi kra " * 30 + "हिन्दी"
+
+
+def test_pooling_is_over_all_letters_of_all_windows(model):
+    """Brute force: every window on its own, byte by byte, and every letter counted once."""
+    symbols = _symbols(TEXT)
+    assert symbols == lg.letters(TEXT).tolist()
+    total, seen = np.zeros(2), []
+    for lo, a, b, hi in lg.windows(lg.letters(TEXT)):
+        assert lo <= a < b <= hi and (a == 0 or a - lo >= lg.CONTEXT or lo == 0) and (hi - b >= lg.CONTEXT or hi == len(symbols))
+        assert all(i in (0, len(symbols)) or symbols[i] & 0xC0 != 0x80 or symbols[i] > 255 for i in (lo, a, b, hi))
+        y = _log_probs(model, symbols[lo:hi])
+        at = [i for i in range(a, b) if symbols[i] < 256 and symbols[i] != 32]
+        seen += at
+        total += y[[i - lo for i in at]].sum(0)
+    assert seen == [i for i, x in enumerate(symbols) if x < 256 and x != 32]
+    prob = np.exp(total / len(seen)) / np.exp(total / len(seen)).sum()
+    names, scores = model.predict([TEXT])
+    assert abs(scores[0] - prob.max()) < 1e-4 and names[0] == model.labels[int(prob.argmax())]
+
+
+def test_windows_carry_the_state_of_the_text(model):
+    """The context brings the states close to those carried over the whole text; without it they are far off."""
+    rng = random.Random(4)
+    symbols = lg.letters(_text(rng, "xx", 60) + " " + _text(rng, "yy", 60))
+    want = np.exp(_log_probs(model, symbols))
+    off = {}
+    for context in (0, lg.CONTEXT):
+        got = np.zeros_like(want)
+        for lo, a, b, hi in lg.windows(symbols, 32, context):
+            x, size = lg._matrix([symbols[lo:hi]])
             y, _ = model.log_probs(x, size)
-            total += y[:, 0].sum(0)
-            n += len(x)
-    want = np.exp(total / n) / np.exp(total / n).sum()
-    names, scores = model.predict([text])
-    assert abs(scores[0] - want.max()) < 1e-5 and names[0] == model.labels[int(want.argmax())]
+            got[a:b] = np.exp(y[a - lo:b - lo, 0])
+        off[context] = np.abs(got - want).max()
+    assert off[lg.CONTEXT] < 0.05 and off[lg.CONTEXT] < off[0]
+
+
+def test_letters_and_marks_by_category(model):
+    assert model.predict(["² ½ ³", "12 ٣ _ #", "\u0301 \u0301", "", None]) == (["und"] * 5, [0.0] * 5)
+    assert lg.letters("été 3x").tolist() == [256, *"été x".encode(), 257]
+    assert lg.letters("e\u0301te\u0301").tolist() == [256, *"e\u0301te\u0301".encode(), 257]  # marks stay with their letters
+    cut = lg.windows(lg.letters("ж" * 500))
+    assert {b - a for _, a, b, _ in cut[1:-1]} == {224} and len(cut) == 5
 
 
 def test_edges(spark, model):
@@ -103,3 +168,4 @@ def test_sample_is_bounded(spark):
     got = sample_rows(df, 50, 20, 1)
     assert len(got) == 100 and all(len(t) == 20 for t, _ in got)
     assert got == sample_rows(df.repartition(9), 50, 20, 1)
+    assert {len(t) for t, _ in sample_rows(df, 5, None, 1)} == {300} and {y for _, y in sample_rows(df, 5, None, 1, 1)} == {"b"}

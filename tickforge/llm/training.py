@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import unsigned_fraction
 
 
-def smallest_hashes(rows: DataFrame, per_class: int, seed: int) -> DataFrame:
-    """Of each ``label`` the ``per_class`` rows of smallest key hash, which is added as ``h``.
+def smallest_hashes(rows: DataFrame, per_class: int, seed: int, max_classes: int = 200) -> DataFrame:
+    """Of each ``label`` the ``per_class`` rows of smallest key hash, which is added as ``h``; of more than
+    ``max_classes`` labels only the most frequent ones.
 
     Rows are counted per label first. Only the share of a label's rows whose hashes can be among
     the smallest (with four times the room needed) goes on to the exact choice, so what is
     shuffled does not grow with the table.
     """
-    counts = rows.groupBy(F.col("label").alias("counted")).agg(F.count("*").alias("rows"))
+    counts = (rows.groupBy(F.col("label").alias("counted")).agg(F.count("*").alias("rows"))
+              .orderBy(F.desc("rows"), "counted").limit(max_classes))
     h = F.xxhash64("k", F.lit(seed))
-    # One row a label: far fewer than the sample, of which the driver holds ``per_class`` rows a label.
+    # At most max_classes rows are broadcast.
     some = (rows.withColumn("h", h).join(F.broadcast(counts), F.col("label") == F.col("counted"))
             .filter(unsigned_fraction(F.col("h")) * F.col("rows") <= 4.0 * per_class).drop("counted", "rows"))
     tie = ["text"] if "text" in rows.columns else []
@@ -27,17 +29,19 @@ def smallest_hashes(rows: DataFrame, per_class: int, seed: int) -> DataFrame:
     return some.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_class).drop("n")
 
 
-def sample_rows(labelled: DataFrame, per_class: int, max_chars: int, seed: int) -> list[tuple[str, str]]:
-    """At most ``per_class`` (text, label) pairs a label, in a fixed order.
+def sample_rows(labelled: DataFrame, per_class: int, max_chars: int | None, seed: int,
+                max_classes: int = 200) -> list[tuple[str, str]]:
+    """At most ``per_class`` (text, label) pairs a label, of at most ``max_classes`` labels, in a fixed order.
 
-    ``labelled`` has ``k``, ``text`` and ``label`` (string, not null). Of a text longer than
-    ``max_chars`` one stretch at a hashed place is taken: what reaches the driver is bounded
-    by the parameters, whatever the table's size. Rows without a text are left out.
+    ``labelled`` has ``k``, ``text`` and ``label`` (string, not null). The texts are whole, or with ``max_chars`` one stretch of
+    that length at a hashed place of a longer text. Rows without a text are left out.
     """
-    place = F.xxhash64("k", F.lit(seed + 1))
-    start = F.pmod(place, F.greatest(F.lit(1), F.length("text") - max_chars + 1)) + 1
-    rows = labelled.select("k", "label", F.col("text").substr(start.cast("int"), F.lit(max_chars)).alias("text"))
-    picked = smallest_hashes(rows, per_class, seed).filter("text is not null").collect()
+    rows = labelled.select("k", "label", "text")
+    if max_chars is not None:
+        place = F.xxhash64("k", F.lit(seed + 1))
+        start = F.pmod(place, F.greatest(F.lit(1), F.length("text") - max_chars + 1)) + 1
+        rows = rows.withColumn("text", F.col("text").substr(start.cast("int"), F.lit(max_chars)))
+    picked = smallest_hashes(rows, per_class, seed, max_classes).filter("text is not null").collect()
     return [(r["text"], r["label"]) for r in sorted(picked, key=lambda r: (r["h"], r["label"], r["text"]))]
 
 
