@@ -114,10 +114,30 @@ STATUS_ALL_INVALID = "all_invalid"
 STATUS_OK = "ok"
 
 
+def _bar_counts(rows: DataFrame, key: str, date: str, value: str, lo=None, hi=None) -> DataFrame:
+    """Per key (``__bk``): rows, rows in the period, rows in it with a valid value."""
+    d = F.col(date).cast("timestamp")
+    inside = F.lit(True)
+    if lo is not None:
+        inside = inside & (d >= lo)
+    if hi is not None:
+        inside = inside & (d <= hi)
+    return rows.groupBy(F.col(key).alias("__bk")).agg(
+        F.count(F.lit(1)).alias("rows_total"), F.count_if(inside).alias("rows_in_period"),
+        F.count_if(inside & F.col(value).isNotNull() & ~F.isnan(F.col(value))).alias("rows_valid"))
+
+
+def _bar_status(otherwise):
+    """The upper part of the ladder: what the bars say; ``otherwise`` where there are none."""
+    return (F.when(F.col("rows_valid") > 0, STATUS_OK).when(F.col("rows_in_period") > 0, STATUS_ALL_INVALID)
+            .when(F.col("rows_total") > 0, STATUS_NONE_IN_PERIOD).otherwise(otherwise))
+
+
 def source_status(requested: DataFrame, rows: DataFrame, start, end, key: str = "symbol",
                   date: str = "trade_date", value: str = "close_price",
                   max_days: int | None = None, fmt: str = "d/M/yyyy") -> DataFrame:
-    """Per requested key: (key, status, rows_total, rows_in_period, rows_valid).
+    """Per requested key: (key, status, rows_total, rows_in_period, rows_valid): :func:`source_outcome` where
+    only the bars are known.
 
     ``rows`` are the fetched bars (NULL value = unparseable). Per-key counts
     are one two-phase aggregate; the requested list (config-sized) is the
@@ -126,21 +146,10 @@ def source_status(requested: DataFrame, rows: DataFrame, start, end, key: str =
     from tickforge.functions.dates import clamp_start, end_of_day_bound
 
     lo = clamp_start(start, end, max_days, fmt).cast("timestamp")
-    hi = end_of_day_bound(end, fmt)
-    d = F.col(date).cast("timestamp")
-    in_period = (d >= lo) & (d <= hi)
-    counts = rows.groupBy(F.col(key).alias("__k")).agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.count_if(in_period).alias("rows_in_period"),
-        F.count_if(in_period & F.col(value).isNotNull() & ~F.isnan(F.col(value))).alias("rows_valid"),
-    )
-    out = requested.join(counts, requested[key] == counts["__k"], "left").drop("__k")
+    counts = _bar_counts(rows, key, date, value, lo, end_of_day_bound(end, fmt))
+    out = requested.join(counts, requested[key] == counts["__bk"], "left").drop("__bk")
     out = out.na.fill(0, subset=["rows_total", "rows_in_period", "rows_valid"])
-    status = (F.when(F.col("rows_total") == 0, STATUS_NO_DATA)
-              .when(F.col("rows_in_period") == 0, STATUS_NONE_IN_PERIOD)
-              .when(F.col("rows_valid") == 0, STATUS_ALL_INVALID)
-              .otherwise(STATUS_OK))
-    return out.withColumn("status", status)
+    return out.withColumn("status", _bar_status(F.lit(STATUS_NO_DATA)))
 
 
 def source_outcome(requested: DataFrame, documents: DataFrame, bars: DataFrame, start=None, end=None,
@@ -159,25 +168,15 @@ def source_outcome(requested: DataFrame, documents: DataFrame, bars: DataFrame,
     docs = documents.groupBy(F.col("ticker").alias("__dk")).agg(
         F.count(F.lit(1)).alias("documents"),
         *[F.count_if(F.col("outcome") == o).alias(o) for o in ("malformed", "no_results", "no_history")])
-    d = F.col(date).cast("timestamp")
-    inside = F.lit(True)
-    if start is not None:
-        inside = inside & (d >= as_date(start, fmt).cast("timestamp"))
-    if end is not None:
-        inside = inside & (d <= end_of_day_bound(end, fmt))
-    rows = bars.groupBy(F.col(bar_key).alias("__bk")).agg(
-        F.count(F.lit(1)).alias("rows_total"), F.count_if(inside).alias("rows_in_period"),
-        F.count_if(inside & F.col(value).isNotNull() & ~F.isnan(F.col(value))).alias("rows_valid"))
+    rows = _bar_counts(bars, bar_key, date, value, None if start is None else as_date(start, fmt).cast("timestamp"),
+                       None if end is None else end_of_day_bound(end, fmt))
     counts = ["documents", "malformed", "no_results", "no_history", "rows_total", "rows_in_period", "rows_valid"]
     out = (requested.select(key).distinct()
            .join(docs, F.col(key) == F.col("__dk"), "left").join(rows, F.col(key) == F.col("__bk"), "left")
            .na.fill(0, subset=counts))
     n = F.col
-    status = (F.when(n("rows_valid") > 0, STATUS_OK)
-              .when(n("rows_in_period") > 0, STATUS_ALL_INVALID)
-              .when(n("rows_total") > 0, STATUS_NONE_IN_PERIOD)
-              .when((n("documents") > 0) & (n("malformed") == n("documents")), STATUS_MALFORMED)
-              .when(n("no_history") > 0, STATUS_NO_HISTORY)
-              .when(n("documents") > n("malformed") + n("no_results"), STATUS_NONE_IN_PERIOD)
-              .otherwise(STATUS_NO_DATA))
+    status = _bar_status(
+        F.when((n("documents") > 0) & (n("malformed") == n("documents")), STATUS_MALFORMED)
+        .when(n("no_history") > 0, STATUS_NO_HISTORY)
+        .when(n("documents") > n("malformed") + n("no_results"), STATUS_NONE_IN_PERIOD).otherwise(STATUS_NO_DATA))
     return out.select(key, *counts, status.alias("status"))

@@ -151,22 +151,24 @@ SPAN = ("01/01/1995", "31/12/2000")
     select case idx_type when 'R' then 'selic' else 'ipca' end as idx_type, ref_date, idx_value from series
     where idx_type in ('R', 'A') and ref_date between date '1995-01-01' and date '2000-12-31'
       and day(ref_date) <> 9""")) + """
-select idx_type, cast(year(ref_date) as integer) as ano, cast(month(ref_date) as integer) as mes,
-       strftime(ref_date, '%Y-%m') as ano_mes, round(avg(idx_value), 6) as media_mensal,
-       round(min(idx_value), 6) as minimo_mensal, round(max(idx_value), 6) as maximo_mensal,
-       count(*) as num_medicoes, cast(max(ref_date) as timestamp) as ultima_data_mes
-from kept group by 1, 2, 3, 4""")
+select * exclude (m), max(ultima_data_mes) over (partition by idx_type) as last_update, cast(0 as double) as trend_6m,
+       round((m / nullif(lag(m) over (partition by idx_type order by ano, mes), 0) - 1) * 100, 6) as variacao_mes_anterior
+from (select idx_type, cast(year(ref_date) as integer) as ano, cast(month(ref_date) as integer) as mes,
+             strftime(ref_date, '%Y-%m') as ano_mes, round(avg(idx_value), 6) as media_mensal, avg(idx_value) as m,
+             round(min(idx_value), 6) as minimo_mensal, round(max(idx_value), 6) as maximo_mensal,
+             count(*) as num_medicoes, cast(min(ref_date) as timestamp) as primeira_data_mes,
+             cast(max(ref_date) as timestamp) as ultima_data_mes
+      from kept group by 1, 2, 3, 4)""")
 def q_layers_macro(spark, sf_dir):
-    """Landed text rows -> bronze (requested codes and span, bad values of day 9 dropped) -> silver -> gold."""
+    """Landed text rows -> bronze (requested codes and span, bad values of day 9 dropped) -> silver -> gold: all columns
+    of the dashboard (no row lies in the trend's six months, so the trend is 0)."""
     s = tb.series(spark, sf_dir)
     code = F.create_map(*[x for k, v in _CODES.items() for x in (F.lit(k), F.lit(v))])[F.col("idx_type")]
     landed = s.select(code.alias("code"), F.date_format("ref_date", "dd/MM/yyyy").alias("data"),
                       F.when(F.dayofmonth("ref_date") == 9, "n/d").otherwise(F.col("idx_value").cast("string")).alias("valor"))
     bronze = medallion.bronze_series(spark, landed, '{"selic": 1178, "ipca": 433}', RUN_TS, start=SPAN[0], end=SPAN[1],
                                      known_only=True)
-    gold = medallion.gold_macro(medallion.silver_series(bronze), as_of="2001-11-04", sort=False)
-    return rounded(gold.select("idx_type", "ano", "mes", "ano_mes", "media_mensal", "minimo_mensal", "maximo_mensal",
-                               "num_medicoes", "ultima_data_mes"))
+    return rounded(medallion.gold_macro(medallion.silver_series(bronze), as_of="2001-11-04", sort=False))
 
 
 PAST = "1998-06-15"
@@ -178,12 +180,14 @@ select idx_type, round(arg_max(idx_value, ref_date), 6) as current_value,
               / arg_min(idx_value, ref_date) filter (where ref_date >= date '1998-06-01') - 1) * 100, 6) as mtd_change,
        round((arg_max(idx_value, ref_date) filter (where ref_date >= date '1998-01-01')
               / arg_min(idx_value, ref_date) filter (where ref_date >= date '1998-01-01') - 1) * 100, 6) as ytd_change,
-       cast(max(ref_date) as timestamp) as last_update
+       cast(max(ref_date) as timestamp) as last_update,
+       round(coalesce(regr_slope(idx_value, epoch(cast(ref_date as timestamp))) filter (where ref_date >= date '1997-12-15'), 0), 12)
+         as trend_6m
 from known group by idx_type""")
 def q_macro_summary_past(spark, sf_dir):
     """The summary of a day in the middle of the data reads nothing after that day."""
     out = macro.macro_summary(tb.series(spark, sf_dir), as_of=PAST)
-    return rounded(out.withColumn("last_update", F.col("last_update").cast("timestamp")).drop("trend_6m"))
+    return rounded(out.withColumn("last_update", F.col("last_update").cast("timestamp")), special={"trend_6m": 12})
 
 
 @query("macro_dashboard_past", _with(SERIES, ("known", f"select * from series where ref_date <= date '{PAST}'")) + f"""
