@@ -1,6 +1,6 @@
 """Training-data pipeline over ``documents``: five stages, each one of the operators.
 
-1. ``language``: drop documents in which no language can be told (operator 10).
+1. ``language``: drop documents in which no learned language can be told (operator 10).
 2. ``near_duplicates``: keep one document of each group of near copies (operator 5).
 3. ``surrogates``: replace personal data and secrets (operator 8).
 4. ``mix``: take whole documents by source until the word budget is used up; a source below
@@ -24,15 +24,24 @@ from tickforge.llm.queries import surrogate_key, tokenizer_path
 ORACLE_SQL = None
 
 
+#: Scores below this many times that of a guess say that a text is in none of the languages.
+GUESS = 1.2
+
+
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without any letter (and null texts): no language can be told.
+    """Rejects documents in which no learned language can be told: null texts and texts without any letter, and texts
+    whose best language is hardly likelier than a guess (:data:`GUESS` times one in the number of languages).
 
     The network is trained on a bounded sample of the stage's own labelled rows. The predicted
-    language replaces ``lang`` where that is null; given languages stay.
+    language replaces ``lang`` where that is null; given languages stay. Where no row has a language there is nothing to
+    learn, and only texts without a letter go. Repeated rows are judged alike; an empty table stays empty.
     """
     model = language.fit(docs)
+    if not model.labels:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = language.identify(docs, model, pred="__pred", score="__score")
-    kept = found.filter("__pred != 'und'").withColumn("lang", F.coalesce("lang", "__pred"))
+    sure = F.col("__score") >= (GUESS / len(model.labels) if len(model.labels) > 1 else 0.0)
+    kept = found.filter((F.col("__pred") != "und") & sure).withColumn("lang", F.coalesce("lang", "__pred"))
     return kept.select(*docs.columns)
 
 
