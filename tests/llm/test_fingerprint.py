@@ -86,14 +86,14 @@ def test_equals_the_definition(spark):
 def test_repeated_rows_single_rows_and_empty_tables(spark):
     rows = [(1, "a b c d")] * 3 + [(2, "e f g h"), (2, "e f g i")]
     df = spark.createDataFrame([(k, t, "") for k, t in rows], SCHEMA)
-    got = [(r["doc_id"], r["edited_sha256"], r["near_next"]) for r in fp.edited_likeness(df).collect()]
+    got = [(r["doc_id"], r["edited_sha256"], r["near_next"]) for r in fp.edited_likeness(df, samples=16).collect()]
     again = hashlib.sha256(b"a b a b").hexdigest()
     assert len(got) == 5 and got.count((1, again, 1.0)) == 2
     one = spark.createDataFrame([(5, "a b c d", "")], SCHEMA)
-    r = fp.edited_likeness(one).first()
+    r = fp.edited_likeness(one, samples=16).first()
     assert r["near_next"] == 1.0 and r["edited_sha256"] == again
     empty = spark.createDataFrame([], SCHEMA)
-    assert fp.edited_likeness(empty).collect() == [] and fp.fingerprint(empty).collect() == []
+    assert fp.edited_likeness(empty, samples=16).collect() == [] and fp.fingerprint(empty, samples=16).collect() == []
 
 
 def test_fingerprint_keeps_rows_and_columns(spark):
