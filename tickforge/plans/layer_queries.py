@@ -31,7 +31,7 @@ select symbol, trade_date, close_price, case when close_price is null or trade_d
        concat_ws(',', case when close_price is null then 'valid_close' end,
                  case when trade_date is null then 'valid_date' end,
                  case when symbol is null then 'symbol_not_null' end) as failed
-from s""")
+from s""", runs_jobs=True)
 def q_quality_quarantine(spark, sf_dir):
     """Good and failing rows from one pass, each read back from its own part with the names of its failed checks."""
     rows = broken_silver(spark, sf_dir)
@@ -47,7 +47,7 @@ select 'rows' as metric, count(*) as value from s
 union all select 'quarantine', count(*) from s where close_price is null or trade_date is null or symbol is null
 union all select 'failed valid_close', count(*) from s where close_price is null
 union all select 'failed valid_date', count(*) from s where trade_date is null
-union all select 'failed symbol_not_null', count(*) from s where symbol is null""")
+union all select 'failed symbol_not_null', count(*) from s where symbol is null""", runs_jobs=True)
 def q_quarantine_counts(spark, sf_dir):
     """The counts that the quarantine's write observes."""
     path = os.path.join(scratch_dir(spark, "quarantine"), "rows")
@@ -57,7 +57,7 @@ def q_quarantine_counts(spark, sf_dir):
 
 @query("source_reader", _with(BARS) + """
 select symbol as ticker, cast(trade_date as timestamp) as trade_date, open_price as open, high_price as high, low_price as low,
-       close_price as close, volume from bars where symbol in ('1-URGENT', '5-LOW')""")
+       close_price as close, volume from bars where symbol in ('1-URGENT', '5-LOW')""", runs_jobs=True)
 def q_source_reader(spark, sf_dir):
     """A landing of one folder a ticker through the data source: two tickers are asked for and read."""
     landing = os.path.join(scratch_dir(spark, "source"), "landing")
@@ -71,7 +71,7 @@ def q_source_reader(spark, sf_dir):
 
 @query("coverage_merged", """
 select count(*) as rows, count(distinct o_custkey) as n_keys, cast(min(o_orderdate) as timestamp) as first_date,
-       cast(max(o_orderdate) as timestamp) as last_date from orders""")
+       cast(max(o_orderdate) as timestamp) as last_date from orders""", runs_jobs=True)
 def q_coverage_merged(spark, sf_dir):
     """Exact coverage from monthly states: orders up to 1999 first, then the rest with one month corrected."""
     orders = tb.read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("d"))
@@ -105,7 +105,7 @@ def bucketed_bars(spark, bars, buckets: int = 8):
     return spark.table(spec.name_in(database))
 
 
-@query("layout_bucketed", EQUITY_SQL)
+@query("layout_bucketed", EQUITY_SQL, runs_jobs=True)
 def q_layout_bucketed(spark, sf_dir):
     """Gold from a bucketed layer table: the lag and the month states need no exchange of rows."""
     table = bucketed_bars(spark, tb.bars(spark, sf_dir))
@@ -114,7 +114,7 @@ def q_layout_bucketed(spark, sf_dir):
 
 @query("layout_in_files", _with(BARS) + """
 select symbol, strftime(trade_date, '%Y-%m') as ref_month, count(*) as n_rows, cast(0 as bigint) as out_of_order,
-       cast(1 as bigint) as files from bars group by 1, 2""")
+       cast(1 as bigint) as files from bars group by 1, 2""", runs_jobs=True)
 def q_layout_in_files(spark, sf_dir):
     """The physical order of a written table: in each file the rows ascend by symbol and date, and a symbol's month is in one file."""
     path = os.path.join(scratch_dir(spark, "layout"), "bars")
@@ -157,7 +157,7 @@ union all select 'bronze_series', count(*), count(*), round(sum(idx_value), 4) f
 union all select 'silver_series', count(*), count(*), round(sum(idx_value), 4) from kept
 union all select 'gold_equity', count(*), count(*), round(sum(p), 4) from (select avg(close_price) as p from bars group by symbol)
 union all select 'gold_macro', count(*), count(*), round(sum(m), 4) from (
-  select avg(idx_value) as m from kept group by serie, strftime(ref_date, '%Y-%m'))""")
+  select avg(idx_value) as m from kept group by serie, strftime(ref_date, '%Y-%m'))""", runs_jobs=True)
 def q_written_layers(spark, sf_dir):
     """All six layer tables of a refresh, read back: rows as observed while writing, rows found, and the sum of a column."""
     root = os.path.join(scratch_dir(spark, "layers"), "out")
@@ -176,7 +176,7 @@ def q_written_layers(spark, sf_dir):
 @query("written_bronze_quotes", _with(BARS) + """
 select cast(trade_date as timestamp) as Date, open_price as Open, high_price as High, low_price as Low, close_price as Close,
        volume as Volume, cast(0.0 as double) as Dividends, cast(0.0 as double) as Stock_Splits, symbol as ticker,
-       timestamp '2001-11-05 00:00:00' as ingestion_timestamp from bars""")
+       timestamp '2001-11-05 00:00:00' as ingestion_timestamp from bars""", runs_jobs=True)
 def q_written_bronze_quotes(spark, sf_dir):
     """Bronze quotes as a refresh writes them, stamp included."""
     root = os.path.join(scratch_dir(spark, "layers"), "out")
@@ -196,7 +196,7 @@ select idx_type, ano, mes, ano_mes, round(media_mensal, 6) as media_mensal, roun
        round((media_mensal / nullif(lag(media_mensal) over (partition by idx_type order by ano, mes), 0) - 1) * 100, 6)
          as variacao_mes_anterior, primeira_data_mes, ultima_data_mes, num_medicoes,
        max(ultima_data_mes) over (partition by idx_type) as last_update, round(coalesce(s, 0), 12) as trend_6m
-from monthly left join trend on k = idx_type""")
+from monthly left join trend on k = idx_type""", runs_jobs=True)
 def q_written_gold_macro(spark, sf_dir):
     """All 13 columns of the dashboard as a refresh writes them from landed text rows."""
     root = os.path.join(scratch_dir(spark, "layers"), "out")
@@ -213,7 +213,7 @@ union all select 'quote_sources ok', symbol, cast(1 as bigint) from bars group b
 union all select 'series_rows', case idx_type when 'R' then '1178' when 'A' then '433' else '99' end, count(*) from series group by idx_type
 union all select 'series_dropped', case idx_type when 'R' then '1178' when 'A' then '433' else '99' end,
        count(*) filter (where day(ref_date) = 9) from series group by idx_type
-union all select 'bronze_nulls', 'ticker_not_null', cast(0 as bigint) from (select count(*) from bars)""")
+union all select 'bronze_nulls', 'ticker_not_null', cast(0 as bigint) from (select count(*) from bars)""", runs_jobs=True)
 def q_refresh_report(spark, sf_dir):
     """What a refresh says of its sources: documents by outcome, requested tickers, rows dropped a code, missing keys."""
     got = _refreshed(spark, sf_dir, os.path.join(scratch_dir(spark, "layers"), "out"))
@@ -232,7 +232,7 @@ union all select 'series_bacen', 'Séries temporais do BACEN (SGS)', 'bronze', c
 union all select 'tb_mkt_eqt_day', 'Série histórica diária de equity', 'silver', count(*) from bars
 union all select 'tb_mkt_idx_eco', 'Indicadores econômicos padronizados', 'silver', count(*) from kept
 union all select 'tb_mkt_eqt_perf', 'Análise de performance de equity', 'gold', count(distinct symbol) from bars
-union all select 'tb_mkt_idx_dash', 'Dashboard de indicadores macroeconômicos', 'gold', count(*) from m""")
+union all select 'tb_mkt_idx_dash', 'Dashboard de indicadores macroeconômicos', 'gold', count(*) from m""", runs_jobs=True)
 def q_catalog_tables(spark, sf_dir):
     """The catalog tables of a refresh: their names, comments and quality labels as the catalog has them, and their rows."""
     databases = {layer: _database(spark) for layer in schemas.TABLES}
@@ -316,9 +316,9 @@ from moved group by 1""")
 def q_macro_today(spark, sf_dir):
     """The summary of today, on the series moved so that its last day is today."""
     s = tb.series(spark, sf_dir)
-    last = s.agg(F.max("ref_date").alias("last"))
-    moved = s.crossJoin(F.broadcast(last)).select(  # one row
-        "idx_type", "idx_value", F.date_add(F.col("ref_date").cast("date"), F.datediff(F.current_date(), "last")).alias("ref_date"))
+    last = s.agg(F.max("ref_date").cast("date")).first()[0]  # one day
+    moved = s.select("idx_type", "idx_value", F.date_add(F.col("ref_date").cast("date"), F.datediff(F.current_date(), F.lit(last)))
+                     .alias("ref_date"))
     summary = macro.macro_summary(moved).select("idx_type", "current_value", "mtd_change")
     recent = moved.groupBy(F.col("idx_type").alias("k")).agg(
         F.count_if(F.col("ref_date") >= F.add_months(macro.as_of_col(None), -6)).alias("recent"))
@@ -327,7 +327,7 @@ def q_macro_today(spark, sf_dir):
 
 @query("sorted_rows", _with(BARS) + """
 select symbol, cast(trade_date as timestamp) as trade_date, close_price,
-       row_number() over (order by symbol, trade_date) - 1 as place from bars""")
+       row_number() over (order by symbol, trade_date) - 1 as place from bars""", runs_jobs=True)
 def q_sorted_rows(spark, sf_dir):
     """The global order of sorted rows, as the place of each row in the written files."""
     path = os.path.join(scratch_dir(spark, "sorted"), "rows")
@@ -348,7 +348,7 @@ _SKEWED = "case when o_orderkey % 3 = 0 then 1.0 else o_totalprice * pow(2.0, (o
 @query("describe_skewed", f"""
 select o_orderpriority as symbol, 'value' as column_name, count(*) as count, round(min(v), 6) as min, round(quantile_cont(v, 0.25), 6) as q25,
        round(quantile_cont(v, 0.5), 6) as q50, round(quantile_cont(v, 0.75), 6) as q75, round(max(v), 6) as max
-from (select o_orderpriority, {_SKEWED} as v from orders) group by 1""")
+from (select o_orderpriority, {_SKEWED} as v from orders) group by 1""", runs_jobs=True)
 def q_describe_skewed(spark, sf_dir):
     """Exact quantiles of values of which a third are equal and the others spread over many powers of two and both signs."""
     v = F.when(F.col("o_orderkey") % 3 == 0, 1.0).otherwise(

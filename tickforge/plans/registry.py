@@ -25,9 +25,15 @@ ORACLES: dict[str, str] = {}
 SERIES_AS_OF = "2001-11-04"
 
 
-def query(name: str, sql: str | None = None):
+# Queries that write tables or run streams when they are called: their plan is only that of the last read.
+RUNS_JOBS: set[str] = set()
+
+
+def query(name: str, sql: str | None = None, runs_jobs: bool = False):
     def deco(fn):
         QUERIES[name] = fn
+        if runs_jobs:
+            RUNS_JOBS.add(name)
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

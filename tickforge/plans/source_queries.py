@@ -199,7 +199,7 @@ def _landed(docs, folder, name):
     docs.select("results").write.mode("overwrite").json(os.path.join(folder, name))
 
 
-@query("incremental_bars", INCREMENTAL_SQL)
+@query("incremental_bars", INCREMENTAL_SQL, runs_jobs=True)
 def q_incremental_bars(spark, sf_dir):
     """Two refreshes through the streaming path: months up to 1998, then the
     rest, each document repeating the previous month's last 5 days. The
@@ -213,7 +213,7 @@ def q_incremental_bars(spark, sf_dir):
     return rounded(out.drop("ingestion_timestamp"))
 
 
-@query("incremental_late", INCREMENTAL_SQL)
+@query("incremental_late", INCREMENTAL_SQL, runs_jobs=True)
 def q_incremental_late(spark, sf_dir):
     """Run 1 lands all symbols but one, with wrong closes (doubled) in the last month of every
     year. Run 2 lands a symbol that is new, with its whole history, and corrections of all
@@ -248,7 +248,7 @@ def _two_landings(spark, sf_dir):
     return [os.path.join(root, p) for p in ("landing", "sink", "checkpoint")] + [parts]
 
 
-@query("incremental_compacted", INCREMENTAL_SQL)
+@query("incremental_compacted", INCREMENTAL_SQL, runs_jobs=True)
 def q_incremental_compacted(spark, sf_dir):
     """Land, ingest, lose the end of the last batch, compact, land more, ingest (the last batch runs again), compact,
     remove what was replaced, lose and repeat the last batch once more: every bar is there, once."""
@@ -272,7 +272,7 @@ select symbol, strftime(date_trunc('month', trade_date) + interval 1 month, '%Y-
 where cast(trade_date as date) + 5 >= date_trunc('month', trade_date) + interval 1 month group by 1, 2"""), ("docs", """
 select m, sum(n) as n from (select * from months union all select * from tails) group by symbol, m""")) + """
 select cast(m > '1998-12' as int) as run, count(*) as documents, count(*) as ok, cast(sum(n) as bigint) as bars,
-       cast(0 as bigint) as malformed from docs group by 1""")
+       cast(0 as bigint) as malformed from docs group by 1""", runs_jobs=True)
 def q_incremental_report(spark, sf_dir):
     """What every run took in, as counted while it was written: documents, their outcomes and bars."""
     landing, sink, ckpt, parts = _two_landings(spark, sf_dir)

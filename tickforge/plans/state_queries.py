@@ -18,7 +18,7 @@ select symbol, trade_date, close_price, prev_close,
        round(close_price / nullif(prev_close, 0) - 1, 6) as daily_return
 from (select symbol, trade_date, close_price,
              lag(close_price) over (partition by symbol order by trade_date) as prev_close
-      from bars)""")
+      from bars)""", runs_jobs=True)
 def q_daily_return_dense(spark, sf_dir):
     """Returns on rows of any density: ranges of rows, no window over a key or a span of time."""
     out = equity.daily_returns(tb.event_bars(spark, sf_dir), method="ranged")
@@ -35,7 +35,7 @@ def _corrected_layer(layer, rows, value: str, wrong_month: str, later: str):
     return layer
 
 
-@query("gold_incremental", EQUITY_SQL)
+@query("gold_incremental", EQUITY_SQL, runs_jobs=True)
 def q_gold_incremental(spark, sf_dir):
     """Gold from stored month states after a correction and new months equals gold from all rows."""
     bars = tb.bars(spark, sf_dir)
@@ -43,7 +43,7 @@ def q_gold_incremental(spark, sf_dir):
     return rounded(_corrected_layer(layer, bars, "close_price", "1996-03", "2000-01").gold())
 
 
-@query("gold_macro_incremental", ORACLES["macro_dashboard"])
+@query("gold_macro_incremental", ORACLES["macro_dashboard"], runs_jobs=True)
 def q_gold_macro_incremental(spark, sf_dir):
     """The dashboard from stored month states and the rows of two months equals the one from all rows."""
     series = tb.series(spark, sf_dir)
@@ -56,7 +56,7 @@ def q_gold_macro_incremental(spark, sf_dir):
 @query("month_replaced", _with(BARS) + """
 select strftime(trade_date, '%Y-%m') as ref_month, cast(count(*) as bigint) as n_rows, round(sum(close_price), 6) as total,
        case when strftime(trade_date, '%Y-%m') = '1997-05' then 2 else 1 end as version
-from bars where strftime(trade_date, '%Y-%m') <> '1998-01' group by 1""")
+from bars where strftime(trade_date, '%Y-%m') <> '1998-01' group by 1""", runs_jobs=True)
 def q_month_replaced(spark, sf_dir):
     """One month is written again and one is emptied: both at once, and every other month keeps its files."""
     from tickforge.streaming.month_table import MonthTable
