@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.operators.quantiles import exact_quantiles
+from tickforge.session import written
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType)
 
@@ -47,11 +48,13 @@ def describe(df: DataFrame, columns: list[str] | None = None, by: str | None = N
     long = long.withColumn("value", F.nanvl(F.col("value"), F.lit(None).cast("double")))
     keys = ids + ["column_name"]
     # NULL values stay in the moments' aggregate, so a column (or key) without
-    # any value is reported with count 0; the quantiles skip them.
-    moments = long.groupBy(*keys).agg(
+    # any value is reported with count 0; the quantiles skip them. Written: the quantiles
+    # are planned by its counts, and the input is read once for it.
+    moments = written(long.groupBy(*keys).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", DESCRIBE_PROBS, group=keys, final_rows=final_rows)
+        F.min("value").alias("min"), F.max("value").alias("max")), "describe")
+    q = exact_quantiles(long, "value", DESCRIBE_PROBS, group=keys, final_rows=final_rows,
+                        sizes=moments.select(*keys, F.col("count").alias("n")))
     qw = q.groupBy(*[F.col(k).alias(f"__q_{k}") for k in keys]).agg(*[
         F.max(F.when(F.col("p") == F.lit(p), F.col("quantile"))).alias(name)
         for p, name in zip(DESCRIBE_PROBS, ["q25", "q50", "q75"])])

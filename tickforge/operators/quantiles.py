@@ -122,24 +122,27 @@ def _select(vals: DataFrame, stats: DataFrame, g: list[str], probs: list[float],
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
-                    final_rows: int = 100_000, broadcast_rows: int = 100_000, extra_aggs=(),
-                    with_stats: bool = False):
-    """-> DataFrame(*group, p, quantile); with ``with_stats`` also the
-    per-group stats frame (n, min, max and ``extra_aggs`` over ``value``)."""
+                    final_rows: int = 100_000, broadcast_rows: int = 100_000,
+                    sizes: DataFrame | None = None) -> DataFrame:
+    """-> DataFrame(*group, p, quantile), for groups with at least one value.
+
+    ``sizes`` (``group`` and ``n``, the number of values that are neither NULL nor NaN) saves counting the groups
+    where the caller has done so.
+    """
     # Group columns travel in structs: a NULL in a struct equals itself in joins.
     names = list(group or [])
     g = [f"__key{i}" for i in range(len(names))]
-    df = df.select(*[F.struct(F.col(n).alias("k")).alias(k) for n, k in zip(names, g)], F.col(value).alias(value))
-    vals = df.select(*g, F.col(value).cast("double").alias("__v")).filter(
-        F.col("__v").isNotNull() & ~F.isnan("__v"))
+    keys = [F.struct(F.col(n).alias("k")).alias(k) for n, k in zip(names, g)]
+    vals = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
     drop_g = not g
     if drop_g:
         vals = vals.withColumn("__g0", F.lit(0))
         g = ["__g0"]
 
-    stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                 F.max("__v").alias("__hi"), *extra_aggs)
-    stats = written(stats, "quantile-groups")
+    if sizes is None:
+        stats = written(vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n")), "quantile-groups")
+    else:
+        stats = sizes.select(*(keys or [F.lit(0).alias("__g0")]), F.col("n").alias("__n")).filter("__n > 0")
     big = F.col("__n") > final_rows
     agg = stats.agg(F.count(F.lit(1)).alias("groups"), F.count_if(big).alias("big"),
                     F.count_if(~big).alias("small")).first()
@@ -159,7 +162,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
         parts.append(_select(vals.join(small(big_keys), g, "left_semi"), stats.filter(big), g, probs, small))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if drop_g:
-        out, stats = out.drop("__g0"), stats.drop("__g0")
+        out = out.drop("__g0")
     for k, n in zip(g, names):
-        out, stats = (f.withColumn(k, F.col(k)["k"]).withColumnRenamed(k, n) for f in (out, stats))
-    return (out, stats) if with_stats else out
+        out = out.withColumn(k, F.col(k)["k"]).withColumnRenamed(k, n)
+    return out

@@ -133,8 +133,9 @@ def silver_series(bronze: DataFrame, frequency="D") -> DataFrame:
     return silver.silver_macro(bronze, frequency)
 
 
-def gold_equity(silver_quotes_df: DataFrame) -> DataFrame:
-    return equity.equity_performance(silver_quotes_df)
+def gold_equity(silver_quotes_df: DataFrame, segment: str = "month") -> DataFrame:
+    """``segment``: "month" for daily bars, "auto" (or "day", "hour") for denser rows."""
+    return equity.equity_performance(silver_quotes_df, segment=segment)
 
 
 def gold_macro(silver_series_df: DataFrame, as_of=None, sort: bool = True) -> DataFrame:
