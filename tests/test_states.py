@@ -259,3 +259,46 @@ def test_coverage_merges_any_states(spark):
     want = profile.coverage(rows, "k", "d").first()
     assert tuple(got) == tuple(want)
     assert tuple(coverage.coverage_of_states(states.limit(0)).first()) == (0, 0, None, None)
+
+
+def test_update_goes_on_after_any_crash(spark, tmp_path, monkeypatch):
+    """Cut off after bronze, and after silver: the next run makes good what is missing, and touches only those months."""
+    from tickforge.plans import gold_states
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+
+    def run():
+        return gold_states.update_quotes(spark, os.path.join(landing, "*"), root)
+
+    days = lambda m, n: [(int(dt.datetime(2024, m, d, tzinfo=dt.timezone.utc).timestamp()), float(d)) for d in range(1, n)]
+    _land(os.path.join(landing, "a"), "x.json", _document("A", days(1, 20) + days(2, 20)))
+    real = gold_states.QuoteLayer.refresh
+    monkeypatch.setattr(gold_states.QuoteLayer, "refresh", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run()
+    monkeypatch.setattr(gold_states.QuoteLayer, "refresh", real)
+    assert run()["months"] == ["2024-01", "2024-02"]
+    layer = QuoteLayer(spark, os.path.join(root, "quotes"), gold_states.schemas.empty_frame(spark, gold_states.schemas.SILVER_EQUITY))
+    before = layer.silver.parts()
+    _land(os.path.join(landing, "b"), "y.json", _document("A", days(2, 3) + days(3, 9)) + _document("B", days(3, 5)))
+    catch_up = gold_states.QuoteLayer.catch_up
+    monkeypatch.setattr(gold_states.QuoteLayer, "catch_up", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run()
+    monkeypatch.setattr(gold_states.QuoteLayer, "catch_up", catch_up)
+    got = run()  # nothing new has landed; the states are behind
+    assert got["months"] == [] and got["gold_equity"] == {"rows": 2}
+    after = layer.silver.parts()
+    assert {m for m in after if before.get(m) != after[m]} == {"2024-02", "2024-03"}
+    gold = {r.symbol: r for r in spark.read.parquet(os.path.join(root, "gold_equity")).collect()}
+    for r in equity.equity_performance(layer.silver.read()).collect():
+        assert gold[r.symbol].avg_return == pytest.approx(r.avg_return) and gold[r.symbol].avg_price == pytest.approx(r.avg_price)
+    assert layer.silver.read().count() == 38 + 8 + 4
+
+
+def test_cli_update(spark, tmp_path):
+    from tickforge.__main__ import main
+    _land(str(tmp_path / "landing" / "a"), "PETR4.json", _document(None, [(1717200000, 3.0), (1717286400, 4.0)]))
+    got = main(["update", "--quotes", str(tmp_path / "landing" / "*"), "--root", str(tmp_path / "root"), "--compact"])
+    assert got["months"] == ["2024-06"] and got["gold_equity"] == {"rows": 1}
+    assert [m["bars"] for m in got["ingested"].values()] == [2]
+    assert main(["update", "--quotes", str(tmp_path / "landing" / "*"), "--root", str(tmp_path / "root")])["ingested"] == {}

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
 from pyspark.sql import functions as F
 
 from tickforge.operators import equity
-from tickforge.plans.gold_states import QuoteLayer, SeriesLayer
+from tickforge.plans.flow_queries import RUN_TS
+from tickforge.plans.gold_states import QuoteLayer, SeriesLayer, update_quotes
 from tickforge.plans.registry import (BARS, EQUITY_SQL, EVENT_BARS, ORACLES, SERIES_AS_OF, _monthly_ints, _with, query, rounded)
 from tickforge.session import scratch_dir
+from tickforge.sources import payload as pl
 from tickforge.sources import tables as tb
 
 
@@ -71,3 +74,22 @@ def q_month_replaced(spark, sf_dir):
     out = table.read().groupBy(month.alias("ref_month")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("close_price").alias("total"))
     return rounded(out.join(F.broadcast(version), F.col("ref_month") == F.col("m")).drop("m"))
+
+
+@query("update_quotes", EQUITY_SQL, runs_jobs=True)
+def q_update_quotes(spark, sf_dir):
+    """Three updates from landed files: the history with a wrong month, a correction of that month with new months, and nothing.
+
+    Gold after them equals gold of all bars; the second touches only its months, the third none."""
+    root = scratch_dir(spark, "update")
+    landing, bars = os.path.join(root, "landing"), tb.bars(spark, sf_dir)
+    month = F.date_format("trade_date", "yyyy-MM")
+    wrong = bars.withColumn("close_price", F.when(month == "1996-03", F.col("close_price") * 2).otherwise(F.col("close_price")))
+    runs = [wrong.filter(month < "2000-01"), bars.filter((month == "1996-03") | (month >= "2000-01"))]
+    for i, rows in enumerate(runs):
+        pl.bars_to_payloads(rows).drop("segment").write.json(os.path.join(landing, f"run{i}"))
+        update_quotes(spark, os.path.join(landing, "*"), root, run_ts=RUN_TS + _dt.timedelta(days=i))
+    last = update_quotes(spark, os.path.join(landing, "*"), root)
+    if last["months"] or last["ingested"]:
+        raise AssertionError("an update without new files touched something")
+    return rounded(spark.read.parquet(os.path.join(root, "gold_equity")))

@@ -32,13 +32,15 @@ class CommitConflict(RuntimeError):
 @dataclass(frozen=True)
 class Entry:
     """One commit: its name, its folder (under the sink), the entries it replaces, what was counted while writing, and
-    for a table kept in parts (months) the parts that it replaces, each with its folder ('' for a part left empty)."""
+    for a table kept in parts (months) the parts that it replaces, each with its folder ('' for a part left empty), and
+    the commits of another table that it was made from."""
 
     name: str
     folder: str
     replaces: list[str] = field(default_factory=list)
     metrics: dict[str, int] = field(default_factory=dict)
     parts: dict[str, str] = field(default_factory=dict)
+    sources: list[str] = field(default_factory=list)
 
     @property
     def is_base(self) -> bool:
@@ -109,6 +111,10 @@ class CommitLog:
         gone = {n for e in found for n in e.replaces}
         return [e for e in found if e.name not in gone]
 
+    def sources(self) -> set[str]:
+        """The commits of other tables that this one was made from so far."""
+        return {n for e in self.entries() for n in e.sources}
+
     def next_base(self) -> str:
         bases = [int(e.name.split("-")[1]) for e in self.entries() if e.is_base]
         return f"base-{max(bases, default=0) + 1:09d}"

@@ -37,11 +37,12 @@ class MonthTable:
         return {m: f for m, f in sorted(now.items()) if f}
 
     def replace(self, rows: DataFrame, months: list[str] | None = None, key: str | None = None,
-                observation: Observation | None = None) -> list[str]:
+                observation: Observation | None = None, sources: list[str] | None = None) -> list[str]:
         """Replace ``months`` (``yyyy-MM``; default: those of ``rows``) by ``rows``; returns the months.
 
         A listed month without rows becomes empty; a row outside the listed months is an error, and nothing is committed. With
-        ``key`` the rows of a month are sorted by key and date. Of two replacements of one month at the same time, the second to
+        ``key`` the rows of a month are sorted by key and date. ``sources`` names the commits that the rows were made from; they
+        are recorded by the same commit. Of two replacements of one month at the same time, the second to
         end fails with :class:`CommitConflict`; of different months, both count.
         """
         known = {e.name for e in self.log.entries()}
@@ -61,7 +62,7 @@ class MonthTable:
             if clash:
                 raise CommitConflict(f"replaced by another run meanwhile: {sorted(clash)}")
             version = 1 + max((int(e.name.split("-")[1]) for e in self.log.entries()), default=0)
-            if self.log.add(Entry(f"months-{version:09d}", folder, metrics=counted, parts=parts)):
+            if self.log.add(Entry(f"months-{version:09d}", folder, metrics=counted, parts=parts, sources=sources or [])):
                 return sorted(parts)
 
     def read(self, months: list[str] | None = None) -> DataFrame:
