@@ -30,6 +30,20 @@ def test_gradients_equal_differences():
             assert abs((up - down) / (2 * eps) - g[k][at]) < 1e-5, k
 
 
+def test_gradients_of_whole_texts_whatever_the_pieces():
+    """A text much longer than a piece gives the same loss and gradients, stretch by stretch."""
+    net = qc.ByteCnn.fresh(3, 2, 4, 1)
+    for k, v in net.p.items():
+        net.p[k] = v.astype(np.float64)
+    rng = random.Random(3)
+    texts = [bytes(rng.choice(b"abc de!") for _ in range(n)) for n in (30_000, 200, 0, 5000)]
+    y = np.array([1.0, 0.0, 1.0, 0.0])
+    loss, want = net.gradients(texts, y, piece=10 ** 9)
+    for piece in (128, 1000, 4096):
+        got, g = net.gradients(texts, y, piece)
+        assert abs(got - loss) < 1e-12 and all(np.allclose(g[k], want[k], atol=1e-12) for k in want), piece
+
+
 def _brute(net, text):
     """One chunk after the other, one filter place after the other."""
     raw = (text or "").encode()

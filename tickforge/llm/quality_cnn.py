@@ -80,37 +80,39 @@ class ByteCnn:
 
     def scores(self, texts: list[str | None], piece: int = 1_000_000) -> np.ndarray:
         """Probability that each whole text is good; null counts as empty."""
-        total, number = np.zeros(len(texts)), np.zeros(len(texts))
-        step = max(1, piece // HALF)
-        held, size = [], 0
-        for k, t in enumerate(texts):
-            raw = (t or "").encode("utf-8", "surrogatepass")
-            n = halves(raw)
-            number[k] = n - 1
-            # A piece is a stretch of halves; the next begins with its last half.
-            for a in range(0, n - 1, step):
-                b = min(n, a + step + 1)
-                held.append((k, raw[a * HALF:b * HALF + WIDTH if b < n else None], b - a))
-                size += b - a
-                if size * HALF > 64_000:
-                    self._add(total, held)
-                    held, size = [], 0
-        if held:
+        return self._scores([(t or "").encode("utf-8", "surrogatepass") for t in texts], piece)
+
+    def _scores(self, raw: list[bytes], piece: int) -> np.ndarray:
+        total = np.zeros(len(raw))
+        for held in stretches(raw, piece):
             self._add(total, held)
-        return 1 / (1 + np.exp(-total / np.maximum(number, 1)))
+        return 1 / (1 + np.exp(-total / np.array([halves(r) - 1 for r in raw])))
 
     def _add(self, total: np.ndarray, held: list[tuple[int, bytes, int]]) -> None:
         x, count = symbols([(raw, n) for _, raw, n in held])
         logits = self.chunk_logits(self.half_maxima(x))
-        inside = np.ones(len(logits), dtype=bool)
-        inside[np.cumsum(count)[:-1] - 1] = False  # pairs of halves of two pieces
-        owner = np.repeat([k for k, _, _ in held], count)[:-1]
+        owner, inside = _owners(held, count)
         np.add.at(total, owner[inside], logits[inside])
 
-    def gradients(self, texts: list[bytes], y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean log loss over documents and its gradients."""
+    def gradients(self, texts: list[bytes], y: np.ndarray, piece: int = 64_000) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean log loss over whole documents and its gradients.
+
+        A document's logit is a mean over its chunks, so its probability is found first, and then every stretch of it
+        gives its part of the gradients: memory is bounded by ``piece``, not by the texts.
+        """
+        prob = self._scores(texts, piece)
+        loss = -float(np.mean(y * np.log(prob + 1e-9) + (1 - y) * np.log(1 - prob + 1e-9)))
+        share = (prob - y) / len(y) / np.array([halves(t) - 1 for t in texts])
+        g = {k: np.zeros_like(v) for k, v in self.p.items()}
+        for held in stretches(texts, piece):
+            for k, v in self._backward(held, share).items():
+                g[k] += v
+        return loss, g
+
+    def _backward(self, held: list[tuple[int, bytes, int]], share: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradients through the chunks of some stretches; ``share``: the gradient of each document's chunk logits."""
         p = self.p
-        x, count = symbols([(t, halves(t)) for t in texts])
+        x, count = symbols([(raw, n) for _, raw, n in held])
         places = self._places(x)
         seen = p["e"][places].reshape(len(places), -1)
         values = (seen @ p["w"]).reshape(-1, SPOTS, p["w"].shape[1])
@@ -119,15 +121,8 @@ class ByteCnn:
         left = maxima[:-1] >= maxima[1:]
         top = np.where(left, maxima[:-1], maxima[1:])
         hid = np.tanh(top @ p["h"] + p["hb"])
-        logits = hid @ p["o"] + p["ob"]
-        inside = np.ones(len(logits), dtype=bool)
-        inside[np.cumsum(count)[:-1] - 1] = False
-        owner = np.repeat(np.arange(len(texts)), count)[:-1]
-        doc = np.bincount(owner[inside], logits[inside], len(texts)) / (count - 1)
-        prob = 1 / (1 + np.exp(-doc))
-        loss = -float(np.mean(y * np.log(prob + 1e-9) + (1 - y) * np.log(1 - prob + 1e-9)))
-        dl = ((prob - y) / len(y) / (count - 1))[owner] * inside
-        dl = dl.astype(p["w"].dtype)
+        owner, inside = _owners(held, count)
+        dl = (share[owner] * inside).astype(p["w"].dtype)
         dpre = dl[:, None] * p["o"] * (1 - hid * hid)
         g = {"o": hid.T @ dl, "ob": dl.sum(keepdims=True), "h": top.T @ dpre, "hb": dpre.sum(0)}
         dtop = dpre @ p["h"].T
@@ -145,7 +140,34 @@ class ByteCnn:
         de = (dvals @ p["w"].T).reshape(len(rows), WIDTH, -1)
         g["e"] = np.zeros_like(p["e"])
         np.add.at(g["e"], places[rows], de)
-        return loss, g
+        return g
+
+
+def stretches(raw: list[bytes], piece: int, together: int = 64_000):
+    """Whole texts as lists of ``(text, bytes, halves)``: about ``together`` bytes a list, at most ``piece`` of a text at once.
+
+    A stretch is a run of halves; the next one of the same text begins with its last half, so no chunk is lost or doubled.
+    """
+    step = max(1, piece // HALF)
+    held, size = [], 0
+    for k, r in enumerate(raw):
+        n = halves(r)
+        for a in range(0, n - 1, step):
+            b = min(n, a + step + 1)
+            held.append((k, r[a * HALF:b * HALF + WIDTH if b < n else None], b - a))
+            size += b - a
+            if size * HALF > together:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _owners(held: list[tuple[int, bytes, int]], count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text of every pair of neighbouring halves, and whether both are of the same stretch."""
+    inside = np.ones(int(count.sum()) - 1, dtype=bool)
+    inside[np.cumsum(count)[:-1] - 1] = False
+    return np.repeat([k for k, _, _ in held], count)[:-1], inside
 
 
 def train(sample: list[tuple[str, str]], filters: int = 24, embed: int = 6, hidden: int = 12,
@@ -167,11 +189,10 @@ def train(sample: list[tuple[str, str]], filters: int = 24, embed: int = 6, hidd
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-        per_label: int = 1500, max_chars: int = 1500, seed: int = 3) -> ByteCnn:
-    """Train on at most ``per_label`` documents of either label (rows without label are left out).
+        per_label: int = 1500, seed: int = 3) -> ByteCnn:
+    """Train on the whole texts of at most ``per_label`` documents of either label (rows without label are left out).
 
-    The documents are chosen from ``labels`` by key, so that only their texts are moved. Of a longer
-    text one stretch of ``max_chars`` is learned from. Contradicting labels are left out.
+    The documents are chosen from ``labels`` by key, so that only their texts are moved. Contradicting labels are left out.
     """
     known = (labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("q")).filter("q in (0, 1)")
              .groupBy("k").agg(F.min("q").alias("q"), F.max("q").alias("q2")).filter("q = q2"))
@@ -179,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = chosen.select(F.col("k").alias("lk"), "label")
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(
         F.broadcast(chosen), F.col("k") == F.col("lk"))  # at most two times per_label rows
-    return train(sample_rows(rows.select("k", "text", "label"), per_label, max_chars, seed))
+    return train(sample_rows(rows.select("k", "text", "label"), per_label, None, seed))
 
 
 def classify(docs: DataFrame, model: ByteCnn, text: str = "text", score: str = "score",
